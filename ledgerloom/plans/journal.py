@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ledgerloom.functions.masks import matches
 from ledgerloom.functions.scalars import half_even, recode
 from ledgerloom.operators.joins import date_spine
+from ledgerloom.operators.literals import literal_table
 from ledgerloom.operators.pivots import pivot_with_margins, row_total, unpivot_columns
 from ledgerloom.operators.rowwise import running_balance
 from ledgerloom.operators.tieout import difference_summary
@@ -22,13 +23,12 @@ DAY_TEXT = "yyyy/MM/dd"
 
 
 def account_table(spark: SparkSession, accounts=None) -> DataFrame:
-    return spark.createDataFrame(accounts or ACCOUNTS, "account_no string, desc_key string, account_desc string")
+    return literal_table(spark, accounts or ACCOUNTS, "account_no string, desc_key string, account_desc string")
 
 
 def mapping_table(spark: SparkSession, mapping=None) -> DataFrame:
-    return spark.createDataFrame(
-        mapping or ENTRY_MAPPING, "column string, account_no string, transaction_type string, desc_key string"
-    )
+    ddl = "column string, account_no string, transaction_type string, desc_key string"
+    return literal_table(spark, mapping or ENTRY_MAPPING, ddl)
 
 
 def with_descriptions(rows: DataFrame, accounts: DataFrame) -> DataFrame:
@@ -129,10 +129,8 @@ def special_lines(wide: DataFrame, accounts: DataFrame, p: ReconParams, date: st
             if lacking:
                 raise ValueError(f"special entry of {day} lacks {lacking}")
             rows.append((day, e["transaction_type"], e["account_no"], e.get("desc_key"), e.get("account_desc"), str(e["amount"])))
-    spark = wide.sparkSession
-    given = spark.createDataFrame(
-        rows, "day string, transaction_type string, account_no string, desc_key string, given_desc string, amount string"
-    )
+    ddl = "day string, transaction_type string, account_no string, desc_key string, given_desc string, amount string"
+    given = literal_table(wide.sparkSession, rows, ddl)
     present = wide.select(F.date_format(date, "yyyy-MM-dd").alias("day")).distinct()
     lines = with_descriptions(given.join(present, "day", "left_semi"), accounts)
     return lines.select(

@@ -84,7 +84,7 @@ SELECT CASE o_custkey % 3 WHEN 0 THEN 'cub_individual' WHEN 1 THEN 'cub_nonindiv
   CAST(FLOOR(o_orderkey / 1000) AS BIGINT) AS file_no,
   o_orderkey AS seq,
   CASE WHEN o_orderkey % 7 = 0 THEN SUBSTR(CAST(CAST(o_orderdate AS DATE) AS STRING), 1, 7) ELSE NULL END AS claim_month,
-  CASE WHEN o_orderkey % 4 = 0 THEN CASE o_custkey % 5 WHEN 0 THEN '03' WHEN 1 THEN '06' WHEN 2 THEN '12' WHEN 3 THEN '24' ELSE '01' END
+  CASE WHEN o_orderkey % 4 = 0 THEN CASE o_custkey % 5 WHEN 0 THEN '3期' WHEN 1 THEN '6期' WHEN 2 THEN '12期' WHEN 3 THEN '24期' ELSE '一般' END
     ELSE NULL END AS term,
   CASE WHEN o_orderkey % 9 = 0 THEN CONCAT('S', CAST(o_custkey AS STRING)) ELSE NULL END AS store_code,
   CASE WHEN o_orderkey % 13 = 0 THEN '小計' WHEN o_orderkey % 17 = 0 THEN NULL ELSE '請款' END AS kind,
@@ -129,7 +129,8 @@ FROM {orders}
 """
 
 VIEWS["rate_matrix"] = """
-SELECT p_size AS idx, CAST(MIN(p_partkey) AS STRING) AS level_0,
+SELECT CASE p_size WHEN 41 THEN '一般' WHEN 42 THEN '3期' WHEN 43 THEN '6期' WHEN 44 THEN '12期' WHEN 45 THEN '24期'
+    ELSE CAST(p_size AS STRING) END AS idx, CAST(MIN(p_partkey) AS STRING) AS level_0,
   CASE WHEN p_size % 7 = 0 THEN NULL WHEN p_size % 11 = 0 THEN ' ' ELSE CAST(CAST(p_size * 0.0005 AS DECIMAL(9,6)) AS STRING) END AS ub,
   CAST(CAST(p_size * 0.0007 AS DECIMAL(9,6)) AS STRING) AS taishi,
   CASE WHEN p_size % 5 = 0 THEN 'n/a' ELSE CAST(CAST(p_size * 0.0009 AS DECIMAL(9,6)) AS STRING) END AS taishi_voucher
