@@ -7,6 +7,7 @@ import re
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from ledgerloom.functions.text import map_of
 from ledgerloom.reference_data import FALSE_WORDS, NULL_TEXTS, STRIP_CHARS, TRUE_WORDS
 
 # Strftime codes and their Spark pattern letters.
@@ -107,12 +108,8 @@ def grouped_digits(col: Column, places: int = 0) -> Column:
 
 def recode(col: Column, mapping: dict, default=None, keep: bool = True) -> Column:
     """Replace known values; others stay, or take ``default`` when ``keep`` is off."""
-    out = None
-    for old, new in mapping.items():
-        cond = col == F.lit(old)
-        out = F.when(cond, F.lit(new)) if out is None else out.when(cond, F.lit(new))
     rest = col if keep else F.lit(default)
-    return rest if out is None else out.otherwise(rest)
+    return F.coalesce(F.try_element_at(F.expr(map_of(mapping)), col), rest) if mapping else rest
 
 
 def known_or(col: Column, known: list, default) -> Column:

@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerloom.functions.text import array, literal, name, one_of
+
 MAX_PIVOT_VALUES = 10_000
 
 
@@ -40,14 +42,14 @@ def pivot_with_margins(
     values = col_values if col_values is not None else pivot_values(base, col)
     names = col_names or {}
 
-    cells = [F.sum(F.when(F.col(col) == F.lit(v), F.col("_cell"))).alias(f"_v{i}") for i, v in enumerate(values)]
+    cells = [F.expr(f"sum(CASE WHEN {name(col)} = {literal(v)} THEN _cell END) AS _v{i}") for i, v in enumerate(values)]
     keys = [F.col(k) for k in rows]
     wide = base.groupingSets([keys, []], *keys).agg(
         *cells, F.sum("_cell").alias("_all"), F.grouping_id().alias("_g"), F.count(F.lit(1)).alias("_n")
     ).where("_n > 0")
 
     def finish(c: str) -> Column:
-        out = F.col(c) if fill is None else F.coalesce(F.col(c), F.lit(fill))
+        out = F.col(c) if fill is None else F.expr(f"coalesce({c}, {literal(fill)})")
         return post(out) if post else out
 
     is_total = F.col("_g") != 0
@@ -72,10 +74,10 @@ def complete_grid(df: DataFrame, keys: dict[str, list]) -> DataFrame:
 
     The lists are settings, so the grid is tiny and the other rows fall out of the result.
     """
-    first = df.sparkSession.range(1)
-    for name, values in keys.items():
-        first = first.withColumn(name, F.explode(F.array(*[F.lit(v) for v in values])))
-    return first.drop("id").join(df, list(keys), "left")
+    grid = df.sparkSession.range(1)
+    for key, values in keys.items():
+        grid = grid.withColumn(key, F.expr(f"explode({array(values)})"))
+    return grid.drop("id").join(df, list(keys), "left")
 
 
 def wide_to_long(
@@ -84,28 +86,26 @@ def wide_to_long(
     """One row per input row and group. ``groups`` maps a group to its column per measure; columns
     that do not exist give ``zero``."""
     have = set(df.columns)
-    members = []
+    rows = []
     for label, columns in groups.items():
-        fields = [F.lit(label).alias(key)]
-        for m in measures:
-            src = columns.get(m)
-            known = src in have
-            col = F.col(f"`{src}`") if known else F.lit(zero)
-            fields.append(col.cast("decimal(24,4)").alias(m))
-        members.append(F.struct(*fields))
-    return df.select(*ids, F.explode(F.array(*members)).alias("_g")).select(*ids, f"_g.{key}", *[f"_g.{m}" for m in measures])
+        cells = [name(columns[m]) if columns.get(m) in have else literal(zero) for m in measures]
+        rows.append(", ".join([literal(label), *[f"CAST({c} AS DECIMAL(24,4))" for c in cells]]))
+    names = ", ".join(name(c) for c in [key, *measures])
+    return df.selectExpr(*[name(c) for c in ids], f"stack({len(rows)}, {', '.join(rows)}) AS ({names})")
 
 
 def unpivot_columns(df: DataFrame, ids: list[str], columns: list[str], key: str, value: str) -> DataFrame:
     """Listed columns to rows; columns that do not exist are skipped."""
-    present = [c for c in columns if c in set(df.columns)]
-    wanted = [F.col(f"`{c}`").cast("decimal(28,4)").alias(c) for c in present]
-    return df.select(*ids, *wanted).unpivot(ids, [F.col(f"`{c}`") for c in present], key, value)
+    have = set(df.columns)
+    rows = [f"{literal(c)}, CAST({name(c)} AS DECIMAL(28,4))" for c in columns if c in have]
+    return df.selectExpr(
+        *[name(c) for c in ids], f"stack({len(rows)}, {', '.join(rows)}) AS ({name(key)}, {name(value)})"
+    )
 
 
 def row_total(cols: list[str]) -> Column:
     """Sum across columns of a row, missing values skipped."""
-    return reduce(lambda a, b: a + b, [F.coalesce(F.col(f"`{c}`"), F.lit(0)) for c in cols], F.lit(0))
+    return F.expr(" + ".join(["0", *[f"coalesce({name(c)}, 0)" for c in cols]]))
 
 
 def append_total(df: DataFrame, label_col: str, label: str, measures: list[str]) -> DataFrame:
@@ -128,17 +128,10 @@ def add_subtotal(df: DataFrame, label_col: str, label: str, by: list[str], measu
 
 def order_by_list(df: DataFrame, key: str, order: list, drop_unlisted: bool = True, unknown: int = 999) -> DataFrame:
     """Rows in the order of a given list; unlisted rows are dropped or sorted last."""
-    place = None
-    for i, v in enumerate(order):
-        place = F.when(F.col(key) == F.lit(v), F.lit(i)) if place is None else place.when(F.col(key) == F.lit(v), F.lit(i))
-    place = place.otherwise(F.lit(unknown))
-    kept = df.where(F.col(key).isin(*order)) if drop_unlisted else df
-    return kept.orderBy(place, key)
+    kept = df.where(one_of(key, order)) if drop_unlisted else df
+    return kept.orderBy(order_position(key, order, unknown), key)
 
 
 def order_position(key: str, order: list, unknown: int = 999) -> Column:
     """Sort position of a value in a given list."""
-    return F.coalesce(
-        F.nullif(F.array_position(F.array(*[F.lit(v) for v in order]), F.col(key)).cast("int"), F.lit(0)),
-        F.lit(unknown),
-    )
+    return F.expr(f"coalesce(nullif(array_position({array(order)}, {name(key)}), 0), {unknown})")

@@ -13,6 +13,7 @@ from ledgerloom.operators.rowwise import last_before, running_balance
 from ledgerloom.operators.shaping import check_column_order, column_range
 from ledgerloom.params import ReconParams
 from ledgerloom.plans.receipts import TOTAL
+from ledgerloom.session import settle
 
 MOVEMENTS = (
     "Inbound", "Unsuccessful_ACH", "Outbound", "spl", "interest", "interbank", "offline_transfer", "withdraw_service_fee",
@@ -107,7 +108,8 @@ def with_running_balance(daily: DataFrame, opening: DataFrame, movement_cols: tu
 
 
 def balance_report(raw: DataFrame, receipts: dict[str, DataFrame], layout: BalanceLayout, p: ReconParams) -> dict[str, DataFrame]:
-    daily = with_receipt_fees(daily_balances(raw, layout, p), receipts["frr_handling_fee"], receipts["frr_remittance_fee"])
+    fees = receipts["frr_handling_fee"], receipts["frr_remittance_fee"]
+    daily = settle(with_receipt_fees(daily_balances(raw, layout, p), *fees), "dfr_result")
     workpaper = daily_workpaper(daily)
     return {
         "dfr_columns": layout_report(raw, layout),

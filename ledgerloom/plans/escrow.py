@@ -43,6 +43,6 @@ def with_invoices(summary: DataFrame, invoices: DataFrame) -> DataFrame:
 
 def escrow_summary(statements: DataFrame, invoices: DataFrame, p: ReconParams) -> DataFrame:
     """Summary of all enabled banks with their invoice check, in display order."""
-    summary = bank_summary(period_measures(statements, p))
+    summary = bank_summary(period_measures(statements, p, whole_table=False))
     out = with_invoices(summary, invoice_summary(invoices, p))
     return ordered_summary(out).withColumn("bank", F.split_part("name", F.lit("_"), F.lit(1)))

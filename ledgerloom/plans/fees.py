@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.scalars import half_even, ratio
+from ledgerloom.functions.text import literal, map_of
 from ledgerloom.operators.pivots import complete_grid, order_position
 from ledgerloom.operators.rowwise import share_of_subtotal
 from ledgerloom.params import ReconParams
@@ -14,6 +15,7 @@ from ledgerloom.plans.trust import MEASURES, trust_wide
 from ledgerloom.reference_data import (
     INSTALMENT_TYPES, MATRIX_BANKS, PAYMENT_BANKS, PAYMENT_ROWS, PLUG_BANKS, SUBTOTAL, TRANSACTION_TYPES,
 )
+from ledgerloom.session import settle
 
 AMOUNT = "decimal(24,4)"
 ALL_ROWS = [*TRANSACTION_TYPES, SUBTOTAL]
@@ -48,14 +50,14 @@ def commission_by_term(matrix: DataFrame, p: ReconParams, count_subtotal_twice:
     The subtotal row shows the sum of the term commissions. ``count_subtotal_twice`` adds the
     subtotal row's own commission to that sum.
     """
-    claims = {b: F.sum(F.when(F.col("bank") == b, F.col("total_claimed"))).cast(AMOUNT) for b in MATRIX_BANKS}
+    claims = [f"CAST(coalesce(sum(CASE WHEN bank = '{b}' THEN total_claimed END), 0) AS {AMOUNT}) AS `{b}_total_claimed`"
+              for b in MATRIX_BANKS]
     rows = matrix.groupBy("transaction_type").agg(
-        *[F.coalesce(c, F.lit(0)).cast(AMOUNT).alias(f"{b}_total_claimed") for b, c in claims.items()],
+        *[F.expr(c) for c in claims],
         F.coalesce(F.sum("total_claimed"), F.lit(0)).cast(AMOUNT).alias("subtotal"),
     )
-    rate = F.lit(0).cast("decimal(9,6)")
-    for name, value in p.charge_rates.items():
-        rate = F.when(F.col("transaction_type") == name, F.lit(value).cast("decimal(9,6)")).otherwise(rate)
+    rates = ", ".join(f"{literal(k)}, CAST({v} AS DECIMAL(9,6))" for k, v in p.charge_rates.items())
+    rate = F.expr(f"coalesce(try_element_at(map({rates}), transaction_type), CAST(0 AS DECIMAL(9,6)))")
     own = half_even(F.col("subtotal") * F.col("charge_rate"), 0)
     is_total = F.col("transaction_type") == SUBTOTAL
     # at most six rows by now: one per term
@@ -122,48 +124,39 @@ def payment_report(long: DataFrame, end_date: str) -> DataFrame:
     One grouping-set pass gives the term rows and the subtotal; the two rate rows are read off the
     subtotal row.
     """
-    fee = lambda name: f"{name} Acquiring fee"
-    cell = lambda bank, kind: F.when(
-        (F.col("bank") == bank) & (F.col("amt_type") == kind), F.col("amount")
-    )
     of_period = long.where((F.col("period") == end_date) & F.col("transaction_type").isin(*TRANSACTION_TYPES))
-    one = [F.max(cell(b, k)).alias(f"_{k}_{i}") for i, b in enumerate(MATRIX_BANKS) for k in ("claimed", "acquiring")]
-    rates = [
-        F.max(F.when((F.col("bank") == b) & (F.col("amt_type") == "acquiring"), F.col("charge_rate"))).alias(f"_rate_{i}")
-        for i, b in enumerate(MATRIX_BANKS)
-    ]
-    terms = complete_grid(of_period.groupBy("transaction_type").agg(*one, *rates), {"transaction_type": TRANSACTION_TYPES})
     n = range(len(MATRIX_BANKS))
-    sums = [F.sum(F.coalesce(F.col(f"_{k}_{i}"), F.lit(0))).cast("double").alias(f"{k}_{i}") for i in n for k in ("claimed", "acquiring")]
+    first, whole = [], []
+    for i, b in enumerate(MATRIX_BANKS):
+        for kind, value in (("claimed", "amount"), ("acquiring", "amount"), ("rate", "charge_rate")):
+            of_kind = "acquiring" if kind == "rate" else kind
+            first.append(f"max(CASE WHEN bank = '{b}' AND amt_type = '{of_kind}' THEN {value} END) AS {kind}_{i}")
+            whole.append(f"max({kind}_{i}) AS {kind}_{i}" if kind == "rate"
+                         else f"CAST(sum(coalesce({kind}_{i}, 0)) AS DOUBLE) AS {kind}_{i}")
+    cells = of_period.groupBy("transaction_type").agg(*[F.expr(e) for e in first])
+    terms = complete_grid(cells, {"transaction_type": TRANSACTION_TYPES})
     key = F.col("transaction_type")
-    rows = terms.groupingSets([[key], []], key).agg(
-        *sums, *[F.max(f"_rate_{i}").alias(f"rate_{i}") for i in n], F.grouping("transaction_type").alias("_g")
-    )
-    total_claimed = sum((F.col(f"claimed_{i}") for i in n), F.lit(0.0))
-    total_acquiring = sum((F.col(f"acquiring_{i}") for i in n), F.lit(0.0))
-    rows = rows.withColumns({"_claimed": total_claimed, "_acquiring": total_acquiring})
-    none = F.lit(None).cast("double")
-    overall = F.when(F.col("_claimed") > 0, F.col("_acquiring") / F.col("_claimed"))
-
-    def line(label: Column, claimed, acquiring, rebate: Column, transaction: Column, charge: Column, rate: Column) -> Column:
-        fields = [label.alias("transaction_type")]
+    rows = terms.groupingSets([[key], []], key).agg(*[F.expr(e) for e in whole], F.grouping("transaction_type").alias("is_total"))
+    rows = rows.selectExpr("*", " + ".join(f"claimed_{i}" for i in n) + " AS claimed", " + ".join(f"acquiring_{i}" for i in n) + " AS acquiring")
+
+    none = "CAST(NULL AS DOUBLE)"
+    overall = "CASE WHEN claimed > 0 THEN acquiring / claimed END"
+    label = f"coalesce(try_element_at({map_of(PAYMENT_ROWS)}, transaction_type), '{SUBTOTAL}')"
+
+    def line(label: str, claimed: list[str], acquiring: list[str], *rest: str) -> str:
+        fields = {"transaction_type": label}
         for i, b in enumerate(MATRIX_BANKS):
-            name = PAYMENT_BANKS[b]
-            fields += [claimed(i).alias(name), acquiring(i).alias(fee(name))]
-        fields += [rebate.alias("Rebate from Cathay"), transaction.alias("Total Transaction"),
-                   charge.alias("Total Acquiring Fee"), rate.alias("rate_charge")]
-        return F.struct(*fields)
-
-    label = F.lit(SUBTOTAL)
-    for name, text in PAYMENT_ROWS.items():
-        label = F.when(F.col("transaction_type") == name, F.lit(text)).otherwise(label)
-    amounts = line(label, lambda i: F.col(f"claimed_{i}"), lambda i: F.col(f"acquiring_{i}"), F.lit(0.0),
-                   F.col("_claimed"), F.col("_acquiring"), F.try_divide(F.col("_acquiring"), F.col("_claimed")))
-    ocp = line(F.lit("OCP"), lambda i: none, lambda i: F.col(f"rate_{i}"), none, none, overall, none)
-    share = line(F.lit("Percentage"), lambda i: F.when(F.col("_claimed") > 0, F.col(f"claimed_{i}") / F.col("_claimed")),
-                 lambda i: none, none, none, none, none)
-    lines = F.when(F.col("_g") == 0, F.array(amounts)).otherwise(F.array(amounts, ocp, share))
-    return rows.select(F.explode(lines).alias("_l")).select("_l.*")
+            fields[PAYMENT_BANKS[b]] = claimed[i]
+            fields[f"{PAYMENT_BANKS[b]} Acquiring fee"] = acquiring[i]
+        fields.update(zip(("Rebate from Cathay", "Total Transaction", "Total Acquiring Fee", "rate_charge"), rest))
+        return "named_struct(" + ", ".join(f"'{k}', {v}" for k, v in fields.items()) + ")"
+
+    amounts = line(label, [f"claimed_{i}" for i in n], [f"acquiring_{i}" for i in n],
+                   "0.0D", "claimed", "acquiring", "try_divide(acquiring, claimed)")
+    ocp = line("'OCP'", [none] * len(n), [f"rate_{i}" for i in n], none, none, overall, none)
+    share = line("'Percentage'", [f"CASE WHEN claimed > 0 THEN claimed_{i} / claimed END" for i in n], [none] * len(n),
+                 none, none, none, none)
+    return rows.selectExpr(f"inline(CASE WHEN is_total = 0 THEN array({amounts}) ELSE array({amounts}, {ocp}, {share}) END)")
 
 
 def net_card_revenue(fees: DataFrame, commissions: DataFrame, p: ReconParams) -> DataFrame:
@@ -214,7 +207,7 @@ def fee_pipeline(
     end_date = p.end.isoformat()
     adjusted = apply_claimed_adjustments(zero_filled(matrix), p.claimed_adjustments)
     commission = commission_by_term(adjusted, p)
-    summary = plug_summary(apply_fee_rounding(adjusted, p.fee_rounding), validation)
+    summary = settle(plug_summary(apply_fee_rounding(adjusted, p.fee_rounding), validation), "apcc_summary")
     wide = trust_wide(summary)
     long = with_charge_rate(summary_long(wide, end_date))
     return {

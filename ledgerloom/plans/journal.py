@@ -13,8 +13,9 @@ from ledgerloom.operators.pivots import pivot_with_margins, row_total, unpivot_c
 from ledgerloom.operators.rowwise import running_balance
 from ledgerloom.operators.tieout import difference_summary
 from ledgerloom.params import ReconParams
+from ledgerloom.session import settle
 from ledgerloom.reference_data import (
-    ACCOUNTS, ENTRY_MAPPING, MOVEMENT_TYPES, PERIOD_END_LABEL, TYPE_LABELS, ZERO_CHECK_EXCLUDED,
+    ACCOUNTS, ENTRY_MAPPING, MOVEMENT_TYPES, PERIOD_END_LABEL, PERIOD_END_LINES, TYPE_LABELS, ZERO_CHECK_EXCLUDED,
 )
 
 AMOUNT = "decimal(28,4)"
@@ -59,40 +60,30 @@ def journal_wide(workpaper: DataFrame, interest: DataFrame, rebate: DataFrame, r
         .join(receipts.select("Date", F.col("amount").alias("_receipt")), "Date", "left")
     )
 
-    def amount(c: str) -> Column:
-        return F.coalesce(F.col(c), F.lit(0)).cast(AMOUNT)
-
-    def part(share: str) -> Column:
-        return F.col("i") * F.lit(share).cast("decimal(2,1)")
-
-    series = days.select(
-        "Date", amount("remittance_fee").alias("rem"), amount("Inbound").alias("inb"), amount("Unsuccessful_ACH").alias("ach"),
-        amount("Outbound").alias("outb"), amount("handing_fee").alias("fee"), amount("_interest").alias("i"),
-        amount("_rebate").alias("reb"), amount("_receipt").alias("spt"),
-    )
-    rem, inb, ach, outb, fee, i, reb, spt = (F.col(c) for c in ("rem", "inb", "ach", "outb", "fee", "i", "reb", "spt"))
-    received = inb - rem - reb
-    behalf = fee + received - spt
+    taken = {"rem": "remittance_fee", "inb": "Inbound", "ach": "Unsuccessful_ACH", "outb": "Outbound", "fee": "handing_fee",
+             "i": "_interest", "reb": "_rebate", "spt": "_receipt"}
+    series = days.selectExpr("Date", *[f"CAST(coalesce({c}, 0) AS {AMOUNT}) AS {n}" for n, c in taken.items()])
+    behalf = "fee + inb - rem - reb - spt"
     columns = {
-        "acc_101150_Received_CTBC_SPT": -spt,
-        "acc_104171_內扣CTBCCC匯費": rem,
-        "acc_104171_ReceivedCTBCSPT": received,
-        "acc_104171_ReceivedCTBCSPT退匯": ach,
-        "acc_104171_OutCTBCSPT": outb + part("0.1"),
-        "acc_104171_others": reb,
-        "acc_999995_others": -reb,
-        "acc_530006_內扣CTBCCC匯費": -rem,
-        "acc_530006_收單_SPE": fee,
-        "acc_200701_ReceivedCTBCSPT退匯": -ach,
-        "acc_200701_OutCTBCSPT": -outb - part("0.1"),
-        "acc_440001_interest": -i,
-        "acc_104171_others_利息": part("0.9"),
-        "acc_111302_interest": part("0.1"),
+        "acc_101150_Received_CTBC_SPT": "-spt",
+        "acc_104171_內扣CTBCCC匯費": "rem",
+        "acc_104171_ReceivedCTBCSPT": "inb - rem - reb",
+        "acc_104171_ReceivedCTBCSPT退匯": "ach",
+        "acc_104171_OutCTBCSPT": "outb + i * 0.1",
+        "acc_104171_others": "reb",
+        "acc_999995_others": "-reb",
+        "acc_530006_內扣CTBCCC匯費": "-rem",
+        "acc_530006_收單_SPE": "fee",
+        "acc_200701_ReceivedCTBCSPT退匯": "-ach",
+        "acc_200701_OutCTBCSPT": "-outb - i * 0.1",
+        "acc_440001_interest": "-i",
+        "acc_104171_others_利息": "i * 0.9",
+        "acc_111302_interest": "i * 0.1",
         "acc_200208_ReceivedCTBCSPT_positive": behalf,
-        "acc_200208_ReceivedCTBCSPT_negative": -behalf,
-        "acc_200701_ReceivedCTBCSPT_negative": -behalf,
+        "acc_200208_ReceivedCTBCSPT_negative": f"-({behalf})",
+        "acc_200701_ReceivedCTBCSPT_negative": f"-({behalf})",
     }
-    return series.select("Date", *[c.cast(AMOUNT).alias(n) for n, c in columns.items()])
+    return series.selectExpr("Date", *[f"CAST({c} AS {AMOUNT}) AS `{n}`" for n, c in columns.items()])
 
 
 def day_balance(wide: DataFrame) -> DataFrame:
@@ -163,66 +154,34 @@ def period_end_lines(accounts: DataFrame, p: ReconParams, commission: DataFrame
     ``commission`` is a one-row table with the commission of the period, ``documents`` the fee
     documents; both enter as scalar subqueries.
     """
-    spark = accounts.sparkSession
-
-    def amt(value) -> Column:
-        return F.lit(value).cast(AMOUNT)
+    fixed = {
+        **p.opening_balances,
+        "112002_reversal": p.reversal_amounts.get("112002_reversal", -p.opening_balances.get("112002", 0)),
+        "ach": p.ach_expense,
+        "cod": p.cod_remittance_fee,
+        "rebate": p.ctbc_rebate,
+        "cod_less_rebate": p.cod_remittance_fee - p.ctbc_rebate,
+    }
+    rows = [(acc, kind, key, str(sign * fixed.get(part, 0)), *factors)
+            for acc, kind, key, part, sign, *factors in PERIOD_END_LINES]
+    ddl = ("account_no string, transaction_type string, desc_key string, fixed string, "
+           "f_vat int, f_gross int, f_service int, f_commission int")
+    lines = literal_table(accounts.sparkSession, rows, ddl)
 
     def scalar(df: DataFrame | None, col: str) -> Column:
-        return F.coalesce(df.select(F.col(col).cast(AMOUNT)).scalar(), amt(0)) if df is not None else amt(0)
+        zero = F.lit(0).cast(AMOUNT)
+        return F.coalesce(df.select(F.col(col).cast(AMOUNT)).scalar(), zero) if df is not None else zero
 
     allowance = allowance_of_month(documents, p) if documents is not None else None
     service = service_fee_of_month(documents, p) if documents is not None else None
-    base = spark.range(1).select(
-        scalar(allowance, "vat").alias("vat"),
-        scalar(allowance, "neg_gross").alias("neg_gross"),
-        scalar(service, "gross").alias("service"),
-        scalar(commission, commission.columns[0] if commission is not None else "").alias("commission"),
+    amount = (
+        F.col("fixed").cast(AMOUNT)
+        + F.col("f_vat") * scalar(allowance, "vat")
+        + F.col("f_gross") * scalar(allowance, "neg_gross")
+        + F.col("f_service") * scalar(service, "gross")
+        + F.col("f_commission") * scalar(commission, commission.columns[0] if commission is not None else "")
     )
-    opening = lambda key: amt(p.opening_balances.get(key, 0))
-    reversal = amt(p.reversal_amounts.get("112002_reversal", -p.opening_balances.get("112002", 0)))
-    ach, cod, rebate = amt(p.ach_expense), amt(p.cod_remittance_fee), amt(p.ctbc_rebate)
-    vat, gross, service_fee, charged = F.col("vat"), F.col("neg_gross"), F.col("service"), F.col("commission")
-    zero = amt(0)
-    lines = [
-        ("111301", "spe_withdrawal", None, zero),
-        ("111301", "spl手續費調整", None, vat),
-        ("111301", "期初數", None, opening("111301")),
-        ("111302", "期初數", None, opening("111302")),
-        ("112001", "期初數", None, opening("112001")),
-        ("112002", "spt", None, charged + ach),
-        ("112002", "期初數", None, opening("112002")),
-        ("112002", "發票已開立沖轉", None, reversal),
-        ("113101", "期初數", None, opening("113101")),
-        ("101150", "期初數", None, opening("101150")),
-        ("104171", "期初數", None, opening("104171")),
-        ("200208", "spt", None, zero),
-        ("200208", "spt", None, zero),
-        ("200208", "期初數", None, opening("200208_credit")),
-        ("200208", "期初數", None, opening("200208_debit")),
-        ("200601", "期初數", None, opening("200601")),
-        ("200701", "spe_withdrawal", None, zero),
-        ("200701", "spl手續費調整", None, gross),
-        ("200701", "spt", None, -service_fee - cod + rebate),
-        ("200701", "期初數", None, opening("200701")),
-        ("440001", "期初數", None, opening("440001")),
-        ("460103", "spt", "APCC_ACH", -ach),
-        ("460103", "spt", "APCC_手續費", -charged),
-        ("530006", "spt", "回饋金", -rebate),
-        ("530006", "spt", "COD匯費", cod),
-        ("999995", "spe_withdrawal", None, zero),
-        ("999995", "spl手續費調整", None, -vat - gross),
-        ("999995", "spt", None, service_fee),
-    ]
-    structs = [
-        F.struct(
-            F.lit(account).alias("account_no"), F.lit(kind).alias("transaction_type"),
-            F.lit(key).cast("string").alias("desc_key"), value.cast(AMOUNT).alias("amount"),
-        )
-        for account, kind, key, value in lines
-    ]
-    rows = base.select(F.explode(F.array(*structs)).alias("_l")).select("_l.*")
-    return with_descriptions(rows, accounts).select(
+    return with_descriptions(lines.withColumn("amount", amount.cast(AMOUNT)), accounts).select(
         F.lit(None).cast("string").alias("accounting_date"), "transaction_type", "account_no", "account_desc", "amount",
         F.lit(p.period).alias("period"),
     )
@@ -366,9 +325,9 @@ def journal_step(
     workpaper: DataFrame, daily: DataFrame, rebate: DataFrame, receipts: DataFrame, p: ReconParams,
     commission: DataFrame | None = None, documents: DataFrame | None = None,
 ) -> dict[str, DataFrame]:
-    """All journal results of a period. Cache ``entry_long_temp`` when several of them are written."""
-    wide = journal_wide(workpaper, daily, rebate, receipts, p)
-    journal = full_journal(wide, p, commission, documents)
+    """All journal results of a period; the daily lines and the journal are written once."""
+    wide = settle(journal_wide(workpaper, daily, rebate, receipts, p), "entry_temp")
+    journal = settle(full_journal(wide, p, commission, documents), "entry_long")
     lines = labelled(journal)
     check = ledger_check(lines, daily)
     return {

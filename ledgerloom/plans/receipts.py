@@ -6,12 +6,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.scalars import recode, to_date
+from ledgerloom.functions.text import name
 from ledgerloom.operators.joins import fill_spine
 from ledgerloom.operators.pivots import pivot_with_margins, wide_to_long
 from ledgerloom.operators.shaping import rename_by_position
 from ledgerloom.operators.tieout import check_status, status_report, tie_out
 from ledgerloom.params import ReconParams
 from ledgerloom.reference_data import RECEIPT_BANKS, RECEIPT_COLUMNS, RECEIPT_METRICS, SUBTOTAL
+from ledgerloom.session import settle
 
 AMOUNT = "decimal(24,4)"
 TOTAL = "Grand Total"
@@ -20,8 +22,9 @@ TOTAL = "Grand Total"
 def clean_receipts(raw: DataFrame, names: list[str] | None = None, date: str = "Date") -> DataFrame:
     """Name columns by position, read amounts (unreadable ones are zero), drop rows without a date."""
     renamed = rename_by_position(raw, names or RECEIPT_COLUMNS)
-    amounts = {c: F.coalesce(F.col(c).try_cast(AMOUNT), F.lit(0).cast(AMOUNT)) for c in renamed.columns if c != date}
-    return renamed.withColumns({**amounts, date: to_date(F.col(date))}).where(F.col(date).isNotNull())
+    read = [to_date(F.col(c)).alias(c) if c == date else
+            F.expr(f"coalesce(try_cast({name(c)} AS {AMOUNT}), CAST(0 AS {AMOUNT})) AS {name(c)}") for c in renamed.columns]
+    return renamed.select(*read).where(F.col(date).isNotNull())
 
 
 def receipts_long(clean: DataFrame, p: ReconParams, banks: dict[str, str] | None = None) -> DataFrame:
@@ -40,7 +43,7 @@ def receipt_pivot(long: DataFrame, metric: str, p: ReconParams, absolute: bool =
 
 
 def receipt_report(raw: DataFrame, p: ReconParams) -> dict[str, DataFrame]:
-    long = receipts_long(clean_receipts(raw), p)
+    long = settle(receipts_long(clean_receipts(raw), p), "frr_long_format")
     return {
         "frr_long_format": long,
         "frr_handling_fee": receipt_pivot(long, "Handling_Fee", p, absolute=True),
@@ -49,12 +52,12 @@ def receipt_report(raw: DataFrame, p: ReconParams) -> dict[str, DataFrame]:
     }
 
 
-def receipt_totals(pivot: DataFrame, name: str) -> DataFrame:
+def receipt_totals(pivot: DataFrame, total: str) -> DataFrame:
     """The margin row of a receipt pivot as (bank, total), banks by display name."""
     codes = list(RECEIPT_BANKS)
     row = pivot.where(F.col("Date") == TOTAL).select(*codes)
-    return row.unpivot([], codes, "bank_code", name).select(
-        recode(F.col("bank_code"), RECEIPT_BANKS).alias("bank"), "bank_code", name
+    return row.unpivot([], codes, "bank_code", total).select(
+        recode(F.col("bank_code"), RECEIPT_BANKS).alias("bank"), "bank_code", total
     )
 
 

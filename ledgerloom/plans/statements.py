@@ -6,9 +6,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.masks import has_text, in_month, in_period, is_one_of, truth
+from ledgerloom.operators.literals import literal_table
 from ledgerloom.operators.pivots import order_by_list
 from ledgerloom.params import ReconParams
-from ledgerloom.reference_data import CARD_STORE_TEXT, REFUND_STORE, REQUIRED_DATES, STATEMENT_ORDER, TARGET_STORES
+from ledgerloom.reference_data import (
+    CARD_STORE_TEXT, REFUND_STORE, REQUIRED_DATES, STATEMENT_ORDER, STATEMENT_TABLES, TARGET_STORES,
+)
 
 SUM_TYPE = "decimal(28,4)"
 
@@ -32,72 +35,78 @@ def _near_periods(p: ReconParams) -> Column:
     return in_range("disbursement_date") | in_range("request_date")
 
 
-def _by_bank(rules: dict[str, tuple[Column, str]]) -> Column:
-    """Sum with one condition and one amount column per bank, cut to whole units."""
-    summand = None
-    for bank, (mask, amount) in rules.items():
-        cond = (F.col("bank") == F.lit(bank)) & mask
-        summand = F.when(cond, F.col(amount)) if summand is None else summand.when(cond, F.col(amount))
-    return F.coalesce(F.sum(summand).cast(SUM_TYPE), F.lit(0)).cast("bigint")
-
-
-def period_sums(statements: DataFrame, p: ReconParams) -> DataFrame:
-    """The raw conditional sums by bank and category: one scan, one partial aggregation."""
+# What each measure sums, by bank: (condition, amount column).
+PERIOD_SUMS = {
+    "claimed": {
+        "cub": ("paid", "request_amount"),
+        "ctbc": ("settled", "request_amount"),
+        "nccc": ("paid", "request_amount"),
+        "ub": ("paid_card_sale", "request_amount"),
+        "taishi": ("paid", "request_amount"),
+    },
+    "returned_signed": {"cub": ("paid", "return_amount")},
+    "carry_in": {
+        "ctbc": ("unpaid_before", "request_amount"),
+        "nccc": ("paid_not_asked", "request_amount"),
+        "ub": ("late", "request_amount"),
+    },
+    "adjustment": {"ctbc": ("settled", "adjustment_amount")},
+    "store_claimed": {"ub": ("target_store", "request_amount")},
+    "net_paid": {"taishi": ("paid", "disbursement_amount")},
+    "fee_base": {
+        "cub": ("paid", "handling_fee"),
+        "ctbc": ("settled", "handling_fee"),
+        "nccc": ("paid", "handling_fee"),
+        "ub": ("paid_main_store", "handling_fee"),
+        "taishi": ("paid", "invoice_amount"),
+    },
+    "fee_extra": {"ctbc": ("settled", "adjustment_handling_fee")},
+    "prior_fee": {
+        "ctbc": ("unpaid_before", "handling_fee"),
+        "nccc": ("late", "handling_fee"),
+        "ub": ("late", "handling_fee"),
+    },
+    "fee_adjustment": {"ub": ("asked_refund", "handling_fee"), "taishi": ("zero_paid", "invoice_amount")},
+    "tax_adjustment": {"taishi": ("zero_paid", "tax_amount")},
+    "asked_claimed": {"ctbc": ("asked_month", "request_amount"), "nccc": ("asked", "request_amount")},
+    "asked_fee": {"ctbc": ("asked_month", "invoice_amount"), "nccc": ("asked", "handling_fee")},
+}
+
+
+def _conditions(p: ReconParams) -> dict[str, Column]:
+    """Every condition of the rules, worked out once per row."""
     paid_date, asked_date, store = F.col("disbursement_date"), F.col("request_date"), F.col("store_name")
     paid = in_period(paid_date, p.beg, p.end)
     asked = in_period(asked_date, p.beg, p.end)
-    paid_before = in_period(paid_date, p.last_beg, p.last_end)
     asked_before = in_period(asked_date, p.last_beg, p.last_end)
     paid_month, asked_month = in_month(paid_date, p.beg), in_month(asked_date, p.beg)
-    unpaid_before = asked_before & ~paid_before
-    zero_paid = paid & truth(F.col("disbursement_amount") == 0)
-    settled = paid_month & asked_month
-    late = paid & asked_before
-
-    sums = {
-        "claimed": {
-            "cub": (paid, "request_amount"),
-            "ctbc": (settled, "request_amount"),
-            "nccc": (paid, "request_amount"),
-            "ub": (paid & asked & has_text(store, CARD_STORE_TEXT), "request_amount"),
-            "taishi": (paid, "request_amount"),
-        },
-        "returned_signed": {"cub": (paid, "return_amount")},
-        "carry_in": {
-            "ctbc": (unpaid_before, "request_amount"),
-            "nccc": (paid & ~asked, "request_amount"),
-            "ub": (late, "request_amount"),
-        },
-        "adjustment": {"ctbc": (settled, "adjustment_amount")},
-        "store_claimed": {"ub": (paid_month & is_one_of(store, TARGET_STORES), "request_amount")},
-        "net_paid": {"taishi": (paid, "disbursement_amount")},
-        "fee_base": {
-            "cub": (paid, "handling_fee"),
-            "ctbc": (settled, "handling_fee"),
-            "nccc": (paid, "handling_fee"),
-            "ub": (paid & truth(store == F.lit(p.main_store)), "handling_fee"),
-            "taishi": (paid, "invoice_amount"),
-        },
-        "fee_extra": {"ctbc": (settled, "adjustment_handling_fee")},
-        "prior_fee": {
-            "ctbc": (unpaid_before, "handling_fee"),
-            "nccc": (asked_before & paid, "handling_fee"),
-            "ub": (late, "handling_fee"),
-        },
-        "fee_adjustment": {
-            "ub": (asked & truth(store == F.lit(REFUND_STORE)), "handling_fee"),
-            "taishi": (zero_paid, "invoice_amount"),
-        },
-        "tax_adjustment": {"taishi": (zero_paid, "tax_amount")},
-        "asked_claimed": {"ctbc": (asked_month, "request_amount"), "nccc": (asked, "request_amount")},
-        "asked_fee": {"ctbc": (asked_month, "invoice_amount"), "nccc": (asked, "handling_fee")},
+    return {
+        "paid": paid,
+        "asked": asked,
+        "asked_month": asked_month,
+        "settled": paid_month & asked_month,
+        "unpaid_before": asked_before & ~in_period(paid_date, p.last_beg, p.last_end),
+        "paid_not_asked": paid & ~asked,
+        "late": paid & asked_before,
+        "zero_paid": paid & truth(F.col("disbursement_amount") == 0),
+        "target_store": paid_month & is_one_of(store, TARGET_STORES),
+        "paid_card_sale": paid & asked & has_text(store, CARD_STORE_TEXT),
+        "paid_main_store": paid & truth(store == F.lit(p.main_store)),
+        "asked_refund": asked & truth(store == F.lit(REFUND_STORE)),
     }
-    return (
-        loaded_rows(statements, p)
-        .where(_near_periods(p))
-        .groupBy("bank", "category")
-        .agg(*[_by_bank(rules).alias(name) for name, rules in sums.items()])
-    )
+
+
+def period_sums(statements: DataFrame, p: ReconParams) -> DataFrame:
+    """The conditional sums by bank and category, cut to whole units: one scan, one partial aggregation."""
+    amounts = sorted({amount for rules in PERIOD_SUMS.values() for _, amount in rules.values()})
+    near = loaded_rows(statements, p).where(_near_periods(p))
+    flagged = near.select("bank", "category", *amounts, *[c.alias(f"is_{n}") for n, c in _conditions(p).items()])
+
+    def total(measure: str, rules: dict[str, tuple[str, str]]) -> Column:
+        cases = " ".join(f"WHEN bank = '{b}' AND is_{cond} THEN {amount}" for b, (cond, amount) in rules.items())
+        return F.expr(f"CAST(coalesce(CAST(sum(CASE {cases} END) AS {SUM_TYPE}), 0) AS BIGINT) AS {measure}")
+
+    return flagged.groupBy("bank", "category").agg(*[total(m, rules) for m, rules in PERIOD_SUMS.items()])
 
 
 def statement_profile(statements: DataFrame, p: ReconParams) -> DataFrame:
@@ -110,46 +119,36 @@ def statement_profile(statements: DataFrame, p: ReconParams) -> DataFrame:
     )
 
 
-def period_measures(statements: DataFrame, p: ReconParams) -> DataFrame:
-    """One row of measures per bank and category."""
-    s = statement_profile(statements, p).join(period_sums(statements, p), ["bank", "category"], "left")
-    bank = F.col("bank")
-    zero = F.lit(0).cast("bigint")
-
-    def n(c: str) -> Column:
-        return F.coalesce(F.col(c), zero)
+def period_measures(statements: DataFrame, p: ReconParams, whole_table: bool = True) -> DataFrame:
+    """One row of measures per bank and category.
 
-    def pick(default: Column, **by_bank: Column) -> Column:
-        out = None
-        for name, value in by_bank.items():
-            out = F.when(bank == name, value) if out is None else out.when(bank == name, value)
-        return out.otherwise(default)
-
-    returned = F.abs(n("returned_signed"))
-    taishi_fee = n("fee_base") - n("fee_adjustment")
-    return s.select(
+    Row counts and the last record need the whole table; without them (``whole_table`` off) only the
+    files near the period are read.
+    """
+    spark = statements.sparkSession
+    tables = literal_table(spark, [t for t in STATEMENT_TABLES if t[0] in p.enabled_banks], "bank string, category string")
+    base = statement_profile(statements, p) if whole_table else tables.selectExpr(
+        "*", "CAST(NULL AS BIGINT) AS n_rows", "CAST(NULL AS BIGINT) AS last_claimed"
+    )
+    sums = period_sums(statements, p)
+    filled = base.join(sums, ["bank", "category"], "left").na.fill(0, list(PERIOD_SUMS))
+    return filled.selectExpr(
         "bank",
         "category",
         "n_rows",
-        n("claimed").alias("claimed"),
-        returned.alias("returned"),
-        n("carry_in").alias("carry_in"),
-        n("adjustment").alias("adjustment"),
-        pick(
-            n("claimed"),
-            cub=n("claimed") - returned,
-            ctbc=n("claimed") + n("carry_in") + n("adjustment"),
-            ub=n("store_claimed"),
-            taishi=n("net_paid"),
-        ).alias("trust_amount"),
-        pick(n("fee_base"), ctbc=n("fee_base") + n("fee_extra"), taishi=taishi_fee).alias("fee"),
-        n("prior_fee").alias("prior_fee"),
-        n("fee_adjustment").alias("fee_adjustment"),
-        n("tax_adjustment").alias("tax_adjustment"),
-        pick(
-            n("asked_claimed"), cub=n("claimed") - returned, ub=F.col("last_claimed"), taishi=taishi_fee
-        ).alias("invoice_claimed"),
-        pick(n("asked_fee"), cub=n("fee_base"), ub=zero, taishi=F.lit(None).cast("bigint")).alias("invoice_fee"),
+        "claimed",
+        "abs(returned_signed) AS returned",
+        "carry_in",
+        "adjustment",
+        "CASE bank WHEN 'cub' THEN claimed - abs(returned_signed) WHEN 'ctbc' THEN claimed + carry_in + adjustment "
+        "WHEN 'ub' THEN store_claimed WHEN 'taishi' THEN net_paid ELSE claimed END AS trust_amount",
+        "CASE bank WHEN 'ctbc' THEN fee_base + fee_extra WHEN 'taishi' THEN fee_base - fee_adjustment ELSE fee_base END AS fee",
+        "prior_fee",
+        "fee_adjustment",
+        "tax_adjustment",
+        "CASE bank WHEN 'cub' THEN claimed - abs(returned_signed) WHEN 'ub' THEN last_claimed "
+        "WHEN 'taishi' THEN fee_base - fee_adjustment ELSE asked_claimed END AS invoice_claimed",
+        "CASE bank WHEN 'cub' THEN fee_base WHEN 'ub' THEN 0 WHEN 'taishi' THEN NULL ELSE asked_fee END AS invoice_fee",
     )
 
 
@@ -160,25 +159,20 @@ def statement_name(bank: Column, category: Column) -> Column:
 
 def bank_summary(measures: DataFrame) -> DataFrame:
     """Totals by the rule of each bank; columns a bank does not have stay NULL."""
-    bank = F.col("bank")
-    only = lambda banks, c: F.when(bank.isin(*banks), F.col(c))
-    return measures.select(
-        statement_name(bank, F.col("category")).alias("name"),
+    return measures.select(statement_name(F.col("bank"), F.col("category")).alias("name"), "*").selectExpr(
+        "name",
         "bank",
         "claimed",
         "trust_amount",
-        F.when(bank == "ub", F.col("fee") - F.col("prior_fee")).otherwise(F.col("fee")).alias("fee_current"),
-        F.when(bank == "ctbc", F.col("adjustment")).otherwise(F.col("fee_adjustment")).alias("adjustment"),
-        only(["cub"], "returned").alias("returned"),
-        only(["ctbc", "nccc", "ub"], "carry_in").alias("carry_in"),
-        only(["cub", "ctbc", "nccc", "ub"], "prior_fee").alias("prior_fee"),
-        F.when(bank.isin("cub", "ctbc"), F.col("fee") + F.col("prior_fee"))
-        .when(bank == "ub", F.col("fee") - F.col("fee_adjustment"))
-        .otherwise(F.col("fee"))
-        .alias("fee_total"),
-        only(["taishi"], "tax_adjustment").alias("tax_adjustment"),
-        only(["cub", "ctbc", "nccc"], "invoice_claimed").alias("invoice_claimed"),
-        only(["cub", "ctbc", "nccc"], "invoice_fee").alias("invoice_fee"),
+        "CASE bank WHEN 'ub' THEN fee - prior_fee ELSE fee END AS fee_current",
+        "CASE bank WHEN 'ctbc' THEN adjustment ELSE fee_adjustment END AS adjustment",
+        "CASE bank WHEN 'cub' THEN returned END AS returned",
+        "CASE WHEN bank IN ('ctbc', 'nccc', 'ub') THEN carry_in END AS carry_in",
+        "CASE WHEN bank IN ('cub', 'ctbc', 'nccc', 'ub') THEN prior_fee END AS prior_fee",
+        "CASE WHEN bank IN ('cub', 'ctbc') THEN fee + prior_fee WHEN bank = 'ub' THEN fee - fee_adjustment ELSE fee END AS fee_total",
+        "CASE bank WHEN 'taishi' THEN tax_adjustment END AS tax_adjustment",
+        "CASE WHEN bank IN ('cub', 'ctbc', 'nccc') THEN invoice_claimed END AS invoice_claimed",
+        "CASE WHEN bank IN ('cub', 'ctbc', 'nccc') THEN invoice_fee END AS invoice_fee",
     )
 
 

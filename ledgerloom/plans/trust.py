@@ -13,6 +13,7 @@ from ledgerloom.operators.tieout import tie_out
 from ledgerloom.reference_data import (
     BANK_NAMES, INSTALMENT_TYPES, MATRIX_BANKS, PLUG_BANKS, SUBTOTAL, TRANSACTION_TYPES,
 )
+from ledgerloom.session import settle
 
 MEASURES = ["total_claimed", "total_service_fee"]
 
@@ -66,10 +67,7 @@ def trust_validation(matrix: DataFrame, summary: DataFrame, tolerance=1) -> Data
 def trust_wide(matrix: DataFrame, claimed_only: bool = False) -> DataFrame:
     """Report form: one row per term, columns ``bank_metric``, missing cells zero, rows in term order."""
     metrics = MEASURES[:1] if claimed_only else MEASURES
-    cells = [
-        F.coalesce(F.sum(F.when(F.col("bank") == b, F.col(m))), F.lit(0)).alias(f"{b}_{m}")
-        for m in metrics for b in MATRIX_BANKS
-    ]
+    cells = [F.expr(f"coalesce(sum(CASE WHEN bank = '{b}' THEN {m} END), 0) AS `{b}_{m}`") for m in metrics for b in MATRIX_BANKS]
     return order_by_list(matrix.groupBy("transaction_type").agg(*cells), "transaction_type", [*TRANSACTION_TYPES, SUBTOTAL])
 
 
@@ -85,9 +83,10 @@ def matrix_from_wide(wide: DataFrame) -> DataFrame:
 
 
 def trust_workpaper(totals: dict[str, DataFrame], summary: DataFrame) -> dict[str, DataFrame]:
-    matrix = trust_matrix(totals, summary)
+    totals_by_bank = settle(summary, "escrow_summary")
+    matrix = settle(trust_matrix(totals, totals_by_bank), "trust_account_fee")
     return {
         "trust_account_fee": matrix,
         "trust_account_fee_wide": trust_wide(matrix),
-        "trust_account_validation": trust_validation(matrix, summary),
+        "trust_account_validation": trust_validation(matrix, totals_by_bank),
     }

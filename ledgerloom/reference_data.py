@@ -14,6 +14,12 @@ STATEMENT_ORDER = [
     "ub_installment",
 ]
 
+# Statement tables as (bank, category).
+STATEMENT_TABLES = [
+    ("cub", "individual"), ("cub", "nonindividual"), ("ctbc", "installment"), ("ctbc", "noninstallment"),
+    ("nccc", "recon"), ("ub", "installment"), ("ub", "noninstallment"), ("taishi", "default"),
+]
+
 # Dates that must be present for a statement row to be read, by bank.
 REQUIRED_DATES = {
     "cub": ("disbursement_date",),
@@ -122,6 +128,39 @@ ZERO_CHECK_EXCLUDED = ["00.期初數", "09.發票已開立沖轉"]
 MOVEMENT_TYPES = [
     "內扣_ctbc_cc_匯費", "received_ctbc_spt", "received_ctbc_spt_退匯", "out_ctbc_spt", "other", "other_利息",
 ]
+
+# Period-end lines (account, type, description key, setting that gives the fixed part, its sign,
+# then the factors of: allowance tax, allowance gross, service fee, commission).
+PERIOD_END_LINES = [
+    ("111301", "spe_withdrawal", None, None, 1, 0, 0, 0, 0),
+    ("111301", "spl手續費調整", None, None, 1, 1, 0, 0, 0),
+    ("111301", "期初數", None, "111301", 1, 0, 0, 0, 0),
+    ("111302", "期初數", None, "111302", 1, 0, 0, 0, 0),
+    ("112001", "期初數", None, "112001", 1, 0, 0, 0, 0),
+    ("112002", "spt", None, "ach", 1, 0, 0, 0, 1),
+    ("112002", "期初數", None, "112002", 1, 0, 0, 0, 0),
+    ("112002", "發票已開立沖轉", None, "112002_reversal", 1, 0, 0, 0, 0),
+    ("113101", "期初數", None, "113101", 1, 0, 0, 0, 0),
+    ("101150", "期初數", None, "101150", 1, 0, 0, 0, 0),
+    ("104171", "期初數", None, "104171", 1, 0, 0, 0, 0),
+    ("200208", "spt", None, None, 1, 0, 0, 0, 0),
+    ("200208", "spt", None, None, 1, 0, 0, 0, 0),
+    ("200208", "期初數", None, "200208_credit", 1, 0, 0, 0, 0),
+    ("200208", "期初數", None, "200208_debit", 1, 0, 0, 0, 0),
+    ("200601", "期初數", None, "200601", 1, 0, 0, 0, 0),
+    ("200701", "spe_withdrawal", None, None, 1, 0, 0, 0, 0),
+    ("200701", "spl手續費調整", None, None, 1, 0, 1, 0, 0),
+    ("200701", "spt", None, "cod_less_rebate", -1, 0, 0, -1, 0),
+    ("200701", "期初數", None, "200701", 1, 0, 0, 0, 0),
+    ("440001", "期初數", None, "440001", 1, 0, 0, 0, 0),
+    ("460103", "spt", "APCC_ACH", "ach", -1, 0, 0, 0, 0),
+    ("460103", "spt", "APCC_手續費", None, 1, 0, 0, 0, -1),
+    ("530006", "spt", "回饋金", "rebate", -1, 0, 0, 0, 0),
+    ("530006", "spt", "COD匯費", "cod", 1, 0, 0, 0, 0),
+    ("999995", "spe_withdrawal", None, None, 1, 0, 0, 0, 0),
+    ("999995", "spl手續費調整", None, None, 1, -1, -1, 0, 0),
+    ("999995", "spt", None, None, 1, 0, 0, 1, 0),
+]
 PERIOD_END_LABEL = "期末會計調整"
 
 # Result name -> sheet name of the workpaper set, in output order.

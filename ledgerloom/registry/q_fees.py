@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from ledgerloom.plans import fees as fe
 from ledgerloom.plans.receipts import receipt_report
-from ledgerloom.plans.trust import trust_validation, trust_wide
+from ledgerloom.plans.trust import trust_wide, trust_workpaper
 from ledgerloom.reference_data import MATRIX_BANKS
 from ledgerloom.registry.core import register
 from ledgerloom.registry.q_trust import CTES as TRUST_CTES
-from ledgerloom.registry.q_trust import _tie, matrix_of, summary_of
+from ledgerloom.registry.q_trust import _tie, matrix_of, summary_of, totals_by_bank
 from ledgerloom.registry.views import DAILY, PERIOD as P
 from ledgerloom.registry.views import view
 
@@ -80,16 +80,20 @@ def adjusted_of(spark, sf):
     return fe.apply_claimed_adjustments(fe.zero_filled(matrix_of(spark, sf)), P.claimed_adjustments)
 
 
+def workpaper_of(spark, sf):
+    return trust_workpaper(totals_by_bank(spark, sf), summary_of(spark, sf))
+
+
 def plug_of(spark, sf):
-    matrix = matrix_of(spark, sf)
-    adjusted = fe.apply_claimed_adjustments(fe.zero_filled(matrix), P.claimed_adjustments)
-    return fe.plug_summary(fe.apply_fee_rounding(adjusted, P.fee_rounding), trust_validation(matrix, summary_of(spark, sf)))
+    wp = workpaper_of(spark, sf)
+    adjusted = fe.apply_claimed_adjustments(fe.zero_filled(wp["trust_account_fee"]), P.claimed_adjustments)
+    return fe.plug_summary(fe.apply_fee_rounding(adjusted, P.fee_rounding), wp["trust_account_validation"])
 
 
 def pipeline_of(spark, sf):
-    matrix = matrix_of(spark, sf)
+    wp = workpaper_of(spark, sf)
     receipts = receipt_report(view(spark, sf, "receipt_raw"), DAILY)
-    return fe.fee_pipeline(matrix, trust_validation(matrix, summary_of(spark, sf)), receipts["frr_net_billing"],
+    return fe.fee_pipeline(wp["trust_account_fee"], wp["trust_account_validation"], receipts["frr_net_billing"],
                            view(spark, sf, "fee_history"), view(spark, sf, "commission_history"), P)
 
 

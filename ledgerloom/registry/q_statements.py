@@ -101,7 +101,7 @@ def recon_period_measures(spark, sf):
 
 @register("recon_bank_summary", "A7 O3", "SELECT * FROM {o_summary}", CTES)
 def recon_bank_summary(spark, sf):
-    return st.ordered_summary(st.bank_summary(st.period_measures(view(spark, sf, "statements"), P)))
+    return st.ordered_summary(st.bank_summary(st.period_measures(view(spark, sf, "statements"), P, whole_table=False)))
 
 
 @register("store_subtotals", "A5", f"""

@@ -15,6 +15,7 @@ from ledgerloom.registry.q_statements import CTES as STATEMENT_CTES
 from ledgerloom.registry.q_statements import PAID
 from ledgerloom.registry.views import DAILY, PERIOD as P
 from ledgerloom.registry.views import view
+from ledgerloom.session import settle
 
 KEYED = inst.PlainLayout(term="term", amount="amount", fee="fee", row_kind="kind", fill=("term",))
 LISTED = inst.PlainLayout(term="row_term", amount="amount", fee="fee", row_kind="row_term",
@@ -143,11 +144,11 @@ def totals_by_bank(spark, sf):
 
 
 def summary_of(spark, sf):
-    return bank_summary(period_measures(view(spark, sf, "statements"), P))
+    return bank_summary(period_measures(view(spark, sf, "statements"), P, whole_table=False))
 
 
 def matrix_of(spark, sf):
-    return tr.trust_matrix(totals_by_bank(spark, sf), summary_of(spark, sf))
+    return settle(tr.trust_matrix(totals_by_bank(spark, sf), summary_of(spark, sf)), "trust_account_fee")
 
 
 def receipt_report_of(spark, sf):
