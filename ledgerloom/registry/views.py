@@ -242,7 +242,7 @@ VIEWS["customer_updates"] = """
 SELECT c_custkey + CASE WHEN c_custkey % 3 = 2 THEN 1000000 ELSE 0 END AS c_custkey, c_name,
   CASE WHEN c_custkey % 6 = 1 THEN (c_nationkey + 1) % 25 ELSE c_nationkey END AS c_nationkey, c_mktsegment,
   CAST(c_acctbal + 1 AS DECIMAL(18,2)) AS balance
-FROM {customer} WHERE c_nationkey < 4 AND c_mktsegment IN ('BUILDING', 'MACHINERY')
+FROM {customer} WHERE (c_nationkey < 4 AND c_mktsegment = 'BUILDING') OR (c_nationkey BETWEEN 4 AND 8 AND c_mktsegment = 'MACHINERY')
 """
 
 

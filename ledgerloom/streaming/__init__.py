@@ -1,0 +1,6 @@
+"""No operator of this library needs streaming state.
+
+The row-wise cleaning steps (``map_columns``, ``cast_columns``, ``drop_empty_rows``, the casts of
+``ledgerloom.functions``) are plain projections and filters, so they run on a streaming DataFrame as
+they are; ``tests/test_cleaning.py`` does that.
+"""
