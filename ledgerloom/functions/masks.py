@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import datetime as dt
-from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -43,15 +42,6 @@ def matches(col: Column, pattern: str) -> Column:
     return truth(col.rlike(pattern))
 
 
-def is_blank(col: Column) -> Column:
-    """NULL, or text of white space only."""
-    return F.coalesce(F.trim(col.cast("string")), F.lit("")) == ""
-
-
-def any_of(conds: list[Column]) -> Column:
-    return reduce(lambda a, b: a | b, conds, F.lit(False))
-
-
 def within_tolerance(left: Column, right: Column, tolerance) -> Column:
     return truth(F.abs(left - right) <= F.lit(tolerance))
 

@@ -16,12 +16,28 @@ STRFTIME_CODES = {
     "%b": "MMM", "%B": "MMMM", "%f": "SSSSSS", "%p": "a", "%I": "hh", "%j": "DDD",
 }
 
-# Date layouts tried when no format is given, most exact first.
-DATE_LAYOUTS = ["yyyy-MM-dd", "yyyy/MM/dd", "yyyyMMdd", "yyyy.MM.dd", "yyyy/M/d", "MM/dd/yyyy"]
-TIME_LAYOUTS = [
-    "yyyy-MM-dd HH:mm:ss", "yyyy/MM/dd HH:mm:ss", "yyyy-MM-dd'T'HH:mm:ss", "yyyy-MM-dd HH:mm",
-    "yyyy/MM/dd HH:mm",
-]
+# Date layouts read without a format: year first (one separator, or eight digits), and month/day/year.
+YEAR_FIRST = r"^(\d{4})(?:([-/.])(\d{1,2})\2(\d{1,2})|(\d{2})(\d{2}))(?=$|[ T])"
+YEAR_LAST = r"^(\d{1,2})/(\d{1,2})/(\d{4})(?=$|[ T])"
+ISO_START = r"^(\d{4}-\d{1,2}-\d{1,2}(?:[ T].*)?)$"
+
+
+def iso_text(col: Column) -> Column:
+    """Text that starts with a date, in ISO form, else empty text. Casting it needs no parser and throws
+    nothing. Each step uses its input once, so the generated code stays small."""
+    year_first = F.regexp_replace(F.trim(col.cast("string")), YEAR_FIRST, "$1-$3$5-$4$6")
+    return F.regexp_extract(F.regexp_replace(year_first, YEAR_LAST, "$3-$1-$2"), ISO_START, 1)
+
+
+def by_format(col: Column, fmt: str) -> Column:
+    """Time stamp by one format. Text of another shape is sorted out before it is parsed."""
+    pattern, text = spark_pattern(fmt), F.trim(col.cast("string"))
+    parsed = F.try_to_timestamp(text, F.lit(pattern))
+    if re.search(r"M{3,}|[aDS]|'", pattern):
+        return parsed
+    plain = re.sub(r"([.()\[\]])", r"\\\1", pattern)
+    shape = re.sub(r"[A-Za-z]+", lambda m: rf"\d{{1,{max(2, len(m.group(0)))}}}", plain)
+    return F.when(text.rlike(f"^{shape}$"), parsed)
 
 
 def spark_pattern(fmt: str) -> str:
@@ -49,35 +65,27 @@ def has_any_char(col: Column, chars: list[str] | None = None) -> Column:
 
 def to_integer(col: Column) -> Column:
     """Whole number from dirty text; a fraction is cut off, what cannot be read is NULL."""
-    text = text_or_null(strip_chars(F.trim(col.cast("string")), [",", "$", "元"]))
-    number = text.try_cast("decimal(38,18)")
-    return F.when(F.abs(number) < F.lit(9223372036854775807).cast("decimal(38,18)"), number.cast("bigint"))
+    return strip_chars(col.cast("string"), [",", "$", "元"]).try_cast("decimal(38,18)").try_cast("bigint")
 
 
 def to_number(col: Column, dtype: str = "double") -> Column:
     """Number from dirty text; a trailing percent sign divides by 100."""
-    text = strip_chars(F.trim(col.cast("string")), [",", "$"])
-    percent = F.coalesce(text.endswith("%"), F.lit(False))
-    number = text_or_null(F.translate(text, "%", "")).try_cast(dtype)
+    text = col.cast("string")
+    number = strip_chars(text, [",", "$", "%"]).try_cast(dtype)
     if dtype in ("double", "float"):
-        number = F.when(~F.isnan(number), number)
-    return F.when(percent, (number / 100).cast(dtype)).otherwise(number)
+        number = F.nanvl(number, F.lit(None).cast(dtype))
+    scale = F.when(F.rtrim(text).endswith("%"), F.lit(100)).otherwise(F.lit(1))
+    return (number / scale).cast(dtype)
 
 
 def to_date(col: Column, fmt: str | None = None) -> Column:
-    """Date from text by one format, or by the first known layout that fits."""
-    text = text_or_null(col)
-    if fmt:
-        return F.try_to_timestamp(text, F.lit(spark_pattern(fmt))).cast("date")
-    layouts = DATE_LAYOUTS + TIME_LAYOUTS
-    return F.coalesce(*[F.try_to_timestamp(text, F.lit(p)).cast("date") for p in layouts])
+    """Date from text by one format, or in any of the usual layouts."""
+    return by_format(col, fmt).cast("date") if fmt else iso_text(col).try_cast("date")
 
 
 def to_timestamp(col: Column, fmt: str | None = None) -> Column:
-    text = text_or_null(col)
-    if fmt:
-        return F.try_to_timestamp(text, F.lit(spark_pattern(fmt)))
-    return F.coalesce(*[F.try_to_timestamp(text, F.lit(p)) for p in TIME_LAYOUTS + DATE_LAYOUTS])
+    """Time stamp from text by one format, or in any of the usual layouts."""
+    return by_format(col, fmt) if fmt else iso_text(col).try_cast("timestamp")
 
 
 def to_boolean(col: Column) -> Column:

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions.masks import has_text
 from ledgerloom.functions.scalars import half_even, recode
-from ledgerloom.operators.joins import add_aggregates
 from ledgerloom.operators.pivots import complete_grid
 from ledgerloom.operators.rowwise import forward_fill, rows_before_marker
 from ledgerloom.params import ReconParams
@@ -143,10 +142,15 @@ def card_totals(report: DataFrame, rates: DataFrame) -> DataFrame:
     priced = rows.join(rate, ["rate_bank", "transaction_type"], "left").withColumn(
         "service_fee", half_even(F.col("amount") * F.col("rate"), 2)
     )
-    one = lambda sheet: priced.where(F.col("sheet") == sheet).groupBy("transaction_type").agg(
-        F.sum("amount").alias("total_claimed"), F.sum("service_fee").alias("total_service_fee")
+    # adding the two sheets by term, a term missing in one counting as zero, is one sum over both
+    return sum_by_term(priced.withColumnsRenamed({"amount": "total_claimed", "service_fee": "total_service_fee"}))
+
+
+def sum_by_term(rows: DataFrame) -> DataFrame:
+    """Totals by term over rows of several reports; missing amounts count as zero."""
+    return rows.groupBy("transaction_type").agg(
+        *[F.coalesce(F.sum(m), F.lit(0)).alias(m) for m in ("total_claimed", "total_service_fee")]
     )
-    return add_aggregates(one("normal"), one("voucher"), ["transaction_type"], ["total_claimed", "total_service_fee"])
 
 
 def instalment_totals(
@@ -156,12 +160,10 @@ def instalment_totals(
     """Totals by term for each bank, keyed by bank code."""
     rates = rate_lookup(matrix, index)
     report = F.col("report")
-    individual = plain_totals(plain.where(report == "cub_individual"), plain_layout)
-    company = plain_totals(plain.where(report == "cub_nonindividual"), plain_layout)
-    measures = ["total_claimed", "total_service_fee"]
+    both = plain_totals(plain.where(report.isin("cub_individual", "cub_nonindividual")), plain_layout, ("report",))
     return {
         "ub": rated_totals(rated, rates),
-        "cub": add_aggregates(individual, company, ["transaction_type"], measures),
+        "cub": sum_by_term(both),
         "nccc": label_terms(plain_totals(plain.where(report == "nccc"), listed_layout)),
         "taishi": card_totals(cards, rates),
         "ctbc": sheet_totals(sheets, statements, p),

@@ -97,21 +97,35 @@ def day_balance(wide: DataFrame) -> DataFrame:
     )
 
 
-def to_journal(wide: DataFrame, mapping: DataFrame, accounts: DataFrame, columns: list[str], date: str = "Date") -> DataFrame:
-    """Account columns to journal lines by the mapping table; one column may feed several lines."""
+LINE = ["accounting_date", "transaction_type", "account_no", "desc_key", "given_desc", "amount", "period"]
+
+
+def daily_lines(wide: DataFrame, mapping: DataFrame, columns: list[str], date: str = "Date") -> DataFrame:
+    """Account columns to lines by the mapping table; one column may feed several lines."""
     long = unpivot_columns(wide, [date], columns, "column", "amount")
-    lines = long.join(mapping, "column", "inner").select(
+    return long.join(mapping, "column", "inner").select(
         F.date_format(date, DAY_TEXT).alias("accounting_date"),
         "transaction_type",
         "account_no",
         "desc_key",
+        F.lit(None).cast("string").alias("given_desc"),
         F.coalesce(F.col("amount"), F.lit(0)).cast(AMOUNT).alias("amount"),
         F.date_format(date, "yyyy-MM").alias("period"),
     )
-    return with_descriptions(lines, accounts).select(*JOURNAL)
 
 
-def special_lines(wide: DataFrame, accounts: DataFrame, p: ReconParams, date: str = "Date") -> DataFrame:
+def described(lines: DataFrame, accounts: DataFrame) -> DataFrame:
+    """Journal rows: a description given with the line goes before the one of its account."""
+    named = with_descriptions(lines, accounts)
+    return named.withColumn("account_desc", F.coalesce("given_desc", "account_desc")).select(*JOURNAL)
+
+
+def to_journal(wide: DataFrame, mapping: DataFrame, accounts: DataFrame, columns: list[str], date: str = "Date") -> DataFrame:
+    """Wide account columns to journal rows."""
+    return described(daily_lines(wide, mapping, columns, date), accounts)
+
+
+def special_lines(wide: DataFrame, p: ReconParams, date: str = "Date") -> DataFrame:
     """Lines set for single dates, kept if the date is in the data."""
     rows = []
     for day, entries in p.special_entries.items():
@@ -123,12 +137,12 @@ def special_lines(wide: DataFrame, accounts: DataFrame, p: ReconParams, date: st
     ddl = "day string, transaction_type string, account_no string, desc_key string, given_desc string, amount string"
     given = literal_table(wide.sparkSession, rows, ddl)
     present = wide.select(F.date_format(date, "yyyy-MM-dd").alias("day")).distinct()
-    lines = with_descriptions(given.join(present, "day", "left_semi"), accounts)
-    return lines.select(
+    return given.join(present, "day", "left_semi").select(
         F.replace("day", F.lit("-"), F.lit("/")).alias("accounting_date"),
         "transaction_type",
         "account_no",
-        F.coalesce("given_desc", "account_desc").alias("account_desc"),
+        "desc_key",
+        "given_desc",
         F.col("amount").cast(AMOUNT).alias("amount"),
         F.lit(p.period).alias("period"),
     )
@@ -148,7 +162,9 @@ def service_fee_of_month(documents: DataFrame, p: ReconParams) -> DataFrame:
     return documents.where(hit).agg(F.max(F.struct("seq", "gross"))["gross"].alias("gross"))
 
 
-def period_end_lines(accounts: DataFrame, p: ReconParams, commission: DataFrame | None = None, documents: DataFrame | None = None) -> DataFrame:
+def period_end_lines(
+    spark: SparkSession, p: ReconParams, commission: DataFrame | None = None, documents: DataFrame | None = None
+) -> DataFrame:
     """Month-end lines: opening balances, reversals, fees and rebates; they carry no date.
 
     ``commission`` is a one-row table with the commission of the period, ``documents`` the fee
@@ -166,7 +182,7 @@ def period_end_lines(accounts: DataFrame, p: ReconParams, commission: DataFrame
             for acc, kind, key, part, sign, *factors in PERIOD_END_LINES]
     ddl = ("account_no string, transaction_type string, desc_key string, fixed string, "
            "f_vat int, f_gross int, f_service int, f_commission int")
-    lines = literal_table(accounts.sparkSession, rows, ddl)
+    lines = literal_table(spark, rows, ddl)
 
     def scalar(df: DataFrame | None, col: str) -> Column:
         zero = F.lit(0).cast(AMOUNT)
@@ -181,27 +197,37 @@ def period_end_lines(accounts: DataFrame, p: ReconParams, commission: DataFrame
         + F.col("f_service") * scalar(service, "gross")
         + F.col("f_commission") * scalar(commission, commission.columns[0] if commission is not None else "")
     )
-    return with_descriptions(lines.withColumn("amount", amount.cast(AMOUNT)), accounts).select(
-        F.lit(None).cast("string").alias("accounting_date"), "transaction_type", "account_no", "account_desc", "amount",
-        F.lit(p.period).alias("period"),
-    )
+    none = F.lit(None).cast("string")
+    return lines.withColumns(
+        {"amount": amount.cast(AMOUNT), "accounting_date": none, "given_desc": none, "period": F.lit(p.period)}
+    ).select(*LINE)
 
 
 def apply_rules(journal: DataFrame, p: ReconParams) -> DataFrame:
-    """Drop zero lines if set, round, sort by date and account with undated lines last."""
+    """Drop zero lines if set, and round."""
     kept = journal.where(F.col("amount") != 0) if p.skip_zero_amount else journal
-    rounded = kept.withColumn("amount", half_even(F.col("amount"), p.amount_places))
-    return rounded.orderBy(F.asc_nulls_last("accounting_date"), F.asc_nulls_last("account_no"))
+    return kept.withColumn("amount", half_even(F.col("amount"), p.amount_places))
 
 
-def full_journal(wide: DataFrame, p: ReconParams, commission: DataFrame | None = None, documents: DataFrame | None = None) -> DataFrame:
-    """Daily, special and period-end lines together."""
+def sorted_journal(journal: DataFrame) -> DataFrame:
+    """By date and account, undated lines last."""
+    return journal.orderBy(F.asc_nulls_last("accounting_date"), F.asc_nulls_last("account_no"))
+
+
+def journal_rows(wide: DataFrame, p: ReconParams, commission: DataFrame | None = None, documents: DataFrame | None = None) -> DataFrame:
+    """Daily, special and period-end lines together, described and rounded."""
     spark = wide.sparkSession
-    accounts, mapping = account_table(spark), mapping_table(spark)
     columns = list(dict.fromkeys(m[0] for m in ENTRY_MAPPING))
-    daily = to_journal(wide, mapping, accounts, columns)
-    lines = daily.unionByName(special_lines(wide, accounts, p)).unionByName(period_end_lines(accounts, p, commission, documents))
-    return apply_rules(lines, p)
+    lines = (
+        daily_lines(wide, mapping_table(spark), columns)
+        .unionByName(special_lines(wide, p))
+        .unionByName(period_end_lines(spark, p, commission, documents))
+    )
+    return apply_rules(described(lines, account_table(spark)), p)
+
+
+def full_journal(wide: DataFrame, p: ReconParams, commission: DataFrame | None = None, documents: DataFrame | None = None) -> DataFrame:
+    return sorted_journal(journal_rows(wide, p, commission, documents))
 
 
 def labelled(journal: DataFrame) -> DataFrame:
@@ -327,13 +353,13 @@ def journal_step(
 ) -> dict[str, DataFrame]:
     """All journal results of a period; the daily lines and the journal are written once."""
     wide = settle(journal_wide(workpaper, daily, rebate, receipts, p), "entry_temp")
-    journal = settle(full_journal(wide, p, commission, documents), "entry_long")
+    journal = settle(journal_rows(wide, p, commission, documents), "entry_long")
     lines = labelled(journal)
     check = ledger_check(lines, daily)
     return {
         "entry_temp": wide,
         "entry_validation": day_balance(wide),
-        "entry_long": journal,
+        "entry_long": sorted_journal(journal),
         "entry_long_temp": lines,
         "entry_report": journal_report(journal),
         "entry_checks": journal_validation(journal),

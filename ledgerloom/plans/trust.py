@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.scalars import known_or, recode
@@ -35,13 +35,12 @@ def trust_matrix(totals: dict[str, DataFrame], summary: DataFrame) -> DataFrame:
         .agg(*[F.sum(m).cast("decimal(24,4)").alias(m) for m in MEASURES])
     )
     grid = complete_grid(cells, {"transaction_type": TRANSACTION_TYPES, "bank": MATRIX_BANKS})
-    terms = grid.where(F.col("transaction_type") != "normal").groupBy("bank").agg(
-        F.coalesce(F.sum("total_claimed"), F.lit(0)).alias("_terms")
-    )
+    # the grid has one row per term and bank, so this window holds a handful of rows
+    terms = F.sum(F.when(F.col("transaction_type") != "normal", F.col("total_claimed"))).over(Window.partitionBy("bank"))
     statement = summary.groupBy(recode(F.col("bank"), BANK_NAMES).alias("bank")).agg(F.sum("trust_amount").alias("_trust"))
     plug = (F.col("transaction_type") == "normal") & F.col("bank").isin(*PLUG_BANKS)
     plugged = (
-        grid.join(terms, "bank", "left")
+        grid.withColumn("_terms", F.coalesce(terms, F.lit(0)))
         .join(statement, "bank", "left")
         .withColumn(
             "total_claimed",

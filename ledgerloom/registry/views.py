@@ -254,16 +254,23 @@ def _placeholders(text: str) -> list[str]:
     return list(seen)
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+# Lazy handles only, no data: a table's footer is read and a view is analysed once per session.
+_HANDLES: dict[tuple[str, str, str], DataFrame] = {}
 
 
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A given table or a derived view as a lazy DataFrame."""
-    if name in TABLES:
-        return table(spark, sf_dir, name)
-    deps = {d: view(spark, sf_dir, d) for d in _placeholders(VIEWS[name])}
-    return spark.sql(VIEWS[name], **deps)
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _HANDLES:
+        if name in TABLES:
+            _HANDLES[key] = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+        else:
+            deps = {d: view(spark, sf_dir, d) for d in _placeholders(VIEWS[name])}
+            _HANDLES[key] = spark.sql(VIEWS[name], **deps)
+    return _HANDLES[key]
+
+
+table = view
 
 
 def checked_by(final_sql: str, ctes: dict[str, str] | None = None) -> str:
