@@ -72,7 +72,9 @@ def read_csv(
         names = header_names(spark, path, sep, encoding, skip_rows)
         text = T.StructType([T.StructField(n, T.StringType()) for n in names])
         rows = number_file_rows(reader.option("header", False).schema(text).csv(path), "_n")
-        df = rows.where(F.col("_n") > skip_rows + (1 if header else 0)).drop("_n")
+        below = F.col("_n") > skip_rows + (1 if header else 0)
+        # title cells become NULL first: a later condition may be evaluated before the rows are dropped
+        df = rows.where(below).select(*[F.when(below, F.col(name(c))).alias(c) for c in names])
         if schema is not None:
             want = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
             df = df.select(*[F.col(name(c)).try_cast(f.dataType).alias(f.name) for c, f in zip(df.columns, want.fields)])
