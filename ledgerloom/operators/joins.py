@@ -60,9 +60,7 @@ def sparse_to_spine(
     df: DataFrame, date: str, amount: str, seq: str, beg: dt.date, end: dt.date, out: str = "amount"
 ) -> DataFrame:
     """Date-to-amount map laid on every day of a range; the last entry of a date wins, gaps are zero."""
-    last = df.groupBy(F.col(date).alias("Date")).agg(
-        F.max(F.struct(F.col(seq), F.col(amount).alias("v")))["v"].alias(out)
-    )
+    last = df.groupBy(F.col(date).alias("Date")).agg(F.max_by(amount, seq).alias(out))
     return fill_spine(last, beg, end, "Date", [out])
 
 

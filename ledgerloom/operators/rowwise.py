@@ -38,8 +38,7 @@ def forward_fill(
     keyed = _in_blocks(df, part, seq, block_rows)
     filled = keyed.withColumns({c: F.last(c, ignorenulls=True).over(_block_window(seq)) for c in cols})
     last_in_block = keyed.groupBy("_key").agg(
-        *[F.max(F.when(F.col(c).isNotNull(), F.struct(F.col(seq), F.col(c).alias("v"))))["v"].alias(f"_last_{i}")
-          for i, c in enumerate(cols)]
+        *[F.max_by(c, F.when(F.col(c).isNotNull(), F.col(seq))).alias(f"_last_{i}") for i, c in enumerate(cols)]
     )
     carry = last_in_block.select(
         F.col("_key").alias("_carry_key"),
@@ -100,15 +99,16 @@ def rows_before_marker(df: DataFrame, marker: Column, part: list[str], seq: str)
 
 
 def last_record(df: DataFrame, value: str, seq: str, by: list[str] | None = None) -> DataFrame:
-    """Value of the row with the highest ``seq``; ties go to the larger value."""
-    best = F.max(F.struct(F.col(seq).alias("s"), F.col(value).alias("v")))["v"].alias(value)
-    return df.groupBy(*(by or [])).agg(best)
+    """Value of the row with the highest ``seq``, which must be unique.
+
+    ``max_by`` of a number aggregates by hash; the maximum of a struct would sort every row first.
+    """
+    return df.groupBy(*(by or [])).agg(F.max_by(value, seq).alias(value))
 
 
 def last_before(df: DataFrame, value: str, date: str, limit, seq: str | None = None) -> DataFrame:
     """One row with the last ``value`` dated before ``limit``, zero if there is none."""
-    keys = [F.col(date).alias("d")] + ([F.col(seq).alias("s")] if seq else [])
-    best = F.max(F.struct(*keys, F.col(value).alias("v")))["v"]
+    best = F.max_by(value, F.struct(date, seq) if seq else date)
     return df.where(F.col(date) < F.lit(limit)).agg(F.coalesce(best, F.lit(0)).alias(value))
 
 
@@ -119,7 +119,7 @@ def share_of_subtotal(
     total = (
         df.where(F.col(label) == subtotal_label)
         .groupBy(part)
-        .agg(F.min(F.struct(F.col(seq), F.col(value).alias("v")))["v"].alias("_subtotal"), F.lit(True).alias("_has"))
+        .agg(F.min_by(value, seq).alias("_subtotal"), F.lit(True).alias("_has"))
     )
     share = F.bround(F.try_divide(F.col(value), F.col("_subtotal")), places)
     return (

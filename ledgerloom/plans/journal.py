@@ -151,15 +151,16 @@ def special_lines(wide: DataFrame, p: ReconParams, date: str = "Date") -> DataFr
 def allowance_of_month(documents: DataFrame, p: ReconParams) -> DataFrame:
     """Tax and negated gross of the last document numbered as this month's allowance total."""
     pattern = f"{p.beg:%Y/%m}.*折讓總計"
-    last = F.max(F.struct("seq", "vat", "gross"))
-    return documents.where(F.col("doc_no").rlike(pattern)).agg(last["vat"].alias("vat"), (-last["gross"]).alias("neg_gross"))
+    return documents.where(F.col("doc_no").rlike(pattern)).agg(
+        F.max_by("vat", "seq").alias("vat"), (-F.max_by("gross", "seq")).alias("neg_gross")
+    )
 
 
 def service_fee_of_month(documents: DataFrame, p: ReconParams) -> DataFrame:
     """Gross of the last invoice-numbered document whose date text holds the year and the month."""
     day = F.col("issued").cast("string")
     hit = day.contains(f"{p.beg:%m}") & F.col("doc_no").rlike("[A-Z][A-Z]\\d{8}") & day.contains(f"{p.beg:%Y}")
-    return documents.where(hit).agg(F.max(F.struct("seq", "gross"))["gross"].alias("gross"))
+    return documents.where(hit).agg(F.max_by("gross", "seq").alias("gross"))
 
 
 def period_end_lines(

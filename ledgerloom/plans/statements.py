@@ -111,7 +111,7 @@ def period_sums(statements: DataFrame, p: ReconParams) -> DataFrame:
 
 def statement_profile(statements: DataFrame, p: ReconParams) -> DataFrame:
     """Row count and last record per table, over the whole table but only four narrow columns."""
-    last = F.max(F.struct("seq", "request_amount"))["request_amount"]
+    last = F.max_by("request_amount", "seq")
     return (
         loaded_rows(statements, p)
         .groupBy("bank", "category")

@@ -62,7 +62,7 @@ CTES = {
               fee=total("handling_fee", f"{PAID} AND store_name = '主公司'"),
               prior_fee=total("handling_fee", f"{PAID} AND {ASKED_LAST}"),
               fee_adjustment=total("handling_fee", f"{ASKED} AND store_name = '調整 -- 退貨'"),
-              invoice_claimed="trunc(arg_max(request_amount, seq * 100000000000 + CAST(request_amount * 100 AS BIGINT)))"),
+              invoice_claimed="trunc(arg_max(request_amount, seq))"),
         _bank("taishi", "disbursement_date IS NOT NULL", claimed=total("request_amount", PAID),
               trust_amount=total("disbursement_amount", PAID), fee=_tai_fee, fee_adjustment=_tai_adj,
               tax_adjustment=total("tax_amount", f"{PAID} AND disbursement_amount = 0"), invoice_claimed=_tai_fee,

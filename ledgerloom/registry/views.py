@@ -45,7 +45,7 @@ SELECT CASE l_suppkey % 5 WHEN 0 THEN 'taishi' WHEN 1 THEN 'nccc' WHEN 2 THEN 'c
   CASE l_suppkey % 5 WHEN 0 THEN 'default' WHEN 1 THEN 'recon'
     WHEN 2 THEN CASE WHEN l_linestatus = 'F' THEN 'individual' ELSE 'nonindividual' END
     ELSE CASE WHEN l_linestatus = 'F' THEN 'installment' ELSE 'noninstallment' END END AS category,
-  l_orderkey * 8 + l_linenumber AS seq,
+  (((l_orderkey * 8 + l_linenumber) * 100000 + l_partkey % 100000) * 1000 + l_suppkey % 1000) * 51 + CAST(l_quantity AS BIGINT) AS seq,
   CASE WHEN l_quantity = 50 THEN NULL ELSE CAST(l_shipdate AS DATE) END AS disbursement_date,
   CASE WHEN l_quantity = 49 THEN NULL ELSE CAST(l_shipdate AS DATE) - (l_linenumber * 7) END AS request_date,
   CAST(l_extendedprice AS DECIMAL(18,2)) AS request_amount,

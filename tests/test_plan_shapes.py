@@ -37,6 +37,11 @@ def test_store_subtotals_read_one_bank(statements):
     assert re.search(r"PartitionFilters: \[.*bank.* = ub", text) and "tax_amount" not in text
 
 
+def test_whole_table_pass_aggregates_by_hash(statements):
+    text = plan(st.statement_profile(statements, P))
+    assert "SortAggregate" not in text and "HashAggregate" in text and "handling_fee" not in text
+
+
 def test_one_shuffle_per_measure_pass(statements):
     assert plan(st.period_sums(statements, P)).count("Exchange hashpartitioning") == 1
 
