@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ledgerloom.operators.joins import add_aggregates
 from ledgerloom.operators.rowwise import forward_fill, rows_before_marker
 from ledgerloom.plans import instalments as inst
 from ledgerloom.plans import receipts as rc
@@ -162,29 +163,32 @@ def instalment_plain(spark, sf):
 
 @register("instalment_listed", "A10 P19", f"SELECT transaction_type, {OUT} FROM {{o_nccc}}", CTES)
 def instalment_listed(spark, sf):
-    return totals_by_bank(spark, sf)["nccc"]
+    rows = view(spark, sf, "plain_report").where("report = 'nccc'")
+    return inst.label_terms(inst.plain_totals(rows, LISTED))
 
 
 @register("instalment_two_reports", "A10 J5", f"SELECT transaction_type, {OUT} FROM {{o_cub}}", CTES)
 def instalment_two_reports(spark, sf):
-    return totals_by_bank(spark, sf)["cub"]
+    rows = view(spark, sf, "plain_report")
+    one = lambda name: inst.plain_totals(rows.where(F.col("report") == name), KEYED)
+    return add_aggregates(one("cub_individual"), one("cub_nonindividual"), ["transaction_type"], ["total_claimed", "total_service_fee"])
 
 
 @register("instalment_sheets", "A11 J8 F10 P11", f"SELECT transaction_type, {OUT} FROM {{o_ctbc}}", CTES)
 def instalment_sheets(spark, sf):
-    return totals_by_bank(spark, sf)["ctbc"]
+    return inst.sheet_totals(view(spark, sf, "sheet_report"), view(spark, sf, "statements"), P)
 
 
 @register("instalment_rated", "A12 J10 F9", f"""SELECT transaction_type, CAST(total_claimed AS BIGINT) AS total_claimed,
   CAST(total_service_fee AS BIGINT) AS total_service_fee, CAST(service_fee_rate AS DOUBLE) AS service_fee_rate,
   CAST(calculated_service_fee AS DOUBLE) AS calculated_service_fee FROM {{o_ub}}""", CTES)
 def instalment_rated(spark, sf):
-    return totals_by_bank(spark, sf)["ub"]
+    return inst.rated_totals(view(spark, sf, "rated_report"), inst.rate_lookup(view(spark, sf, "rate_matrix"), "idx"))
 
 
 @register("instalment_cards", "A13 P12 W3 J10 J5", f"SELECT transaction_type, {OUT} FROM {{o_taishi}}", CTES)
 def instalment_cards(spark, sf):
-    return totals_by_bank(spark, sf)["taishi"]
+    return inst.card_totals(view(spark, sf, "card_report"), inst.rate_lookup(view(spark, sf, "rate_matrix"), "idx"))
 
 
 @register("rate_matrix", "S13 S14", "SELECT bank, term, CAST(rate AS DOUBLE) AS rate, rate_text FROM {o_rates}", CTES)
