@@ -145,15 +145,17 @@ def silver_dry_run(df: DataFrame, schema: SchemaConfig) -> dict:
     return {"valid": not missing and (result is None or result.ok), "missing": missing, "breaker": result}
 
 
-def publish_silver(df: DataFrame, schema: SchemaConfig, staging: str, path: str) -> BreakerResult:
-    """Write the silver table, counting missing values on the way; publish it only if the breaker holds."""
+def write_silver(df: DataFrame, schema: SchemaConfig, path: str) -> BreakerResult:
+    """Write the silver table to a fresh path, counting missing values on the way: one pass in all.
+
+    A tripped breaker is an error; the caller publishes the path only when none was raised.
+    """
     out = silver(df, schema)
     watched, seen = watch_nulls(out, breaker_columns(out, schema.columns))
-    watched.write.mode("overwrite").parquet(staging)
+    watched.write.parquet(path)
     verdict = judge_watch(seen, schema.null_threshold)
     if not verdict.ok:
         raise BreakerError(verdict.tripped, schema.null_threshold)
-    df.sparkSession.read.parquet(staging).write.mode("overwrite").parquet(path)
     return verdict
 
 

@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerloom.session import settle
+
 BLOCK_ROWS = 100_000
 
 
@@ -81,12 +83,16 @@ def running_balance(
 
 
 def rows_before_marker(df: DataFrame, marker: Column, part: list[str], seq: str) -> DataFrame:
-    """Rows of each ``part`` that come before its first marker row; without a marker, all rows."""
-    first = (
+    """Rows of each ``part`` that come before its first marker row; without a marker, all rows.
+
+    The stops, one row per part, are written first, so that the rows need not be shuffled by part.
+    """
+    first = settle(
         df.where(F.coalesce(marker, F.lit(False)))
         .groupBy(*part)
         .agg(F.min(seq).alias("_stop"))
-        .select(*[F.col(p).alias(f"_p{i}") for i, p in enumerate(part)], "_stop")
+        .select(*[F.col(p).alias(f"_p{i}") for i, p in enumerate(part)], "_stop"),
+        "marker_stops",
     )
     same = F.lit(True)
     for i, p in enumerate(part):

@@ -13,6 +13,7 @@ from ledgerloom.operators.pivots import complete_grid
 from ledgerloom.operators.rowwise import forward_fill, rows_before_marker
 from ledgerloom.params import ReconParams
 from ledgerloom.reference_data import TERM_LABELS
+from ledgerloom.session import settle
 
 MONEY = "decimal(18,2)"
 
@@ -83,10 +84,12 @@ def sheet_totals(sheets: DataFrame, statements: DataFrame, p: ReconParams, sheet
     takes own-bank rows (no card), other domestic cards and adjustments, never the TOTAL row; the
     adjustments are repeated as ``adj`` for information.
     """
-    dates = (
+    # a few hundred dates at most, written so that their size is known
+    dates = settle(
         statements.where((F.col("bank") == "ctbc") & F.col("disbursement_date").between(F.lit(p.beg), F.lit(p.end)))
         .select("category", F.date_format("request_date", "MMdd").alias("md"))
-        .distinct()
+        .distinct(),
+        "paid_dates",
     )
     split = F.col("source").contains("分")
     rows = (

@@ -13,6 +13,7 @@ from decimal import Decimal
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerloom.params import ReconParams
+from ledgerloom.sources.writers import write_statements
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents",
           "embeddings", "pages", "benchmark", "labels", "conversations"]
@@ -272,17 +273,12 @@ def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 table = view
 
-# How native tables are laid out when they are written out: statements by table, reports as they are.
-LAYOUT = {"statements": ["bank", "category"]}
-
-
 def write_views(spark: SparkSession, sf_dir: str, root: str, names: list[str] | None = None) -> None:
     """Write views as Parquet tables and use those from then on, as a user with native tables would."""
     for name in names or list(VIEWS):
         path = f"{root}/{name}"
         df = view(spark, sf_dir, name)
-        writer = df.write.mode("overwrite")
-        (writer.partitionBy(*LAYOUT[name]) if name in LAYOUT else writer).parquet(path)
+        write_statements(df, path) if name == "statements" else df.write.parquet(path)
         _HANDLES[(spark.sparkContext.applicationId, sf_dir, name)] = spark.read.schema(df.schema).parquet(path)
 
 

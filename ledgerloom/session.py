@@ -50,10 +50,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def settle(df: DataFrame, name: str) -> DataFrame:
-    """Write a small shared result once to the shared folder and go on from the written table.
+    """Write a small result once to the shared folder and go on from the written table.
 
-    Several results hang on it; without this each of them would read the facts below it again. The
-    written table also outlives lost executors.
+    Used where several results hang on it, so the facts below are read once; and where it is the small
+    side of a join, since Spark takes an aggregate to be as large as its input until it has run, and
+    would shuffle the facts. The size of the written table is known: Spark broadcasts it if it is below
+    the broadcast threshold and else joins by shuffle. The table also outlives lost executors.
     """
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)

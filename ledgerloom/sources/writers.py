@@ -89,12 +89,28 @@ def upsert_dataset(source: DataFrame, path: str, keys: list[str], match: str = "
         return
     touched = source.select(*partition_by).distinct()
     result = upsert(target.join(touched, partition_by, "left_semi"), source, keys, match)
-    staged = scratch_path(spark, "stage")
-    result.write.parquet(staged)
-    (
-        spark.read.schema(result.schema).parquet(staged).write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path)
-    )
+    # dynamic mode writes aside and swaps the partitions at commit, so the same path may be read here
+    result.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path)
+
+
+def write_statements(df: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """Statement facts, one folder per table, in date order inside.
+
+    Range partitioning by table, date and row number splits a large bank over many files and keeps
+    each file to a few dates, so a period query skips the others by their footers.
+    """
+    order = ["bank", "category", "disbursement_date", "seq"]
+    ranged = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    ranged.write.mode(mode).partitionBy("bank", "category").parquet(path)
+
+
+def point_table(spark: SparkSession, table: str, path: str) -> None:
+    """Let a catalog table read a finished dataset: publishing moves no data."""
+    if spark.catalog.tableExists(table):
+        spark.sql(f"ALTER TABLE {table} SET LOCATION '{path}'")
+        spark.catalog.refreshTable(table)
+    else:
+        spark.catalog.createTable(table, path, "parquet")
 
 
 def truncate_dataset(spark: SparkSession, path: str) -> None:

@@ -9,6 +9,7 @@ from ledgerloom.functions import masks, scalars as sc
 from ledgerloom.functions.text import literal
 from ledgerloom.operators import quality as qu
 from ledgerloom.operators import shaping as sh
+from ledgerloom.sources import writers as wr
 
 
 def one(spark, fn, values):
@@ -125,13 +126,17 @@ def test_breaker_trips_above_the_threshold_only(spark):
 def test_silver_counts_while_writing(spark, tmp_path):
     raw = spark.createDataFrame([("1", "2024-01-01"), ("x", "bad"), ("3", "2024-01-03")], "k string, d string")
     schema = sh.SchemaConfig([sh.ColumnSpec("k", "k", "BIGINT"), sh.ColumnSpec("d", "d", "DATE")], null_threshold=0.5)
-    verdict = qu.publish_silver(raw, schema, str(tmp_path / "stage"), str(tmp_path / "out"))
+    verdict = qu.write_silver(raw, schema, str(tmp_path / "v1"))
+    wr.point_table(spark, "silver_published", str(tmp_path / "v1"))
     # the row with nothing readable is dropped, so no missing value is left
-    assert verdict.ok and spark.read.parquet(str(tmp_path / "out")).count() == 2
+    assert verdict.ok and spark.table("silver_published").count() == 2
     tight = sh.SchemaConfig([sh.ColumnSpec("k", "k"), sh.ColumnSpec("d", "d", "DATE")], null_threshold=0.1)
     with pytest.raises(qu.BreakerError):
-        qu.publish_silver(raw, tight, str(tmp_path / "stage2"), str(tmp_path / "out2"))
-    assert not (tmp_path / "out2").exists()
+        qu.write_silver(raw, tight, str(tmp_path / "v2"))
+    assert spark.table("silver_published").count() == 2
+    qu.write_silver(raw.limit(1), schema, str(tmp_path / "v3"))
+    wr.point_table(spark, "silver_published", str(tmp_path / "v3"))
+    assert spark.table("silver_published").count() == 1
 
 
 def test_dry_run_reports_missing(spark):

@@ -13,6 +13,7 @@ from ledgerloom.plans import statements as st
 from ledgerloom.registry.views import PERIOD as P
 from ledgerloom.registry.views import view
 from ledgerloom.session import scratch_path
+from ledgerloom.sources.writers import write_statements
 
 
 def plan(df):
@@ -22,7 +23,7 @@ def plan(df):
 @pytest.fixture(scope="module")
 def statements(spark, sf_dir):
     path = scratch_path(spark, "statements")
-    view(spark, sf_dir, "statements").write.partitionBy("bank", "category").parquet(path)
+    write_statements(view(spark, sf_dir, "statements"), path)
     return spark.read.parquet(path)
 
 
@@ -84,3 +85,22 @@ def test_library_has_no_forbidden_shortcuts():
     code = "\n".join(p.read_text(encoding="utf-8") for p in pathlib.Path("ledgerloom").rglob("*.py"))
     for word in ("localCheckpoint", "crossJoin", ".toPandas(", "F.udf", "broadcast("):
         assert word not in code, word
+
+
+def test_small_sides_have_a_known_size(spark, sf_dir):
+    from ledgerloom.operators.shaping import number_file_rows
+
+    rows = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    cards = view(spark, sf_dir, "card_report")
+    for df in (number_file_rows(rows), rw.rows_before_marker(cards, F.col("card") == "總筆數", ["sheet", "file_no"], "seq")):
+        assert "BroadcastHashJoin" in plan(df) and "Exchange hashpartitioning" not in plan(df)
+
+
+def test_partition_upsert_reads_and_writes_in_place(spark, sf_dir, tmp_path):
+    from ledgerloom.sources.writers import upsert_dataset, write_parquet
+
+    path = str(tmp_path / "t")
+    write_parquet(spark.range(10).selectExpr("id", "id % 2 AS g", "'old' AS v"), path, partition_by=["g"])
+    upsert_dataset(spark.range(4).selectExpr("id", "0L AS g", "'new' AS v").where("id % 2 = 0"), path, ["id", "g"], partition_by=["g"])
+    got = {r["id"]: r["v"] for r in spark.read.parquet(path).collect()}
+    assert len(got) == 10 and {k for k, v in got.items() if v == "new"} == {0, 2}
