@@ -46,7 +46,7 @@ def bronze_of(spark, sf):
     return rd.bronze(rd.as_text(raw), "batch-1", "orders.csv", "S1")
 
 
-@register("safe_cast_int", "F1", "SELECT k, n AS value FROM {o_int}", CTES)
+@register("safe_cast_int", "F1", "SELECT k, n AS value FROM {o_int}", CTES, {"value": "DOUBLE"})
 def safe_cast_int(spark, sf):
     return view(spark, sf, "dirty").select("k", sc.to_integer(F.col("amount_text")).alias("value"))
 
@@ -68,7 +68,7 @@ def safe_cast_timestamp(spark, sf):
     return view(spark, sf, "dirty").select("k", value.alias("value"))
 
 
-@register("safe_cast_bool", "F4", "SELECT k, flag AS value FROM {o_flag}", CTES)
+@register("safe_cast_bool", "F4", "SELECT k, flag AS value FROM {o_flag}", CTES, {"value": "STRING"})
 def safe_cast_bool(spark, sf):
     return view(spark, sf, "dirty").select("k", sc.to_boolean(F.col("flag_text")).alias("value"))
 
@@ -200,7 +200,7 @@ def bronze_lineage(spark, sf):
 
 
 @register("silver_pass", "Q7 Q8", """
-SELECT k AS key, amount, CAST(day AS STRING) AS day, flag, note, 'bank' AS channel, 'batch-1' AS _batch_id FROM {o_silver}""", CTES)
+SELECT k AS key, amount, CAST(day AS STRING) AS day, flag, note, 'bank' AS channel, 'batch-1' AS _batch_id FROM {o_silver}""", CTES, {"amount": "DOUBLE", "flag": "STRING"})
 def silver_pass(spark, sf):
     return qu.silver(bronze_of(spark, sf), SCHEMA, validate=True).drop("_source_file", "_sheet_name", "_ingested_at")
 
@@ -236,7 +236,7 @@ def delete_rows(spark, sf):
 
 @register("merge_step", "J1", """
 SELECT COALESCE(a.flag_text, b.flag_text) AS flag_text, a.n AS n_left, b.n AS n_right FROM (SELECT flag_text, COUNT(*) AS n FROM {dirty} WHERE k % 2 = 0 OR flag_text IS NULL GROUP BY 1) a
-FULL OUTER JOIN (SELECT flag_text, COUNT(*) AS n FROM {dirty} WHERE k % 8 <> 0 GROUP BY 1) b ON a.flag_text IS NOT DISTINCT FROM b.flag_text""")
+FULL OUTER JOIN (SELECT flag_text, COUNT(*) AS n FROM {dirty} WHERE k % 8 <> 0 GROUP BY 1) b ON a.flag_text IS NOT DISTINCT FROM b.flag_text""", nullable={"n_left": "DOUBLE", "n_right": "DOUBLE"})
 def merge_step(spark, sf):
     d = view(spark, sf, "dirty")
     count = F.count(F.lit(1)).alias("n")
@@ -246,7 +246,7 @@ def merge_step(spark, sf):
 
 
 @register("dup_keys", "A23", """
-SELECT l_orderkey, l_linenumber, COUNT(*) AS duplicate_count FROM {lineitem} GROUP BY 1, 2 HAVING COUNT(*) > 1""")
+SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, COUNT(*) AS duplicate_count FROM {lineitem} GROUP BY 1, 2 HAVING COUNT(*) > 1""")
 def dup_keys(spark, sf):
     return qu.duplicate_keys(view(spark, sf, "lineitem"), ["l_orderkey", "l_linenumber"])
 

@@ -94,12 +94,15 @@ MEASURE_COLS = ("claimed, returned, carry_in, adjustment, trust_amount, fee, pri
 
 
 @register("recon_period_measures", "A1 A2 A3 A4 A6 D17 S10 P9 P10 P11 F9 W5",
-          f"SELECT bank, category, n_rows, {MEASURE_COLS} FROM {{o_measures}}", CTES)
+          f"SELECT bank, category, n_rows, {MEASURE_COLS} FROM {{o_measures}}", CTES, {"invoice_fee": "DOUBLE"})
 def recon_period_measures(spark, sf):
     return st.period_measures(view(spark, sf, "statements"), P)
 
 
-@register("recon_bank_summary", "A7 O3", "SELECT * FROM {o_summary}", CTES)
+SUMMARY_GAPS = dict.fromkeys(["returned", "carry_in", "prior_fee", "tax_adjustment", "invoice_claimed", "invoice_fee"], "DOUBLE")
+
+
+@register("recon_bank_summary", "A7 O3", "SELECT * FROM {o_summary}", CTES, SUMMARY_GAPS)
 def recon_bank_summary(spark, sf):
     return st.ordered_summary(st.bank_summary(st.period_measures(view(spark, sf, "statements"), P, whole_table=False)))
 
@@ -116,7 +119,7 @@ def store_subtotals(spark, sf):
 @register("container_checks", "A8", """
 SELECT bank, category, n_rows, n_rows > 0 AS has_rows, claimed < 0 AS negative_claimed, fee < 0 AS negative_fee,
   fee + prior_fee - abs(CASE WHEN bank = 'ctbc' THEN adjustment ELSE fee_adjustment END) AS total_service_fee,
-  CASE WHEN bank = 'ub' THEN claimed + carry_in - trust_amount END AS store_diff FROM {o_measures}""", CTES)
+  CASE WHEN bank = 'ub' THEN claimed + carry_in - trust_amount END AS store_diff FROM {o_measures}""", CTES, {"store_diff": "DOUBLE"})
 def container_checks(spark, sf):
     return st.container_checks(st.period_measures(view(spark, sf, "statements"), P))
 
@@ -171,6 +174,6 @@ SELECT name, split_part(name, '_', 1) AS bank, claimed, trust_amount, fee_curren
   CAST(total_tax_amount AS DOUBLE) AS total_tax_amount, CAST(total_amount_incl_tax AS DOUBLE) AS total_amount_incl_tax,
   CAST(CASE WHEN bank = 'ub' THEN total_amount_incl_tax - total_amount_incl_tax WHEN bank = 'taishi' THEN fee_current - total_amount_incl_tax
        ELSE invoice_fee - total_amount_incl_tax END AS DOUBLE) AS invoice_diff
-FROM {o_escrow}""", CTES)
+FROM {o_escrow}""", CTES, SUMMARY_GAPS)
 def escrow_summary(spark, sf):
     return escrow.escrow_summary(view(spark, sf, "statements"), view(spark, sf, "invoices"), P)

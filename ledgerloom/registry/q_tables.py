@@ -21,7 +21,7 @@ from ledgerloom.sources import readers as rd
 from ledgerloom.sources import writers as wr
 
 STAMP = dt.datetime(2024, 2, 1, 8, 30)
-CUST = "c_custkey, c_name, c_nationkey, c_mktsegment, CAST(balance AS DOUBLE) AS balance"
+CUST = "c_custkey, c_name, CAST(c_nationkey AS BIGINT) AS c_nationkey, c_mktsegment, CAST(balance AS DOUBLE) AS balance"
 
 
 def _write_lines(lines, head, path):
@@ -176,7 +176,7 @@ def workpapers(spark, sf):
 
 
 @register("catalog_tables", "K5 K6 K12", """
-SELECT 'filled' AS tab, COUNT(*) + (SELECT COUNT(*) FROM {supplier}) AS n, CAST(SUM(s_suppkey) * 2 AS BIGINT) AS s FROM {supplier} UNION ALL SELECT 'cloned', 0, NULL""")
+SELECT 'filled' AS tab, COUNT(*) + (SELECT COUNT(*) FROM {supplier}) AS n, CAST(SUM(s_suppkey) * 2 AS BIGINT) AS s FROM {supplier} UNION ALL SELECT 'cloned', 0, NULL""", nullable={"s": "DOUBLE"})
 def catalog_tables(spark, sf):
     base = scratch_path(spark, "tab")
     name = "t_" + base.rsplit("-", 1)[-1]
@@ -265,7 +265,7 @@ def schema_diff(spark, sf):
 
 
 @register("migration_plan", "Q12", """
-SELECT * FROM (VALUES ('safe', 'add', 2), ('safe', 'warning', 3), ('force', 'add', 2), ('force', 'drop', 1), ('force', 'retype', 1), ('force', 'warning', 1))
+SELECT strategy, action, CAST(n AS BIGINT) AS n FROM (VALUES ('safe', 'add', 2), ('safe', 'warning', 3), ('force', 'add', 2), ('force', 'drop', 1), ('force', 'retype', 1), ('force', 'warning', 1))
   t(strategy, action, n) WHERE (SELECT COUNT(*) FROM {customer}) > 0""")
 def migration_plan(spark, sf):
     diff = tb.schema_diff(view(spark, sf, "target_customers").schema, TARGET)
@@ -287,7 +287,7 @@ def evolve_force(spark, sf):
 
 
 @register("auto_migrate", "Q13", """
-SELECT * FROM (VALUES ('created', 1), ('no_change', 2), ('auto_migrated', 3), ('requires_review', 4)) t(action, step) WHERE (SELECT COUNT(*) FROM {customer}) > 0""")
+SELECT action, CAST(step AS BIGINT) AS step FROM (VALUES ('created', 1), ('no_change', 2), ('auto_migrated', 3), ('requires_review', 4)) t(action, step) WHERE (SELECT COUNT(*) FROM {customer}) > 0""")
 def auto_migrate(spark, sf):
     current = view(spark, sf, "target_customers")
     wider = current.withColumn("tier", F.lit("x"))
@@ -297,7 +297,7 @@ def auto_migrate(spark, sf):
 
 
 @register("file_to_clean_table", "Q8 S3 S7", """
-SELECT k AS key, amount, CAST(day AS STRING) AS day, flag, note, 'bank' AS channel, 'b7' AS _batch_id FROM {o_silver}""", CLEAN_CTES)
+SELECT k AS key, amount, CAST(day AS STRING) AS day, flag, note, 'bank' AS channel, 'b7' AS _batch_id FROM {o_silver}""", CLEAN_CTES, {"amount": "DOUBLE", "flag": "STRING"})
 def file_to_clean_table(spark, sf):
     path = scratch_path(spark, "dirty") + ".csv"
     cols = ["k", "amount_text", "date_text", "flag_text", "note"]
