@@ -216,9 +216,9 @@ def generic_clean(spark, sf):
                           rename={"o_orderstatus": "status"}, drop=["amount_text"])
 
 
-@register("filter_expr", "P8 X2", "SELECT k FROM {dirty} WHERE k % 3 = 0 AND note IS NOT NULL")
+@register("filter_expr", "P8 X2", "SELECT k FROM {dirty} WHERE amt > 100000 AND note IS NOT NULL")
 def filter_expr(spark, sf):
-    return sh.filter_frame(view(spark, sf, "dirty"), "k % 3 = 0", lambda df: df.where(F.col("note").isNotNull())).select("k")
+    return sh.filter_frame(view(spark, sf, "dirty"), "amt > 100000", lambda df: df.where(F.col("note").isNotNull())).select("k")
 
 
 @register("user_transform", "X1", "SELECT k, CAST(amt * 3 AS DOUBLE) AS scaled FROM {dirty}")
@@ -235,13 +235,13 @@ def delete_rows(spark, sf):
 
 
 @register("merge_step", "J1", """
-SELECT COALESCE(a.flag_text, b.flag_text) AS flag_text, a.n AS n_left, b.n AS n_right FROM (SELECT flag_text, COUNT(*) AS n FROM {dirty} WHERE k % 2 = 0 OR flag_text IS NULL GROUP BY 1) a
-FULL OUTER JOIN (SELECT flag_text, COUNT(*) AS n FROM {dirty} WHERE k % 8 <> 0 GROUP BY 1) b ON a.flag_text IS NOT DISTINCT FROM b.flag_text""", nullable={"n_left": "DOUBLE", "n_right": "DOUBLE"})
+SELECT COALESCE(a.flag_text, b.flag_text) AS flag_text, a.n AS n_left, b.n AS n_right FROM (SELECT flag_text, COUNT(*) AS n FROM {dirty} WHERE amt < 300000 AND flag_text IS DISTINCT FROM 'TRUE' GROUP BY 1) a
+FULL OUTER JOIN (SELECT flag_text, COUNT(*) AS n FROM {dirty} WHERE amt > 100000 AND flag_text IS DISTINCT FROM '0' GROUP BY 1) b ON a.flag_text IS NOT DISTINCT FROM b.flag_text""", nullable={"n_left": "DOUBLE", "n_right": "DOUBLE"})
 def merge_step(spark, sf):
     d = view(spark, sf, "dirty")
     count = F.count(F.lit(1)).alias("n")
-    left = d.where((F.col("k") % 2 == 0) | F.col("flag_text").isNull()).groupBy("flag_text").agg(count)
-    right = d.where(F.col("k") % 8 != 0).groupBy("flag_text").agg(count)
+    left = d.where((F.col("amt") < 300000) & ~F.col("flag_text").eqNullSafe("TRUE")).groupBy("flag_text").agg(count)
+    right = d.where((F.col("amt") > 100000) & ~F.col("flag_text").eqNullSafe("0")).groupBy("flag_text").agg(count)
     return merge(left, right, on=["flag_text"], how="outer", suffixes=("_left", "_right"))
 
 

@@ -143,10 +143,10 @@ def balance_daily(spark, sf):
 
 
 @register("balance_columns_check", "P15", """
-SELECT side, valid, missing FROM (VALUES ('inbound', TRUE, ''), ('outbound', FALSE, '')) t(side, valid, missing)
-WHERE (SELECT COUNT(*) FROM {balance_raw}) > 0""")
+SELECT side, valid, missing, (SELECT COUNT(*) FROM {balance_raw}) AS n_days FROM (VALUES ('inbound', TRUE, ''), ('outbound', FALSE, '')) t(side, valid, missing)""")
 def balance_columns_check(spark, sf):
-    return balances_of(spark, sf)["dfr_columns"]
+    raw = view(spark, sf, "balance_raw")
+    return ba.layout_report(raw, LAYOUT).withColumn("n_days", raw.agg(F.count(F.lit(1)).alias("n")).scalar())
 
 
 _WP = dbl("rem AS remittance_fee", "inbound AS Inbound", "ach AS Unsuccessful_ACH", "outbound AS Outbound", "fee AS handing_fee")

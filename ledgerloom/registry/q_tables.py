@@ -3,14 +3,17 @@
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
 import pandas as pd
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerloom.operators import tables as tb
 from ledgerloom.operators.joins import lookup
 from ledgerloom.operators.literals import literal_table
+from ledgerloom.operators.quality import null_counts
 from ledgerloom.operators.shaping import number_file_rows
 from ledgerloom.registry.core import register
 from ledgerloom.registry.q_cleaning import CTES as CLEAN_CTES
@@ -258,20 +261,31 @@ TARGET = T.StructType([
 
 
 @register("schema_diff", "Q11", """
-SELECT * FROM (VALUES ('tier', 'added', NULL, 'VARCHAR'), ('since', 'added', NULL, 'DATE'), ('c_mktsegment', 'removed', 'VARCHAR', NULL),
-  ('c_nationkey', 'type_changed', 'INTEGER', 'VARCHAR')) t("column", change, old_type, new_type) WHERE (SELECT COUNT(*) FROM {customer}) > 0""")
+SELECT d.*, CASE WHEN change = 'added' THEN CAST(0 AS BIGINT) ELSE (SELECT COUNT(*) FROM {target_customers}) END AS n_rows
+FROM (VALUES ('tier', 'added', NULL, 'VARCHAR'), ('since', 'added', NULL, 'DATE'), ('c_mktsegment', 'removed', 'VARCHAR', NULL),
+  ('c_nationkey', 'type_changed', 'INTEGER', 'VARCHAR')) d("column", change, old_type, new_type)""")
 def schema_diff(spark, sf):
-    return tb.schema_diff(view(spark, sf, "target_customers").schema, TARGET).table(spark)
+    current = view(spark, sf, "target_customers")
+    # rows that a change touches, from the table itself
+    counted = null_counts(current).select("column", "n_rows")
+    diff = tb.schema_diff(current.schema, TARGET).table(spark)
+    return diff.join(counted, "column", "left").na.fill(0, ["n_rows"])
 
 
 @register("migration_plan", "Q12", """
-SELECT strategy, action, CAST(n AS BIGINT) AS n FROM (VALUES ('safe', 'add', 2), ('safe', 'warning', 3), ('force', 'add', 2), ('force', 'drop', 1), ('force', 'retype', 1), ('force', 'warning', 1))
-  t(strategy, action, n) WHERE (SELECT COUNT(*) FROM {customer}) > 0""")
+SELECT p.strategy, p.action, CAST(p.n AS BIGINT) AS n, (SELECT COUNT(*) FROM {target_customers}) AS n_rows
+FROM (VALUES ('safe', 'add', 2), ('safe', 'warning', 3), ('force', 'add', 2), ('force', 'drop', 1), ('force', 'retype', 1), ('force', 'warning', 1))
+  p(strategy, action, n)""")
 def migration_plan(spark, sf):
-    diff = tb.schema_diff(view(spark, sf, "target_customers").schema, TARGET)
-    one = lambda s: tb.migration_plan(diff, s).table(spark).select(
-        F.lit(s).alias("strategy"), F.when(F.col("kind") == "warning", "warning").otherwise(F.col("action")).alias("action"))
-    return one("safe").unionByName(one("force")).groupBy("strategy", "action").agg(F.count(F.lit(1)).alias("n"))
+    current = view(spark, sf, "target_customers")
+
+    def one(strategy):
+        evolved, plan = tb.evolve(current, TARGET, strategy)
+        action = F.when(F.col("kind") == "warning", "warning").otherwise(F.col("action"))
+        steps = plan.table(spark).groupBy(F.lit(strategy).alias("strategy"), action.alias("action")).agg(F.count(F.lit(1)).alias("n"))
+        return steps.withColumn("n_rows", evolved.agg(F.count(F.lit(1)).alias("n")).scalar())
+
+    return one("safe").unionByName(one("force"))
 
 
 @register("evolve_safe", "Q13", f"SELECT {CUST}, CAST(NULL AS STRING) AS tier, CAST(NULL AS STRING) AS since FROM {{target_customers}}")
@@ -287,13 +301,20 @@ def evolve_force(spark, sf):
 
 
 @register("auto_migrate", "Q13", """
-SELECT action, CAST(step AS BIGINT) AS step FROM (VALUES ('created', 1), ('no_change', 2), ('auto_migrated', 3), ('requires_review', 4)) t(action, step) WHERE (SELECT COUNT(*) FROM {customer}) > 0""")
+SELECT t.action, CAST(t.step AS BIGINT) AS step, COUNT(*) AS n_rows, CASE WHEN t.action = 'auto_migrated' THEN CAST(0 AS BIGINT) ELSE CAST(SUM(c.has_tier) AS BIGINT) END AS n_tier
+FROM (VALUES ('created', 1), ('no_change', 2), ('auto_migrated', 3), ('requires_review', 4)) t(action, step)
+JOIN (SELECT 'requires_review' AS action, 1 AS has_tier FROM {target_customers}
+  UNION ALL SELECT x.action, 0 FROM {target_customers} CROSS JOIN (VALUES ('created'), ('no_change'), ('auto_migrated')) x(action)) c ON c.action = t.action
+GROUP BY t.action, t.step""")
 def auto_migrate(spark, sf):
     current = view(spark, sf, "target_customers")
     wider = current.withColumn("tier", F.lit("x"))
-    runs = [(None, current), (current, current), (current, wider), (wider, current)]
-    rows = [(tb.auto_migrate(a, b)[0], i + 1) for i, (a, b) in enumerate(runs)]
-    return literal_table(spark, rows, "action string, step bigint")
+    parts = []
+    for step, (before, incoming) in enumerate([(None, current), (current, current), (current, wider), (wider, current)], 1):
+        action, result = tb.auto_migrate(before, incoming)
+        tier = F.count("tier") if "tier" in result.columns else F.lit(0)
+        parts.append(result.agg(F.lit(action).alias("action"), F.lit(step).alias("step"), F.count(F.lit(1)).alias("n_rows"), tier.alias("n_tier")))
+    return reduce(DataFrame.unionByName, parts)
 
 
 @register("file_to_clean_table", "Q8 S3 S7", """
