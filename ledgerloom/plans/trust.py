@@ -13,7 +13,7 @@ from ledgerloom.operators.tieout import tie_out
 from ledgerloom.reference_data import (
     BANK_NAMES, INSTALMENT_TYPES, MATRIX_BANKS, PLUG_BANKS, SUBTOTAL, TRANSACTION_TYPES,
 )
-from ledgerloom.session import settle
+from ledgerloom.session import settle, settle_all
 
 MEASURES = ["total_claimed", "total_service_fee"]
 
@@ -81,11 +81,18 @@ def matrix_from_wide(wide: DataFrame) -> DataFrame:
     )
 
 
+def settled_matrix(totals: dict[str, DataFrame], summary: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The written matrix and statement summary. The totals of the banks are independent and run side by side."""
+    settled = settle_all({**totals, "escrow_summary": summary})
+    statement = settled.pop("escrow_summary")
+    return settle(trust_matrix(settled, statement), "trust_account_fee"), statement
+
+
 def trust_workpaper(totals: dict[str, DataFrame], summary: DataFrame) -> dict[str, DataFrame]:
-    totals_by_bank = settle(summary, "escrow_summary")
-    matrix = settle(trust_matrix(totals, totals_by_bank), "trust_account_fee")
+    """Matrix, report form and tie-out."""
+    matrix, statement = settled_matrix(totals, summary)
     return {
         "trust_account_fee": matrix,
         "trust_account_fee_wide": trust_wide(matrix),
-        "trust_account_validation": trust_validation(matrix, totals_by_bank),
+        "trust_account_validation": trust_validation(matrix, statement),
     }

@@ -16,7 +16,6 @@ from ledgerloom.registry.q_statements import CTES as STATEMENT_CTES
 from ledgerloom.registry.q_statements import PAID
 from ledgerloom.registry.views import DAILY, PERIOD as P
 from ledgerloom.registry.views import view
-from ledgerloom.session import settle
 
 KEYED = inst.PlainLayout(term="term", amount="amount", fee="fee", row_kind="kind", fill=("term",))
 LISTED = inst.PlainLayout(term="row_term", amount="amount", fee="fee", row_kind="row_term",
@@ -149,7 +148,7 @@ def summary_of(spark, sf):
 
 
 def matrix_of(spark, sf):
-    return settle(tr.trust_matrix(totals_by_bank(spark, sf), summary_of(spark, sf)), "trust_account_fee")
+    return tr.settled_matrix(totals_by_bank(spark, sf), summary_of(spark, sf))[0]
 
 
 def receipt_report_of(spark, sf):

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -60,3 +61,10 @@ def settle(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def settle_all(frames: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """Settle independent small results side by side: their jobs share the executors, and each plan stays
+    small, where one plan over all of them would be re-optimised after every stage."""
+    with ThreadPoolExecutor(max_workers=max(1, len(frames))) as pool:
+        return dict(zip(frames, pool.map(lambda item: settle(item[1], item[0]), frames.items())))
