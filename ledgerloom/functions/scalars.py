@@ -8,7 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.text import map_of
-from ledgerloom.reference_data import FALSE_WORDS, NULL_TEXTS, STRIP_CHARS, TRUE_WORDS
+from ledgerloom.reference_data import FALSE_WORDS, STRIP_CHARS, TRUE_WORDS
 
 # Strftime codes and their Spark pattern letters.
 STRFTIME_CODES = {
@@ -47,12 +47,6 @@ def spark_pattern(fmt: str) -> str:
     return re.sub(r"%[A-Za-z]", lambda m: STRFTIME_CODES[m.group(0)], fmt)
 
 
-def text_or_null(col: Column) -> Column:
-    """Trimmed text; the usual missing-value marks become NULL."""
-    text = F.trim(col.cast("string"))
-    return F.when(~text.isin(*NULL_TEXTS), text)
-
-
 def strip_chars(col: Column, chars: list[str] | None = None) -> Column:
     """Remove every listed character in one pass."""
     return F.translate(col, "".join(STRIP_CHARS if chars is None else chars), "")
@@ -64,7 +58,10 @@ def has_any_char(col: Column, chars: list[str] | None = None) -> Column:
 
 
 def to_integer(col: Column) -> Column:
-    """Whole number from dirty text; a fraction is cut off, what cannot be read is NULL."""
+    """Whole number from dirty text; a fraction is cut off, what cannot be read is NULL.
+
+    Marks for a missing value (blank, ``-``, ``N/A``, ``nan``, ``None``) are no numbers, so they need no list.
+    """
     return strip_chars(col.cast("string"), [",", "$", "元"]).try_cast("decimal(38,18)").try_cast("bigint")
 
 

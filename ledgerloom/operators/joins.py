@@ -85,11 +85,6 @@ def add_aggregates(left: DataFrame, right: DataFrame, keys: list[str], measures:
     return both.groupBy(*keys).agg(*[F.coalesce(F.sum(m), F.lit(0)).alias(m) for m in measures])
 
 
-def keep_listed(df: DataFrame, allowed: DataFrame, key: Column, allowed_key: Column) -> DataFrame:
-    """Rows whose key occurs in another table."""
-    return df.join(allowed.select(allowed_key.alias("_allowed")).distinct(), key == F.col("_allowed"), "left_semi")
-
-
 def lookup(df: DataFrame, dim: DataFrame, key: str, dim_key: str, value: str, out: str) -> DataFrame:
     """Add ``value`` of a small keyed table; unknown keys give NULL."""
     side = dim.select(F.col(dim_key).alias("_dk"), F.col(value).alias(out))

@@ -64,11 +64,6 @@ def pivot_with_margins(
     )
 
 
-def pivot_cells(df: DataFrame, row: str, cells: dict[str, Column], value: str) -> DataFrame:
-    """One output column per named condition: the sum of ``value`` where it holds."""
-    return df.groupBy(row).agg(*[F.sum(F.when(cond, F.col(value))).alias(name) for name, cond in cells.items()])
-
-
 def complete_grid(df: DataFrame, keys: dict[str, list]) -> DataFrame:
     """Every combination of the listed key values; combinations without data get NULL measures.
 

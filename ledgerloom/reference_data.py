@@ -188,8 +188,7 @@ WORKPAPER_SHEETS = [
     ("apcc_history", "APCC手續費_history"),
 ]
 
-# Texts that mean "no value", and the words of the boolean cast.
-NULL_TEXTS = ["", "nan", "None", "N/A", "-"]
+# The words of the boolean cast, and the characters stripped from text numbers.
 TRUE_WORDS = ["true", "yes", "1", "y", "t", "是", "有"]
 FALSE_WORDS = ["false", "no", "0", "n", "f", "否", "無"]
 STRIP_CHARS = [",", "$", "€", "¥", " ", "￥", "₩", "£", "_", "-"]

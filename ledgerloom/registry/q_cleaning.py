@@ -11,6 +11,7 @@ from ledgerloom.operators.joins import merge
 from ledgerloom.operators.tables import delete_where
 from ledgerloom.registry.core import register
 from ledgerloom.registry.views import view
+from ledgerloom.session import scratch_path
 from ledgerloom.sources import readers as rd
 
 AMT = "CAST(amt AS DOUBLE)"
@@ -202,7 +203,10 @@ def bronze_lineage(spark, sf):
 @register("silver_pass", "Q7 Q8", """
 SELECT k AS key, amount, CAST(day AS STRING) AS day, flag, note, 'bank' AS channel, 'batch-1' AS _batch_id FROM {o_silver}""", CTES, {"amount": "DOUBLE", "flag": "STRING"})
 def silver_pass(spark, sf):
-    return qu.silver(bronze_of(spark, sf), SCHEMA, validate=True).drop("_source_file", "_sheet_name", "_ingested_at")
+    # cast, counted and written in one pass; read only if the breaker held
+    path = scratch_path(spark, "silver")
+    qu.write_silver(bronze_of(spark, sf), SCHEMA, path)
+    return spark.read.parquet(path).drop("_source_file", "_sheet_name", "_ingested_at")
 
 
 @register("generic_clean", "P7 U2", """

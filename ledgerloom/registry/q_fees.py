@@ -11,6 +11,7 @@ from ledgerloom.registry.q_trust import CTES as TRUST_CTES
 from ledgerloom.registry.q_trust import _tie, matrix_of, summary_of, totals_by_bank
 from ledgerloom.registry.views import DAILY, PERIOD as P
 from ledgerloom.registry.views import view
+from ledgerloom.session import settle
 
 END = P.end.isoformat()
 
@@ -137,9 +138,10 @@ def summary_long(spark, sf):
     return fe.with_charge_rate(fe.summary_long(trust_wide(plug_of(spark, sf)), END))
 
 
-@register("payment_report", "R4 D10", REPORT_SQL, CTES)
+@register("payment_report", "R4", REPORT_SQL, CTES)
 def payment_report(spark, sf):
-    return pipeline_of(spark, sf)["payment_report"]
+    summary = settle(plug_of(spark, sf), "apcc_summary")
+    return fe.payment_report(fe.with_charge_rate(fe.summary_long(trust_wide(summary), END)), END)
 
 
 @register("commission_vs_receipts", "J6 D10", _tie("total_claimed", "Net_Billing").replace("{o_matrix}", "{o_adjusted}"), CTES)

@@ -171,3 +171,10 @@ def test_table_validation_counts(spark):
         df, ["k", "zz"], ["k"], ["s"], {"k positive": F.col("k") > 0}).collect()}
     assert got[("unique", "k")] == ("warning", 2, False) and got[("not_null", "s")] == ("error", 1, False)
     assert got[("required", "zz")] == ("error", 1, False) and got[("validator", "k positive")] == ("error", 2, False)
+
+
+def test_previews_and_column_choice(spark, rows):
+    df = spark.createDataFrame([("$1", 1), ("2", 2), (None, 3)], "amount_text string, bank_total_claimed int")
+    assert rows(qu.clean_preview(df, "amount_text")) == [("$1", "1")]
+    assert sh.select_matching(df, "claimed|type").columns == ["bank_total_claimed"]
+    assert qu.value_frequency(df, "amount_text", 5, unique=False).count() == 2

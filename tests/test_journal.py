@@ -102,3 +102,15 @@ def test_offline_transfer_may_count_once(spark):
     both = [r["running_balance"] for r in ba.with_running_balance(df, opening).orderBy("Date").collect()]
     single = [r["running_balance"] for r in ba.with_running_balance(df, opening, ("Inbound",)).orderBy("Date").collect()]
     assert both == [114, 134] and single == [110, 130]
+
+
+def test_abnormal_amounts_are_listed(wide):
+    journal = jo.full_journal(wide, P.with_(opening_balances={"200208_debit": Decimal("2000000000000")}))
+    assert [(r["account_no"], r["amount"]) for r in jo.abnormal_lines(journal).collect()] == [("200208", Decimal("2000000000000"))]
+    assert jo.journal_validation(journal).first()["abnormal_amounts"] == 1
+    assert jo.journal_validation(journal.drop("period")).first()["missing_columns"] == "period"
+
+
+def test_zero_lines_may_be_skipped(wide):
+    kept = jo.full_journal(wide, P.with_(skip_zero_amount=True))
+    assert kept.where("amount = 0").count() == 0 and kept.count() > 0

@@ -147,3 +147,17 @@ def test_wide_and_long_matrix_round_trip(spark, rows):
     back = tr.matrix_from_wide(tr.trust_wide(m)).where("metric = 'total_claimed'").select("transaction_type", "bank", F.col("amount").cast("decimal(24,4)"))
     assert rows(back) == rows(m.select("transaction_type", "bank", F.col("total_claimed").cast("decimal(24,4)")))
     assert [c for c in tr.trust_wide(m, claimed_only=True).columns if "service" in c] == []
+
+
+def test_fee_pipeline_hangs_together(spark, sf_dir):
+    from ledgerloom.registry.q_fees import END, pipeline_of
+
+    results = pipeline_of(spark, sf_dir)
+    long = results["apcc_summary_long"].collect()
+    assert len(long) == 60 and {r["period"] for r in long} == {END}
+    report = {r["transaction_type"]: r.asDict() for r in results["payment_report"].collect()}
+    terms = [v for k, v in report.items() if k.startswith(("Non-", "Installment"))]
+    assert len(report) == 8 and report["小計"]["Total Transaction"] == pytest.approx(sum(t["Total Transaction"] for t in terms))
+    shares = [report["Percentage"][b] for b in ("TSB", "NCCC", "Cathay", "CTBC", "UBOT")]
+    assert sum(shares) == pytest.approx(1.0) and report["OCP"]["TSB"] is None
+    assert results["apcc_acquiring_charge_DW"].columns[-1] == "end_date"
