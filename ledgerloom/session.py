@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL_SCRATCH: dict[str, str] = {}
+_SHIPPED: set[str] = set()
 
 
 def build_session(app: str = "ledgerloom", cpus: int | str = "*", memory: str = "8g") -> SparkSession:
@@ -68,3 +71,20 @@ def settle_all(frames: dict[str, DataFrame]) -> dict[str, DataFrame]:
     small, where one plan over all of them would be re-optimised after every stage."""
     with ThreadPoolExecutor(max_workers=max(1, len(frames))) as pool:
         return dict(zip(frames, pool.map(lambda item: settle(item[1], item[0]), frames.items())))
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors once per application, for functions that run in Python workers there."""
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED:
+        return
+    top = os.path.dirname(os.path.abspath(__file__))
+    archive = os.path.join(tempfile.mkdtemp(prefix="ledgerloom-"), "ledgerloom-package.zip")
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as out:
+        for folder, _, names in os.walk(top):
+            for name in names:
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    out.write(path, os.path.relpath(path, os.path.dirname(top)))
+    context.addPyFile(archive)
+    _SHIPPED.add(context.applicationId)
