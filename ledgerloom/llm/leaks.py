@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.texts import ALNUM, chunks, flat, map_batches, no_clash, schema_of, windows, words
+from ledgerloom.llm.texts import ALNUM, chunks, flat, map_batches, schema_of, windows, without, words
 
 #: words of a window, words of a shingle
 SIZE, SHINGLE = 10, 3
@@ -146,9 +146,10 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_i
 
     Null and empty texts have no words, no hits and no items. An item without words is never found; a null item id is "". Repeated
     rows of documents give equal results, repeated items count once by id. With an empty benchmark nothing
-    is hit. Columns of the input that are called like the new ones are an error.
+    is hit. An input column called
+    like a new one gives way to it.
     """
-    no_clash(docs, "n_words", "hits", "items")
+    docs = without(docs, "n_words", "hits", "items")
     spark = docs.sparkSession
     items = benchmark.select(F.col(item_id).cast("string").alias("item"), F.coalesce(F.col(item_text), F.lit("")).alias("text"))
     volume = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0

@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from ledgerloom.llm.texts import PLAIN, byte_table, chunks, hashes, map_batches, mix, no_clash, row_of, schema_of, spans, windows
+from ledgerloom.llm.texts import PLAIN, byte_table, chunks, hashes, map_batches, mix, row_of, schema_of, spans, windows, without
 
 #: fixed values of the base rules
 SYMBOLS, MIN_WORDS, REPEAT_PERCENT = b"#*$%&|<>", 50, 50
@@ -111,11 +111,11 @@ def quality(docs: DataFrame, text: str = "text", cleaned: str = "cleaned") -> Da
     if the base rules fail or over half of the word characters go with the lines.
 
     Each row is judged by itself, so nothing shuffles. A null or empty text has no words and fails; its cleaned text is null or
-    empty. Repeated rows are judged alike. Columns of the input called like the new ones are an error.
+    empty. Repeated rows are judged alike. An input column called like a new one gives way to it.
     """
-    names = docs.columns
     new = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "n_lines_removed", cleaned, "kept"]
-    no_clash(docs, *new)
+    docs = without(docs, *new)
+    names = docs.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, data, bounds in chunks(batches, text):

@@ -24,7 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from ledgerloom.llm.texts import chunks, map_batches, no_clash, schema_of
+from ledgerloom.llm.texts import chunks, map_batches, schema_of, without
 
 SPACE = "▁"
 #: distinct segments kept from one chunk to the next by a task
@@ -246,10 +246,10 @@ def encode_decode(docs: DataFrame, path: str, text: str = "text", ids: str = "id
     end ids, and ``decoded``, the text read back from those ids.
 
     ``path`` names the vocabulary file, which every executor has. Null and empty texts give the begin and end ids and an
-    empty decoded text. Repeated rows give equal results, an empty table gives no rows. Columns of the input
-    that are called like the new ones are an error.
+    empty decoded text. Repeated rows give equal results, an empty table gives no rows. An input column called
+    like a new one gives way to it.
     """
-    no_clash(docs, ids, decoded)
+    docs = without(docs, ids, decoded)
     names = docs.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

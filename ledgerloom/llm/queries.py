@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import leaks, lines, pieces
+from ledgerloom.llm import leaks, lines, passages, pieces, similar
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -41,6 +41,11 @@ def op1_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_digests(documents(spark, sf_dir))
 
 
+@query
+def op5_similar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return similar.near_duplicates(documents(spark, sf_dir)).drop("txt")
+
+
 @query
 def op7_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet").select("item_id", "text")
@@ -56,3 +61,8 @@ def op8_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.quality(documents(spark, sf_dir)).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "n_lines_removed"
     )
+
+
+@query
+def op10_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.cut_repeats(documents(spark, sf_dir)).select("doc_id", "n_words", "n_removed", F.sha2(F.encode("kept", "UTF-8"), 256).alias("kept_sha256"))

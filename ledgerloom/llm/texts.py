@@ -15,7 +15,8 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from ledgerloom.session import ship_package
 
@@ -64,10 +65,19 @@ def schema_of(rows: DataFrame) -> str:
     return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields)
 
 
-def no_clash(rows: DataFrame, *new: str) -> None:
-    """Raises if ``rows`` has a column called like a new one."""
-    if clash := sorted(set(new) & set(rows.columns)):
-        raise ValueError(f"columns exist already: {clash}")
+def without(rows: DataFrame, *new: str) -> DataFrame:
+    """``rows`` without the columns that new ones replace."""
+    return rows.drop(*new)
+
+
+def held(rows: DataFrame) -> DataFrame:
+    """``rows`` with all columns under names that no operator gives; ``released`` undoes it."""
+    return rows.toDF(*[f"_in_{c}" for c in rows.columns])
+
+
+def released(rows: DataFrame, columns: list[str], **new: Column) -> DataFrame:
+    """The columns of the rows that ``held`` took, some with new values."""
+    return rows.select(*[new.get(c, F.col(f"`_in_{c}`")).alias(c) for c in columns])
 
 
 def flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
