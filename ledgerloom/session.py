@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import tempfile
 import uuid
@@ -88,3 +89,10 @@ def ship_package(spark: SparkSession) -> None:
                     out.write(path, os.path.relpath(path, os.path.dirname(top)))
     context.addPyFile(archive)
     _SHIPPED.add(context.applicationId)
+
+
+def release(spark: SparkSession) -> None:
+    """Let go of finished steps: Spark deletes the shuffle files of plans that nothing refers to when the driver collects its
+    garbage, which it may do too late for jobs of many large steps."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
