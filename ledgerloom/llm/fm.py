@@ -10,6 +10,9 @@ from __future__ import annotations
 
 import numpy as np
 
+#: searches that advance side by side
+BLOCK = 1 << 14
+
 
 class Bits:
     """Packed bits with rank."""
@@ -30,6 +33,12 @@ class Bits:
         return self.before[block] + np.bitwise_count(self.blocks[block] & mask)
 
 
+    def step(self, at: np.ndarray, one: np.ndarray) -> np.ndarray:
+        """Where places go on the next level, by the bit of the symbol that is followed."""
+        ones = self.rank(at)
+        return np.where(one, ones + self.zeros, at - ones)
+
+
 class Index:
     """The index of the segments ``words[bounds[i]:bounds[i + 1]]``."""
 
@@ -43,12 +52,17 @@ class Index:
         order = self._sorted(text, depth)
         last = text[order - 1]  # the first suffix is preceded by the last end mark
         self.first = np.searchsorted(text[order], np.arange(len(self.known) + 2))
-        self.levels: list[Bits] = []
-        self.height = max(1, int(len(self.known)).bit_length())
-        for level in reversed(range(self.height)):
+        self.levels: list[tuple[int, Bits]] = []
+        # where the symbols' own runs begin behind the last level
+        begin = np.zeros(len(self.known) + 1, np.int64)
+        symbols = np.arange(len(begin))
+        for level in reversed(range(max(1, int(len(self.known)).bit_length()))):
             bit = (last >> level & 1).astype(np.uint8)
-            self.levels.append(Bits(bit))
+            bits = Bits(bit)
+            self.levels.append((level, bits))
             last = np.concatenate([last[bit == 0], last[bit == 1]])
+            begin = bits.step(begin, (symbols >> level & 1).astype(bool))
+        self.base = self.first[:-1] - begin
 
     @staticmethod
     def _sorted(text: np.ndarray, depth: int) -> np.ndarray:
@@ -66,33 +80,36 @@ class Index:
             done *= 2
         return np.argsort(rank, kind="stable")
 
-    def _rank(self, symbol: np.ndarray, at: np.ndarray) -> np.ndarray:
-        """How often each symbol stands in the transform before each place."""
-        lo, hi = np.zeros(len(at), np.int64), at
-        for level, bits in zip(reversed(range(self.height)), self.levels, strict=True):
-            one = (symbol >> level & 1).astype(bool)
-            a, b = bits.rank(lo), bits.rank(hi)
-            lo = np.where(one, bits.zeros + a, lo - a)
-            hi = np.where(one, bits.zeros + b, hi - b)
-        return hi - lo
-
-    def statistics(self, words: np.ndarray, bounds: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
-        """For the place behind every word of the streamed segments: how many words back, at most ``depth``, the index knows
-        the sequence (matching statistics), and the first row of its suffixes."""
+    def _back(self, symbol: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """The bounds of suffixes that go on with what stands at the given bounds, after a symbol."""
+        for level, bits in self.levels:
+            at = bits.step(at, (symbol >> level & 1).astype(bool))
+        return self.base[symbol] + at
+
+    def statistics(self, words: np.ndarray, bounds: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """For streamed segments: the words that have ``depth`` words up to them, how far back from there, at most ``depth``, the
+        index knows the sequence (matching statistics), and the first row of its suffixes."""
         found = np.searchsorted(self.known, words)
         number = np.where((found < len(self.known)) & (self.known[np.minimum(found, len(self.known) - 1)] == words), found + 1, 0)
         room = np.arange(len(words)) - np.repeat(bounds[:-1], np.diff(bounds)) + 1
-        lo, hi = np.zeros(len(words), np.int64), np.full(len(words), self.first[-1])
-        length = np.zeros(len(words), np.int64)
-        live = np.arange(len(words))
-        for step in range(depth):
-            live = live[room[live] > step]
-            symbol = number[live - step]
-            live, symbol = live[symbol > 0], symbol[symbol > 0]
-            a = self.first[symbol] + self._rank(symbol, lo[live])
-            b = self.first[symbol] + self._rank(symbol, hi[live])
-            some = b > a
-            live = live[some]
-            lo[live], hi[live] = a[some], b[some]
-            length[live] = step + 1
-        return length, lo
+        ends = np.flatnonzero(room >= depth)
+        first, length = np.zeros(len(ends), np.int64), np.zeros(len(ends), np.int64)
+        for a in range(0, len(ends), BLOCK):
+            end = ends[a : a + BLOCK]
+            lo, hi, known = np.zeros(len(end), np.int64), np.full(len(end), self.first[-1]), np.zeros(len(end), np.int64)
+            live = np.arange(len(end))
+            for step in range(depth):
+                symbol = number[end[live] - step]
+                if not symbol.all():
+                    live, symbol = live[symbol > 0], symbol[symbol > 0]
+                if step:
+                    both = self._back(np.concatenate([symbol, symbol]), np.concatenate([lo[live], hi[live]]))
+                    low, high = both[: len(live)], both[len(live) :]
+                else:
+                    low, high = self.first[symbol], self.first[symbol + 1]
+                some = high > low
+                live = live[some]
+                lo[live], hi[live] = low[some], high[some]
+                known[live] = step + 1
+            first[a : a + BLOCK], length[a : a + BLOCK] = lo, known
+        return ends, length, first

@@ -5,10 +5,10 @@ with the input and not with its square: every window of ``size`` words has an an
 smallest hash, and goes to the shard of that anchor. Windows next to each other with the same anchor
 travel as one segment. Equal windows have equal anchors, so all copies of a window meet in one shard.
 
-1. Anchors. Tasks number the segments of their documents by anchor. Of an anchor that a task sees in several documents only one
-   row is shuffled, the others are known to be shared; so no anchor sends more rows than there are tasks. An anchor
-   that turns up twice is shared; all other segments cannot repeat and are left.
-2. Segments. Only documents with shared anchors are fetched. Equal segments are pre-aggregated to one with its smallest doc_id.
+1. Anchors. Tasks list the segments of their documents by anchor. Of an anchor that a task sees in several segments only one
+   row is sent to meet others, the rest are known to be shared and spread; so no anchor gathers more rows than there are
+   tasks. An anchor that turns up twice is shared; all other segments cannot repeat and are left.
+2. Segments. Equal segments are pre-aggregated to one, with its smallest doc_id; only that document's words are fetched.
 3. Index. Each shard indexes its distinct segments and streams them through backward search; windows whose matching
    statistics reach ``size`` fall into one suffix interval if they are equal, and take the interval's smallest doc_id.
 4. Removal. Windows whose smallest doc_id is below the document's own cover the words to remove.
@@ -20,12 +20,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.llm import fm
-from ledgerloom.llm.texts import PLAIN, chunks, map_batches, mix, row_of, schema_of, whole, windows, words
-from ledgerloom.session import settle
+from ledgerloom.llm.texts import PLAIN, chunks, map_batches, mix, row_of, schema_of, span_hashes, windows, words
+from ledgerloom.session import release, settle
 
 #: words of a passage, words of an anchor
 SIZE, ANCHOR = 13, 4
@@ -56,28 +57,33 @@ def anchors(h: np.ndarray, first: np.ndarray, size: int, anchor: int) -> tuple[n
     return begins, ends, best[begins]
 
 
+def _segment_hashes(h: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """One hash for the words from each begin to its end."""
+    return span_hashes(mix(h), begins, ends)
+
+
 def _local(parts: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
-    """Rows of a task: one row of each anchor to be shuffled by it, the rest known as shared and sent anywhere."""
-    doc, text, place, anchor = (np.concatenate(x) for x in zip(*parts, strict=True))
+    """Rows of a task: one row of each anchor to meet others, the rest known as shared and, by their salt, sent anywhere."""
+    doc, text, place, anchor, seg = (np.concatenate(x) for x in zip(*parts, strict=True))
     order = np.argsort(anchor, kind="stable")
     again = np.append(False, anchor[order][1:] == anchor[order][:-1])
     shared = again | np.append(again[1:], False)
-    route = np.where(again, mix(anchor[order] + (np.arange(len(order)) + 1).astype(np.uint64)), anchor[order])
-    arrays = [route.view(np.int64), again, shared, doc[order], text[order], place[order]]
-    return pa.RecordBatch.from_arrays([pa.array(a) for a in arrays], ["route", "again", "shared", "doc", "txt", "place"])
+    salt = np.where(again, np.arange(1, len(order) + 1), 0).astype(np.int32)
+    arrays = [anchor[order].view(np.int64), salt, shared, seg[order].view(np.int64), doc[order], text[order], place[order]]
+    return pa.RecordBatch.from_arrays([pa.array(a) for a in arrays], ["anchor", "salt", "shared", "seg", "doc", "txt", "place"])
 
 
 def _shared(docs: DataFrame, size: int, anchor: int) -> DataFrame:
-    """(doc, txt, place): the segments, by first window, whose anchor stands in another segment too."""
+    """(anchor, seg, doc, txt, place): the segments, with their first words, whose anchor stands in another segment too."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts, n = [], 0
         for batch, data, bounds in chunks(batches, "text"):
             h, first = words(data, bounds, PLAIN)
-            begins, _, hashes = anchors(h, first, size, anchor)
+            begins, ends, hashes = anchors(h, first, size, anchor)
             row = np.searchsorted(first, begins, "right") - 1
             doc, text = (np.asarray(batch.column(k)) for k in (0, 1))
-            parts.append((doc[row], text[row], (begins - first[row]).astype(np.int32), hashes))
+            parts.append((doc[row], text[row], (begins - first[row]).astype(np.int32), hashes, _segment_hashes(h, begins, ends + size - 1)))
             n += len(begins)
             if n >= KEEP:
                 yield _local(parts)
@@ -85,69 +91,75 @@ def _shared(docs: DataFrame, size: int, anchor: int) -> DataFrame:
         if n:
             yield _local(parts)
 
-    rows = map_batches(docs, run, "route bigint, again boolean, shared boolean, doc bigint, txt bigint, place int")
-    met = Window.partitionBy("route", "again")
-    return rows.withColumn("met", F.count(F.lit(1)).over(met)).where("shared or met > 1").select("doc", "txt", "place")
+    rows = map_batches(docs, run, "anchor bigint, salt int, shared boolean, seg bigint, doc bigint, txt int, place int")
+    met = F.count(F.lit(1)).over(Window.partitionBy("anchor", "salt"))
+    return rows.withColumn("met", met).where("shared or met > 1").select("anchor", "seg", "doc", "txt", "place")
 
 
-def _segments(listed: DataFrame, size: int, anchor: int) -> DataFrame:
-    """(anchor, seg, body, doc, txt, place) of the listed segments of each text."""
+def _bodies(listed: DataFrame, size: int, anchor: int) -> DataFrame:
+    """(anchor, seg, doc, body) of the listed segments, by their first words, of each text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, data, bounds in chunks(batches, "text"):
             h, first = words(data, bounds, PLAIN)
             begins, ends, hashes = anchors(h, first, size, anchor)
-            places = batch.column(3)
-            listed_at = np.asarray(places.flatten()).astype(np.int64) + np.repeat(first[:-1], np.diff(np.asarray(places.offsets)))
-            pick = np.searchsorted(begins, np.unique(listed_at))
-            begins, ends, hashes = begins[pick], ends[pick], hashes[pick]
-            row = np.searchsorted(first, begins, "right") - 1
-            doc, text = (np.asarray(batch.column(k)) for k in (0, 1))
-            bodies = [h[a : z + size - 1] for a, z in zip(begins, ends, strict=True)]
-            seg = np.array([whole(b)[0] for b in bodies], np.uint64)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(hashes.view(np.int64)), pa.array(seg.view(np.int64)), pa.array([b.tobytes() for b in bodies], pa.binary()), pa.array(doc[row]), pa.array(text[row]), pa.array((begins - first[row]).astype(np.int32))],
-                ["anchor", "seg", "body", "doc", "txt", "place"],
-            )
-
-    return map_batches(listed, run, "anchor bigint, seg bigint, body binary, doc bigint, txt bigint, place int")
-
-
-def _indexed(anchor: list, seg: list, body: list, doc: list, size: int) -> pa.RecordBatch:
-    """The smallest doc_id of every window of a shard's distinct segments, where it is not the segment's own or copies exist."""
-    text = np.frombuffer(b"".join(body), np.uint64)
-    bounds = np.concatenate([[0], np.cumsum([len(b) // 8 for b in body])])
+            places = batch.column(1)
+            at = np.asarray(places.flatten()).astype(np.int64) + np.repeat(first[:-1], np.diff(np.asarray(places.offsets)))
+            pick = np.searchsorted(begins, np.unique(at))
+            begins, ends, hashes = begins[pick], ends[pick] + size - 1, hashes[pick]
+            long = ends - begins
+            total = np.concatenate([[0], np.cumsum(long)])
+            body = h[np.repeat(begins - total[:-1], long) + np.arange(total[-1])]
+            packed = pa.Array.from_buffers(pa.binary(), len(long), [None, pa.py_buffer((total * 8).astype(np.int32).tobytes()), pa.py_buffer(body.tobytes())])
+            doc = np.asarray(batch.column(0))[np.searchsorted(first, begins, "right") - 1]
+            arrays = [pa.array(hashes.view(np.int64)), pa.array(_segment_hashes(h, begins, ends).view(np.int64)), pa.array(doc), packed]
+            yield pa.RecordBatch.from_arrays(arrays, ["anchor", "seg", "doc", "body"])
+
+    return map_batches(listed, run, "anchor bigint, seg bigint, doc bigint, body binary")
+
+
+def _indexed(rows: list[pa.RecordBatch], size: int) -> pa.RecordBatch:
+    """The smallest doc_id of every window of a shard's distinct segments."""
+    table = pa.Table.from_batches(rows).combine_chunks()
+    body = table.column("body").combine_chunks()
+    _, offsets, data = body.buffers()
+    bounds = np.frombuffer(offsets, np.int32)[body.offset : body.offset + len(body) + 1].astype(np.int64)
+    text = np.frombuffer(data, np.uint8)[bounds[0] : bounds[-1]].view(np.uint64)
+    bounds = (bounds - bounds[0]) // 8
     index = fm.Index(text, bounds, size)
-    length, lo = index.statistics(text, bounds, size)
-    ends = np.flatnonzero(length == size)
+    ends, length, lo = index.statistics(text, bounds, size)
+    ends, lo = ends[length >= size], lo[length >= size]
     of = np.repeat(np.arange(len(body)), np.diff(bounds))[ends]
-    own = np.array(doc, np.int64)[of]
-    key, place = np.unique(lo[ends], return_inverse=True)
+    own = table.column("doc").to_numpy()[of]
+    key, place = np.unique(lo, return_inverse=True)
     least = np.full(len(key), np.iinfo(np.int64).max)
     np.minimum.at(least, place, own)
-    least = least[place]
     cut = np.searchsorted(of, np.arange(len(body) + 1))
-    return pa.RecordBatch.from_arrays(
-        [pa.array(anchor, pa.int64()), pa.array(seg, pa.int64()), pa.ListArray.from_arrays(pa.array(cut, pa.int32()), pa.array(least, pa.int64()))], ["anchor", "seg", "least"]
-    )
+    each = pa.ListArray.from_arrays(pa.array(cut, pa.int32()), pa.array(least[place], pa.int64()))
+    return pa.RecordBatch.from_arrays([table.column("anchor").combine_chunks(), table.column("seg").combine_chunks(), each], ["anchor", "seg", "least"])
 
 
 def _windows(distinct: DataFrame, size: int, shard_words: int) -> DataFrame:
-    """(anchor, seg, least): for each distinct segment the smallest doc_id of each of its windows."""
+    """(anchor, seg, least): for each distinct segment the smallest doc_id of each of its windows. A partition is a row of shards, cut
+    between anchors."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: tuple[list, list, list, list] = ([], [], [], [])
-        n = 0
+        held, n, last = [], 0, None
         for batch in batches:
-            for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if n >= shard_words and row[0] != held[0][-1]:
-                    yield _indexed(*held, size)
-                    held, n = ([], [], [], []), 0
-                for kept, value in zip(held, row, strict=True):
-                    kept.append(value)
-                n += len(row[2]) // 8
-        if n:
-            yield _indexed(*held, size)
+            while batch.num_rows:
+                anchor = np.asarray(batch.column(0))
+                if n >= shard_words and anchor[0] != last:
+                    yield _indexed(held, size)
+                    held, n = [], 0
+                sums = n + np.cumsum(np.asarray(pc.binary_length(batch.column(3)))) // 8
+                full = int(np.searchsorted(sums, shard_words))
+                cut = len(anchor) if full >= len(anchor) - 1 else full + 1
+                while cut < len(anchor) and anchor[cut] == anchor[cut - 1]:
+                    cut += 1
+                held.append(batch.slice(0, cut))
+                n, last, batch = int(sums[cut - 1]), anchor[cut - 1], batch.slice(cut)
+        if held:
+            yield _indexed(held, size)
 
     return map_batches(distinct.repartition("anchor").sortWithinPartitions("anchor"), run, "anchor bigint, seg bigint, least array<bigint>")
 
@@ -186,14 +198,19 @@ def cut_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", siz
     """
     if not 0 < anchor < size:
         raise ValueError("an anchor must be shorter than a passage")
-    rows = docs.select(F.col(doc_id).cast("long").alias("doc"), F.xxhash64(text).alias("txt"), F.col(text).alias("text"))
+    spark = docs.sparkSession
+    rows = docs.select(F.col(doc_id).cast("long").alias("doc"), F.hash(text).alias("txt"), F.col(text).alias("text"))
     known = rows.where("doc is not null and text is not null")
-    listed = _shared(known, size, anchor).groupBy("doc", "txt").agg(F.collect_list("place").alias("places"))
-    segments = settle(_segments(known.join(listed, ["doc", "txt"]).select("doc", "txt", "text", "places"), size, anchor), "passages-segments")
-    distinct = segments.groupBy("anchor", "seg").agg(F.first("body").alias("body"), F.min("doc").alias("doc")).select("anchor", "seg", "body", "doc")
-    least = _windows(distinct, size, shard_words)
+    segments = settle(_shared(known.select("doc", "txt", "text"), size, anchor), "passages-segments")
+    release(spark)
+    source = segments.groupBy("anchor", "seg").agg(F.min(F.struct("doc", "txt", "place")).alias("at"))
+    listed = source.select("at.*").groupBy("doc", "txt").agg(F.collect_list("place").alias("places"))
+    bodies = _bodies(known.join(listed, ["doc", "txt"]).select("doc", "places", "text"), size, anchor)
+    least = settle(_windows(bodies, size, shard_words), "passages-least")
+    del bodies, listed, source
+    release(spark)
     starts = (
-        segments.select("anchor", "seg", "doc", "txt", "place").join(least, ["anchor", "seg"])
+        segments.join(least, ["anchor", "seg"])
         .select("doc", "txt", F.expr("filter(transform(least, (m, i) -> if(m < doc, place + i, null)), x -> x is not null)").alias("starts"))
         .where(F.size("starts") > 0).groupBy("doc", "txt").agg(F.flatten(F.collect_list("starts")).alias("starts"))
     )

@@ -130,9 +130,14 @@ def _power(base: int, n: int) -> np.ndarray:
 
 def hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, table: np.ndarray) -> np.ndarray:
     """The hash of every word."""
-    n = len(data) + 1
+    return span_hashes(table[data], starts, ends)
+
+
+def span_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """One hash for the values from each start to its end."""
+    n = len(values) + 1
     sums = np.zeros(n, np.uint64)
-    np.cumsum(table[data] * _power(_M, n)[: n - 1], out=sums[1:])
+    np.cumsum(values * _power(_M, n)[: n - 1], out=sums[1:])
     inverse = _power(pow(_M, -1, 1 << 64), n)
     return mix((sums[ends] - sums[starts]) * inverse[starts] + (ends - starts).astype(np.uint64))
 
