@@ -5,6 +5,7 @@ from __future__ import annotations
 import gc
 import os
 import tempfile
+import time
 import uuid
 import zipfile
 from concurrent.futures import ThreadPoolExecutor
@@ -93,6 +94,9 @@ def ship_package(spark: SparkSession) -> None:
 
 def release(spark: SparkSession) -> None:
     """Let go of finished steps: Spark deletes the shuffle files of plans that nothing refers to when the driver collects its
-    garbage, which it may do too late for jobs of many large steps."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    garbage, which it may do too late for jobs of many large steps. It takes two rounds: the first one finds the
+    plans, the second one what they held."""
+    for _ in range(2):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.7)
