@@ -5,10 +5,10 @@ from __future__ import annotations
 import os
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import leaks, lines, passages, pieces, similar
+from ledgerloom.llm import chats, found, leaks, linedups, lines, passages, persons, pieces, secrets, similar, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -41,11 +41,79 @@ def op1_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_digests(documents(spark, sf_dir))
 
 
+@query
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    model = toxicity.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "toxic"))
+    done = toxicity.score(docs, model).select("doc_id", toxicity.held_out().alias("held_out"), "score")
+    return done.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
+def _count(kind: str) -> Column:
+    return F.size(F.filter("base", lambda x: x["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+
+@query
+def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = secrets.scan(documents(spark, sf_dir))
+    base, every = found.written(F.col("base")), found.written(F.col("spans"))
+    return done.select("doc_id", *map(_count, secrets.KINDS[:3]), F.sha2(base.cast("binary"), 256).alias("base_sha256"), every.alias("spans"))
+
+
+@query
+def op9_persons(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = persons.scan(documents(spark, sf_dir))
+    base, every = found.written(F.col("base")), found.written(F.col("spans"))
+    return done.select("doc_id", *map(_count, persons.KINDS[:4]), F.sha2(base.cast("binary"), 256).alias("base_sha256"), every.alias("spans"))
+
+
+@query
+def op4_chats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text")
+    extra = r"\### Assistant: </turn> ok"
+    added = spark.range(2).select(F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(extra).alias("text"))
+    turn = F.struct("turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("content"))
+    talks = rows.union(added).groupBy("conv_id").agg(F.array_sort(F.collect_list(turn)).alias("messages"))
+    records = talks.select("conv_id", F.to_json(F.struct(F.transform("messages", lambda m: F.struct(m["role"].alias("role"), m["content"].alias("content"))).alias("messages"))).alias("record"))
+    done = chats.read_back(chats.format_records(records).select("conv_id", "formatted", "loss_mask"))
+    said = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    sha = lambda c: F.sha2(F.encode(c, "UTF-8"), 256)
+    return done.select(
+        "conv_id", F.size("turns").cast("long").alias("n_turns"), sha(said).alias("turns_sha256"), F.length("loss_text").cast("long").alias("loss_chars"), sha(F.col("loss_text")).alias("loss_sha256"),
+        F.length("formatted").cast("long").alias("formatted_chars"),
+    )
+
+
+SQL["op4_chats"] = r"""
+WITH every AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok' UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'
+), marked AS (
+  SELECT *, replace(replace(replace(text, '\', '\\'), '<', '\('), '>', '\)') AS body, replace(replace(replace(role, '\', '\\'), '<', '\('), '>', '\)') AS name FROM every
+)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+  coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+  sum(length('<turn ' || name || '>' || body || '</turn>') + 1)::BIGINT AS formatted_chars
+FROM marked GROUP BY conv_id
+"""
+
+
 @query
 def op5_similar(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similar.near_duplicates(documents(spark, sf_dir)).drop("txt")
 
 
+@query
+def op6_linedups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = linedups.drop_lines(documents(spark, sf_dir))
+    return done.select(
+        "doc_id", F.size(F.split(F.coalesce("text", F.lit("")), "\n", -1)).cast("long").alias("n_lines"), F.size("removed").cast("long").alias("n_removed"),
+        F.array_join(F.transform("removed", lambda i: i.cast("string")), ",").alias("removed_lines"), F.sha2(F.encode(F.coalesce("left_text", F.lit("")), "UTF-8"), 256).alias("left_sha256"),
+    )
+
+
 @query
 def op7_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet").select("item_id", "text")
