@@ -7,13 +7,15 @@ a set takes part in its own band and, if its size allows, in the next one. In a
 * a segment is exact (a pair agrees on it if nothing differs there) or one-deletion (it agrees if at most one shingle
   differs: the subset itself and every subset with one shingle deleted are indexed). With weights 1 and 2, segments
   whose weights sum to H + 1 + spare leave every pair with agreeing segments of weight 1 + spare at least;
-* a set with at most ``spare`` empty exact segments therefore leaves those out: an agreeing segment with content is left;
+* a set therefore leaves out its ``spare`` lightest exact segments, with the fewest shingles: the order is one of contents, so the
+  heaviest agreeing segment is among the lightest ``spare`` of neither set. Light segments are those in which texts meet
+  that share no more than a common passage;
 * how many segments are of either kind, and the spare, minimise a cost: signatures written plus chance meetings, estimated from
   the number of documents that the band has in the whole corpus. With more documents, segments grow longer.
 
 Documents with a signature in common are candidates. Candidates are verified on the shingles of their whole texts. First each set
-is verified against the smallest set that it shares a signature with; then all pairs that share a signature and
-are still in different components. So links between different texts decide every component, while a group of
+is verified against one other that it shares a signature with, then against the leaders of its signatures in other components, then all
+pairs that share a signature and are still in different components. So links between different texts decide every component, while a group of
 thousands of near copies needs one comparison for each member. Equal sets are one node from the start.
 """
 
@@ -29,12 +31,15 @@ from pyspark.sql import functions as F
 
 from ledgerloom.llm.components import components
 from ledgerloom.llm.texts import LOWERED, chunks, map_batches, mix, whole, windows, words
-from ledgerloom.session import settle
+from ledgerloom.session import release, settle
 
 #: words of a shingle; similarity in percent
 SHINGLE, PERCENT = 4, 85
 #: a band's largest size over its smallest; what a chance meeting costs in signatures; rows that a task keeps
-BAND, MEETING, KEEP = 1.4, 20.0, 1 << 20
+BAND, MEETING, KEEP = 1.4, 4.0, 1 << 20
+#: spare segments tried, as a share of those needed; for the estimate of chance meetings, how many of all pairs have a passage in
+#: common, and what share of their texts it is
+SPARES, PASSAGE, COMMON = (0, 0.1, 0.2, 0.35), 0.01, 0.1
 
 
 def shingle_sets(h: np.ndarray, first: np.ndarray, k: int) -> list[np.ndarray]:
@@ -78,21 +83,29 @@ class Bands:
             h = self.differ(band)
             if h < 1:
                 continue  # only equal sets are similar enough
-            size = (self.low[band] + self.low[band + 1]) / 2
+            size = self.low[band]  # the smallest sets of a band have the lightest segments
             best = None
-            for spare in range(4):
+            for extra in SPARES:
+                spare = math.ceil(extra * (h + 1))
                 need = h + 1 + spare
                 for share in (0, 0.25, 0.5, 0.75, 1):
                     ones = min(need // 2, math.ceil(need * share / 2))
                     exact = need - 2 * ones
+                    if exact <= spare and exact + ones > 1:
+                        continue
                     fill = size / (exact + ones)
-                    empty = math.exp(-fill)
-                    many = 1 - sum(math.exp(-exact * empty) * (exact * empty) ** k / math.factorial(k) for k in range(spare + 1))
-                    meet = n * (exact * (max(0.0, many) * empty) ** 2 + ones * (empty * (1 + fill)) ** 2)
-                    cost = exact + ones * (1 + fill) + MEETING * meet
+                    # shares of segments by how many shingles they hold; the lightest exact ones are spared
+                    held = [math.exp(k * math.log(fill) - fill - math.lgamma(k + 1)) for k in range(60)]
+                    skip, meet = float(spare), 0.0
+                    for k, p in enumerate(held):
+                        left = max(0.0, exact * p - skip)
+                        skip = max(0.0, skip - exact * p)
+                        meet += PASSAGE * p * (left * COMMON**k + ones * p * (COMMON**k + k * COMMON ** max(0, k - 1)))
+                    cost = exact - spare + ones * (1 + fill) + MEETING * n * meet
                     if best is None or cost < best[0]:
                         best = (cost, exact, ones, spare)
-            self.plan[band] = best[1:]
+            if best:
+                self.plan[band] = best[1:]
 
     def signatures(self, s: np.ndarray) -> np.ndarray:
         """All signatures of a set."""
@@ -110,11 +123,11 @@ class Bands:
             edge = np.searchsorted(segment, np.arange(m + 1))
             total = sums[edge[1:]] - sums[edge[:-1]]
             place = (np.arange(m) + (band + 1) * (1 << 40)).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-            filled = edge[1:] > edge[:-1]
-            use = filled | (np.arange(m) >= exact)
-            if (~filled[:exact]).sum() > spare:
-                use[:] = True
-            out.append((total + place)[use])
+            sign = total + place
+            # the spare lightest exact segments are left out; among equals, those with the smallest signature
+            use = np.ones(m, bool)
+            use[np.lexsort((sign[:exact], np.diff(edge)[:exact]))[:spare]] = False
+            out.append(sign[use])
             deleted = segment >= exact
             out.append((total[segment] - salted + place[segment])[deleted])
         return mix(np.unique(np.concatenate(out))) if out else np.zeros(0, np.uint64)
@@ -133,9 +146,9 @@ def _sets(rows: DataFrame, k: int, seed: int) -> DataFrame:
 
 
 def _met(parts: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
-    """Rows of a task: the first node of each signature to be shuffled by it; the rest, known to meet it, sent anywhere."""
-    sig, node = (np.concatenate(x) for x in zip(*parts, strict=True))
-    order = np.lexsort((node, sig))
+    """Rows of a task: the first node of each signature, by doc_id, to be shuffled by it; the rest, known to meet it, sent anywhere."""
+    sig, node, doc = (np.concatenate(x) for x in zip(*parts, strict=True))
+    order = np.lexsort((node, doc, sig))
     sig, node = sig[order], node[order]
     new = np.append(True, sig[1:] != sig[:-1])
     distinct = new | np.append(True, node[1:] != node[:-1])
@@ -146,15 +159,16 @@ def _met(parts: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
 
 
 def _meetings(rows: DataFrame, k: int, seed: int, bands: Bands) -> DataFrame:
-    """(sig, node, lead): signatures that several sets have. A task sends one row of each signature to the shuffle, so
+    """(sig, node, lead): signatures that several sets have; ``lead`` is a set that the task knows to have it too, or null. A task sends one row of each signature to the shuffle, so
     a signature that very many sets have gives no more rows there than there are tasks."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts, n = [], 0
-        for _, data, bounds in chunks(batches, "text"):
-            for s in shingle_sets(*words(data, bounds, LOWERED), k):
+        for batch, data, bounds in chunks(batches, "text"):
+            doc = np.asarray(batch.column(0).fill_null(np.iinfo(np.int64).max))
+            for i, s in enumerate(shingle_sets(*words(data, bounds, LOWERED), k)):
                 if len(s) and len(sig := bands.signatures(s)):
-                    parts.append((sig.view(np.int64), np.full(len(sig), set_hash(s, seed).view(np.int64))))
+                    parts.append((sig.view(np.int64), np.full(len(sig), set_hash(s, seed).view(np.int64)), np.full(len(sig), doc[i])))
                     n += len(sig)
             if n >= KEEP:
                 yield _met(parts)
@@ -163,9 +177,23 @@ def _meetings(rows: DataFrame, k: int, seed: int, bands: Bands) -> DataFrame:
             yield _met(parts)
 
     met = Window.partitionBy("sig", "spread")
-    rows = map_batches(rows.select("text"), run, "sig bigint, node bigint, lead bigint, shared boolean").withColumn("spread", F.when(F.col("lead").isNotNull(), F.col("node")))
+    rows = map_batches(rows.select("doc", "text"), run, "sig bigint, node bigint, lead bigint, shared boolean").withColumn("spread", F.when(F.col("lead").isNotNull(), F.col("node")))
     rows = rows.withColumn("first", F.min("node").over(met)).withColumn("last", F.max("node").over(met))
-    return rows.where("shared or first < last").select("sig", "node", F.coalesce("lead", "first").alias("lead"))
+    return rows.where("shared or first < last").select("sig", "node", "lead")
+
+
+def _led(members: DataFrame) -> DataFrame:
+    """(sig, lead, lead_doc, lead_root): the set of the smallest doc_id of each signature. Copies are often later than what they copy."""
+    least = members.groupBy("sig").agg(F.min(F.struct("doc", "node", "root")).alias("m"))
+    return least.select("sig", F.col("m.node").alias("led_by"), F.col("m.doc").alias("led_doc"), F.col("m.root").alias("led_root"))
+
+
+def _rooted(members: DataFrame, links: DataFrame) -> DataFrame:
+    """Members of signatures whose sets are in several components, with their component."""
+    roots = components(links, "a", "b")
+    named = members.drop("root").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    split = named.groupBy("sig").agg(F.min("root").alias("p"), F.max("root").alias("q")).where("p != q").select("sig")
+    return settle(named.join(split, "sig"), "similar-members")
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
@@ -224,20 +252,28 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     bands.choose(counts)
 
     meetings = settle(_meetings(rows, shingle, seed, bands), "similar-meetings")
-    wanted = meetings.select("node").union(meetings.select("lead")).distinct()
-    holder = sets.join(wanted, "node").groupBy("node").agg(F.min(F.struct("doc", "txt")).alias("at")).select("node", "at.doc", "at.txt")
-    texts = rows.alias("r").join(holder.alias("h"), F.expr("r.doc <=> h.doc and r.txt <=> h.txt")).select("h.node", "r.text").dropDuplicates(["node"])
+    release(spark)
+    least = sets.where("n > 0").groupBy("node").agg(F.min(F.struct(F.coalesce("doc", F.lit((1 << 63) - 1)).alias("doc"), "txt")).alias("at"), F.min("doc").alias("doc"))
+    holder = least.join(meetings.select("node").distinct(), "node", "left_semi")
+    rooms = holder.select("node", F.col("at.doc").alias("d"), F.col("at.txt").alias("t"))
+    texts = rows.join(rooms, (F.coalesce("doc", F.lit((1 << 63) - 1)) == F.col("d")) & (F.col("txt") == F.col("t"))).select("node", "text").dropDuplicates(["node"])
     texts = settle(texts, "similar-texts")
-
-    first = meetings.groupBy("node").agg(F.min("lead").alias("a")).where("a != node").select("a", F.col("node").alias("b"))
-    links = settle(_verified(first, texts, shingle, percent), "similar-links")
+    release(spark)
+
+    members = settle(meetings.join(holder.select("node", F.col("at.doc").alias("doc")), "node").withColumn("root", F.col("node")), "similar-members")
+    # every set with one other: the set of the smallest doc_id that it meets
+    pairs = members.join(_led(members), "sig").select("node", F.struct("led_doc", "led_by").alias("x")).union(members.where("lead is not null").select("node", F.struct(F.col("doc"), F.col("lead"))))
+    pairs = pairs.where("x.led_by != node").groupBy("node").agg(F.min("x").alias("x")).select(F.col("x.led_by").alias("a"), F.col("node").alias("b"))
+    links = settle(_verified(pairs, texts, shingle, percent), "similar-links")
+    # then with those that lead its signatures and are in another component
+    members = _rooted(members.select("sig", "node", "doc"), links)
+    pairs = members.join(_led(members), "sig").where("root != led_root").select(F.col("led_by").alias("a"), F.col("node").alias("b")).distinct()
+    links = settle(links.union(_verified(pairs, texts, shingle, percent)), "similar-links")
+    # then all that meet and are still apart
+    members = _rooted(members, links)
+    pairs = members.alias("x").join(members.alias("y"), F.expr("x.sig = y.sig and x.root < y.root")).select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
+    links = settle(links.union(_verified(pairs, texts, shingle, percent)), "similar-links")
     roots = components(links, "a", "b")
-    named = meetings.select("sig", "node").union(meetings.select("sig", F.col("lead").alias("node"))).distinct().join(roots, "node", "left").select("sig", "node", F.coalesce("root", "node").alias("root"))
-    spread = named.groupBy("sig").agg(F.min("root").alias("p"), F.max("root").alias("q")).where("p != q").select("sig")
-    apart = settle(named.join(spread, "sig"), "similar-apart")
-    second = apart.alias("x").join(apart.alias("y"), F.expr("x.sig = y.sig and x.root < y.root")).select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
-    more = settle(_verified(second, texts, shingle, percent), "similar-links")
-    roots = components(links.union(more), "a", "b")
     member = sets.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     member = settle(member.select("doc", "txt", "n", "root"), "similar-members")
     smallest = member.where("n > 0").groupBy("root").agg(F.min("doc").alias("least"))
