@@ -10,6 +10,7 @@ import uuid
 import zipfile
 from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL_SCRATCH: dict[str, str] = {}
@@ -71,8 +72,12 @@ def settle(df: DataFrame, name: str) -> DataFrame:
 def settle_all(frames: dict[str, DataFrame]) -> dict[str, DataFrame]:
     """Settle independent small results side by side: their jobs share the executors, and each plan stays
     small, where one plan over all of them would be re-optimised after every stage."""
-    with ThreadPoolExecutor(max_workers=max(1, len(frames))) as pool:
-        return dict(zip(frames, pool.map(lambda item: settle(item[1], item[0]), frames.items())))
+    if not frames:
+        return {}
+    # threads that take over the caller's job group and tags
+    one = inheritable_thread_target(next(iter(frames.values())).sparkSession)(lambda item: settle(item[1], item[0]))
+    with ThreadPoolExecutor(max_workers=len(frames)) as pool:
+        return dict(zip(frames, pool.map(one, frames.items())))
 
 
 def ship_package(spark: SparkSession) -> None:

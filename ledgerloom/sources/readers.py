@@ -57,6 +57,12 @@ def header_names(spark: SparkSession, path: str, sep: str = ",", encoding: str =
     return next(csv.reader([first["value"]], delimiter=sep)) if first else []
 
 
+def _column_names(spark: SparkSession, path: str, sep: str, encoding: str, skip_rows: int, header: bool) -> list[str]:
+    """Names from the header line, or ``_c0``, ``_c1``, ... if there is none."""
+    first = header_names(spark, path, sep, encoding, skip_rows)
+    return first if header else [f"_c{i}" for i in range(len(first))]
+
+
 def read_csv(
     spark: SparkSession, path: str, sep: str = ",", encoding: str = "UTF-8", header: bool = True, schema: T.StructType | str | None = None,
     null_values: list[str] | None = None, dates: dict[str, str] | None = None, columns: list[str] | None = None,
@@ -69,7 +75,7 @@ def read_csv(
     charset = _charset(spark, encoding)
     reader = spark.read.option("encoding", charset).option("sep", sep)
     if skip_rows:
-        names = header_names(spark, path, sep, encoding, skip_rows)
+        names = _column_names(spark, path, sep, encoding, skip_rows, header)
         text = T.StructType([T.StructField(n, T.StringType()) for n in names])
         rows = number_file_rows(reader.option("header", False).schema(text).csv(path), "_n")
         below = F.col("_n") > skip_rows + (1 if header else 0)
@@ -102,12 +108,12 @@ def read_dirty_csv(spark: SparkSession, path: str, spec: SourceSpec = SourceSpec
     ``encoding='auto'`` tries UTF-8 and falls back to cp950.
     """
     encoding = detect_encoding(spark, path) if spec.encoding == "auto" else spec.encoding
-    names = header_names(spark, path, spec.delimiter, encoding, spec.skip_rows)
+    names = _column_names(spark, path, spec.delimiter, encoding, spec.skip_rows, spec.header)
     wide = T.StructType([T.StructField(n, T.StringType()) for n in [*names, "_overflow"]])
     reader = spark.read.option("encoding", _charset(spark, encoding)).option("sep", spec.delimiter).option("mode", "PERMISSIVE")
     if spec.skip_rows:
         rows = number_file_rows(reader.option("header", False).schema(wide).csv(path), "_n")
-        rows = rows.where(F.col("_n") > spec.skip_rows + 1).drop("_n")
+        rows = rows.where(F.col("_n") > spec.skip_rows + (1 if spec.header else 0)).drop("_n")
     else:
         rows = reader.option("header", spec.header).option("enforceSchema", True).schema(wide).csv(path)
     return rows.where(F.col("_overflow").isNull()).drop("_overflow")

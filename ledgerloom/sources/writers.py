@@ -7,6 +7,7 @@ from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerloom.operators.literals import literal_table
 from ledgerloom.operators.tables import upsert
@@ -79,10 +80,13 @@ def upsert_dataset(source: DataFrame, path: str, keys: list[str], match: str = "
     """Upsert into a Parquet dataset.
 
     When the dataset is partitioned by some of the keys, tuple matching rewrites only the partitions
-    that occur in the source, in dynamic overwrite mode.
+    that occur in the source, in dynamic overwrite mode. Partition columns are read with the types they have in
+    the source: inferred from folder names, a text key such as ``03`` would come back as a number and match nothing.
     """
     spark = source.sparkSession
-    target = spark.read.parquet(path)
+    found = spark.read.parquet(path).schema
+    own = {f.name: f.dataType for f in source.schema.fields if f.name in (partition_by or [])}
+    target = spark.read.schema(T.StructType([T.StructField(f.name, own.get(f.name, f.dataType)) for f in found.fields])).parquet(path)
     local = bool(partition_by) and match == "tuple" and set(partition_by) <= set(keys)
     if not local:
         replace_dataset(upsert(target, source, keys, match), path, partition_by)

@@ -163,3 +163,26 @@ def test_stage_snapshot_keeps_labels_and_variables(spark, target, tmp_path, rows
     wr.save_stage(str(tmp_path), "s1", {"t": target}, {"end": dt.date(2024, 1, 31), "rate": 0.05}, spark)
     tables, variables = wr.load_stage(spark, str(tmp_path), "s1", ["t"])
     assert rows(tables["t"]) == rows(target) and variables == {"end": "2024-01-31", "rate": "0.05"}
+
+
+def test_upsert_keeps_text_partition_keys_and_missing_keys(spark, tmp_path, rows):
+    from ledgerloom.operators.tables import upsert
+    from ledgerloom.sources.writers import upsert_dataset
+
+    path = f"{tmp_path}/terms"
+    spark.createDataFrame([("03", 1, "old"), ("06", 2, "old")], "term string, id int, v string").write.partitionBy("term").parquet(path)
+    upsert_dataset(spark.createDataFrame([("03", 1, "new")], "term string, id int, v string"), path, ["term", "id"], partition_by=["term"])
+    assert rows(spark.read.schema("term string, id int, v string").parquet(path), "term", "id", "v") == [("03", 1, "new"), ("06", 2, "old")]
+    target = spark.createDataFrame([(None, "old"), (1, "old")], "k int, v string")
+    assert rows(upsert(target, spark.createDataFrame([(None, "new")], "k int, v string"), ["k"]), "k", "v") == [(1, "old"), (None, "new")]
+
+
+def test_files_without_a_header_keep_their_first_row(spark, tmp_path, rows):
+    from ledgerloom.sources.readers import SourceSpec, read_csv, read_dirty_csv
+
+    path = f"{tmp_path}/plain.csv"
+    with open(path, "w", encoding="utf-8") as out:
+        out.write("title\n1,x\n2,y\n")
+    df = read_dirty_csv(spark, path, SourceSpec(encoding="utf-8", header=False, skip_rows=1))
+    assert df.columns == ["_c0", "_c1"] and rows(df) == [("1", "x"), ("2", "y")]
+    assert rows(read_csv(spark, path, header=False, skip_rows=1), "_c0", "_c1") == [("1", "x"), ("2", "y")]
