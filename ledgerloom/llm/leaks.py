@@ -87,20 +87,20 @@ def members(keys: np.ndarray, known: np.ndarray) -> np.ndarray:
 
 def _counted(docs: DataFrame, text: str, index: Index) -> dict[int, int]:
     """How often each shingle of the block stands in all documents; summed in tasks before the shuffle."""
-    known = docs.sparkSession.sparkContext.broadcast(index.shingles)
+    known = index.shingles  # goes with the function: bounded by the block
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = {k: np.zeros(len(s), np.int64) for k, s in known.value.items()}
+        total = {k: np.zeros(len(s), np.int64) for k, s in known.items()}
         for _, data, bounds in chunks(batches, text):
             h, first = words(data, bounds, ALNUM)
-            for k, s in known.value.items():
+            for k, s in known.items():
                 if not len(s):
                     continue
                 keys = windows(h, k).view(np.int64)
                 at = members(keys, s)
                 at = at[_same_row(at, k, first)]
                 total[k] += np.bincount(np.searchsorted(s, keys[at]), minlength=len(s))
-        shingle = np.concatenate([known.value[k][total[k] > 0] for k in total])
+        shingle = np.concatenate([known[k][total[k] > 0] for k in total])
         seen = np.concatenate([total[k][total[k] > 0] for k in total])
         yield pa.RecordBatch.from_arrays([pa.array(shingle, pa.int64()), pa.array(seen, pa.int64())], ["shingle", "seen"])
 
@@ -150,7 +150,6 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_i
     like a new one gives way to it.
     """
     docs = without(docs, "n_words", "hits", "items")
-    spark = docs.sparkSession
     items = benchmark.select(F.col(item_id).cast("string").alias("item"), F.coalesce(F.col(item_text), F.lit("")).alias("text"))
     volume = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n_blocks = max(1, -(-volume // block))
@@ -164,10 +163,8 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_i
         for w, row in enumerate(index.rows):
             index.words[w, : len(row)] = row
         index.rows = []
-        sent = spark.sparkContext.broadcast(index)
 
-        def run(batches: Iterator[pa.RecordBatch], sent=sent, more: bool = b > 0) -> Iterator[pa.RecordBatch]:
-            known: Index = sent.value
+        def run(batches: Iterator[pa.RecordBatch], known: Index = index, more: bool = b > 0) -> Iterator[pa.RecordBatch]:
             for batch, data, bounds in chunks(batches, text):
                 h, first = words(data, bounds, ALNUM)
                 begin, window = _hits(known, h, first)

@@ -5,7 +5,7 @@ A linear classifier over hashed words is trained from confirmed toxic texts and
 the share that the positives among them cost; where a batch drives this below zero, the step goes against it.
 
 Training texts are a bounded sample (``positives`` and ``unlabelled`` texts, by the hash of their doc_id), so the ids that are
-broadcast, the features that reach the driver and the model have a proven size. Every text is scored, over its whole length.
+joined, the features that reach the driver and the model have a proven size. Every text is scored, over its whole length.
 """
 
 from __future__ import annotations
@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.texts import ALNUM, chunks, map_batches, schema_of, without, words
+from ledgerloom.session import settle
 
 #: bounds of the training sample, in texts; hash buckets of words
 POSITIVES, UNLABELLED, BUCKETS = 4000, 16000, 1 << 18
@@ -121,7 +122,6 @@ def train(docs: DataFrame, labels: DataFrame, text: str = "text", positives: int
 
     The class prior is the share of toxic rows among training labels. Null labels and null doc_ids are not used.
     """
-    spark = docs.sparkSession
     known = labels.where(~held_out() & F.col("toxic").isNotNull() & F.col("doc_id").isNotNull()).select("doc_id", "toxic")
     n, share = known.agg(F.count(F.lit(1)), F.avg(F.col("toxic").cast("double"))).first()
     if not n or not share:
@@ -131,7 +131,7 @@ def train(docs: DataFrame, labels: DataFrame, text: str = "text", positives: int
     free = docs.where(~held_out() & F.col("doc_id").isNotNull()).select("doc_id").distinct().orderBy(order, "doc_id").limit(unlabelled)
     picked = toxic.withColumn("toxic", F.lit(True)).union(free.withColumn("toxic", F.lit(False)))
     picked = picked.groupBy("doc_id").agg(F.max("toxic").alias("positive"), F.min("toxic").alias("only"))
-    sample = F.broadcast(picked)  # at most positives + unlabelled rows
+    sample = settle(picked, "toxicity-sample")  # at most positives + unlabelled rows, of a size that Spark then knows
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, data, bounds in chunks(batches, "text"):
@@ -169,13 +169,12 @@ def score(docs: DataFrame, model: Model | None, text: str = "text", out: str = "
     docs = without(docs, out)
     if model is None:
         return docs.withColumn(out, F.lit(0.0))
-    sent, names = docs.sparkSession.sparkContext.broadcast(model), docs.columns
+    names = docs.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: Model = sent.value
         for batch, data, bounds in chunks(batches, text):
             bucket, count, row = counted(data, bounds)
-            z = margins(features(bucket, count, row, batch.num_rows, known.use), known.weights, known.bias)
+            z = margins(features(bucket, count, row, batch.num_rows, model.use), model.weights, model.bias)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(1 / (1 + np.exp(-np.clip(z, -50, 50))))], [*names, out])
 
     return map_batches(docs, run, f"{schema_of(docs)}, `{out}` double")
