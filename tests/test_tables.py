@@ -186,3 +186,14 @@ def test_files_without_a_header_keep_their_first_row(spark, tmp_path, rows):
     df = read_dirty_csv(spark, path, SourceSpec(encoding="utf-8", header=False, skip_rows=1))
     assert df.columns == ["_c0", "_c1"] and rows(df) == [("1", "x"), ("2", "y")]
     assert rows(read_csv(spark, path, header=False, skip_rows=1), "_c0", "_c1") == [("1", "x"), ("2", "y")]
+
+
+def test_backup_first_copies_and_stops_on_lost_values(spark, tmp_path):
+    df = spark.createDataFrame([("1", "a"), ("x", "b"), (None, "c")], "k string, v string")
+    want = T.StructType([T.StructField("k", T.LongType()), T.StructField("v", T.StringType())])
+    with pytest.raises(ValueError, match="'k': 1"):
+        tb.evolve(df, want, "backup_first", backup=str(tmp_path / "old"))
+    assert spark.read.parquet(str(tmp_path / "old")).count() == 3
+    out, _ = tb.evolve(df.where("k is null or k != 'x'"), want, "backup_first", backup=str(tmp_path / "older"))
+    assert dict(out.dtypes)["k"] == "bigint" and sorted(r[1] for r in out.collect()) == ["a", "c"]
+    assert tb.evolve(df, want, "force")[0].where("k is null").count() == 2
