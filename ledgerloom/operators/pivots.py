@@ -9,15 +9,22 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions.text import array, literal, name, one_of
 
-MAX_PIVOT_VALUES = 10_000
 
+def long_margins(df: DataFrame, rows: list[str], col: str, value: str, margin: str = "Grand Total") -> DataFrame:
+    """(rows, col, value): sums of every cell, row, column and of all, for any number of columns.
 
-def pivot_values(df: DataFrame, col: str) -> list:
-    """Distinct pivot values in order, read by one small job; too many of them is an error."""
-    rows = df.select(col).where(F.col(col).isNotNull()).distinct().orderBy(col).limit(MAX_PIVOT_VALUES + 1).collect()
-    if len(rows) > MAX_PIVOT_VALUES:
-        raise ValueError(f"{col} has more than {MAX_PIVOT_VALUES} values; keep the result long")
-    return [r[0] for r in rows]
+    Facts are summed once to cells; margins come from these by grouping sets. A key that is summed over shows ``margin`` (all
+    but the first row key show an empty text). Rows with a missing key are left out; an empty table gives no rows.
+    """
+    present = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in [*rows, col]])
+    cells = df.where(present).groupBy(*rows, col).agg(F.sum(value).alias("_cell"))
+    keys = [F.col(k) for k in rows]
+    sums = cells.groupingSets([[*keys, F.col(col)], keys, [F.col(col)], []], *keys, F.col(col)).agg(
+        F.sum("_cell").alias("_sum"), F.count(F.lit(1)).alias("_n"), *[F.grouping(k).alias(f"_g{i}") for i, k in enumerate([*rows, col])]
+    ).where("_n > 0")
+    shown = [margin, *[""] * (len(rows) - 1), margin]
+    labels = [F.when(F.col(f"_g{i}") != 0, shown[i]).otherwise(F.col(k).cast("string")).alias(k) for i, k in enumerate([*rows, col])]
+    return sums.select(*labels, F.col("_sum").alias(value))
 
 
 def pivot_with_margins(
@@ -25,13 +32,14 @@ def pivot_with_margins(
     rows: list[str],
     col: str,
     value: str,
-    col_values: list | None = None,
+    col_values: list,
     margin: str = "Grand Total",
     fill=0,
     post=None,
     col_names: dict | None = None,
 ) -> DataFrame:
-    """Sum of ``value`` by row keys and pivot column, with a total column and a total row.
+    """Sum of ``value`` by row keys and the pivot columns named in ``col_values``, with a total column over all values and a total
+    row. ``long_margins`` has the same sums for values that are not known beforehand.
 
     Facts are summed once to (rows, col); margins come from that small table by grouping sets, told
     apart by ``grouping_id`` and not by NULL. Rows with a missing key are left out of cells and
@@ -39,7 +47,7 @@ def pivot_with_margins(
     """
     present = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in [*rows, col]])
     base = df.where(present).groupBy(*rows, col).agg(F.sum(value).alias("_cell"))
-    values = col_values if col_values is not None else pivot_values(base, col)
+    values = col_values
     names = col_names or {}
 
     cells = [F.expr(f"sum(CASE WHEN {name(col)} = {literal(v)} THEN _cell END) AS _v{i}") for i, v in enumerate(values)]

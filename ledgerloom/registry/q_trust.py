@@ -272,10 +272,19 @@ SELECT CASE WHEN GROUPING(d) = 1 THEN 'Grand Total' ELSE CAST(d AS STRING) END A
   CAST(COALESCE(SUM(v) FILTER (WHERE e = 'view'), 0) AS DOUBLE) AS view, CAST(SUM(v) AS DOUBLE) AS "Grand Total"
 FROM {daily} GROUP BY GROUPING SETS ((d), ())""")
 def margin_pivot_events(spark, sf):
-    # pivot values are found by a job of their own here
     from ledgerloom.operators.pivots import pivot_with_margins
 
-    return pivot_with_margins(view(spark, sf, "daily"), ["d"], "e", "v")
+    return pivot_with_margins(view(spark, sf, "daily"), ["d"], "e", "v", ["click", "error", "purchase", "signup", "view"])
+
+
+@register("margin_long_parts", "A16", """
+SELECT CASE WHEN GROUPING(r) = 1 THEN 'Grand Total' ELSE r END AS r, CASE WHEN GROUPING(c) = 1 THEN 'Grand Total' ELSE CAST(c AS STRING) END AS c, CAST(SUM(v) AS BIGINT) AS v
+FROM (SELECT l_returnflag AS r, l_orderkey AS c, CAST(l_quantity AS BIGINT) AS v FROM lineitem) GROUP BY GROUPING SETS ((r, c), (r), (c), ())""")
+def margin_long_parts(spark, sf):
+    from ledgerloom.operators.pivots import long_margins
+
+    rows = spark.read.parquet(f"{sf}/lineitem.parquet").select(F.col("l_returnflag").alias("r"), F.col("l_orderkey").alias("c"), F.col("l_quantity").cast("long").alias("v"))
+    return long_margins(rows, ["r"], "c", "v")
 
 
 @register("tie_out_fee", "J6", _tie("total_service_fee", "Handling_Fee", "abs"), CTES)
