@@ -75,14 +75,19 @@ def to_number(col: Column, dtype: str = "double") -> Column:
     return (number / scale).cast(dtype)
 
 
-def to_date(col: Column, fmt: str | None = None) -> Column:
-    """Date from text by one format, or in any of the usual layouts."""
-    return by_format(col, fmt).cast("date") if fmt else iso_text(col).try_cast("date")
+def _by_formats(col: Column, fmt: str | list[str]) -> Column:
+    """The first of several formats that a text has."""
+    return F.coalesce(*[by_format(col, f) for f in ([fmt] if isinstance(fmt, str) else fmt)])
 
 
-def to_timestamp(col: Column, fmt: str | None = None) -> Column:
-    """Time stamp from text by one format, or in any of the usual layouts."""
-    return by_format(col, fmt) if fmt else iso_text(col).try_cast("timestamp")
+def to_date(col: Column, fmt: str | list[str] | None = None) -> Column:
+    """Date from text by one format, by the first of several that it has, or in any of the usual layouts."""
+    return _by_formats(col, fmt).cast("date") if fmt else iso_text(col).try_cast("date")
+
+
+def to_timestamp(col: Column, fmt: str | list[str] | None = None) -> Column:
+    """Time stamp from text by one format, by the first of several that it has, or in any of the usual layouts."""
+    return _by_formats(col, fmt) if fmt else iso_text(col).try_cast("timestamp")
 
 
 def to_boolean(col: Column) -> Column:

@@ -178,3 +178,11 @@ def test_previews_and_column_choice(spark, rows):
     assert rows(qu.clean_preview(df, "amount_text")) == [("$1", "1")]
     assert sh.select_matching(df, "claimed|type").columns == ["bank_total_claimed"]
     assert qu.value_frequency(df, "amount_text", 5, unique=False).count() == 2
+
+
+def test_dates_in_the_first_of_several_formats(spark):
+    from ledgerloom.functions.scalars import to_date
+
+    df = spark.createDataFrame([("05.03.2024",), ("2024-03-05",), ("Mar 5 2024",), ("20240305",), ("5th of March",), (None,)], "t string")
+    out = [r[0] for r in df.select(to_date(F.col("t"), ["dd.MM.yyyy", "yyyy-MM-dd", "MMM d yyyy", "yyyyMMdd"]).cast("string")).collect()]
+    assert out == ["2024-03-05"] * 4 + [None, None]
