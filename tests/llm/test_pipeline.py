@@ -63,6 +63,23 @@ def test_near_duplicates(spark, rows, sf_dir):
     assert sum(r[0] == 9001 for r in got) == 1 and sum(r[0] is None for r in got) == 0
 
 
+def test_near_duplicates_up_to_the_rule(spark, sf_dir):
+    word = lambda g, a, z: [f"g{g}w{i}" for i in range(a, z)]
+    texts = []
+    for g, n in enumerate((60, 100, 400, 1500)):
+        base = word(g, 0, n)
+        longer = [base[: n // 2] + word(g, n, n + int(x * (n - 4))) + base[n // 2 :] for x in (0.17, 0.22, 0.3)]  # a passage put in
+        shorter = [base[: n // 3] + base[n // 3 + int(x * (n - 4)) :] for x in (0.12, 0.17, 0.3)]  # one cut
+        changed = [["other" if i % every == 7 else w for i, w in enumerate(base)] for every in (48, 100)]
+        texts += [longer[1], base, *longer[::2], *shorter, *changed] if g % 2 else [base, *longer, *shorter, *changed]
+        texts += [word(g, 5000, 5000 + n), word(g, 5000, 5000 + n) + word(g, 8000, 8000 + int(0.22 * (n - 4)))]  # a group of one such pair
+    docs = [(i, " ".join(t)) for i, t in enumerate(texts)]
+    want = [d for d, _, c in brute.similar(docs, k=5, percent=80) if d == c]
+    assert len(want) < len([d for d, _, c in brute.similar(docs) if d == c])
+    got = stage(spark, "near_duplicates", [(d, t, "en", "s", len(t), "g", 7) for d, t in docs], sf_dir)
+    assert sorted(r[0] for r in got) == want
+
+
 def test_decontaminate(spark, rows, sf_dir):
     items = [tuple(r) for r in spark.read.parquet(f"{sf_dir}/benchmark.parquet").select("item_id", "text").collect()]
     want = [r for r, x in zip(rows, brute.leaks([x[:2] for x in rows], items), strict=True) if not x[5]]
