@@ -107,7 +107,7 @@ def op5_similar(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op6_linedups(spark: SparkSession, sf_dir: str) -> DataFrame:
-    done = linedups.drop_lines(documents(spark, sf_dir))
+    done = linedups.drop_lines(documents(spark, sf_dir), min_words=1)
     return done.select(
         "doc_id", F.size(F.split(F.coalesce("text", F.lit("")), "\n", -1)).cast("long").alias("n_lines"), F.size("removed").cast("long").alias("n_removed"),
         F.array_join(F.transform("removed", lambda i: i.cast("string")), ",").alias("removed_lines"), F.sha2(F.encode(F.coalesce("left_text", F.lit("")), "UTF-8"), 256).alias("left_sha256"),

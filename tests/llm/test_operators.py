@@ -143,6 +143,17 @@ def test_lines_go_on_given_rows(spark, sf_dir, given):
     assert rows == sorted(((d, want[n]) for n, (d, _) in enumerate(some)), key=key)
 
 
+def test_short_lines_go(spark, tmp_path):
+    draw = random.Random(5)
+    short = ["Share this page", "share  THIS page", "one", "a b c d", "a b c d e", "a b c e", " ", "", "d c b a " * 50, "read more here", "All rights reserved."]
+    docs = [(i, "\n".join(draw.sample(short, 6) + [draw.choice(["w x y z", "w x y z v", "w x y", "w x"])] * 2)) for i in range(40)] + [(90, None), (91, "one"), (91, "one")]
+    want = brute.repeated_lines(docs, min_words=1)
+    frame(spark, docs).write.parquet(f"{tmp_path}/documents.parquet")
+    for d, removed in got(queries.QUERIES["op6_linedups"](spark, str(tmp_path)), "doc_id", "removed_lines"):
+        assert removed == ",".join(map(str, want[[x for x, _ in docs].index(d)])), d
+    assert any(want.values()) and not any(brute.repeated_lines([(0, "one\none")]).values())
+
+
 def test_line_rules():
     assert [lines.line_fails(x) for x in ("A plain sentence of words.", "", "Home", "As.", "Home | About | Contact | Login", "WOW!! BUY!! NOW!! THIS!!", "All rights reserved.")] == [
         "", "", "navigation", "", "navigation", "punctuation", "boilerplate",
