@@ -50,8 +50,12 @@ def header_names(spark: SparkSession, path: str, sep: str = ",", encoding: str =
     """Column names from the header line, found below ``skip_rows`` lines."""
     lines = spark.read.option("encoding", _charset(spark, encoding)).csv(path, sep="\u0001", header=False, quote="", schema="value string")
     if skip_rows:
-        numbered = number_file_rows(lines, "_n").where(F.col("_n") == skip_rows + 1)
-        first = numbered.select("value").first()
+        # the first file that is long enough; its first lines by split and id, both of one scan
+        file = F.col("_metadata.file_path")
+        long = lines.groupBy(file.alias("f")).count().where(F.col("count") > skip_rows).agg(F.min("f")).first()[0]
+        at = F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id())
+        top = lines.select("value", file.alias("f"), at.alias("at")).where(F.col("f") == long).orderBy("at").limit(skip_rows + 1)
+        first = top.orderBy(F.desc("at")).first() if long else None
     else:
         first = lines.first()
     return next(csv.reader([first["value"]], delimiter=sep)) if first else []

@@ -122,6 +122,27 @@ def test_row_numbers_follow_the_file_across_splits(spark, tmp_path):
         spark.conf.set("spark.sql.files.maxPartitionBytes", str(128 * 1024 * 1024))
 
 
+@pytest.mark.parametrize("cuts", [("2000", "700"), ("700", "2000"), ("2000", "1300"), ("2000", str(128 * 1024 * 1024))])
+def test_skipped_rows_when_splits_change_before_the_run(spark, tmp_path, cuts):
+    (tmp_path / "in").mkdir()
+    for k, n in enumerate((3000, 900, 1)):
+        body = [f"{k},{i}" for i in range(n)]
+        (tmp_path / "in" / f"{k}.csv").write_text("\n".join(["title", "as of,today", "k,n", *body]) + "\n", encoding="utf-8")
+    want = sorted((str(k), str(i)) for k, n in enumerate((3000, 900, 1)) for i in range(n))
+    path = str(tmp_path / "in")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", cuts[0])
+        frames = [rd.read_csv(spark, path, skip_rows=2), rd.read_dirty_csv(spark, path, rd.SourceSpec(skip_rows=2))]
+        numbered = number_file_rows(spark.read.text(path))
+        spark.conf.set("spark.sql.files.maxPartitionBytes", cuts[1])
+        for df in frames:
+            assert df.columns == ["k", "n"] and sorted(map(tuple, df.collect())) == want
+        assert numbered.where("_row_num > 3").count() == len(want) and numbered.where("value = 'k,n' and _row_num = 3").count() == 3
+        assert numbered.where("_row_num > 3 and split(value, ',')[1] != _row_num - 4").count() == 0
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", str(128 * 1024 * 1024))
+
+
 def test_reader_by_suffix(spark, tmp_path):
     assert rd.file_type("a/b.PQ") == "parquet" and rd.file_type("x.txt") == "csv" and rd.file_type("dir/part", "json") == "json"
     with pytest.raises(ValueError):
