@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import chats, found, leaks, linedups, lines, passages, persons, pieces, secrets, similar, toxicity
+from ledgerloom.llm import chats, found, leaks, linedups, lines, merkle, passages, persons, pieces, secrets, similar, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -134,3 +134,64 @@ def op8_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return passages.cut_repeats(documents(spark, sf_dir)).select("doc_id", "n_words", "n_removed", F.sha2(F.encode("kept", "UTF-8"), 256).alias("kept_sha256"))
+
+
+@query
+def op12_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    changed = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0
+    fields = [F.col(c) for c in ("doc_id", "source", "lang", "n_chars")]
+    whole = merkle.leaf(*fields, F.col("text"))
+    rows = docs.select("doc_id", "source", whole.alias("leaf"), F.when(changed, merkle.leaf(*fields, F.replace("text", F.lit("\n"), F.lit("")))).otherwise(whole).alias("claimed"))
+    done = merkle.manifest(rows)
+    folded = done.withColumn("folded_root", merkle.fold(F.col("claimed"), F.col("path")))
+    proof = F.sha2(merkle.proof(F.col("path")).cast("binary"), 256)
+    return folded.select("doc_id", "leaf", "subroot", "root", proof.alias("proof_sha256"), "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
+SQL["op12_manifest"] = r"""
+WITH RECURSIVE told AS (
+  SELECT row_number() OVER (ORDER BY source NULLS FIRST, doc_id NULLS FIRST, text NULLS FIRST, lang NULLS FIRST, n_chars NULLS FIRST) AS k, doc_id, source,
+    coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id::VARCHAR, '-') || coalesce(strlen(source) || ':' || source, '-') || coalesce(strlen(lang) || ':' || lang, '-')
+      || coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars::VARCHAR, '-') AS head,
+    text, replace(text, chr(10), '') AS cut FROM documents
+), leaves AS (
+  SELECT k, doc_id, source, sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS leaf, sha256(head || coalesce(strlen(cut) || ':' || cut, '-')) AS cut_leaf FROM told
+), crc AS (
+  SELECT k, doc_id::VARCHAR AS s, 0 AS i, 4294967295::UBIGINT AS c, 0 AS bit FROM leaves WHERE doc_id IS NOT NULL
+  UNION ALL
+  SELECT k, s, CASE WHEN bit = 8 THEN i + 1 ELSE i END,
+    CASE WHEN bit = 0 THEN xor(c, ascii(s[i + 1])::UBIGINT) WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384::UBIGINT) ELSE c >> 1 END, CASE WHEN bit = 8 THEN 0 ELSE bit + 1 END
+  FROM (SELECT k, s, i, bit, c FROM crc WHERE i < length(s)) step
+), even AS (
+  SELECT k FROM crc WHERE i = length(s) AND xor(c, 4294967295::UBIGINT) % 2 = 0
+), nodes AS (
+  SELECT dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS tree, 0 AS lvl, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS idx,
+    count(*) OVER (PARTITION BY source) AS n, leaf AS h, k, doc_id, cut_leaf FROM leaves
+), up AS (
+  SELECT tree, lvl, idx, n, h FROM nodes
+  UNION ALL
+  SELECT tree, lvl + 1, idx // 3, max((n + 2) // 3), sha256(string_agg(h, '' ORDER BY idx)) FROM up WHERE n > 1 GROUP BY tree, lvl, idx // 3
+), top AS (
+  SELECT 0 AS lvl, tree AS idx, (SELECT count(DISTINCT tree) FROM nodes) AS n, h FROM up WHERE n = 1
+  UNION ALL
+  SELECT lvl + 1, idx // 3, max((n + 2) // 3), sha256(string_agg(h, '' ORDER BY idx)) FROM top WHERE n > 1 GROUP BY lvl, idx // 3
+), every AS (
+  SELECT FALSE AS above, tree, lvl, idx, n, h FROM up UNION ALL SELECT TRUE, -1, lvl, idx, n, h FROM top
+), beside AS (
+  SELECT a.above, a.tree, a.lvl, a.idx, string_agg(s.h, '' ORDER BY s.idx) FILTER (WHERE s.idx < a.idx) AS l, string_agg(s.h, '' ORDER BY s.idx) FILTER (WHERE s.idx > a.idx) AS r
+  FROM every a JOIN every s ON s.above = a.above AND s.tree = a.tree AND s.lvl = a.lvl AND s.idx // 3 = a.idx // 3 AND s.idx <> a.idx WHERE a.n > 1 GROUP BY ALL
+), way AS (
+  SELECT k, tree, 0 AS lvl, idx, n, FALSE AS above, CASE WHEN k IN (SELECT k FROM even) THEN cut_leaf ELSE h END AS h, '' AS proof FROM nodes
+  UNION ALL
+  SELECT w.k, w.tree, CASE WHEN w.n = 1 THEN 0 ELSE w.lvl + 1 END, CASE WHEN w.n = 1 THEN w.tree ELSE w.idx // 3 END,
+    CASE WHEN w.n = 1 THEN (SELECT count(DISTINCT tree) FROM nodes) ELSE (w.n + 2) // 3 END, w.above OR w.n = 1,
+    CASE WHEN w.n = 1 THEN w.h ELSE sha256(coalesce(b.l, '') || w.h || coalesce(b.r, '')) END,
+    CASE WHEN w.n = 1 THEN w.proof ELSE w.proof || coalesce(b.l, '') || coalesce(b.r, '') END
+  FROM way w LEFT JOIN beside b ON b.above = w.above AND b.tree = (CASE WHEN w.above THEN -1 ELSE w.tree END) AND b.lvl = w.lvl AND b.idx = w.idx
+  WHERE w.n > 1 OR NOT w.above
+)
+SELECT n.doc_id, n.h AS leaf, u.h AS subroot, t.h AS root, sha256(w.proof) AS proof_sha256, w.h AS folded_root, w.h = t.h AS verified
+FROM way w JOIN nodes n ON n.k = w.k JOIN up u ON u.tree = n.tree AND u.n = 1 JOIN top t ON t.n = 1
+WHERE w.above AND w.n = 1
+"""
