@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import chats, found, leaks, linedups, lines, merkle, passages, persons, pieces, secrets, similar, toxicity
+from ledgerloom.llm import chats, found, leaks, linedups, lines, merkle, mixing, passages, persons, pieces, secrets, similar, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -195,3 +195,12 @@ SELECT n.doc_id, n.h AS leaf, u.h AS subroot, t.h AS root, sha256(w.proof) AS pr
 FROM way w JOIN nodes n ON n.k = w.k JOIN up u ON u.tree = n.tree AND u.n = 1 JOIN top t ON t.n = 1
 WHERE w.above AND w.n = 1
 """
+
+
+@query
+def op13_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "source")
+    rows, mixed = mixing.mix(docs, keep=["doc_id"], words=False)
+    taken = mixed.groupBy(F.col("row").alias("_row")).agg(F.sum("n").alias("taken"))
+    done = rows.join(taken, F.col("row") == F.col("_row"), "left")
+    return done.select("doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
