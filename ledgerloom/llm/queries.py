@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import chats, found, leaks, linedups, lines, merkle, mixing, passages, persons, pieces, secrets, similar, toxicity
+from ledgerloom.llm import alignment, chats, found, leaks, linedups, lines, merkle, mixing, passages, persons, pieces, secrets, similar, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -136,6 +136,15 @@ def op10_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return passages.cut_repeats(documents(spark, sf_dir)).select("doc_id", "n_words", "n_removed", F.sha2(F.encode("kept", "UTF-8"), 256).alias("kept_sha256"))
 
 
+@query
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    paths = [public_tokenizers.path(n) for n in ("byte_bpe_50k.json", "piece_bpe_32k.model")]
+    done, _ = alignment.aligned(documents(spark, sf_dir), *paths, digest=True)
+    return done.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", F.col("groups").alias("groups_sha256"))
+
+
 @query
 def op12_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
