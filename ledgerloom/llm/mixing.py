@@ -125,6 +125,7 @@ def mix(
         *[F.col(f"`{c}`").alias(h) for c, h in zip(keep, mine, strict=True)], F.col(f"`{source}`").alias("source"), F.col(f"`{order}`").alias("order"),
         word_count(said).alias("size"), F.xxhash64(said).alias("tie"), *([F.regexp_extract_all(said, F.lit(WORD), 0).alias("all_words")] if words else []),
     )
+    rows = settle(rows, "mix-sizes")  # the ranges are cut from the written sizes, so words are counted once
     rows = settle(placed(rows, ["source"], ["order", "size", "tie"], "size").withColumnRenamed("before", "begin"), "mix-docs")
     sizes = rows.groupBy("source").agg(F.sum("size").alias("size"))
     sources = targets(sizes, weights, share, times)
