@@ -134,7 +134,9 @@ def mix(
     rest = F.round(F.try_divide((F.col("target") - round_trips * F.col("size")) * n_blocks, F.col("size")))
     sources = settle(sources.select("source", "size", "rank", "target", n_blocks.alias("n_blocks"), F.coalesce(round_trips * n_blocks + rest, F.lit(0)).cast("long").alias("n_slots")), "mix-targets")
 
+    # the runs are few bytes that open out into all slots: dealt over all partitions, not packed into a few by size
     runs = shard_counts(sources, shard)
+    runs = runs.repartition(int(runs.sparkSession.conf.get("spark.sql.shuffle.partitions")), "shard", "rank")
     blocks = sources.select(F.col("rank").alias("_rank"), "n_blocks")
     each = runs.join(blocks, F.col("rank") == F.col("_rank")).select("shard", "rank", "n_blocks", F.explode(F.sequence(F.col("first"), F.col("first") + F.col("n") - 1)).alias("j"))
     turn, place = F.expr("j div n_blocks"), F.col("j") % F.col("n_blocks")
