@@ -12,6 +12,8 @@ the sums. The encoded blocks are written once, so nothing is encoded twice.
 from __future__ import annotations
 
 import json
+import os
+import re
 from collections.abc import Iterator
 from functools import lru_cache
 from hashlib import sha256
@@ -26,8 +28,15 @@ from ledgerloom.llm.texts import chunks, held, map_batches, schema_of
 from ledgerloom.session import settle
 
 #: bytes of text in a block; a longer text is a block of its own
-BLOCK = 1 << 21
+BLOCK = 1 << 20
+#: distinct words kept from one block to the next by a task
+MEMO = 300_000
 SPACE = "▁"
+# The letters, digits and white space below U+0250, and the words that a byte-level vocabulary cuts a text into.
+_LETTER, _DIGIT, _WHITE = "A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\u024f", "0-9\xb2\xb3\xb9\xbc-\xbe", "\t\n\x0b\x0c\r \x85\xa0"
+WORDS = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d| ?[{_LETTER}]+| ?[{_DIGIT}]+| ?[^{_WHITE}{_LETTER}{_DIGIT}]+|[{_WHITE}]+(?![^{_WHITE}])|[{_WHITE}]+")
+#: texts with other characters are cut into words by the library
+OTHER = re.compile("[^\x00-\u024f]")
 #: what a document gets besides the sums of its links
 OWN = "n_a bigint, n_b bigint, n_groups bigint, n_links bigint, groups string"
 
@@ -48,14 +57,25 @@ class Tokens:
         begin = np.cumsum(size) - size
         return self.flat[np.repeat(self.at[ids] - begin, size) + np.arange(size.sum())].tobytes()
 
-    def encode(self, texts: list[str]) -> list[list[int]]:
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts behind one another, and how many each has."""
         raise NotImplementedError
 
 
+def _one_run(lists: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+    sizes = np.fromiter(map(len, lists), np.int64, len(lists))
+    return np.fromiter(chain.from_iterable(lists), np.int64, sizes.sum()), sizes
+
+
 class ByteLevel(Tokens):
-    """A byte-level vocabulary of the tokenizers library; strings of special tokens in a text are plain text."""
+    """A byte-level vocabulary of the tokenizers library; strings of special tokens in a text are plain text.
+
+    Merges stay inside words, so the library encodes every distinct word once; a task keeps the ids of the words it has seen. Texts with
+    characters whose class may differ between Unicode versions go to the library as they are.
+    """
 
     def __init__(self, path: str) -> None:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
 
         self.model = Tokenizer.from_file(path)
@@ -70,9 +90,39 @@ class ByteLevel(Tokens):
         added = {t["id"] for t in json.loads(self.model.to_str())["added_tokens"]}
         self.surface = [names[i].encode() if i in added else bytes(byte_of[c] for c in names[i]) if i in names else b"" for i in range(max(names) + 1)]
         self.lay_out()
-
-    def encode(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.model.encode_batch_fast(texts, add_special_tokens=False)]
+        self._forget()
+
+    def _forget(self) -> None:
+        self.memo: dict[str, int] = {}
+        self.ids, self.count = np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def _learn(self, words: list[str]) -> None:
+        self.memo.update(zip(words, range(len(self.memo), len(self.memo) + len(words)), strict=True))
+        done = self.model.encode(words, is_pretokenized=True, add_special_tokens=False)
+        self.ids = np.concatenate([self.ids, np.array(done.ids, np.int64)])
+        self.count = np.concatenate([self.count, np.bincount(np.array(done.word_ids, np.int64), minlength=len(words))])
+
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        plain = [not OTHER.search(t) for t in texts]
+        split = [WORDS.findall(t) if p else [] for t, p in zip(texts, plain, strict=True)]
+        words = list(chain.from_iterable(split))
+        if len(self.memo) > MEMO:
+            self._forget()
+        if new := [w for w in dict.fromkeys(words) if w not in self.memo]:
+            self._learn(new)
+        which = np.fromiter(map(self.memo.__getitem__, words), np.int64, len(words))
+        size = self.count[which]
+        begin = np.cumsum(self.count) - self.count
+        ids = self.ids[np.repeat(begin[which] - (np.cumsum(size) - size), size) + np.arange(size.sum())]
+        sizes = np.bincount(np.repeat(np.arange(len(texts)), [len(x) for x in split]), size, len(texts)).astype(np.int64)
+        odd = [i for i, p in enumerate(plain) if not p]
+        if odd:
+            runs = np.split(ids, np.cumsum(sizes)[:-1])
+            for i in odd:
+                runs[i] = np.array(self.model.encode(texts[i], add_special_tokens=False).ids, np.int64)
+                sizes[i] = len(runs[i])
+            ids = np.concatenate(runs)
+        return ids, sizes
 
 
 class Pieces(Tokens):
@@ -86,8 +136,8 @@ class Pieces(Tokens):
         self.surface = [bytes([int(name(i)[3:5], 16)]) if self.model.is_byte(i) else name(i).replace(SPACE, " ").encode() for i in range(n)]
         self.lay_out()
 
-    def encode(self, texts: list[str]) -> list[list[int]]:
-        return self.model.encode(texts, num_threads=1)
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        return _one_run(self.model.encode(texts, num_threads=1))
 
 
 @lru_cache(maxsize=2)
@@ -146,9 +196,7 @@ def align(texts: list[str], a: ByteLevel, b: Pieces, digest: bool) -> tuple[np.n
     """For each text its counts (n_a, n_b, n_groups, n_links); all links of all texts as id pairs (a in the upper half); the groups as text
     or as its digest. Texts whose tokens do not spell a space and the text have no tokens."""
     spoken = [i for i, t in enumerate(texts) if t]
-    ids_a, ids_b = a.encode([" " + texts[i] for i in spoken]), b.encode([texts[i] for i in spoken])
-    flat = [np.fromiter(chain.from_iterable(x), np.int64, sum(map(len, x))) for x in (ids_a, ids_b)]
-    sizes = [np.array([len(x) for x in side], np.int64) for side in (ids_a, ids_b)]
+    flat, sizes = zip(a.encode([" " + texts[i] for i in spoken]), b.encode([texts[i] for i in spoken]), strict=True)
     bytes_a, bytes_b = a.joined(flat[0]), b.joined(flat[1])
     run_a, run_b = np.cumsum(a.length[flat[0]]), np.cumsum(b.length[flat[1]])
     first = [np.cumsum(s) - s for s in sizes]
