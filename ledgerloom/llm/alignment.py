@@ -54,8 +54,10 @@ class Tokens:
     def joined(self, ids: np.ndarray) -> bytes:
         """The bytes of all ids behind one another."""
         size = self.length[ids]
-        begin = np.cumsum(size) - size
-        return self.flat[np.repeat(self.at[ids] - begin, size) + np.arange(size.sum())].tobytes()
+        total = int(size.sum())
+        wide = np.int32 if total < 1 << 31 else np.int64
+        shift = (self.at[ids] - (np.cumsum(size) - size)).astype(wide)
+        return self.flat[np.repeat(shift, size) + np.arange(total, dtype=wide)].tobytes()
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts behind one another, and how many each has."""
@@ -148,9 +150,9 @@ def load(byte_path: str, piece_path: str) -> tuple[ByteLevel, Pieces]:
 
 def common_ends(a: list[int], b: list[int]) -> tuple[list[int], list[int]]:
     """The places of the tokens on both sides that end at the same byte, in order; ``a`` and ``b`` are rising ends."""
-    at_a, at_b = dict(zip(a, range(len(a)), strict=True)), dict(zip(b, range(len(b)), strict=True))
+    at_a, at_b = dict(zip(a, range(len(a)))), dict(zip(b, range(len(b))))
     both = sorted(at_a.keys() & at_b.keys())
-    return [at_a[e] for e in both], [at_b[e] for e in both]
+    return list(map(at_a.__getitem__, both)), list(map(at_b.__getitem__, both))
 
 
 class Names:
@@ -158,15 +160,17 @@ class Names:
 
     def __init__(self, n: int) -> None:
         names = [b"%d," % i for i in range(n)]
-        self.size = np.array([len(x) for x in names])
-        self.at = np.cumsum(self.size) - self.size
+        self.size = np.array([len(x) for x in names], np.int32)
+        self.at = np.cumsum(self.size, dtype=np.int32) - self.size
         self.flat = np.frombuffer(b"".join(names), np.uint8)
 
     def write(self, ids: np.ndarray, signs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """All names behind one another, each followed by its sign, and where each one ends."""
         size = self.size[ids]
-        ends = np.cumsum(size)
-        out = self.flat[np.repeat(self.at[ids] - (ends - size), size) + np.arange(ends[-1] if len(ends) else 0)]
+        ends = np.cumsum(size, dtype=np.int64)
+        shift = self.at[ids] - (ends - size)
+        wide = np.int32 if len(ends) and ends[-1] < 1 << 31 else np.int64
+        out = self.flat[np.repeat(shift.astype(wide), size) + np.arange(ends[-1] if len(ends) else 0, dtype=wide)]
         out[ends - 1] = signs
         return out, ends
 
