@@ -246,6 +246,44 @@ def upsert_dataset(spark, sf):
     return spark.read.parquet(path)
 
 
+SEGMENT = "nullif(c_mktsegment, 'BUILDING')"
+
+
+@register("upsert_null_partition", "K7 K2", f"""
+SELECT c_custkey, c_name, {SEGMENT} AS segment FROM {{target_customers}} t
+WHERE NOT EXISTS (SELECT 1 FROM {{customer_updates}} u WHERE u.c_custkey = t.c_custkey AND nullif(u.c_mktsegment, 'BUILDING') IS NOT DISTINCT FROM nullif(t.c_mktsegment, 'BUILDING'))
+UNION ALL SELECT c_custkey, c_name, {SEGMENT} FROM {{customer_updates}}""")
+def upsert_null_partition(spark, sf):
+    """Rows without a partition value: those of the source take the place of theirs only."""
+    path = scratch_path(spark, "customers")
+    rows = lambda t: view(spark, sf, t).selectExpr("c_custkey", "c_name", f"{SEGMENT} AS segment")
+    wr.write_parquet(rows("target_customers"), path, partition_by=["segment"])
+    wr.upsert_dataset(rows("customer_updates"), path, ["c_custkey", "segment"], partition_by=["segment"])
+    return spark.read.parquet(path)
+
+
+@register("upsert_padded_partition", "K7 K2", """
+SELECT c_custkey, c_name, lpad(CAST(c_nationkey AS STRING), 3, '0') AS nation FROM {target_customers} t WHERE NOT EXISTS (SELECT 1 FROM {customer_updates} u WHERE u.c_custkey = t.c_custkey AND u.c_nationkey = t.c_nationkey)
+UNION ALL SELECT c_custkey, c_name, lpad(CAST(c_nationkey AS STRING), 3, '0') FROM {customer_updates}""")
+def upsert_padded_partition(spark, sf):
+    """Text partition keys that look like numbers stay text."""
+    path = scratch_path(spark, "customers")
+    rows = lambda t: view(spark, sf, t).selectExpr("c_custkey", "c_name", "lpad(c_nationkey, 3, '0') AS nation")
+    wr.write_parquet(rows("target_customers"), path, partition_by=["nation"])
+    wr.upsert_dataset(rows("customer_updates"), path, ["c_custkey", "nation"], partition_by=["nation"])
+    return spark.read.schema("c_custkey bigint, c_name string, nation string").parquet(path)
+
+
+@register("upsert_files", "K7 K2", f"""
+SELECT {CUST} FROM {{target_customers}} t WHERE c_custkey NOT IN (SELECT c_custkey FROM {{customer_updates}} WHERE c_custkey < 40) UNION ALL SELECT {CUST} FROM {{customer_updates}} WHERE c_custkey < 40""")
+def upsert_files(spark, sf):
+    """A dataset without partitions: only the files that hold replaced keys are written again."""
+    path = scratch_path(spark, "customers")
+    view(spark, sf, "target_customers").repartitionByRange(8, "c_custkey").write.parquet(path)
+    wr.upsert_dataset(view(spark, sf, "customer_updates").where("c_custkey < 40"), path, ["c_custkey"])
+    return spark.read.parquet(path)
+
+
 @register("truncate_table", "K8 K12", "SELECT c_custkey, c_name FROM {customer} WHERE FALSE")
 def truncate_table(spark, sf):
     path = scratch_path(spark, "customers")

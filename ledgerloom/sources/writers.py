@@ -9,10 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerloom.functions.text import name
 from ledgerloom.operators.literals import literal_table
-from ledgerloom.operators.tables import upsert
+from ledgerloom.operators.tables import mark_replaced, upsert
 from ledgerloom.reference_data import WORKPAPER_SHEETS
-from ledgerloom.session import scratch_path
+from ledgerloom.sources import changes
+from ledgerloom.sources.changes import change_files
 
 # What happens when a table exists, and the save mode for it.
 SAVE_MODES = {"fail": "errorifexists", "replace": "overwrite", "append": "append"}
@@ -69,32 +71,34 @@ def clone_schema(spark: SparkSession, source: str, target: str, path: str | None
 
 
 def replace_dataset(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
-    """Overwrite a dataset that ``df`` may itself read: stage in the shared folder, then write."""
-    spark = df.sparkSession
-    staged = scratch_path(spark, "stage")
-    df.write.parquet(staged)
-    write_parquet(spark.read.schema(df.schema).parquet(staged), path, "overwrite", partition_by)
+    """Put the rows of ``df``, which may itself read the dataset, in place of a dataset's rows (see ``changes.change_files``)."""
+    change_files(df, path, changes.data_files(df.sparkSession, path), partition_by)
 
 
-def upsert_dataset(source: DataFrame, path: str, keys: list[str], match: str = "tuple", partition_by: list[str] | None = None) -> None:
-    """Upsert into a Parquet dataset.
+def upsert_dataset(source: DataFrame, path: str, keys: list[str], match: str = "tuple", partition_by: list[str] | None = None) -> list[str]:
+    """Upsert into a Parquet dataset; gives back the files that were rewritten.
 
-    When the dataset is partitioned by some of the keys, tuple matching rewrites only the partitions
-    that occur in the source, in dynamic overwrite mode. Partition columns are read with the types they have in
-    the source: inferred from folder names, a text key such as ``03`` would come back as a number and match nothing.
+    One scan of the key columns finds the files that hold replaced rows. Only these are read in full and rewritten, together with the
+    source and without the replaced rows; all other files stay as they are, whatever partitions they are in. What is written is
+    written once and then published (see ``changes.change_files``): a job that fails leaves the dataset as it was. Missing keys and missing partition
+    values equal each other in ``tuple`` matching. Partition columns are read with the types they have in the source: inferred from folder names, a
+    text key such as ``03`` would come back as a number and match nothing.
     """
     spark = source.sparkSession
+    changes.finish_changes(spark, path)
     found = spark.read.parquet(path).schema
     own = {f.name: f.dataType for f in source.schema.fields if f.name in (partition_by or [])}
-    target = spark.read.schema(T.StructType([T.StructField(f.name, own.get(f.name, f.dataType)) for f in found.fields])).parquet(path)
-    local = bool(partition_by) and match == "tuple" and set(partition_by) <= set(keys)
-    if not local:
-        replace_dataset(upsert(target, source, keys, match), path, partition_by)
-        return
-    touched = source.select(*partition_by).distinct()
-    result = upsert(target.join(touched, partition_by, "left_semi"), source, keys, match)
-    # dynamic mode writes aside and swaps the partitions at commit, so the same path may be read here
-    result.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path)
+    schema = T.StructType([T.StructField(f.name, own.get(f.name, f.dataType)) for f in found.fields])
+    target = spark.read.schema(schema).parquet(path)
+    marked = mark_replaced(target.select("*", F.col("_metadata.file_path").alias("_upsert_file")), source, keys, match)
+    # names of files, as many as the dataset has at most
+    touched = sorted(r[0] for r in marked.where("_replaced").select("_upsert_file").distinct().collect())
+    rows = source.select(*[name(f.name) for f in schema.fields])
+    if touched:
+        rewritten = spark.read.schema(schema).option("basePath", path).parquet(*changes.readable(spark, path, touched))
+        rows = upsert(rewritten, source, keys, match)
+    change_files(rows, path, touched, partition_by)
+    return touched
 
 
 def write_statements(df: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -118,10 +122,8 @@ def point_table(spark: SparkSession, table: str, path: str) -> None:
 
 
 def truncate_dataset(spark: SparkSession, path: str) -> None:
-    """No rows, same schema."""
-    schema = spark.read.parquet(path).schema
-    literal = spark.createDataFrame([], schema)
-    write_parquet(literal, path)
+    """No rows, same schema: a file without rows in place of all others."""
+    replace_dataset(spark.createDataFrame([], spark.read.parquet(path).schema), path)
 
 
 def backup_table(df: DataFrame, folder: str, table: str, fmt: str = "parquet", stamp: dt.datetime | None = None) -> str:

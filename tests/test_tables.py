@@ -218,3 +218,71 @@ def test_backup_first_copies_and_stops_on_lost_values(spark, tmp_path):
     out, _ = tb.evolve(df.where("k is null or k != 'x'"), want, "backup_first", backup=str(tmp_path / "older"))
     assert dict(out.dtypes)["k"] == "bigint" and sorted(r[1] for r in out.collect()) == ["a", "c"]
     assert tb.evolve(df, want, "force")[0].where("k is null").count() == 2
+
+
+def files_of(path):
+    return {str(p.relative_to(path)): (p.stat().st_mtime_ns, p.stat().st_ino) for p in path.rglob("part-*.parquet")}
+
+
+def test_upsert_keeps_the_rows_of_the_missing_partition(spark, tmp_path, rows):
+    schema = "k int, p string, v string"
+    path = str(tmp_path / "t")
+    spark.createDataFrame([(2, None, "a"), (3, None, "b"), (4, "q", "c")], schema).repartition(3).write.partitionBy("p").parquet(path)
+    wr.upsert_dataset(spark.createDataFrame([(2, None, "new")], schema), path, ["k", "p"], partition_by=["p"])
+    assert rows(spark.read.schema(schema).parquet(path), "k", "p", "v") == [(2, None, "new"), (3, None, "b"), (4, "q", "c")]
+
+
+@pytest.mark.parametrize("match", ["tuple", "columnwise"])
+def test_upsert_rewrites_only_files_with_replaced_rows(spark, tmp_path, rows, match):
+    path = tmp_path / "t"
+    target = spark.range(1000).selectExpr("id AS k", "id % 7 AS g", "'old' AS v")
+    target.repartitionByRange(10, "k").write.parquet(str(path))
+    before = files_of(path)
+    source = spark.createDataFrame([(5, 5, "new"), (20, 6, "new"), (950, 5, "new"), (5000, 1, "new")], "k bigint, g bigint, v string")
+    touched = wr.upsert_dataset(source, str(path), ["k", "g"] if match == "tuple" else ["k"], match)
+    after = files_of(path)
+    assert len(touched) == 2 and len(before.keys() - after.keys()) == 2 and all(after[f] == before[f] for f in before.keys() & after.keys())
+    assert rows(spark.read.parquet(str(path))) == rows(tb.upsert(target, source, ["k", "g"] if match == "tuple" else ["k"], match))
+    assert wr.upsert_dataset(source.where("k = 5000"), str(path), ["k"]) and wr.upsert_dataset(source.where("k > 9000"), str(path), ["k"]) == []
+
+
+def test_upsert_finds_files_with_odd_names(spark, tmp_path, rows):
+    schema = "k int, p string, v string"
+    odd = ["a b", "100%", "x/y", "[a]{b}*?", "é", "+", "a%20b", "_hidden"]
+    spark.createDataFrame([(i, p, "old") for i, p in enumerate(odd)], schema).write.partitionBy("p").parquet(str(tmp_path / "t"))
+    wr.upsert_dataset(spark.createDataFrame([(i, p, "new") for i, p in enumerate(odd)], schema), str(tmp_path / "t"), ["p"], partition_by=["p"])
+    assert rows(spark.read.schema(schema).parquet(str(tmp_path / "t")), "k", "p", "v") == [(i, p, "new") for i, p in enumerate(odd)]
+
+
+def test_a_failed_change_leaves_the_dataset(spark, tmp_path, rows):
+    path = tmp_path / "t"
+    spark.range(10).selectExpr("id AS k", "'old' AS v").repartition(2).write.parquet(str(path))
+    before = files_of(path)
+    bad = spark.range(1).selectExpr("id AS k", "raise_error('broken') AS v")
+    with pytest.raises(Exception, match="broken"):
+        wr.upsert_dataset(bad, str(path), ["k"])
+    assert files_of(path).keys() >= before.keys() and rows(spark.read.parquet(str(path)), "v") == [("old",)] * 10
+    wr.upsert_dataset(spark.createDataFrame([(1, "new")], "k bigint, v string"), str(path), ["k"])
+    assert not list(path.glob("_change-*")) and spark.read.parquet(str(path)).where("v = 'new'").count() == 1 and spark.read.parquet(str(path)).count() == 10
+
+
+@pytest.mark.parametrize("moved", [0, 1])
+def test_a_decided_change_is_completed_later(spark, tmp_path, rows, monkeypatch, moved):
+    from ledgerloom.sources import changes
+
+    path = tmp_path / "t"
+    spark.range(10).selectExpr("id AS k", "'old' AS v").repartition(2).write.parquet(str(path))
+    publish, source = changes._publish, spark.createDataFrame([(1, "new"), (2, "new")], "k bigint, v string")
+
+    def stop(spark, folder, change):
+        for found, below in folder.files(change, "data")[:moved]:
+            folder.fs.rename(found, folder.at(*below))
+        raise KeyboardInterrupt
+
+    monkeypatch.setattr(changes, "_publish", stop)
+    with pytest.raises(KeyboardInterrupt):
+        wr.upsert_dataset(source, str(path), ["k"])
+    monkeypatch.setattr(changes, "_publish", publish)
+    assert len(changes.finish_changes(spark, str(path))) == 1 and changes.finish_changes(spark, str(path)) == []
+    spark.catalog.refreshByPath(str(path))
+    assert rows(spark.read.parquet(str(path)), "k", "v") == [(k, "new" if k in (1, 2) else "old") for k in range(10)]
