@@ -59,6 +59,25 @@ def csv_dates(spark, sf):
     return out.withColumn("o_orderkey", F.col("o_orderkey").cast("bigint"))
 
 
+@register("csv_blank_head", "S1 S3", "SELECT CAST(l_orderkey AS STRING) AS k, CAST(l_linenumber AS STRING) AS n, CAST(NULL AS STRING) AS note FROM {lineitem}")
+def csv_blank_head(spark, sf):
+    """Many files, each with titles and blank lines above its header; the last column is never filled."""
+    path = scratch_path(spark, "report") + ".csv"
+    body = table(spark, sf, "lineitem").select(F.concat_ws(",", "l_orderkey", "l_linenumber").alias("value")).repartition(4)
+    _write_lines(body, ["report title", "", "as of,1998-10-31", "", "", "k,n,note"], path)
+    return rd.read_dirty_csv(spark, path, rd.SourceSpec(skip_rows=4))
+
+
+@register("csv_quoted_breaks", "S1 S3", """
+SELECT CAST(o_orderkey AS STRING) AS o_orderkey, 'status "' || o_orderstatus || '",' || chr(10) || chr(10) || 'day ' || CAST(CAST(o_orderdate AS DATE) AS STRING) AS remark, o_orderpriority FROM {orders}""")
+def csv_quoted_breaks(spark, sf):
+    """Cells that hold separators, quotes and line breaks."""
+    path = scratch_path(spark, "remarks") + ".csv"
+    remark = F.concat(F.lit('status "'), "o_orderstatus", F.lit('",\n\nday '), F.date_format("o_orderdate", "yyyy-MM-dd"))
+    wr.write_csv(table(spark, sf, "orders").select("o_orderkey", remark.alias("remark"), "o_orderpriority"), path)
+    return rd.read_csv(spark, path)
+
+
 @register("csv_cp950", "S3", "SELECT CAST(k AS STRING) AS k, CASE k % 3 WHEN 0 THEN '台新銀行' WHEN 1 THEN '國泰世華' ELSE '聯邦' END AS bank FROM {dirty}")
 def csv_cp950(spark, sf):
     path = scratch_path(spark, "banks") + ".csv"

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import csv
 import re
 from dataclasses import dataclass
 
@@ -12,13 +11,16 @@ from pyspark.sql import types as T
 
 from ledgerloom.functions.text import name
 from ledgerloom.operators.quality import silver
-from ledgerloom.operators.shaping import SchemaConfig, add_lineage, normalize_names, number_file_rows
+from ledgerloom.operators.shaping import SchemaConfig, add_lineage, normalize_names
+from ledgerloom.sources.heads import Head, file_heads, without_heads
 
 # Reader by file suffix, and the charsets Spark reads without the legacy setting.
 READER_OF_SUFFIX = {".csv": "csv", ".txt": "csv", ".parquet": "parquet", ".pq": "parquet", ".json": "json",
                     ".xlsx": "sheet", ".xls": "sheet", ".xlsm": "sheet"}
 PLAIN_CHARSETS = {"UTF-8", "US-ASCII", "ISO-8859-1", "UTF-16", "UTF-16BE", "UTF-16LE", "UTF-32"}
 CP950 = "x-windows-950"
+# Fixed value: a quote inside a quoted cell is written twice.
+QUOTES = {"quote": '"', "escape": '"'}
 
 
 @dataclass(frozen=True)
@@ -30,6 +32,7 @@ class SourceSpec:
     skip_rows: int = 0
     as_text: bool = True
     sheet: str | None = None
+    multi_line: bool | None = None
 
 
 def _charset(spark: SparkSession, encoding: str) -> str:
@@ -46,54 +49,71 @@ def detect_encoding(spark: SparkSession, path: str) -> str:
     return "cp950" if bad.count() else "UTF-8"
 
 
-def header_names(spark: SparkSession, path: str, sep: str = ",", encoding: str = "UTF-8", skip_rows: int = 0) -> list[str]:
-    """Column names from the header line, found below ``skip_rows`` lines."""
+def has_open_quotes(spark: SparkSession, path: str, encoding: str = "UTF-8") -> bool:
+    """Whether a line has a quote that a later line closes. Stops at the first such line."""
     lines = spark.read.option("encoding", _charset(spark, encoding)).csv(path, sep="\u0001", header=False, quote="", schema="value string")
-    if skip_rows:
-        # the first file that is long enough; its first lines by split and id, both of one scan
-        file = F.col("_metadata.file_path")
-        long = lines.groupBy(file.alias("f")).count().where(F.col("count") > skip_rows).agg(F.min("f")).first()[0]
-        at = F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id())
-        top = lines.select("value", file.alias("f"), at.alias("at")).where(F.col("f") == long).orderBy("at").limit(skip_rows + 1)
-        first = top.orderBy(F.desc("at")).first() if long else None
-    else:
-        first = lines.first()
-    return next(csv.reader([first["value"]], delimiter=sep)) if first else []
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+    return not lines.where(quotes % 2 == 1).limit(1).isEmpty()
+
 
+def _file_name() -> Column:
+    """A scan gives the names of files with URI escapes, in which a plus is a plus."""
+    return F.url_decode(F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B")))
 
-def _column_names(spark: SparkSession, path: str, sep: str, encoding: str, skip_rows: int, header: bool) -> list[str]:
-    """Names from the header line, or ``_c0``, ``_c1``, ... if there is none."""
-    first = header_names(spark, path, sep, encoding, skip_rows)
+
+def _names(heads: list[Head], sep: str, header: bool) -> list[str]:
+    """Names from the header of the first file that has one, or ``_c0``, ``_c1``, ... if there is none."""
+    first = next((h.names(sep) for h in heads if h.header is not None), [])
     return first if header else [f"_c{i}" for i in range(len(first))]
 
 
+def header_names(spark: SparkSession, path: str, sep: str = ",", encoding: str = "UTF-8", skip_rows: int = 0, multi_line: bool = True) -> list[str]:
+    """Column names from the header, found below ``skip_rows`` physical lines; blank lines before it do not count as one."""
+    return _names(file_heads(spark, path, skip_rows, _charset(spark, encoding), multi_line), sep, True)
+
+
+def _text_rows(
+    spark: SparkSession, path: str, sep: str, encoding: str, header: bool, skip_rows: int, multi_line: bool | None, more: tuple[str, ...] = (),
+    source: str | None = None,
+) -> DataFrame:
+    """All cells as text, without the lines down to the header; ``more`` names columns for cells beyond the header's, ``source`` one for the name
+    of each row's file."""
+    charset = _charset(spark, encoding)
+    whole = has_open_quotes(spark, path, encoding) if multi_line is None else multi_line
+    heads = file_heads(spark, path, skip_rows, charset, whole)
+    names = [*_names(heads, sep, header), *more]
+    held = [f"_c{i}" for i in range(len(names))]  # names that can be compared, whatever the header says
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in held])
+    options = {"sep": sep, "mode": "PERMISSIVE", **QUOTES}
+    reader = spark.read.options(**options).option("encoding", charset).option("multiLine", whole).schema(schema)
+    file = [source] if source else []
+    if not skip_rows:
+        rows = reader.option("header", header).option("enforceSchema", True).csv(path)
+        return rows.select("*", *[_file_name().alias(c) for c in file]).toDF(*names, *file)
+    rows = reader.option("header", False).csv(path).select("*", F.col("_metadata.file_path").alias("_file"))
+    return without_heads(rows, heads, header, options, file).toDF(*names, *file)
+
+
 def read_csv(
     spark: SparkSession, path: str, sep: str = ",", encoding: str = "UTF-8", header: bool = True, schema: T.StructType | str | None = None,
     null_values: list[str] | None = None, dates: dict[str, str] | None = None, columns: list[str] | None = None,
-    limit: int | None = None, skip_rows: int = 0, where: str | Column | None = None,
+    limit: int | None = None, skip_rows: int = 0, where: str | Column | None = None, multi_line: bool | None = None,
 ) -> DataFrame:
     """CSV scan. Without a schema every column is text, so no inference pass is made.
 
-    ``skip_rows`` lines above the header are dropped per file. ``where`` must be a valid condition.
+    ``skip_rows`` physical lines above the header, blank ones included, are dropped per file. ``multi_line`` says whether quoted cells hold line
+    breaks; such files are read whole by one task each. If it is not given, the lines are searched for an open quote first, which
+    takes one more pass over the text. ``where`` must be a valid condition.
     """
-    charset = _charset(spark, encoding)
-    reader = spark.read.option("encoding", charset).option("sep", sep)
-    if skip_rows:
-        names = _column_names(spark, path, sep, encoding, skip_rows, header)
-        text = T.StructType([T.StructField(n, T.StringType()) for n in names])
-        rows = number_file_rows(reader.option("header", False).schema(text).csv(path), "_n")
-        below = F.col("_n") > skip_rows + (1 if header else 0)
-        # title cells become NULL first: a later condition may be evaluated before the rows are dropped
-        df = rows.where(below).select(*[F.when(below, F.col(name(c))).alias(c) for c in names])
+    if schema is None or skip_rows:
+        df = _text_rows(spark, path, sep, encoding, header, skip_rows, multi_line)
         if schema is not None:
             want = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
             df = df.select(*[F.col(name(c)).try_cast(f.dataType).alias(f.name) for c, f in zip(df.columns, want.fields)])
     else:
-        if schema is None and header:
-            names = header_names(spark, path, sep, encoding)
-            schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
-        reader = reader.option("header", header)
-        df = (reader.schema(schema) if schema is not None else reader).csv(path)
+        whole = has_open_quotes(spark, path, encoding) if multi_line is None else multi_line
+        reader = spark.read.options(**QUOTES).option("encoding", _charset(spark, encoding)).option("sep", sep).option("multiLine", whole)
+        df = reader.option("header", header).schema(schema).csv(path)
     if columns:
         df = df.select(*[name(c) for c in columns])
     if null_values:
@@ -106,20 +126,13 @@ def read_csv(
     return df.limit(limit) if limit is not None else df
 
 
-def read_dirty_csv(spark: SparkSession, path: str, spec: SourceSpec = SourceSpec()) -> DataFrame:
-    """All-text CSV; lines with too many fields are left out, short lines are filled with NULL.
+def read_dirty_csv(spark: SparkSession, path: str, spec: SourceSpec = SourceSpec(), source: str | None = None) -> DataFrame:
+    """All-text CSV; records with too many fields are left out, short ones are filled with NULL.
 
-    ``encoding='auto'`` tries UTF-8 and falls back to cp950.
+    ``encoding='auto'`` tries UTF-8 and falls back to cp950. ``source`` names a column for the file of each row.
     """
     encoding = detect_encoding(spark, path) if spec.encoding == "auto" else spec.encoding
-    names = _column_names(spark, path, spec.delimiter, encoding, spec.skip_rows, spec.header)
-    wide = T.StructType([T.StructField(n, T.StringType()) for n in [*names, "_overflow"]])
-    reader = spark.read.option("encoding", _charset(spark, encoding)).option("sep", spec.delimiter).option("mode", "PERMISSIVE")
-    if spec.skip_rows:
-        rows = number_file_rows(reader.option("header", False).schema(wide).csv(path), "_n")
-        rows = rows.where(F.col("_n") > spec.skip_rows + (1 if spec.header else 0)).drop("_n")
-    else:
-        rows = reader.option("header", spec.header).option("enforceSchema", True).schema(wide).csv(path)
+    rows = _text_rows(spark, path, spec.delimiter, encoding, spec.header, spec.skip_rows, spec.multi_line, ("_overflow",), source)
     return rows.where(F.col("_overflow").isNull()).drop("_overflow")
 
 
@@ -139,11 +152,15 @@ def as_text(df: DataFrame) -> DataFrame:
 
 def read_json(spark: SparkSession, path: str, text: bool = True, multi_line: bool = True, encoding: str = "UTF-8") -> DataFrame:
     """JSON documents; ``multi_line`` off reads one document per line and splits large files."""
+    df = _json(spark, path, text, multi_line, encoding)
+    return as_text(df) if text else df
+
+
+def _json(spark: SparkSession, path: str, text: bool, multi_line: bool = True, encoding: str = "UTF-8") -> DataFrame:
     reader = spark.read.option("multiLine", multi_line).option("primitivesAsString", text)
     if encoding.upper() != "UTF-8":
         reader = reader.option("encoding", _charset(spark, encoding))
-    df = reader.json(path)
-    return as_text(df) if text else df
+    return reader.json(path)
 
 
 def file_type(path: str, hint: str = "csv") -> str:
@@ -151,16 +168,18 @@ def file_type(path: str, hint: str = "csv") -> str:
     return READER_OF_SUFFIX.get(found.group(0).lower(), hint) if found else hint
 
 
-def read_any(spark: SparkSession, path: str, spec: SourceSpec = SourceSpec()) -> DataFrame:
-    """Reader by suffix, else by the hint of the specification."""
+def read_any(spark: SparkSession, path: str, spec: SourceSpec = SourceSpec(), source: str | None = None) -> DataFrame:
+    """Reader by suffix, else by the hint of the specification. ``source`` names a column for the file of each row."""
     kind = file_type(path, spec.file_type)
+    told = [_file_name().alias(source)] if source else []
     if kind == "csv":
-        return read_dirty_csv(spark, path, spec)
+        return read_dirty_csv(spark, path, spec, source)
     if kind == "parquet":
-        df = read_parquet(spark, path)
+        df = spark.read.parquet(path).select("*", *told)
         return as_text(df) if spec.as_text else df
     if kind == "json":
-        return read_json(spark, path, spec.as_text)
+        df = _json(spark, path, spec.as_text).select("*", *told)
+        return as_text(df) if spec.as_text else df
     if kind == "sheet":
         raise ValueError(f"{path}: binary workbooks are not read; give one extract per sheet to read_sheet")
     raise ValueError(f"no reader for {path}")
@@ -213,12 +232,12 @@ def preview(df: DataFrame, n_rows: int = 10) -> dict:
 
 
 def source_metadata(df: DataFrame) -> DataFrame:
-    """Per source file of a scan: rows, bytes, change time."""
+    """Per source file of a scan, told apart by the whole path: its name, rows, bytes, change time. Files without rows do not show."""
     meta = df.select(
-        F.col("_metadata.file_name").alias("file"), F.col("_metadata.file_size").alias("size"),
+        F.col("_metadata.file_path").alias("path"), _file_name().alias("file"), F.col("_metadata.file_size").alias("size"),
         F.col("_metadata.file_modification_time").alias("modified"),
     )
-    return meta.groupBy("file").agg(F.count(F.lit(1)).alias("n_rows"), F.max("size").alias("size"), F.max("modified").alias("modified"))
+    return meta.groupBy("path", "file").agg(F.count(F.lit(1)).alias("n_rows"), F.max("size").alias("size"), F.max("modified").alias("modified"))
 
 
 def query(spark: SparkSession, sql: str, args: dict | None = None, **tables: DataFrame) -> DataFrame:
@@ -246,7 +265,7 @@ def bronze(df: DataFrame, batch_id: str, source_file: str | Column = "unknown",
 
 def build_table(spark: SparkSession, path: str, schema: SchemaConfig, batch_id: str, spec: SourceSpec = SourceSpec(),
                 validate: bool = True) -> DataFrame:
-    """File to clean table: read as text, bronze, silver."""
-    raw = read_any(spark, path, spec)
-    file = path.rstrip("/").rsplit("/", 1)[-1]
-    return silver(bronze(raw, batch_id, file, spec.sheet or ""), schema, validate)
+    """File or folder of files to clean table: read as text, bronze with the name of each row's file, silver."""
+    raw = read_any(spark, path, spec, "ledgerloom_source_file")
+    named = bronze(raw, batch_id, F.col("ledgerloom_source_file"), spec.sheet or "").drop("ledgerloom_source_file")
+    return silver(named, schema, validate)

@@ -21,7 +21,7 @@ SAVE_MODES = {"fail": "errorifexists", "replace": "overwrite", "append": "append
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite", header: bool = True, sep: str = ",", encoding: str = "UTF-8") -> None:
-    df.write.mode(mode).option("header", header).option("sep", sep).option("encoding", encoding).csv(path)
+    df.write.mode(mode).option("header", header).option("sep", sep).option("escape", '"').option("encoding", encoding).csv(path)
 
 
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite", partition_by: list[str] | None = None, compression: str = "snappy") -> None:

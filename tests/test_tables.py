@@ -89,10 +89,10 @@ def test_auto_migrate_actions(spark):
 def test_csv_options(spark, tmp_path, rows):
     path = tmp_path / "in.csv"
     path.write_text("title\n\nmade,today\na;b;d\n1;NA;2024/01/05\n2;x;bad\n3;-;2024/02/01\n", encoding="utf-8")
-    out = rd.read_csv(spark, str(path), sep=";", skip_rows=2, null_values=["NA", "-"], dates={"d": "yyyy/MM/dd"}, where="a >= 2")
+    out = rd.read_csv(spark, str(path), sep=";", skip_rows=3, null_values=["NA", "-"], dates={"d": "yyyy/MM/dd"}, where="a >= 2")
     assert rows(out) == [("2", "x", None), ("3", None, dt.date(2024, 2, 1))]
-    assert rd.read_csv(spark, str(path), sep=";", skip_rows=2, columns=["b"], limit=2).count() == 2
-    typed = rd.read_csv(spark, str(path), sep=";", skip_rows=2, schema="a int, b string, d string")
+    assert rd.read_csv(spark, str(path), sep=";", skip_rows=3, columns=["b"], limit=2).count() == 2
+    typed = rd.read_csv(spark, str(path), sep=";", skip_rows=3, schema="a int, b string, d string")
     assert typed.dtypes[0] == ("a", "int") and rows(typed, "a") == [(1,), (2,), (3,)]
 
 
@@ -286,3 +286,78 @@ def test_a_decided_change_is_completed_later(spark, tmp_path, rows, monkeypatch,
     assert len(changes.finish_changes(spark, str(path))) == 1 and changes.finish_changes(spark, str(path)) == []
     spark.catalog.refreshByPath(str(path))
     assert rows(spark.read.parquet(str(path)), "k", "v") == [(k, "new" if k in (1, 2) else "old") for k in range(10)]
+
+
+def lines_in(folder, **files):
+    folder.mkdir()
+    for stem, text in files.items():
+        (folder / f"{stem}.csv").write_bytes(text.encode())
+    return str(folder)
+
+
+@pytest.mark.parametrize("cut", ["700", "128m"])
+def test_head_lines_are_physical_and_go_once(spark, tmp_path, rows, cut):
+    body = "".join(f"{i},x{i}\n" for i in range(300))
+    path = lines_in(
+        tmp_path / "in", a="title\n\nk,n\n1,x\n2,y\n" + body, b="other title\r\n\r\n\r\nk,n\r\n7,z\r\n", c="title\n\nk,n\ntitle\nk,n\nk,n\n\n3,\n" + body, d="title\n\n", e="", f="t\n \nk,n\n",
+    )
+    want = [("1", "x"), ("2", "y"), ("7", "z"), ("title", None), ("k", "n"), ("k", "n"), ("3", None)] + 2 * [(str(i), f"x{i}") for i in range(300)]
+    spark.conf.set("spark.sql.files.maxPartitionBytes", cut)
+    try:
+        for df in (rd.read_csv(spark, path, skip_rows=2), rd.read_dirty_csv(spark, path, rd.SourceSpec(skip_rows=2))):
+            assert df.columns == ["k", "n"] and rows(df) == sorted(want, key=lambda r: tuple((v is None, str(v)) for v in r))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", str(128 * 1024 * 1024))
+
+
+def test_skipping_takes_one_scan_and_no_copy(spark, tmp_path):
+    path = lines_in(tmp_path / "in", a="title\n\nk,n\n1,x\n", b="title\n\nk,n\n2,y\n")
+    plan = rd.read_csv(spark, path, skip_rows=2, multi_line=False)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and "Window" not in plan
+
+
+@pytest.mark.parametrize("skip", [0, 2])
+def test_quoted_cells_may_hold_line_breaks(spark, tmp_path, rows, skip):
+    head = "report, made today\n\n"[: None if skip else 0]
+    path = lines_in(tmp_path / "in", a=head + 'k,"amount\n(net)",c\n1,"two\nlines",x\n2,"a ""q""\n\nend",y\n', b=head + 'k,"amount\n(net)",c\n3,plain,z\n4,"5, six"\n5,a,b,c,d\n')
+    want = [("1", "two\nlines", "x"), ("2", 'a "q"\n\nend', "y"), ("3", "plain", "z"), ("4", "5, six", None)]
+    df = rd.read_dirty_csv(spark, path, rd.SourceSpec(skip_rows=skip))
+    assert df.columns == ["k", "amount\n(net)", "c"]
+    assert rows(df) == want and rd.read_csv(spark, path, skip_rows=skip).count() == 5
+    assert rd.has_open_quotes(spark, path) and not rd.has_open_quotes(spark, lines_in(tmp_path / "plain", a='k,n\n1,"x, y"\n'))
+
+
+def test_heads_of_packed_files(spark, tmp_path, rows):
+    import gzip
+
+    path = lines_in(tmp_path / "in", a="t\n\nk,n\n1,x\n")
+    (tmp_path / "in" / "b c%.csv.gz").write_bytes(gzip.compress("été\n\nk,n\n2,ü\n".encode()))
+    assert rd.header_names(spark, path, skip_rows=2) == ["k", "n"] and rows(rd.read_csv(spark, path, skip_rows=2)) == [("1", "x"), ("2", "ü")]
+
+
+def test_conditions_see_no_head_cells(spark, tmp_path, rows):
+    path = lines_in(tmp_path / "in", a="title\nk,n\n1,x\n12,y\n")
+    assert rows(rd.read_csv(spark, path, skip_rows=1, where="CAST(k AS INT) > 5")) == [("12", "y")]
+
+
+def test_quotes_survive_a_round_trip(spark, tmp_path, rows):
+    data = [("1", 'say "hi"', "back\\slash"), ("2", "a,b\nc", '"'), ("3", None, "\\\"")]
+    wr.write_csv(spark.createDataFrame(data, "k string, a string, b string"), str(tmp_path / "q"))
+    assert rows(rd.read_csv(spark, str(tmp_path / "q"))) == data
+
+
+def test_metadata_and_lineage_tell_files_apart(spark, tmp_path, rows):
+    from ledgerloom.operators.shaping import ColumnSpec, SchemaConfig
+
+    for folder, n in (("x", 2), ("y", 3)):
+        (tmp_path / "in" / folder).mkdir(parents=True)
+        (tmp_path / "in" / folder / "same.csv").write_text("t\nk\n" + "".join(f"{i}\n" for i in range(n)), encoding="utf-8")
+    (tmp_path / "in" / "y" / "other é+.csv").write_text("t\nk\n7\n", encoding="utf-8")
+    meta = rd.source_metadata(spark.read.option("recursiveFileLookup", True).text(str(tmp_path / "in")))
+    assert rows(meta, "file", "n_rows") == [("other é+.csv", 3), ("same.csv", 4), ("same.csv", 5)]
+    made = rd.build_table(spark, str(tmp_path / "in" / "y"), SchemaConfig([ColumnSpec("k", "k", "BIGINT")]), "b1", rd.SourceSpec(skip_rows=1))
+    assert rows(made, "k", "_source_file") == [(0, "same.csv"), (1, "same.csv"), (2, "same.csv"), (7, "other é+.csv")]
+    (tmp_path / "p").mkdir()
+    made.select("k").coalesce(1).write.parquet(str(tmp_path / "p" / "d.parquet"))
+    again = rd.build_table(spark, str(tmp_path / "p" / "d.parquet"), SchemaConfig([ColumnSpec("k", "k", "BIGINT")]), "b1")
+    assert all(f.startswith("part-") for _, f in rows(again, "k", "_source_file"))
