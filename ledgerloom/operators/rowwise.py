@@ -1,8 +1,8 @@
 """Operators that depend on row order, built so that no single group has to fit in one task.
 
-A window over a whole file or account would put all its rows in one task. Here the sequence is cut
-into blocks: the window runs inside a block, one small row per block carries the state across, and
-an equi-join hands it back. Skew in the partition key does not matter.
+A window over a whole file or account would put all its rows in one task. Here the rows are dealt out by range of part and sequence:
+the window runs inside a range, one small row per range and part carries the state across, and an equi-join hands it back.
+Ranges hold alike many rows whatever the values of the sequence and however the rows are spread over the parts.
 """
 
 from __future__ import annotations
@@ -10,41 +10,45 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerloom.functions.text import name
 from ledgerloom.session import settle
 
-BLOCK_ROWS = 100_000
 
+def in_ranges(df: DataFrame, part: list[str], seq: str, ranges: int | None = None) -> DataFrame:
+    """``df`` with ``_key``, the part and the range of each row, as one struct that groups, sorts and joins alike, missing parts included.
 
-def _in_blocks(df: DataFrame, part: list[str], seq: str, width: int) -> DataFrame:
-    """Add the group key of a block. One struct key groups, sorts and joins alike, missing parts included."""
-    block = F.floor(F.col(seq) / F.lit(width)).cast("bigint")
-    return df.withColumn("_key", F.struct(*[F.col(p).alias(f"p{i}") for i, p in enumerate(part)], block.alias("b")))
+    There are ``ranges`` of them, or as many as Spark makes of its shuffle partitions. The bounds come from a sample of the rows, so
+    the rows are written once with their range: what is read from them later finds the same ranges, and the facts are read once.
+    """
+    keys = [F.col(name(c)) for c in [*part, seq]]
+    dealt = df.repartitionByRange(*([ranges] if ranges else []), *keys)
+    parts = [F.col(name(p)).alias(f"p{i}") for i, p in enumerate(part)]
+    return settle(dealt.withColumn("_range", F.spark_partition_id()), "ranges").select(*[name(c) for c in df.columns], F.struct(*parts, F.col("_range").alias("b")).alias("_key"))
 
 
-def _block_window(seq: str):
+def _range_window(seq: str):
     return Window.partitionBy("_key").orderBy(seq).rowsBetween(Window.unboundedPreceding, Window.currentRow)
 
 
-def _earlier_blocks(part: list[str]):
+def _earlier_ranges(part: list[str]):
+    """The rows of a part here are its ranges, one each: no more than there are partitions, whatever the size of the part."""
     parts = [F.col(f"_key.p{i}") for i in range(len(part))] or [F.lit(1)]
     return Window.partitionBy(*parts).orderBy("_key.b").rowsBetween(Window.unboundedPreceding, -1)
 
 
-def forward_fill(
-    df: DataFrame, cols: list[str], part: list[str], seq: str, block_rows: int = BLOCK_ROWS
-) -> DataFrame:
+def forward_fill(df: DataFrame, cols: list[str], part: list[str], seq: str, ranges: int | None = None) -> DataFrame:
     """Fill missing values of ``cols`` with the last value seen before, in ``seq`` order per ``part``.
 
-    ``seq`` must be an integer, unique inside ``part``.
+    ``seq`` must be unique inside ``part``; its steps do not matter.
     """
-    keyed = _in_blocks(df, part, seq, block_rows)
-    filled = keyed.withColumns({c: F.last(c, ignorenulls=True).over(_block_window(seq)) for c in cols})
-    last_in_block = keyed.groupBy("_key").agg(
+    keyed = in_ranges(df, part, seq, ranges)
+    filled = keyed.withColumns({c: F.last(c, ignorenulls=True).over(_range_window(seq)) for c in cols})
+    last_in_range = keyed.groupBy("_key").agg(
         *[F.max_by(c, F.when(F.col(c).isNotNull(), F.col(seq))).alias(f"_last_{i}") for i, c in enumerate(cols)]
     )
-    carry = last_in_block.select(
+    carry = last_in_range.select(
         F.col("_key").alias("_carry_key"),
-        *[F.last(f"_last_{i}", ignorenulls=True).over(_earlier_blocks(part)).alias(f"_carry_{i}")
+        *[F.last(f"_last_{i}", ignorenulls=True).over(_earlier_ranges(part)).alias(f"_carry_{i}")
           for i in range(len(cols))],
     )
     position = {c: i for i, c in enumerate(cols)}
@@ -54,14 +58,12 @@ def forward_fill(
     )
 
 
-def running_total(
-    df: DataFrame, value: str, part: list[str], seq: str, out: str, block_rows: int = BLOCK_ROWS
-) -> DataFrame:
+def running_total(df: DataFrame, value: str, part: list[str], seq: str, out: str, ranges: int | None = None) -> DataFrame:
     """Running sum of ``value`` in ``seq`` order per ``part``; exact for decimals."""
-    keyed = _in_blocks(df, part, seq, block_rows)
-    local = keyed.withColumn("_local", F.sum(F.coalesce(F.col(value), F.lit(0))).over(_block_window(seq)))
+    keyed = in_ranges(df, part, seq, ranges)
+    local = keyed.withColumn("_local", F.sum(F.coalesce(F.col(value), F.lit(0))).over(_range_window(seq)))
     carry = keyed.groupBy("_key").agg(F.sum(value).alias("_sum")).select(
-        F.col("_key").alias("_carry_key"), F.sum("_sum").over(_earlier_blocks(part)).alias("_carry")
+        F.col("_key").alias("_carry_key"), F.sum("_sum").over(_earlier_ranges(part)).alias("_carry")
     )
     return local.join(carry, F.col("_key") == F.col("_carry_key"), "left").select(
         *df.columns, (F.col("_local") + F.coalesce(F.col("_carry"), F.lit(0))).alias(out)

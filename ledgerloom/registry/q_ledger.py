@@ -170,7 +170,7 @@ def running_balance(spark, sf):
 @register("running_total_events", "W1", """
 SELECT event_id, e, CAST(SUM(v) OVER (PARTITION BY e ORDER BY event_id ROWS UNBOUNDED PRECEDING) AS DOUBLE) AS running FROM {daily}""")
 def running_total_events(spark, sf):
-    out = running_total(view(spark, sf, "daily"), "v", ["e"], "event_id", "running", block_rows=1000)
+    out = running_total(view(spark, sf, "daily"), "v", ["e"], "event_id", "running")
     return out.select("event_id", "e", "running")
 
 

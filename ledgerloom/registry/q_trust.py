@@ -201,7 +201,7 @@ SELECT file_no, seq, last_value(claim_month IGNORE NULLS) {FILL.format('file_no'
 FROM {{plain_report}}""")
 def ffill_keys(spark, sf):
     rows = view(spark, sf, "plain_report").select("file_no", "seq", "claim_month", "term", "store_code")
-    return forward_fill(rows, ["claim_month", "term", "store_code"], ["file_no"], "seq", block_rows=64)
+    return forward_fill(rows, ["claim_month", "term", "store_code"], ["file_no"], "seq")
 
 
 @register("rows_before_marker", "P12", """

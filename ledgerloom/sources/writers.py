@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from ledgerloom.functions.text import name
 from ledgerloom.operators.literals import literal_table
-from ledgerloom.operators.tables import mark_replaced, upsert
+from ledgerloom.operators.tables import matching, upsert
 from ledgerloom.reference_data import WORKPAPER_SHEETS
 from ledgerloom.sources import changes
 from ledgerloom.sources.changes import change_files
@@ -90,9 +90,9 @@ def upsert_dataset(source: DataFrame, path: str, keys: list[str], match: str = "
     own = {f.name: f.dataType for f in source.schema.fields if f.name in (partition_by or [])}
     schema = T.StructType([T.StructField(f.name, own.get(f.name, f.dataType)) for f in found.fields])
     target = spark.read.schema(schema).parquet(path)
-    marked = mark_replaced(target.select("*", F.col("_metadata.file_path").alias("_upsert_file")), source, keys, match)
+    replaced = matching(target.select("*", F.col("_metadata.file_path").alias("_upsert_file")), source, keys, match)
     # names of files, as many as the dataset has at most
-    touched = sorted(r[0] for r in marked.where("_replaced").select("_upsert_file").distinct().collect())
+    touched = sorted(r[0] for r in replaced.select("_upsert_file").distinct().collect())
     rows = source.select(*[name(f.name) for f in schema.fields])
     if touched:
         rewritten = spark.read.schema(schema).option("basePath", path).parquet(*changes.readable(spark, path, touched))

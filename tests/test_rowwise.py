@@ -73,3 +73,35 @@ def test_share_without_subtotal_is_zero(spark, rows):
     df = spark.createDataFrame(data, "part string, label string, v double, seq int")
     got = rows(rw.share_of_subtotal(df, "part", "label", "sum", "v", "seq", "share"), "part", "label", "share")
     assert got == [("p1", "a", 0.25), ("p1", "sum", 1.0), ("p1", "sum", 2.0), ("p2", "a", 0.0)]
+
+
+@pytest.mark.parametrize("part", [[], ["p"]])
+def test_sparse_sequences_carry_over_few_ranges(spark, part):
+    rows = spark.range(50_000).select(
+        F.expr("CASE WHEN id % 10 < 7 THEN 'hot' WHEN id % 10 = 7 THEN NULL ELSE 'p' || id % 10 END").alias("p"), (F.col("id") * 1_000_000 - 25_000_000_000).alias("seq"),
+        F.when(F.col("id") % 5000 == 4321, F.col("id")).alias("v"), F.when(F.col("id") % 3 > 0, F.lit(1)).alias("n"),
+    )
+    keyed = rw.in_ranges(rows, part, "seq", 16)
+    assert keyed.select("_key.b").distinct().count() <= 16 and keyed.groupBy("_key").count().agg(F.max("count")).first()[0] < 12_000
+    per_part = keyed.groupBy(*[f"_key.p{i}" for i in range(len(part))]).agg(F.countDistinct("_key.b").alias("n"))
+    assert per_part.agg(F.max("n")).first()[0] <= 16  # rows that a carry window sees
+    state, count, want = {}, {}, {}
+    for r in rows.orderBy("seq").collect():
+        k = r.p if part else None
+        state[k] = r.v if r.v is not None else state.get(k)
+        count[k] = count.get(k, 0) + (r.n or 0)
+        want[r.seq] = (state[k], count[k])
+    filled = {r.seq: r.v for r in rw.forward_fill(rows, ["v"], part, "seq").collect()}
+    total = {r.seq: r.t for r in rw.running_total(rows, "n", part, "seq", "t").collect()}
+    assert {s: (filled[s], total[s]) for s in want} == want
+
+
+def test_carry_of_ids_from_many_tasks(spark):
+    df = spark.range(0, 3000, 1, 6).select(F.monotonically_increasing_id().alias("seq"), F.when(F.col("id") % 100 == 0, F.col("id")).alias("v"), F.col("id").alias("i"))
+    assert rw.forward_fill(df, ["v"], [], "seq", 5).where("v <> i - i % 100").count() == 0
+
+
+def test_sequences_may_be_dates(spark):
+    df = spark.sql("SELECT explode(sequence(DATE'2024-01-01', DATE'2024-12-31')) AS d").withColumn("n", F.lit(1))
+    got = rw.running_total(df, "n", [], "d", "t", 4)
+    assert got.where("t <> dayofyear(d)").count() == 0 and got.count() == 366
