@@ -141,6 +141,19 @@ def sheets_union(spark, sf):
     return rd.read_sheets(spark, folder, r"\d{4}").select("source", "r_name")
 
 
+@register("sheets_mixed_columns", "S9 S15 U1", """
+SELECT 's_one' AS source, CAST(s_suppkey AS STRING) AS k, s_name AS name, CAST(NULL AS STRING) AS nation FROM {supplier} WHERE s_suppkey % 3 = 0
+UNION ALL SELECT 's_two', CAST(s_suppkey AS STRING), s_name, CAST(s_nationkey AS STRING) FROM {supplier} WHERE s_suppkey % 3 = 1
+UNION ALL SELECT 's_three', NULL, s_name, CAST(s_nationkey AS STRING) FROM {supplier} WHERE s_suppkey % 3 = 2""")
+def sheets_mixed_columns(spark, sf):
+    """Sheets whose columns stand in different orders and do not all occur, read by one scan."""
+    folder = scratch_path(spark, "book")
+    base = table(spark, sf, "supplier").select(F.col("s_suppkey").alias("k"), F.col("s_name").alias("name"), F.col("s_nationkey").alias("nation"))
+    for i, (sheet, columns) in enumerate({"s_one": ["name", "k"], "s_two": ["nation", "k", "name"], "s_three": ["name", "nation"], "notes": ["k"]}.items()):
+        wr.write_csv(base.where(F.col("k") % 3 == i % 3).select(*columns).repartition(2), f"{folder}/{sheet}.csv")
+    return rd.read_sheets(spark, folder, "^s_").select("source", "k", "name", "nation")
+
+
 @register("sheet_header_offset", "S8 P5", "SELECT CAST(l_orderkey AS STRING) AS k, CAST(l_linenumber AS STRING) AS n FROM {lineitem}")
 def sheet_header_offset(spark, sf):
     folder = scratch_path(spark, "offset")

@@ -76,7 +76,7 @@ def read_head(spark: SparkSession, file: str, skip: int, charset: str, multi_lin
     return Head(file, tuple([*above, held] if held else above), None)
 
 
-def file_heads(spark: SparkSession, path: str, skip: int, charset: str, multi_line: bool) -> list[Head]:
+def file_heads(spark: SparkSession, path: str | list[str], skip: int, charset: str, multi_line: bool) -> list[Head]:
     """The heads of all files of a path, by file name: a few lines of each file."""
     # names as scans write them, where an empty host has no slashes
     files = sorted(re.sub("^([A-Za-z][A-Za-z0-9+.-]*):///", r"\1:/", f) for f in spark.read.text(path).inputFiles())
@@ -92,19 +92,16 @@ def _alike(columns: list[str], prefix: str) -> Column:
     return same
 
 
-def without_heads(rows: DataFrame, heads: list[Head], with_header: bool, options: dict[str, str], source: list[str]) -> DataFrame:
-    """``rows`` (text columns and ``_file``, the file's path as in ``heads``) without those of the heads, and without ``_file``; ``source`` may
-    name a column for the last part of the path.
+def without_heads(rows: DataFrame, heads: list[Head], with_header: bool, options: dict[str, str]) -> DataFrame:
+    """``rows`` (text columns and ``_file``, the file's path as in ``heads``) without those of the heads.
 
     One count over the first column tells whether any other row could look like a head row; only then the other columns are compared too.
     Cells of head rows are NULL before the rows go: a condition on the result may be evaluated first.
     """
     spark, columns = rows.sparkSession, [c for c in rows.columns if c != "_file"]
-    last = F.url_decode(F.replace(F.regexp_extract("_file", "([^/]*)$", 1), F.lit("+"), F.lit("%2B")))
-    file = [last.alias(c) for c in source]
     texts = [(h.file, t) for h in heads for t in [*h.above, *([h.header] if with_header and h.header else [])] if t.strip()]
     if not texts:
-        return rows.select(*columns, *file)
+        return rows
     shape = ", ".join(f"{name(c)} string" for c in columns)
     parsed = literal_table(spark, texts, "_file string, _text string").select("_file", F.from_csv("_text", shape, options).alias("_x"))
     parsed = parsed.select(F.col("_file").alias("_h_file"), *[F.col(f"_x.{c}").alias(f"_h_{c}") for c in columns])
@@ -119,8 +116,8 @@ def without_heads(rows: DataFrame, heads: list[Head], with_header: bool, options
         if found.where("_more >= 0").count() != known.count():
             raise ValueError("lines above the header do not read as records of their own; a quoted cell may go on below them")
         more = found.where("_more > 0")
-        more = None if more.isEmpty() else more.select(*columns, *file, F.explode(F.sequence(F.lit(1), F.col("_more").cast("int"))).alias("_i")).drop("_i")
+        more = None if more.isEmpty() else more.select(*columns, "_file", F.explode(F.sequence(F.lit(1), F.col("_more").cast("int"))).alias("_i")).drop("_i")
     marked = rows.join(known.withColumn("_is_head", F.lit(True)), _alike(columns, "_h_"), "left")
     body = F.col("_is_head").isNull()
-    kept = marked.where(body).select(*[F.when(body, F.col(c)).alias(c) for c in columns], *file)
+    kept = marked.where(body).select(*[F.when(body, F.col(c)).alias(c) for c in columns], "_file")
     return kept if more is None else kept.union(more)

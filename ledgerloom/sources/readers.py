@@ -4,12 +4,14 @@ from __future__ import annotations
 
 import re
 from dataclasses import dataclass
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerloom.functions.text import name
+from ledgerloom.operators.literals import literal_table
 from ledgerloom.operators.quality import silver
 from ledgerloom.operators.shaping import SchemaConfig, add_lineage, normalize_names
 from ledgerloom.sources.heads import Head, file_heads, without_heads
@@ -49,7 +51,7 @@ def detect_encoding(spark: SparkSession, path: str) -> str:
     return "cp950" if bad.count() else "UTF-8"
 
 
-def has_open_quotes(spark: SparkSession, path: str, encoding: str = "UTF-8") -> bool:
+def has_open_quotes(spark: SparkSession, path: str | list[str], encoding: str = "UTF-8") -> bool:
     """Whether a line has a quote that a later line closes. Stops at the first such line."""
     lines = spark.read.option("encoding", _charset(spark, encoding)).csv(path, sep="\u0001", header=False, quote="", schema="value string")
     quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
@@ -91,7 +93,9 @@ def _text_rows(
         rows = reader.option("header", header).option("enforceSchema", True).csv(path)
         return rows.select("*", *[_file_name().alias(c) for c in file]).toDF(*names, *file)
     rows = reader.option("header", False).csv(path).select("*", F.col("_metadata.file_path").alias("_file"))
-    return without_heads(rows, heads, header, options, file).toDF(*names, *file)
+    rows = without_heads(rows, heads, header, options)
+    last = F.url_decode(F.replace(F.regexp_extract("_file", "([^/]*)$", 1), F.lit("+"), F.lit("%2B")))
+    return rows.select(*held, *[last.alias(c) for c in file]).toDF(*names, *file)
 
 
 def read_csv(
@@ -212,14 +216,39 @@ def read_sheet(
     return read_csv(spark, path, columns=columns, skip_rows=header_row, limit=limit)
 
 
-def read_sheets(spark: SparkSession, folder: str, pattern: str = ".", fmt: str = "csv", header_row: int = 0) -> DataFrame:
-    """Sheets whose name matches ``pattern``, united by column name, tagged with their name."""
+def read_sheets(
+    spark: SparkSession, folder: str, pattern: str = ".", fmt: str = "csv", header_row: int = 0, multi_line: bool | None = None, tag: str = "source"
+) -> DataFrame:
+    """Sheets whose name matches ``pattern``, united by column name, tagged with their name.
+
+    Text sheets are read by one scan however many they are: every file's own header says which name stands at which place, and cells come under
+    their names through that table. Of columns with the same name in one file the first counts; a sheet without a column has NULL there.
+    """
     from ledgerloom.operators.joins import union_tagged
 
     chosen = [s for s in sheet_names(spark, folder) if re.search(pattern, s)]
     if not chosen:
         raise ValueError(f"no sheet of {folder} matches {pattern}")
-    return union_tagged({s: read_sheet(spark, folder, s, fmt, header_row) for s in chosen})
+    if fmt != "csv":
+        return union_tagged({s: read_sheet(spark, folder, s, fmt, header_row) for s in chosen}, tag)
+
+    paths = [f"{folder}/" + re.sub(r"([\\{}\[\]*?])", r"\\\1", s) + f".{fmt}" for s in chosen]
+    whole = has_open_quotes(spark, paths) if multi_line is None else multi_line
+    heads = [h for h in file_heads(spark, paths, header_row, "UTF-8", whole) if h.header is not None]
+    order = {s: i for i, s in enumerate(chosen)}
+    found = sorted(((h, h.names(","), unquote(h.file.split("/")[-2]).removesuffix(f".{fmt}")) for h in heads), key=lambda x: order[x[2]])
+    names = list(dict.fromkeys(n for _, given, _ in found for n in given))
+    places = [(h.file, sheet, [given.index(n) if n in given else -1 for n in names]) for h, given, sheet in found]
+    held = [f"_c{i}" for i in range(max([len(given) for _, given, _ in found], default=1))]
+
+    options = {"sep": ",", "mode": "PERMISSIVE", **QUOTES}
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in held])
+    reader = spark.read.options(**options).option("multiLine", whole).option("header", not header_row).option("enforceSchema", True).schema(schema)
+    rows = reader.csv(paths).select("*", F.col("_metadata.file_path").alias("_file"))
+    rows = without_heads(rows, heads, True, options) if header_row else rows
+    table = literal_table(spark, places, "_of string, _sheet string, _at array<int>")
+    cell = lambda i: F.when(F.col("_at")[i] >= 0, F.get(F.array(*held), F.col("_at")[i]))
+    return rows.join(table, F.col("_file") == F.col("_of")).select(*[cell(i).alias(n) for i, n in enumerate(names)], F.col("_sheet").alias(tag))
 
 
 def preview(df: DataFrame, n_rows: int = 10) -> dict:

@@ -361,3 +361,18 @@ def test_metadata_and_lineage_tell_files_apart(spark, tmp_path, rows):
     made.select("k").coalesce(1).write.parquet(str(tmp_path / "p" / "d.parquet"))
     again = rd.build_table(spark, str(tmp_path / "p" / "d.parquet"), SchemaConfig([ColumnSpec("k", "k", "BIGINT")]), "b1")
     assert all(f.startswith("part-") for _, f in rows(again, "k", "_source_file"))
+
+
+@pytest.mark.parametrize("header_row", [0, 2])
+def test_sheets_align_by_name_in_one_scan(spark, tmp_path, rows, header_row):
+    top = "made today,x\n\n" if header_row else ""
+    for sheet, files in {"a b": ["k,v\n1,x\n", "v,k\ny,2\n"], "c[1]": ['v,w,"k\n(n)"\nz,5,7\n', "k,k\n8,9\n"], "d": ["k\n"], "other": ["q\n1\n"]}.items():
+        folder = tmp_path / f"{sheet}.csv"
+        folder.mkdir()
+        for i, text in enumerate(files):
+            (folder / f"f{i}.csv").write_text(top + text, encoding="utf-8")
+    df = rd.read_sheets(spark, str(tmp_path), "^[acd]", header_row=header_row)
+    assert set(df.columns) == {"k", "v", "w", "k\n(n)", "source"}
+    want = [("1", "x", None, None, "a b"), ("2", "y", None, None, "a b"), ("8", None, None, None, "c[1]"), (None, "z", "5", "7", "c[1]")]
+    assert rows(df, "k", "v", "w", "`k\n(n)`", "source") == want
+    assert df._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
