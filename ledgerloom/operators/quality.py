@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.scalars import has_any_char, strip_chars
@@ -187,43 +187,43 @@ def validate_table(
     """Report rows (rule, item, severity, failures, ok).
 
     A missing column and missing values are errors, repeated values a warning. A validator is a
-    condition that must hold on every row; a row where it is unknown fails it.
+    condition that must hold on every row; a row where it is unknown fails it. The table is read once, whatever the number of rules.
     """
     have = set(df.columns)
-    reports = [
-        literal_table(
-            df.sparkSession,
-            [("required", c, "error", 0 if c in have else 1) for c in required or []],
-            "rule string, item string, severity string, failures bigint",
-        )
-    ]
-    rowwise = {("not_null", c): F.col(name(c)).isNotNull() for c in not_null or [] if c in have}
-    rowwise.update({("validator", label): cond for label, cond in (validators or {}).items()})
-    if rowwise:
-        failed = df.agg(*[F.count_if(~F.coalesce(c, F.lit(False))).alias(f"f_{i}") for i, c in enumerate(rowwise.values())])
-        rows = ", ".join(f"{literal(rule)}, {literal(item)}, 'error', f_{i}" for i, (rule, item) in enumerate(rowwise))
-        reports.append(failed.selectExpr(f"stack({len(rowwise)}, {rows}) AS (rule, item, severity, failures)"))
-    for c in [u for u in unique or [] if u in have]:
-        # a missing value counts as one more value; each column is grouped on its own
-        groups = df.groupBy(F.col(name(c)).alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
-        reports.append(
-            groups.agg(F.lit("unique").alias("rule"), F.lit(c).alias("item"), F.lit("warning").alias("severity"),
-                       F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).cast("bigint").alias("failures"))
-        )
-    return reduce(DataFrame.unionByName, reports).withColumn("ok", F.col("failures") == 0)
+    found = literal_table(
+        df.sparkSession,
+        [("required", c, "error", 0 if c in have else 1) for c in required or []],
+        "rule string, item string, severity string, failures bigint",
+    )
+    n_rows = F.count(F.lit(1))
+    counts = {("not_null", c, "error"): F.count_if(F.col(name(c)).isNull()) for c in not_null or [] if c in have}
+    counts.update({("validator", label, "error"): F.count_if(~F.coalesce(cond, F.lit(False))) for label, cond in (validators or {}).items()})
+    # rows beyond the first of each value, missing ones being one more value. Spark works all distinct counts out together: rows are
+    # expanded to one key per column, and equal keys are merged before and after one shuffle
+    counts.update({
+        ("unique", c, "warning"): n_rows - F.count_distinct(F.col(name(c))) - F.when(F.count_if(F.col(name(c)).isNull()) > 0, 1).otherwise(0)
+        for c in unique or [] if c in have
+    })
+    if counts:
+        counted = df.agg(*[c.cast("bigint").alias(f"f_{i}") for i, c in enumerate(counts.values())])
+        rows = ", ".join(f"{literal(rule)}, {literal(item)}, {literal(severity)}, f_{i}" for i, (rule, item, severity) in enumerate(counts))
+        found = found.unionByName(counted.selectExpr(f"stack({len(counts)}, {rows}) AS (rule, item, severity, failures)"))
+    return found.withColumn("ok", F.col("failures") == 0)
 
 
 def integrity_profile(df: DataFrame, table: str) -> DataFrame:
-    """Rows, missing values and type per column, and groups of equal rows, as (section, item, value)."""
-    nulls = null_counts(df)
+    """Rows, missing values and type per column, and groups of equal rows, as (section, item, value), from one scan."""
     types = literal_table(df.sparkSession, [("type", c, t) for c, t in df.dtypes], "section string, item string, value string")
-    text = lambda c: F.col(c).cast("string").alias("value")
-    return (
-        df.agg(F.count(F.lit(1)).alias("n")).select(F.lit("rows").alias("section"), F.lit(table).alias("item"), text("n"))
-        .unionByName(nulls.select(F.lit("nulls").alias("section"), F.col("column").alias("item"), text("null_count")))
-        .unionByName(duplicate_rows(df).select(F.lit("duplicates").alias("section"), F.lit(table).alias("item"), text("duplicate_groups")))
-        .unionByName(types)
+    # equal rows first, then everything from their counts: the table is read once
+    groups = df.groupBy(*[F.col(name(c)) for c in df.columns]).agg(F.count(F.lit(1)).alias("_n"))
+    total = lambda n: F.coalesce(F.sum(n), F.lit(0))
+    counted = groups.agg(
+        total(F.col("_n")).alias("n_rows"), F.count_if(F.col("_n") > 1).alias("n_equal"),
+        *[total(F.when(F.col(name(c)).isNull(), F.col("_n"))).alias(f"n_{i}") for i, c in enumerate(df.columns)],
     )
+    rows = [f"'rows', {literal(table)}, string(n_rows)", f"'duplicates', {literal(table)}, string(n_equal)"]
+    rows += [f"'nulls', {literal(c)}, string(n_{i})" for i, c in enumerate(df.columns)]
+    return counted.selectExpr(f"stack({len(rows)}, {', '.join(rows)}) AS (section, item, value)").unionByName(types)
 
 
 def custom_checks(df: DataFrame, checks: dict[str, str]) -> dict[str, DataFrame]:
@@ -261,13 +261,41 @@ def clean_numeric(df: DataFrame, column: str, chars: list[str] | None = None) ->
     return df.withColumn(column, strip_chars(F.col(name(column)), chars))
 
 
+def failing_values(df: DataFrame, rules: dict[str, tuple[Column, Column]], samples: int = 5) -> DataFrame:
+    """Per rule (value, condition under which it fails): failing values, different ones among them, and the least ``samples`` of these as text with
+    how often each occurs, as (item, invalid_count, distinct_count, samples).
+
+    All rules share one pass: rows give a pair for each rule they break, and equal pairs are merged before they are shuffled. The counts and the
+    samples both come from that shuffle, which Spark runs once; samples are cut to the least few in every task before they meet.
+    """
+    broken = F.array(*[F.struct(F.lit(i).alias("i"), value.cast("string").alias("value"), F.coalesce(bad, F.lit(False)).alias("bad")) for i, (value, bad) in enumerate(rules.values())])
+    pairs = df.select(F.explode(F.filter(broken, lambda x: x["bad"])).alias("x")).groupBy("x.i", "x.value").agg(F.count(F.lit(1)).alias("n"))
+    totals = pairs.groupBy("i").agg(F.sum("n").alias("invalid_count"), F.count(F.lit(1)).alias("distinct_count"))
+    least = pairs.withColumn("_r", F.row_number().over(Window.partitionBy("i").orderBy("value"))).where(F.col("_r") <= samples)
+    least = least.groupBy(F.col("i").alias("_i")).agg(F.array_sort(F.collect_list(F.struct("value", "n"))).alias("samples"))
+    items = literal_table(df.sparkSession, [(i, label) for i, label in enumerate(rules)], "_item int, item string")
+    found = items.join(totals, F.col("_item") == F.col("i"), "left").join(least, F.col("_item") == F.col("_i"), "left")
+    none = F.expr("cast(array() as array<struct<value:string,n:bigint>>)")
+    count = lambda c: F.coalesce(F.col(c), F.lit(0)).alias(c)
+    return found.select("item", count("invalid_count"), count("distinct_count"), F.coalesce("samples", none).alias("samples"))
+
+
+def lost_by_type(df: DataFrame, types: dict[str, str], samples: int = 5) -> DataFrame:
+    """``failing_values`` of all columns that are to change their type: values that the new type cannot hold."""
+    col = lambda c: F.col(name(c))
+    return failing_values(df, {c: (col(c), col(c).isNotNull() & col(c).try_cast(t).isNull()) for c, t in types.items()}, samples)
+
+
+def lost_by_cast(df: DataFrame, specs: list[ColumnSpec], samples: int = 5) -> DataFrame:
+    """``failing_values`` of the casts of specifications."""
+    present = [s for s in specs if s.target in df.columns and s.dtype != "VARCHAR"]
+    col = lambda s: F.col(name(s.target))
+    return failing_values(df, {s.target: (col(s), col(s).isNotNull() & cast_expr(col(s), s).isNull()) for s in present}, samples)
+
+
 def unconvertible(df: DataFrame, column: str, dtype: str, samples: int = 5) -> DataFrame:
-    """One row: values that do not convert, with a few of them."""
-    col = F.col(name(column))
-    bad = col.isNotNull() & col.try_cast(dtype).isNull()
-    found = df.where(bad).select(col.cast("string").alias("v"))
-    some = found.limit(samples).agg(F.sort_array(F.collect_list("v")).alias("samples"))
-    return some.withColumn("invalid_count", found.agg(F.count(F.lit(1)).alias("n")).scalar())
+    """One row: values that do not convert, with the least few of them."""
+    return lost_by_type(df, {column: dtype}, samples).select(F.transform("samples", lambda x: x["value"]).alias("samples"), "invalid_count")
 
 
 def convert_column(df: DataFrame, column: str, dtype: str, validate: bool = True) -> DataFrame:

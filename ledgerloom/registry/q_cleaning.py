@@ -10,7 +10,7 @@ from ledgerloom.operators import shaping as sh
 from ledgerloom.operators.joins import merge
 from ledgerloom.operators.tables import delete_where
 from ledgerloom.registry.core import register
-from ledgerloom.registry.views import view
+from ledgerloom.registry.views import table, view
 from ledgerloom.session import scratch_path
 from ledgerloom.sources import readers as rd
 
@@ -103,6 +103,20 @@ def type_guard(spark, sf):
     return qu.unconvertible(view(spark, sf, "dirty"), "amount_text", "decimal(18,2)").select("invalid_count")
 
 
+@register("conversion_samples", "F6 F7 Q3", """
+SELECT i.item, CAST(COALESCE(SUM(n), 0) AS BIGINT) AS invalid_count, COUNT(v) AS distinct_count, COALESCE(STRING_AGG(v || ' x' || CAST(n AS STRING), '|' ORDER BY v) FILTER (WHERE r <= 5), '') AS samples
+FROM (VALUES ('amount_text'), ('note'), ('k')) i(item) LEFT JOIN (
+  SELECT item, v, COUNT(*) AS n, ROW_NUMBER() OVER (PARTITION BY item ORDER BY v) AS r FROM (
+    SELECT 'amount_text' AS item, amount_text AS v FROM {dirty} WHERE amount_text IS NOT NULL AND TRY_CAST(amount_text AS DECIMAL(18,2)) IS NULL
+    UNION ALL SELECT 'note', note FROM {dirty} WHERE note IS NOT NULL) f GROUP BY 1, 2) g ON g.item = i.item
+GROUP BY i.item""")
+def conversion_samples(spark, sf):
+    """All columns that are to change their type in one pass: how many values fail, how many different ones, and the least five."""
+    found = qu.lost_by_type(view(spark, sf, "dirty"), {"amount_text": "decimal(18,2)", "note": "bigint", "k": "int"})
+    shown = F.transform("samples", lambda x: F.concat(x["value"], F.lit(" x"), x["n"].cast("string")))
+    return found.select("item", "invalid_count", "distinct_count", F.array_join(shown, "|").alias("samples"))
+
+
 @register("alter_columns", "F8", "SELECT k AS key, 'bank' AS channel, CAST(7 AS BIGINT) AS weight FROM {dirty}")
 def alter_columns(spark, sf):
     df = view(spark, sf, "dirty").select("k", "note")
@@ -285,6 +299,27 @@ def table_validation(spark, sf):
     return qu.validate_table(view(spark, sf, "dirty"), ["k", "absent"], ["k", "flag_text"], ["note"], {"amount below 400000": F.col("amt") < 400000})
 
 
+@register("uniqueness", "Q4 A23", """
+SELECT 'unique' AS rule, x.item, 'warning' AS severity, x.failures, x.failures = 0 AS ok FROM (
+  SELECT 'l_orderkey' AS item, COUNT(*) - COUNT(DISTINCT l_orderkey) AS failures FROM {lineitem} UNION ALL SELECT 'l_partkey', COUNT(*) - COUNT(DISTINCT l_partkey) FROM {lineitem}
+  UNION ALL SELECT 'l_quantity', COUNT(*) - COUNT(DISTINCT l_quantity) FROM {lineitem} UNION ALL SELECT 'l_shipdate', COUNT(*) - COUNT(DISTINCT l_shipdate) FROM {lineitem}
+  UNION ALL SELECT 'flag', COUNT(*) - COUNT(DISTINCT nullif(l_returnflag, 'N')) - 1 FROM {lineitem}) x""")
+def uniqueness(spark, sf):
+    """Rows beyond the first of each value, for many columns at once; one of them has missing values."""
+    rows = table(spark, sf, "lineitem").withColumn("flag", F.expr("nullif(l_returnflag, 'N')"))
+    return qu.validate_table(rows, unique=["l_orderkey", "l_partkey", "l_quantity", "l_shipdate", "flag"])
+
+
+@register("integrity_of_equal_rows", "Q5 A23 A24", """
+SELECT 'rows' AS section, 'lineitem' AS item, CAST(COUNT(*) AS STRING) AS value FROM {lineitem}
+UNION ALL SELECT 'nulls', 'q', CAST(COUNT(*) FILTER (WHERE l_linenumber % 3 = 0) AS STRING) FROM {lineitem} UNION ALL SELECT 'nulls', 'l_returnflag', '0'
+UNION ALL SELECT 'duplicates', 'lineitem', CAST(COUNT(*) AS STRING) FROM (SELECT CASE WHEN l_linenumber % 3 > 0 THEN l_linenumber END AS q, l_returnflag FROM {lineitem} GROUP BY ALL HAVING COUNT(*) > 1) t
+UNION ALL SELECT 'type', x.c, x.t FROM (VALUES ('q', 'int'), ('l_returnflag', 'string')) x(c, t)""")
+def integrity_of_equal_rows(spark, sf):
+    rows = table(spark, sf, "lineitem").selectExpr("CAST(CASE WHEN l_linenumber % 3 > 0 THEN l_linenumber END AS INT) AS q", "l_returnflag")
+    return qu.integrity_profile(rows, "lineitem")
+
+
 @register("integrity", "Q5", """
 SELECT 'rows' AS section, 'customer' AS item, CAST(COUNT(*) AS STRING) AS value FROM {customer}
 UNION ALL SELECT 'nulls', x.c, '0' FROM (VALUES ('c_custkey'), ('c_nationkey'), ('c_mktsegment')) x(c) WHERE (SELECT COUNT(*) FROM {customer} WHERE c_custkey IS NULL) = 0

@@ -358,6 +358,55 @@ def migration_plan(spark, sf):
     return one("safe").unionByName(one("force"))
 
 
+NARROW = T.StructType([
+    T.StructField("c_custkey", T.IntegerType()), T.StructField("c_nationkey", T.ByteType()), T.StructField("balance", T.IntegerType()),
+    T.StructField("code", T.LongType()), T.StructField("tier", T.StringType()),
+])
+
+
+def _coded(spark, sf):
+    """Text codes that are numbers but for some, a column without values, and two that hold something."""
+    code = "CASE WHEN c_custkey % 40 = 7 THEN 'n/a' WHEN c_custkey % 5 = 0 THEN NULL ELSE CAST(c_custkey AS STRING) END AS code"
+    return view(spark, sf, "target_customers").selectExpr("c_custkey", "c_nationkey", "balance", code, "CAST(NULL AS STRING) AS unused", "c_mktsegment AS segment")
+
+
+_CODE = "CASE WHEN c_custkey % 40 = 7 THEN 'n/a' WHEN c_custkey % 5 = 0 THEN NULL ELSE CAST(c_custkey AS STRING) END"
+
+
+@register("schema_profile", "Q11", f"""
+SELECT * FROM (
+  SELECT 'tier' AS "column", 'added' AS change, NULL AS old_type, 'VARCHAR' AS new_type, COUNT(*) AS n_rows, CAST(0 AS BIGINT) AS n_values, CAST(0 AS BIGINT) AS n_lost, CAST(0 AS BIGINT) AS max_length, NULL AS low, NULL AS high FROM {{target_customers}}
+  UNION ALL SELECT 'unused', 'removed', 'VARCHAR', NULL, COUNT(*), 0, 0, 0, NULL, NULL FROM {{target_customers}}
+  UNION ALL SELECT 'segment', 'removed', 'VARCHAR', NULL, COUNT(*), COUNT(c_mktsegment), COUNT(c_mktsegment), MAX(LENGTH(c_mktsegment)), MIN(c_mktsegment), MAX(c_mktsegment) FROM {{target_customers}}
+  UNION ALL SELECT 'c_nationkey', 'type_changed', 'INTEGER', 'TINYINT', COUNT(*), COUNT(c_nationkey), 0, MAX(LENGTH(CAST(c_nationkey AS STRING))), CAST(MIN(c_nationkey) AS STRING), CAST(MAX(c_nationkey) AS STRING) FROM {{target_customers}}
+  UNION ALL SELECT 'c_custkey', 'type_changed', 'BIGINT', 'INTEGER', COUNT(*), COUNT(c_custkey), 0, MAX(LENGTH(CAST(c_custkey AS STRING))), CAST(MIN(c_custkey) AS STRING), CAST(MAX(c_custkey) AS STRING) FROM {{target_customers}}
+  UNION ALL SELECT 'balance', 'type_changed', 'DECIMAL', 'INTEGER', COUNT(*), COUNT(balance), COUNT(*) FILTER (WHERE balance <> TRUNC(balance)), MAX(LENGTH(CAST(balance AS STRING))), CAST(MIN(balance) AS STRING), CAST(MAX(balance) AS STRING) FROM {{target_customers}}
+  UNION ALL SELECT 'code', 'type_changed', 'VARCHAR', 'BIGINT', COUNT(*), COUNT(code), COUNT(*) FILTER (WHERE code = 'n/a'), MAX(LENGTH(code)), MIN(code), MAX(code) FROM (SELECT {_CODE} AS code FROM {{target_customers}}) c) t""")
+def schema_profile(spark, sf):
+    """What the changed columns hold: how many values, how many would be lost, how long, from where to where."""
+    return tb.profile_changes(_coded(spark, sf), NARROW)
+
+
+@register("migration_by_data", "Q12 Q13", f"""
+SELECT c_custkey, CAST(c_nationkey AS BIGINT) AS c_nationkey, CAST(balance AS DOUBLE) AS balance, {_CODE} AS code, c_mktsegment AS segment, CAST(NULL AS STRING) AS tier,
+  CAST(1 + CAST((SELECT COUNT(*) FILTER (WHERE {_CODE} = 'n/a') > 0 FROM {{target_customers}}) AS BIGINT) + CAST((SELECT COUNT(*) FILTER (WHERE balance <> TRUNC(balance)) > 0 FROM {{target_customers}}) AS BIGINT) AS BIGINT) AS n_skipped
+FROM {{target_customers}}""")
+def migration_by_data(spark, sf):
+    """The safe strategy takes the changes that lose no value of this table: it drops the column without values and narrows whole numbers
+    that fit, and leaves amounts with cents and a text column with values that are no numbers."""
+    out, plan = tb.evolve(_coded(spark, sf), NARROW, "safe", by_data=True)
+    skipped = sum("skipped in" in w for w in plan.warnings)
+    return out.withColumn("code", F.col("code").cast("string")).withColumn("n_skipped", F.lit(skipped))
+
+
+@register("evolve_lossy", "Q13", "SELECT k, CAST(TRY_CAST(amount_text AS DECIMAL(18,2)) AS DOUBLE) AS amount_text FROM {dirty}")
+def evolve_lossy(spark, sf):
+    """A forced type change where values do not fit: they become NULL."""
+    df = view(spark, sf, "dirty").select("k", "amount_text")
+    want = T.StructType([df.schema["k"], T.StructField("amount_text", T.DecimalType(18, 2))])
+    return tb.evolve(df, want, "force")[0]
+
+
 @register("evolve_safe", "Q13", f"SELECT {CUST}, CAST(NULL AS STRING) AS tier, CAST(NULL AS STRING) AS since FROM {{target_customers}}")
 def evolve_safe(spark, sf):
     return tb.evolve(view(spark, sf, "target_customers"), TARGET, "safe")[0]

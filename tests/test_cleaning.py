@@ -186,3 +186,38 @@ def test_dates_in_the_first_of_several_formats(spark):
     df = spark.createDataFrame([("05.03.2024",), ("2024-03-05",), ("Mar 5 2024",), ("20240305",), ("5th of March",), (None,)], "t string")
     out = [r[0] for r in df.select(to_date(F.col("t"), ["dd.MM.yyyy", "yyyy-MM-dd", "MMM d yyyy", "yyyyMMdd"]).cast("string")).collect()]
     assert out == ["2024-03-05"] * 4 + [None, None]
+
+
+def scans(df):
+    """Scans of a plan after it has run, without those that another part of it reuses."""
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0].count("FileScan")
+
+
+def test_validation_reads_the_table_once(spark, tmp_path):
+    spark.range(1000).selectExpr("id % 10 AS a", "id AS b", "nullif(id % 3, 0) AS c", "string(id % 7) AS d").write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    report = qu.validate_table(df, ["a", "x"], ["a", "b", "c", "d"], ["c"], {"small": F.col("b") < 900})
+    assert scans(report) == 1
+    assert {(r["rule"], r["item"]): r["failures"] for r in report.collect()} == {
+        ("required", "a"): 0, ("required", "x"): 1, ("not_null", "c"): 334, ("validator", "small"): 100, ("unique", "a"): 990, ("unique", "b"): 0, ("unique", "c"): 997, ("unique", "d"): 993,
+    }
+    assert scans(qu.integrity_profile(df, "t")) == 1
+    assert [r.failures for r in qu.validate_table(df.limit(0), unique=["a"], not_null=["c"]).collect()] == [0, 0]
+    assert {r.item: r.value for r in qu.integrity_profile(df.limit(0), "t").where("section <> 'type'").collect()} == {"t": "0", "a": "0", "b": "0", "c": "0", "d": "0"}
+
+
+def test_failing_values_come_from_one_scan(spark, tmp_path):
+    spark.range(1000).selectExpr("CASE WHEN id % 4 = 0 THEN 'bad' || lpad(id % 40, 2, '0') ELSE string(id) END AS a", "string(id) AS b", "if(id = 5, 'x', null) AS c").repartition(3).write.parquet(str(tmp_path / "t"))
+    df = qu.lost_by_type(spark.read.parquet(str(tmp_path / "t")), {"a": "bigint", "b": "int", "c": "date"}, 3)
+    assert scans(df) == 1
+    got = {r["item"]: (r["invalid_count"], r["distinct_count"], [tuple(x) for x in r["samples"]]) for r in df.collect()}
+    assert got == {"a": (250, 10, [("bad00", 25), ("bad04", 25), ("bad08", 25)]), "b": (0, 0, []), "c": (1, 1, [("x", 1)])}
+    one = qu.unconvertible(spark.read.parquet(str(tmp_path / "t")), "a", "bigint").first()
+    assert one.samples == ["bad00", "bad04", "bad08", "bad12", "bad16"] and one.invalid_count == 250
+
+
+def test_failing_casts_of_specifications(spark):
+    df = spark.createDataFrame([("1,5", "x"), ("abc", "2024-01-01"), (None, None)], "a string, d string")
+    found = qu.lost_by_cast(df, [sh.ColumnSpec("a", "a", "DOUBLE"), sh.ColumnSpec("d", "d", "DATE"), sh.ColumnSpec("z", "z", "DATE")])
+    assert {r["item"]: [x["value"] for x in r["samples"]] for r in found.collect()} == {"a": ["abc"], "d": ["x"]}

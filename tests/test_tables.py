@@ -376,3 +376,22 @@ def test_sheets_align_by_name_in_one_scan(spark, tmp_path, rows, header_row):
     want = [("1", "x", None, None, "a b"), ("2", "y", None, None, "a b"), ("8", None, None, None, "c[1]"), (None, "z", "5", "7", "c[1]")]
     assert rows(df, "k", "v", "w", "`k\n(n)`", "source") == want
     assert df._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
+
+
+def test_plans_follow_the_data(spark):
+    want = T.StructType([T.StructField("n", T.LongType()), T.StructField("d", T.IntegerType()), T.StructField("new", T.StringType())])
+    schema = "n string, d decimal(9,2), gone string, held string"
+    from decimal import Decimal
+
+    whole = spark.createDataFrame([("1", Decimal(5), None, None), ("22", Decimal(7), None, None), (None, None, None, None)], schema)
+    assert tb.harmless_changes(whole, want) == {"n", "d", "gone", "held"}
+    out, plan = tb.evolve(whole, want, "safe", by_data=True)
+    assert out.dtypes == [("n", "bigint"), ("d", "int"), ("new", "string")] and plan.warnings == []
+    assert tb.evolve(whole, want, "safe")[0].columns == ["n", "d", "gone", "held", "new"]
+    for row, kept in ((("07", None, None, None), {"d", "gone", "held"}), ((None, Decimal("5.50"), None, None), {"n", "gone", "held"}), ((None, None, None, "x"), {"n", "d", "gone"})):
+        df = whole.union(spark.createDataFrame([row], schema))
+        assert tb.harmless_changes(df, want) == kept
+        assert len(tb.evolve(df, want, "safe", by_data=True)[1].warnings) == 2
+    profile = {r["column"]: r for r in tb.profile_changes(whole, want).collect()}
+    assert profile["n"].max_length == 2 and profile["n"].low == "1" and profile["new"].n_values == 0 and profile["gone"].n_rows == 3
+    assert tb.profile_changes(whole, whole.schema).count() == 0
