@@ -79,6 +79,13 @@ def union_tagged(tables: dict[str, DataFrame], tag: str = "source") -> DataFrame
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
+def union_of_parts(df: DataFrame, by: list[str], only: dict[str, Column], tag: str = "source") -> DataFrame:
+    """Tables that lie as parts of one dataset, under one another: one scan, whatever their number. ``by`` are the columns that tell them
+    apart and make up their name; ``only`` has the columns that not all of them have, with the condition under which they do."""
+    cells = [F.when(only[c], F.col(c)).alias(c) if c in only else F.col(c) for c in df.columns]
+    return df.select(*cells, F.concat_ws("_", *by).alias(tag))
+
+
 def add_aggregates(left: DataFrame, right: DataFrame, keys: list[str], measures: list[str]) -> DataFrame:
     """Add two keyed aggregates; a key missing on one side counts as zero. One shuffle, no join."""
     both = left.select(*keys, *measures).unionByName(right.select(*keys, *measures))

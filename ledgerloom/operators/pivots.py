@@ -84,26 +84,25 @@ def complete_grid(df: DataFrame, keys: dict[str, list]) -> DataFrame:
 
 
 def wide_to_long(
-    df: DataFrame, ids: list[str], groups: dict[str, dict[str, str]], key: str, measures: list[str], zero=0
+    df: DataFrame, ids: list[str], groups: dict[str, dict[str, str]], key: str, measures: list[str], zero=0, dtype: str | None = None
 ) -> DataFrame:
     """One row per input row and group. ``groups`` maps a group to its column per measure; columns
-    that do not exist give ``zero``."""
+    that do not exist give ``zero``. Values keep their digits: a measure has the common type of its columns, or ``dtype``."""
     have = set(df.columns)
     rows = []
     for label, columns in groups.items():
         cells = [name(columns[m]) if columns.get(m) in have else literal(zero) for m in measures]
-        rows.append(", ".join([literal(label), *[f"CAST({c} AS DECIMAL(24,4))" for c in cells]]))
-    names = ", ".join(name(c) for c in [key, *measures])
-    return df.selectExpr(*[name(c) for c in ids], f"stack({len(rows)}, {', '.join(rows)}) AS ({names})")
+        typed = [f"CAST({c} AS {dtype})" if dtype else c for c in cells]
+        rows.append("named_struct(" + ", ".join(f"{literal(n)}, {c}" for n, c in zip([key, *measures], [literal(label), *typed])) + ")")
+    return df.selectExpr(*[name(c) for c in ids], f"inline(array({', '.join(rows)}))")
 
 
-def unpivot_columns(df: DataFrame, ids: list[str], columns: list[str], key: str, value: str) -> DataFrame:
-    """Listed columns to rows; columns that do not exist are skipped."""
+def unpivot_columns(df: DataFrame, ids: list[str], columns: list[str], key: str, value: str, dtype: str | None = None) -> DataFrame:
+    """Listed columns to rows; columns that do not exist are skipped. Values have the common type of the columns, or ``dtype``."""
     have = set(df.columns)
-    rows = [f"{literal(c)}, CAST({name(c)} AS DECIMAL(28,4))" for c in columns if c in have]
-    return df.selectExpr(
-        *[name(c) for c in ids], f"stack({len(rows)}, {', '.join(rows)}) AS ({name(key)}, {name(value)})"
-    )
+    cells = [(c, f"CAST({name(c)} AS {dtype})" if dtype else name(c)) for c in columns if c in have]
+    rows = [f"named_struct({literal(key)}, {literal(c)}, {literal(value)}, {cell})" for c, cell in cells]
+    return df.selectExpr(*[name(c) for c in ids], f"inline(array({', '.join(rows)}))")
 
 
 def row_total(cols: list[str]) -> Column:

@@ -15,6 +15,7 @@ from ledgerloom.operators.shaping import (
     ColumnSpec, MissingColumnsError, SchemaConfig, apply_defaults, cast_columns, cast_expr, drop_empty_rows, map_columns,
     missing_required,
 )
+from ledgerloom.session import settle
 
 
 class BreakerError(ValueError):
@@ -180,6 +181,26 @@ def value_frequency(df: DataFrame, column: str, limit: int = 20, unique: bool =
     return counted.orderBy(F.desc("count"), "value").limit(limit)
 
 
+def heavy_values(df: DataFrame, column: str, limit: int = 20, candidates: int = 1000) -> DataFrame:
+    """The same result as ``value_frequency``, without a shuffle of all values where a few stand out.
+
+    A first pass keeps a summary of ``candidates`` counters per task, merged in the driver's one row: every value that makes up more than one
+    in ``candidates`` of the rows is among them, and others may be. A second pass counts exactly the values of the summary. Any value outside
+    has at most rows / candidates occurrences, so if more than that is the least count of the ``limit`` values found, they are the right ones;
+    if not (many different values, none of them frequent), all values are counted.
+    """
+    present = df.where(F.col(name(column)).isNotNull()).select(F.col(name(column)).alias("value"))
+    held = present.freqItems(["value"], 1.0 / candidates).select(F.explode("value_freqItems").alias("_item"))
+    # at most as many rows as counters: written, so that its size is known and the summary is made once
+    held = settle(held.distinct(), "heavy_values")
+    counted = settle(present.join(held, F.col("value") == F.col("_item"), "left_semi").groupBy("value").agg(F.count(F.lit(1)).alias("count")), "heavy_counts")
+    best = counted.orderBy(F.desc("count"), "value").limit(limit)
+    n_found, least = best.agg(F.count(F.lit(1)), F.min("count")).first()
+    if n_found == limit and least * candidates > present.count():
+        return best
+    return value_frequency(df, column, limit)
+
+
 def validate_table(
     df: DataFrame, required: list[str] | None = None, unique: list[str] | None = None, not_null: list[str] | None = None,
     validators: dict[str, Column] | None = None,

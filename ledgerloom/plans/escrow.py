@@ -13,10 +13,16 @@ FEE_TEXT = "手續費"
 
 
 def invoice_summary(invoices: DataFrame, p: ReconParams) -> DataFrame:
-    """Net, tax and gross by category and fee flag; dates come with or without dashes."""
-    day = F.try_to_date(F.replace(F.col("invoice_date"), F.lit("-"), F.lit("")), "yyyyMMdd")
+    """Net, tax and gross by category and fee flag; dates come with or without dashes.
+
+    The months of the period as text, in both forms, are compared with the column as it is: that condition reaches the scan, which skips
+    other months where invoices lie by date. The parsed day decides.
+    """
+    text = F.col("invoice_date")
+    day = F.try_to_date(F.replace(text, F.lit("-"), F.lit("")), "yyyyMMdd")
+    dashed, plain = (text.between(p.beg.strftime(f), p.end.strftime(f) + "~") for f in ("%Y-%m", "%Y%m"))
     return (
-        invoices.where(day.between(F.lit(p.beg), F.lit(p.end)))
+        invoices.where((dashed | plain) & day.between(F.lit(p.beg), F.lit(p.end)))
         .groupBy("category", has_text(F.col("invoice_description"), FEE_TEXT).alias("is_handling_fee"))
         .agg(
             F.sum("amount_excl_tax").alias("total_amount_excl_tax"),

@@ -32,10 +32,10 @@ class PlainLayout:
     seq: str = "seq"
 
 
-def rate_lookup(matrix: DataFrame, index: str = "index", skip: tuple[str, ...] = ("level_0",)) -> DataFrame:
+def rate_lookup(matrix: DataFrame, index: str = "index", skip: tuple[str, ...] = ("level_0",), rate_type: str = "decimal(15,8)") -> DataFrame:
     """Rate matrix (rows = term, columns = bank) to (bank, term, rate); blank cells drop out.
 
-    Whole-number terms are padded to two digits. A cell that is no number keeps its text.
+    Whole-number terms are padded to two digits. A cell that is no number keeps its text, as does one that ``rate_type`` cannot hold.
     """
     banks = [c for c in matrix.columns if c not in (index, *skip)]
     long = matrix.select(F.col(index).cast("string").alias("term"), *[F.col(b).cast("string") for b in banks]).unpivot(
@@ -47,7 +47,7 @@ def rate_lookup(matrix: DataFrame, index: str = "index", skip: tuple[str, ...] =
     return long.where(F.trim("rate_text") != "").select(
         "bank",
         F.when(digits, padded).otherwise(F.col("term")).alias("term"),
-        F.trim("rate_text").try_cast("decimal(9,6)").alias("rate"),
+        F.trim("rate_text").try_cast(rate_type).alias("rate"),
         "rate_text",
     )
 

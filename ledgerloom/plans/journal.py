@@ -102,7 +102,7 @@ LINE = ["accounting_date", "transaction_type", "account_no", "desc_key", "given_
 
 def daily_lines(wide: DataFrame, mapping: DataFrame, columns: list[str], date: str = "Date") -> DataFrame:
     """Account columns to lines by the mapping table; one column may feed several lines."""
-    long = unpivot_columns(wide, [date], columns, "column", "amount")
+    long = unpivot_columns(wide, [date], columns, "column", "amount", "decimal(28,4)")
     return long.join(mapping, "column", "inner").select(
         F.date_format(date, DAY_TEXT).alias("accounting_date"),
         "transaction_type",
@@ -272,9 +272,14 @@ def ending_balance(journal: DataFrame, pattern: str = "^1|2") -> DataFrame:
 
 
 def ledger_check(
-    lines: DataFrame, daily: DataFrame, account_no: str = "104171", types: str = "0[1-5]", opening_type: str = "00.期初數"
+    lines: DataFrame, daily: DataFrame, account_no: str = "104171", types: str = "0[1-5]", opening_type: str = "00.期初數",
+    order: tuple[str, ...] = (),
 ) -> DataFrame:
-    """Ledger movement of one account against the bank balance, joined on the day."""
+    """Ledger movement of one account against the bank balance, joined on the day.
+
+    The balance starts from the first opening row: by ``order``, columns that number the rows, else by date. Without an opening row the
+    result is an error when it is read, since every balance after it would be wrong.
+    """
     of_account = lines.where(F.col("account_no") == account_no)
     moved = of_account.where(matches(F.col("transaction_type"), types)).groupBy("accounting_date").agg(
         F.sum("amount").alias("daily_movement")
@@ -282,7 +287,9 @@ def ledger_check(
     external = daily.select(
         F.date_format("Date", DAY_TEXT).alias("accounting_date"), F.col("balance").alias("balance_dfr")
     )
-    opening = of_account.where(F.col("transaction_type") == opening_type).agg(F.max("amount").alias("opening"))
+    missing = F.raise_error(F.lit(f"account {account_no} has no opening row of type {opening_type}")).cast(AMOUNT)
+    first = F.min_by("amount", F.struct(*order)) if order else F.min_by("amount", "accounting_date")
+    opening = of_account.where(F.col("transaction_type") == opening_type).agg(F.coalesce(first, F.max("amount"), missing).alias("opening"))
     return text_balance(moved.join(external, "accounting_date", "left"), opening.scalar())
 
 

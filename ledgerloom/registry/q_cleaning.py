@@ -287,6 +287,20 @@ def value_freq(spark, sf):
     return qu.value_frequency(view(spark, sf, "part"), "p_brand", 7)
 
 
+@register("heavy_values", "A26 O4", """
+SELECT 'brand' AS item, * FROM (SELECT CAST(l_quantity AS STRING) AS value, COUNT(*) AS count FROM {lineitem} GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 7) a
+UNION ALL SELECT 'skewed', * FROM (SELECT CASE WHEN l_orderkey % 3 = 0 THEN 'hot' || CAST(l_linenumber AS STRING) ELSE CAST(l_orderkey * 10 + l_linenumber AS STRING) END AS value, COUNT(*) AS count FROM {lineitem} GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 4) b
+UNION ALL SELECT 'unique', * FROM (SELECT CAST(o_orderkey AS STRING) AS value, COUNT(*) AS count FROM {orders} GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 3) c""")
+def heavy_values(spark, sf):
+    """Frequent values from a summary and a second count: few values, some that stand out among many, and none that does."""
+    items = table(spark, sf, "lineitem").select(
+        F.col("l_quantity").cast("string").alias("brand"), F.expr("CASE WHEN l_orderkey % 3 = 0 THEN 'hot' || l_linenumber ELSE CAST(l_orderkey * 10 + l_linenumber AS STRING) END AS skewed")
+    )
+    orders = table(spark, sf, "orders").select(F.col("o_orderkey").cast("string").alias("unique"))
+    parts = [qu.heavy_values(df, c, n).select(F.lit(c).alias("item"), "value", "count") for df, c, n in ((items, "brand", 7), (items, "skewed", 4), (orders, "unique", 3))]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
 @register("table_validation", "Q4 X2", """
 SELECT * FROM (
   SELECT 'required' AS rule, 'k' AS item, 'error' AS severity, CAST(0 AS BIGINT) AS failures, TRUE AS ok

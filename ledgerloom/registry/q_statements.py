@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ledgerloom.operators.joins import union_tagged
+from ledgerloom.operators.joins import union_of_parts
 from ledgerloom.operators.rowwise import last_record
 from ledgerloom.plans import escrow, statements as st
 from ledgerloom.registry.core import register
@@ -136,15 +136,10 @@ SELECT bank || '_' || category AS source, COUNT(*) AS n_rows, CAST(SUM(request_a
   COUNT(store_name) AS n_stores FROM (SELECT bank, category, request_amount, CASE WHEN bank = 'ub' THEN store_name END AS store_name
   FROM {statements}) t GROUP BY 1""")
 def statement_union(spark, sf):
-    all_rows = view(spark, sf, "statements")
-    tables = {}
-    for name in ["taishi_default", "nccc_recon", "cub_individual", "cub_nonindividual", "ctbc_installment",
-                 "ctbc_noninstallment", "ub_installment", "ub_noninstallment"]:
-        bank, category = name.split("_")
-        own = all_rows.where((F.col("bank") == bank) & (F.col("category") == category))
-        # store names exist in the ub tables only
-        tables[name] = own.select("seq", "request_amount", *(["store_name"] if bank == "ub" else []))
-    return union_tagged(tables).groupBy("source").agg(
+    """All statement tables under one another, from one scan: the table's name is an expression, and store names exist in the ub tables only."""
+    ub = F.col("bank") == "ub"
+    rows = union_of_parts(view(spark, sf, "statements"), ["bank", "category"], {"store_name": ub}).select("source", "request_amount", "store_name")
+    return rows.groupBy("source").agg(
         F.count(F.lit(1)).alias("n_rows"), F.sum("request_amount").alias("request_amount"),
         F.count("store_name").alias("n_stores"))
 

@@ -180,9 +180,21 @@ def source_metadata(spark, sf):
     return meta.select("file", "n_rows", (F.col("size") > 0).alias("has_size"), F.col("modified").isNotNull().alias("has_time"))
 
 
-@register("find_files", "S16", """SELECT x.file FROM (VALUES ('part.parquet'), ('pages.parquet')) x(file) WHERE (SELECT COUNT(*) FROM {part}) > 0 AND (SELECT COUNT(*) FROM {pages}) > 0""")
+@register("find_files", "S16 S15", "SELECT 'part.parquet' AS file, COUNT(*) AS n_rows FROM {part} UNION ALL SELECT 'pages.parquet', COUNT(*) FROM {pages}")
 def find_files(spark, sf):
-    return rd.list_files(spark, sf, "pa*.parquet").select(F.regexp_extract("path", "([^/]+)$", 1).alias("file"))
+    """Files by pattern, and how many rows each holds."""
+    found = [r["path"] for r in rd.list_files(spark, sf, "pa*.parquet", recursive=False).select("path").collect()]
+    counted = [spark.read.parquet(path).agg(F.lit(path.rsplit("/", 1)[-1]).alias("file"), F.count(F.lit(1)).alias("n_rows")) for path in found]
+    return reduce(DataFrame.unionByName, counted)
+
+
+@register("preview_rows", "S2", """
+SELECT *, 'p_partkey bigint,p_brand string,price decimal(18,2)' AS types FROM (SELECT p_partkey, p_brand, CAST(CAST(p_retailprice AS DECIMAL(18,2)) AS DOUBLE) AS price FROM {part} ORDER BY p_partkey DESC LIMIT 10) t""")
+def preview_rows(spark, sf):
+    """The first rows in an order, with the types of the columns."""
+    shown = rd.preview(table(spark, sf, "part").selectExpr("p_partkey", "p_brand", "CAST(p_retailprice AS DECIMAL(18,2)) AS price", "-p_partkey AS o"), 10, ["o"])
+    types = shown["types"].where("column <> 'o'").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("position", "column", "type"))), lambda x: F.concat(x["column"], F.lit(" "), x["type"])), ",").alias("types"))
+    return shown["rows"].drop("o").withColumn("types", types.scalar())
 
 
 @register("sql_query", "S11", "SELECT c_mktsegment, COUNT(*) AS n FROM {customer} WHERE c_nationkey >= 5 GROUP BY 1")
@@ -254,6 +266,21 @@ def stage_snapshot(spark, sf):
     return tables["orders"].withColumn("end_date", F.lit(variables["end_date"]))
 
 
+@register("stage_restored", "K11", "SELECT o_orderkey, o_orderstatus, 'first' AS note, CAST(1 AS BIGINT) AS n_versions FROM {orders}")
+def stage_restored(spark, sf):
+    """A snapshot that broke off is passed over: the stage comes back as it was before."""
+    root = scratch_path(spark, "stages")
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_orderstatus")
+    wr.save_stage(root, "escrow", {"orders": orders}, {"note": "first"}, spark)
+    try:
+        wr.save_stage(root, "escrow", {"orders": orders.where("o_orderkey < 10"), "bad": orders.selectExpr("raise_error('stopped') AS x")}, {"note": "second"}, spark)
+    except Exception as err:  # the job that was meant to fail
+        if "stopped" not in str(err):
+            raise
+    tables, variables = wr.load_stage(spark, root, "escrow", ["orders"], verify=True)
+    return tables["orders"].withColumns({"note": F.lit(variables["note"]), "n_versions": F.lit(len(wr.stage_versions(spark, root, "escrow")))})
+
+
 @register("upsert_tuple", "K7", f"""
 SELECT {CUST} FROM {{target_customers}} t WHERE NOT EXISTS (SELECT 1 FROM {{customer_updates}} u WHERE u.c_nationkey = t.c_nationkey AND u.c_mktsegment = t.c_mktsegment)
 UNION ALL SELECT {CUST} FROM {{customer_updates}}""")

@@ -39,11 +39,13 @@ class Folder:
     def named(self, uri: str):
         return self._path(self._uri(uri))
 
+    def names(self) -> list[str]:
+        """Names of the folders inside."""
+        return sorted(s.getPath().getName() for s in self.fs.listStatus(self.root) if s.isDirectory()) if self.exists() else []
+
     def changes(self) -> list[str]:
         """Unfinished changes, by name."""
-        if not self.exists():
-            return []
-        return sorted(s.getPath().getName() for s in self.fs.listStatus(self.root) if s.isDirectory() and s.getPath().getName().startswith(PREFIX))
+        return [n for n in self.names() if n.startswith(PREFIX)]
 
     def files(self, *parts: str) -> list:
         """Data files below a folder: none whose name, or a folder's name on the way, is hidden from readers."""

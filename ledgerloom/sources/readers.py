@@ -251,11 +251,13 @@ def read_sheets(
     return rows.join(table, F.col("_file") == F.col("_of")).select(*[cell(i).alias(n) for i, n in enumerate(names)], F.col("_sheet").alias(tag))
 
 
-def preview(df: DataFrame, n_rows: int = 10) -> dict:
-    """Columns with types, the first rows, and the shape."""
+def preview(df: DataFrame, n_rows: int = 10, order: list[str] | None = None) -> dict:
+    """Columns with types, also as a table, the first rows, by ``order`` or as the scan gives them, and the shape."""
+    types = [(i, c, t) for i, (c, t) in enumerate(df.dtypes)]
     return {
         "columns": df.dtypes,
-        "rows": df.limit(n_rows),
+        "types": literal_table(df.sparkSession, types, "position int, column string, type string"),
+        "rows": (df.orderBy(*[name(c) for c in order]) if order else df).limit(n_rows),
         "shape": df.agg(F.count(F.lit(1)).alias("n_rows"), F.lit(len(df.columns)).alias("n_columns")),
     }
 

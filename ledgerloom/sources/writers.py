@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import datetime as dt
+import json
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -144,15 +145,69 @@ def write_display(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
-def save_stage(root: str, stage: str, tables: dict[str, DataFrame], variables: dict[str, Any], spark: SparkSession) -> None:
-    """Snapshot of a stage: one dataset per named table and a table of its variables."""
-    for label, df in tables.items():
-        df.write.mode("overwrite").parquet(f"{root}/{stage}/tables/{label}")
-    rows = [(k, type(v).__name__, str(v)) for k, v in sorted(variables.items())]
-    literal_table(spark, rows, "name string, kind string, value string").write.mode("overwrite").parquet(f"{root}/{stage}/variables")
+def _fingerprint(df: DataFrame) -> list:
+    """Counts that tell tables apart whatever the order of their rows: rows, and two sums over a hash of each row."""
+    cells = [F.to_json(F.struct(F.col(name(f.name)))) if isinstance(f.dataType, (T.MapType, T.StructType, T.ArrayType)) else F.col(name(f.name)) for f in df.schema.fields]
+    whole = lambda seed: F.coalesce(F.sum(F.xxhash64(F.lit(seed), *cells).cast("decimal(38,0)")), F.lit(0)).cast("string")
+    return [F.count(F.lit(1)).alias("n_rows"), F.concat_ws(":", whole(1), whole(2)).alias("mark")]
+
+
+MANIFEST = "label string, path string, n_rows bigint, schema string, mark string"
 
 
-def load_stage(spark: SparkSession, root: str, stage: str, labels: list[str]) -> tuple[dict[str, DataFrame], dict[str, str]]:
-    tables = {label: spark.read.parquet(f"{root}/{stage}/tables/{label}") for label in labels}
-    stored = spark.read.parquet(f"{root}/{stage}/variables").collect()
+def save_stage(root: str, stage: str, tables: dict[str, DataFrame], variables: dict[str, Any], spark: SparkSession) -> int:
+    """Snapshot of a stage under a new version, whose number it gives back: one dataset per named table, a table of its variables, and last a
+    manifest that says where each table lies, how many rows it has and of which schema.
+
+    Only a version with a manifest counts, so one that broke off is never restored. Rows are counted and marked while they are written. A table
+    that is as it was in the last version is not kept twice: the manifest points at the old files.
+    """
+    folder = changes.Folder(spark, f"{root}/{stage}")
+    known = {r["label"]: r for r in _manifest(spark, root, stage)}
+    version = max([int(v[1:]) for v in folder.names() if v.startswith("v") and v[1:].isdigit()], default=0) + 1
+    top, rows = f"{root}/{stage}/v{version:06d}", []
+    for label, df in tables.items():
+        path, seen = f"{top}/tables/{label}", Observation()
+        df.observe(seen, *_fingerprint(df)).write.parquet(path)
+        n_rows, mark = seen.get["n_rows"], seen.get["mark"]
+        old, schema = known.get(label), df.schema.json()
+        if old and (old["n_rows"], old["schema"], old["mark"]) == (n_rows, schema, mark):
+            folder.fs.delete(folder.at(f"v{version:06d}", "tables", label), True)
+            path = old["path"]
+        rows.append((label, path, n_rows, schema, mark))
+    kept = [(k, type(v).__name__, str(v)) for k, v in sorted(variables.items())]
+    literal_table(spark, kept, "name string, kind string, value string").write.parquet(f"{top}/variables")
+    literal_table(spark, rows, MANIFEST).coalesce(1).write.parquet(f"{top}/manifest")
+    return version
+
+
+def _manifest(spark: SparkSession, root: str, stage: str, version: int | None = None) -> list[Row]:
+    """The manifest of a version, by default the last that is whole; nothing if there is none."""
+    number = stage_versions(spark, root, stage)[-1:] if version is None else [version]
+    return spark.read.schema(MANIFEST).parquet(f"{root}/{stage}/v{number[0]:06d}/manifest").collect() if number else []
+
+
+def stage_versions(spark: SparkSession, root: str, stage: str) -> list[int]:
+    """Versions of a stage that are whole, in order."""
+    folder = changes.Folder(spark, f"{root}/{stage}")
+    return sorted(int(v[1:]) for v in folder.names() if v.startswith("v") and v[1:].isdigit() and folder.exists(v, "manifest", "_SUCCESS"))
+
+
+def load_stage(
+    spark: SparkSession, root: str, stage: str, labels: list[str], version: int | None = None, verify: bool = False
+) -> tuple[dict[str, DataFrame], dict[str, str]]:
+    """Tables and variables of a stage as they were saved, by default of the last version that is whole. ``verify`` reads the tables and
+    holds rows and values against the manifest."""
+    number = version or (stage_versions(spark, root, stage) or [None])[-1]
+    if number is None:
+        raise ValueError(f"stage {stage} has no snapshot that is whole")
+    saved = {r["label"]: r for r in _manifest(spark, root, stage, number)}
+    if absent := [x for x in labels if x not in saved]:
+        raise ValueError(f"stage {stage} has no tables {absent}")
+    tables = {x: spark.read.schema(T.StructType.fromJson(json.loads(saved[x]["schema"]))).parquet(saved[x]["path"]) for x in labels}
+    for x, df in tables.items() if verify else ():
+        found = df.agg(*_fingerprint(df)).first()
+        if (found["n_rows"], found["mark"]) != (saved[x]["n_rows"], saved[x]["mark"]):
+            raise ValueError(f"table {x} of stage {stage} is not as it was saved")
+    stored = spark.read.parquet(f"{root}/{stage}/v{number:06d}/variables").collect()
     return tables, {r["name"]: r["value"] for r in stored}

@@ -221,3 +221,12 @@ def test_failing_casts_of_specifications(spark):
     df = spark.createDataFrame([("1,5", "x"), ("abc", "2024-01-01"), (None, None)], "a string, d string")
     found = qu.lost_by_cast(df, [sh.ColumnSpec("a", "a", "DOUBLE"), sh.ColumnSpec("d", "d", "DATE"), sh.ColumnSpec("z", "z", "DATE")])
     assert {r["item"]: [x["value"] for x in r["samples"]] for r in found.collect()} == {"a": ["abc"], "d": ["x"]}
+
+
+def test_heavy_values_equal_a_full_count(spark):
+    df = spark.range(20_000).selectExpr("CASE WHEN id % 4 = 0 THEN 'h' || id % 5 WHEN id % 4 = 1 THEN NULL ELSE 'u' || id END AS v", "'v' || id AS w").repartition(6)
+    for column, n, candidates in (("v", 5, 100), ("v", 6, 100), ("v", 5, 3), ("w", 4, 50)):
+        assert qu.heavy_values(df, column, n, candidates).collect() == qu.value_frequency(df, column, n).collect()
+    heavy = qu.heavy_values(df, "v", 5, 100)._jdf.queryExecution().analyzed().toString()
+    assert "Aggregate" not in heavy  # read from the counts of the candidates
+    assert qu.heavy_values(df.limit(0), "v").count() == 0

@@ -114,3 +114,21 @@ def test_abnormal_amounts_are_listed(wide):
 def test_zero_lines_may_be_skipped(wide):
     kept = jo.full_journal(wide, P.with_(skip_zero_amount=True))
     assert kept.where("amount = 0").count() == 0 and kept.count() > 0
+
+
+def test_the_first_opening_row_counts_and_a_missing_one_is_an_error(spark):
+    import datetime as dt
+
+    import pytest
+
+    from ledgerloom.plans import journal as jo
+
+    schema = "accounting_date string, transaction_type string, account_no string, amount decimal(28,4), n int"
+    make = lambda rows: spark.createDataFrame([(d, t, "104171", __import__("decimal").Decimal(a), n) for d, t, a, n in rows], schema)
+    daily = spark.createDataFrame([(dt.date(2024, 1, 1), __import__("decimal").Decimal(130))], "Date date, balance decimal(28,4)")
+    moves = [("2024/01/01", "01.x", 10, 3)]
+    opened = make([("2024/01/02", "00.期初數", 900, 1), ("2024/01/01", "00.期初數", 120, 2), *moves])
+    assert [float(r.balance_entry) for r in jo.ledger_check(opened, daily).collect()] == [130.0]
+    assert [float(r.balance_entry) for r in jo.ledger_check(opened, daily, order=("n",)).collect()] == [910.0]
+    with pytest.raises(Exception, match="no opening row"):
+        jo.ledger_check(make(moves), daily).collect()

@@ -395,3 +395,27 @@ def test_plans_follow_the_data(spark):
     profile = {r["column"]: r for r in tb.profile_changes(whole, want).collect()}
     assert profile["n"].max_length == 2 and profile["n"].low == "1" and profile["new"].n_values == 0 and profile["gone"].n_rows == 3
     assert tb.profile_changes(whole, whole.schema).count() == 0
+
+
+def test_stages_restore_the_last_whole_version(spark, tmp_path, rows):
+    root = str(tmp_path / "stages")
+    a = spark.createDataFrame([(1, "x", [1, 2]), (2, None, None)], "k int, v string, l array<int>")
+    b = spark.range(5).selectExpr("id", "CAST(NULL AS DATE) AS d")
+    with pytest.raises(ValueError, match="no snapshot"):
+        wr.load_stage(spark, root, "s", ["a"])
+    assert wr.save_stage(root, "s", {"a": a, "b": b}, {"n": 1}, spark) == 1
+    assert wr.save_stage(root, "s", {"a": a.orderBy("v"), "b": b.where("id > 2")}, {"n": 2}, spark) == 2
+    assert not (tmp_path / "stages" / "s" / "v000002" / "tables" / "a").exists()  # as it was: the files of version 1 serve
+    with pytest.raises(Exception, match="stopped"):
+        wr.save_stage(root, "s", {"a": a.limit(0), "b": b.selectExpr("raise_error('stopped') AS x")}, {"n": 3}, spark)
+    assert wr.stage_versions(spark, root, "s") == [1, 2]
+    tables, variables = wr.load_stage(spark, root, "s", ["a", "b"], verify=True)
+    assert variables == {"n": "2"} and rows(tables["b"], "id") == [(3,), (4,)] and rows(tables["a"], "k") == [(1,), (2,)] and tables["b"].dtypes[1] == ("d", "date")
+    assert wr.load_stage(spark, root, "s", ["b"], version=1)[0]["b"].count() == 5
+    assert wr.save_stage(root, "s", {"a": a.limit(0)}, {}, spark) == 4 and wr.load_stage(spark, root, "s", ["a"])[0]["a"].columns == ["k", "v", "l"]
+    with pytest.raises(ValueError, match="no tables"):
+        wr.load_stage(spark, root, "s", ["b"])
+    next((tmp_path / "stages" / "s" / "v000001" / "tables" / "b").glob("part-*.parquet")).unlink()
+    spark.catalog.refreshByPath(root)
+    with pytest.raises(ValueError, match="not as it was saved"):
+        wr.load_stage(spark, root, "s", ["b"], version=1, verify=True)
