@@ -8,12 +8,14 @@ a set takes part in its own band and, if its size allows, in the next one. In a
   differs: the subset itself and every subset with one shingle deleted are indexed). With weights 1 and 2, segments
   whose weights sum to H + 1 + spare leave every pair with agreeing segments of weight 1 + spare at least;
 * a set therefore leaves out its ``spare`` lightest exact segments, with the fewest shingles: the order is one of contents, so the
-  heaviest agreeing segment is among the lightest ``spare`` of neither set. Light segments are those in which texts meet
+  heaviest agreeing segment is among the lightest ``spare`` of neither set. A set that can differ from no partner of the band
+  in H shingles, since it is smaller, leaves out as many more. Light segments are those in which texts meet
   that share no more than a common passage;
 * how many segments are of either kind, and the spare, minimise a cost: signatures written plus chance meetings, estimated from
   the number of documents that the band has in the whole corpus. With more documents, segments grow longer.
 
-Documents with a signature in common are candidates. Candidates are verified on the shingles of their whole texts. First each set
+Documents with a signature in common are candidates. Every shingle flips one of ``BITS`` bits of its set: sets in which more bits differ
+than shingles may are no longer candidates, before any text moves. Candidates are verified on the shingles of their whole texts. First each set
 is verified against one other that it shares a signature with, then against the leaders of its signatures in other components, then all
 pairs that share a signature and are still in different components. So links between different texts decide every component, while a group of
 thousands of near copies needs one comparison for each member. Equal sets are one node from the start.
@@ -37,6 +39,10 @@ from ledgerloom.session import release, settle
 SHINGLE, PERCENT = 4, 85
 #: a band's largest size over its smallest; what a chance meeting costs in signatures; rows that a task keeps
 BAND, MEETING, KEEP = 1.4, 4.0, 1 << 20
+#: parity bits of a set
+BITS = 512
+#: parts that the sets held against one set are dealt into
+PARTS = 16
 #: spare segments tried, as a share of those needed; for the estimate of chance meetings, how many of all pairs have a passage in
 #: common, and what share of their texts it is
 SPARES, PASSAGE, COMMON = (0, 0.1, 0.2, 0.35), 0.01, 0.1
@@ -55,6 +61,12 @@ def set_hash(s: np.ndarray, seed: int) -> np.uint64:
     return mix(mix(s ^ np.uint64(seed * 2 + 1)).sum(dtype=np.uint64, keepdims=True) + np.uint64(len(s)))[0]
 
 
+def parity(s: np.ndarray) -> np.ndarray:
+    """The bits of a set as 64-bit numbers: each shingle flips one."""
+    flipped = np.bincount((mix(s ^ np.uint64(0xA5A5)) >> np.uint64(40)).astype(np.int64) % BITS, minlength=BITS) & 1
+    return np.packbits(flipped.astype(np.uint8), bitorder="little").view("<i8")
+
+
 class Bands:
     """Bands of set sizes with their segments."""
 
@@ -64,19 +76,29 @@ class Bands:
         while self.low[-1] < 1 << 40:
             self.low.append(int(self.low[-1] * BAND) + 1)
         self.plan: dict[int, tuple[int, int, int]] = {}
+        self.skips: dict[tuple[int, ...], int] = {}
 
     def of(self, n: int) -> list[int]:
-        """The bands that a set of n shingles takes part in."""
+        """The bands that a set of n shingles takes part in: its own, and those of larger sets that it can be similar to."""
         own = int(np.searchsorted(self.low, n, "right")) - 1
-        return [own, own + 1] if 100 * n >= self.percent * self.low[own + 1] else [own]
+        return list(range(own, int(np.searchsorted(self.low, 100 * n // self.percent, "right"))))
 
-    def differ(self, band: int) -> int:
-        """The most shingles in which a pair of the band differs: for sizes that sum to s, s - 2 * overlap."""
-        most = 2 * (self.low[band + 1] - 1)
+    def differ(self, band: int, n: int | None = None) -> int:
+        """The most shingles in which a pair of the band differs: for sizes that sum to s, s - 2 * overlap. With ``n``, a pair of a set of that size."""
+        top = self.low[band + 1] - 1
+        most = 2 * top if n is None else n + min(top, 100 * n // self.percent)
         total = np.arange(max(2, most - 400), most + 1)
         need = -(-self.percent * total // (100 + self.percent))
         return int((total - 2 * need).max())
 
+    def skipped(self, band: int, n: int) -> int:
+        """How many exact segments a set of n shingles leaves out."""
+        exact, _, spare = self.plan[band]
+        key = band, n, exact, spare
+        if key not in self.skips:
+            self.skips[key] = min(exact, spare + self.differ(band) - self.differ(band, n))
+        return self.skips[key]
+
     def choose(self, counts: dict[int, int]) -> None:
         """For every band (exact segments, one-deletion segments, spare) of least cost."""
         for band, n in counts.items():
@@ -113,8 +135,8 @@ class Bands:
         for band in self.of(len(s)):
             if band not in self.plan:
                 continue
-            exact, ones, spare = self.plan[band]
-            m = exact + ones
+            exact, ones, _ = self.plan[band]
+            m, skip = exact + ones, self.skipped(band, len(s))
             salted = mix(s ^ np.uint64(0x51ED270B * (band + 1)))
             segment = ((salted >> np.uint64(32)) * np.uint64(m) >> np.uint64(32)).astype(np.int64)
             order = np.argsort(segment, kind="stable")
@@ -124,9 +146,9 @@ class Bands:
             total = sums[edge[1:]] - sums[edge[:-1]]
             place = (np.arange(m) + (band + 1) * (1 << 40)).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
             sign = total + place
-            # the spare lightest exact segments are left out; among equals, those with the smallest signature
+            # the lightest exact segments are left out; among equals, those with the smallest signature
             use = np.ones(m, bool)
-            use[np.lexsort((sign[:exact], np.diff(edge)[:exact]))[:spare]] = False
+            use[np.lexsort((sign[:exact], np.diff(edge)[:exact]))[:skip]] = False
             out.append(sign[use])
             deleted = segment >= exact
             out.append((total[segment] - salted + place[segment])[deleted])
@@ -134,15 +156,16 @@ class Bands:
 
 
 def _sets(rows: DataFrame, k: int, seed: int) -> DataFrame:
-    """(doc, txt, n, node, proof): the size of each row's set and two hashes of it."""
+    """(doc, txt, n, node, proof, bits): the size of each row's set, two hashes of it and its parity bits."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, data, bounds in chunks(batches, "text"):
             sets = shingle_sets(*words(data, bounds, LOWERED), k)
             node, proof = (np.array([set_hash(s, x) for s in sets], np.uint64).view(np.int64) for x in (seed, seed + 1))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([len(s) for s in sets], pa.int64()), pa.array(node), pa.array(proof)], ["doc", "txt", "n", "node", "proof"])
+            bits = pa.ListArray.from_arrays(np.arange(0, BITS // 64 * len(sets) + 1, BITS // 64, dtype=np.int32), np.concatenate([parity(s) for s in sets]))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([len(s) for s in sets], pa.int64()), pa.array(node), pa.array(proof), bits], ["doc", "txt", "n", "node", "proof", "bits"])
 
-    return map_batches(rows, run, "doc bigint, txt bigint, n bigint, node bigint, proof bigint")
+    return map_batches(rows, run, "doc bigint, txt bigint, n bigint, node bigint, proof bigint, bits array<bigint>")
 
 
 def _met(parts: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
@@ -155,7 +178,8 @@ def _met(parts: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
     sig, node, new = sig[distinct], node[distinct], new[distinct]
     lead = node[np.flatnonzero(new)[np.cumsum(new) - 1]]
     shared = ~new | np.append(~new[1:], False)
-    return pa.RecordBatch.from_arrays([pa.array(sig), pa.array(node), pa.array(lead, mask=new), pa.array(shared)], ["sig", "node", "lead", "shared"])
+    back = np.argsort(node, kind="stable")  # rows of a node behind one another: their bytes are the same and shrink in the shuffle
+    return pa.RecordBatch.from_arrays([pa.array(sig[back]), pa.array(node[back]), pa.array(lead[back], mask=new[back]), pa.array(shared[back])], ["sig", "node", "lead", "shared"])
 
 
 def _meetings(rows: DataFrame, k: int, seed: int, bands: Bands) -> DataFrame:
@@ -196,6 +220,19 @@ def _rooted(members: DataFrame, links: DataFrame) -> DataFrame:
     return settle(named.join(split, "sig"), "similar-members")
 
 
+def _near(x: str, y: str, percent: int) -> str:
+    """Condition on (n, bits) of two sets: sizes are near enough, and no more bits differ than shingles may."""
+    apart = " + ".join(f"bit_count({x}bits[{i}] ^ {y}bits[{i}])" for i in range(BITS // 64))
+    sized = f"100 * {x}n >= {percent} * {y}n and 100 * {y}n >= {percent} * {x}n"
+    return f"{sized} and {100 + percent} * ({apart}) <= {100 - percent} * ({x}n + {y}n)"
+
+
+def _plausible(pairs: DataFrame, shapes: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) that may be similar by size and bits."""
+    both = pairs.join(shapes.toDF("a", "x_n", "x_bits"), "a").join(shapes.toDF("b", "y_n", "y_bits"), "b")
+    return settle(both.where(_near("x_", "y_", percent)).select("a", "b"), "similar-pairs")
+
+
 def _verified(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
     """The pairs (a, b) whose sets are similar enough. The rows of an ``a`` are streamed behind its own, one set is held at a time."""
 
@@ -205,7 +242,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataF
             a, b = (np.asarray(batch.column(i)) for i in (0, 1))
             good = np.zeros(len(a), bool)
             for i, s in enumerate(shingle_sets(*words(data, bounds, LOWERED), k)):
-                if a[i] == b[i]:
+                if a[i] == b[i]:  # its own row comes first in every part
                     held, own = s, a[i]
                     continue
                 assert own == a[i]
@@ -217,9 +254,11 @@ def _verified(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataF
                 good[i] = 100 * both >= percent * (len(small) + len(large) - both)
             yield pa.RecordBatch.from_arrays([pa.array(a[good]), pa.array(b[good])], ["a", "b"])
 
-    both = pairs.union(pairs.select("a", F.col("a").alias("b")).distinct())
-    sent = both.join(texts, both.b == texts.node).select("a", "b", (F.col("a") != F.col("b")).alias("member"), "text")
-    sent = sent.repartition("a").sortWithinPartitions("a", "member").select("a", "b", "text")
+    # a set that very many are held against is sent once for each of the parts that these are dealt into
+    dealt = pairs.withColumn("part", F.pmod("b", F.lit(PARTS)))
+    both = dealt.union(dealt.select("a", F.col("a").alias("b"), "part").distinct())
+    sent = both.join(texts, both.b == texts.node).select("a", "b", "part", (F.col("a") != F.col("b")).alias("member"), "text")
+    sent = sent.repartition("a", "part").sortWithinPartitions("a", "part", "member").select("a", "b", "text")
     return map_batches(sent, run, "a bigint, b bigint")
 
 
@@ -253,8 +292,9 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
     meetings = settle(_meetings(rows, shingle, seed, bands), "similar-meetings")
     release(spark)
-    least = sets.where("n > 0").groupBy("node").agg(F.min(F.struct(F.coalesce("doc", F.lit((1 << 63) - 1)).alias("doc"), "txt")).alias("at"), F.min("doc").alias("doc"))
+    least = sets.where("n > 0").groupBy("node").agg(F.min(F.struct(F.coalesce("doc", F.lit((1 << 63) - 1)).alias("doc"), "txt")).alias("at"), F.first("n").alias("n"), F.first("bits").alias("bits"))
     holder = least.join(meetings.select("node").distinct(), "node", "left_semi")
+    shapes = settle(holder.select("node", "n", "bits"), "similar-shapes")
     rooms = holder.select("node", F.col("at.doc").alias("d"), F.col("at.txt").alias("t"))
     texts = rows.join(rooms, (F.coalesce("doc", F.lit((1 << 63) - 1)) == F.col("d")) & (F.col("txt") == F.col("t"))).select("node", "text").dropDuplicates(["node"])
     texts = settle(texts, "similar-texts")
@@ -264,15 +304,16 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     # every set with one other: the set of the smallest doc_id that it meets
     pairs = members.join(_led(members), "sig").select("node", F.struct("led_doc", "led_by").alias("x")).union(members.where("lead is not null").select("node", F.struct(F.col("doc"), F.col("lead"))))
     pairs = pairs.where("x.led_by != node").groupBy("node").agg(F.min("x").alias("x")).select(F.col("x.led_by").alias("a"), F.col("node").alias("b"))
-    links = settle(_verified(pairs, texts, shingle, percent), "similar-links")
+    links = settle(_verified(_plausible(pairs, shapes, percent), texts, shingle, percent), "similar-links")
     # then with those that lead its signatures and are in another component
     members = _rooted(members.select("sig", "node", "doc"), links)
     pairs = members.join(_led(members), "sig").where("root != led_root").select(F.col("led_by").alias("a"), F.col("node").alias("b")).distinct()
-    links = settle(links.union(_verified(pairs, texts, shingle, percent)), "similar-links")
+    links = settle(links.union(_verified(_plausible(pairs, shapes, percent), texts, shingle, percent)), "similar-links")
     # then all that meet and are still apart
-    members = _rooted(members, links)
-    pairs = members.alias("x").join(members.alias("y"), F.expr("x.sig = y.sig and x.root < y.root")).select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
-    links = settle(links.union(_verified(pairs, texts, shingle, percent)), "similar-links")
+    members = _rooted(members, links).join(shapes, "node")
+    near = F.expr(f"x.sig = y.sig and x.root < y.root and {_near('x.', 'y.', percent)}")
+    pairs = members.alias("x").join(members.alias("y"), near).select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
+    links = settle(links.union(_verified(settle(pairs, "similar-pairs"), texts, shingle, percent)), "similar-links")
     roots = components(links, "a", "b")
     member = sets.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     member = settle(member.select("doc", "txt", "n", "root"), "similar-members")
