@@ -10,17 +10,19 @@ from pyspark.sql import functions as F
 
 MATCH = "array<struct<s:int,e:int,v:string,c:string>>"
 SPAN = "array<struct<s:int,k:int,e:int,kind:string>>"
-#: characters before a match that are kept as its context
-CONTEXT = 48
 
 
-def matches(text: Column, pattern: str, gate: str | None = None) -> Column:
-    """Leftmost matches without overlap: start, end (exclusive), value, and the end of the text between the match before and this one.
+def _whole(gap: Column) -> Column:
+    return gap
+
+
+def matches(text: Column, pattern: str, gate: str | None = None, context: Callable[[Column], Column] = _whole) -> Column:
+    """Leftmost matches without overlap: start, end (exclusive), value, and what ``context`` takes of the text between the match before and this one.
     The text between matches comes from splitting at the pattern, so the lengths of both add up to the places. Texts without
     ``gate`` (by default the pattern) are not split."""
     parts = F.zip_with(
         F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), F.lit(0)),
-        lambda gap, value: F.struct(F.char_length(gap).alias("g"), F.substring(gap, -CONTEXT, CONTEXT).alias("c"), value.alias("v")),
+        lambda gap, value: F.struct(F.char_length(gap).alias("g"), context(gap).alias("c"), value.alias("v")),
     )
 
     def add(state: Column, part: Column) -> Column:

@@ -24,7 +24,7 @@ PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 BYTE = r"0*(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])"
 KINDS = ("email", "ip", "card", "phone", "context")
 #: fixed value: a token that looks like an identifier
-CANDIDATE = r"(?<![A-Za-z0-9])[A-Za-z]{0,8}[-#/]?[0-9][A-Za-z0-9/-]{3,40}"
+CANDIDATE = r"(?<![A-Za-z0-9])[A-Za-z]*+[-#/]?[0-9][A-Za-z0-9/-]{3,}+"
 ROUNDS, PRIOR, SURE, MIN_SEEDS = 3, 2.0, 0.6, 3
 
 
@@ -38,13 +38,18 @@ def _luhn(value: Column) -> Column:
     return F.aggregate(doubled, F.lit(0), lambda s, x: s + F.when(x > 9, x - 9).otherwise(x)) % 10 == 0
 
 
+def _before(gap: Column) -> Column:
+    """The last two words of a gap with what stands between and behind them; the whole gap is looked at, from its end."""
+    return F.reverse(F.regexp_extract(F.reverse(gap), r"^[^\p{L}_]*+[\p{L}_]++[^\p{L}_]++[\p{L}_]++", 0))
+
+
 def _base(text: Column) -> dict[str, Column]:
     size = lambda m: F.length(_digits(m["v"]))
     return {
-        "email": found.matches(text, EMAIL, "@"),
-        "ip": F.filter(found.matches(text, IP), lambda m: m["v"].rlike(rf"^{BYTE}(?:\.{BYTE}){{3}}$")),
-        "card": F.filter(found.matches(text, CARD), lambda m: F.when(size(m).between(14, 19), _luhn(m["v"])).otherwise(F.lit(False))),
-        "phone": F.filter(found.matches(text, PHONE), lambda m: size(m).between(10, 15)),
+        "email": found.matches(text, EMAIL, "@", _before),
+        "ip": F.filter(found.matches(text, IP, None, _before), lambda m: m["v"].rlike(rf"^{BYTE}(?:\.{BYTE}){{3}}$")),
+        "card": F.filter(found.matches(text, CARD, None, _before), lambda m: F.when(size(m).between(14, 19), _luhn(m["v"])).otherwise(F.lit(False))),
+        "phone": F.filter(found.matches(text, PHONE, None, _before), lambda m: size(m).between(10, 15)),
     }
 
 
@@ -64,7 +69,7 @@ def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", rounds: in
     t = F.coalesce(F.col("text"), F.lit(""))
     rows = docs.select(F.col(doc_id).alias("doc"), F.xxhash64(text).alias("txt"), F.col(text).alias("text"))
     kinds = KINDS[:4]
-    rows = rows.select("doc", "txt", *[c.alias(k) for k, c in _base(t).items()], found.matches(t, CANDIDATE, "[0-9]").alias("other"))
+    rows = rows.select("doc", "txt", *[c.alias(k) for k, c in _base(t).items()], found.matches(t, CANDIDATE, "[0-9]", _before).alias("other"))
     base = found.listed(*[found.spans(k, i, F.col(k)) for i, k in enumerate(kinds)])
     seen = lambda column, seed: F.transform(column, lambda m: F.struct(m["s"].alias("s"), m["e"].alias("e"), m["v"].alias("v"), _pattern(m["c"]).alias("p"), F.lit(seed).alias("seed")))
     instances = F.concat(*[seen(F.col(k), True) for k in kinds], seen(found.apart(F.col("other"), *map(F.col, kinds)), False))

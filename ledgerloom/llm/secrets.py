@@ -8,7 +8,9 @@ semi-join, with the parts of its own and the two neighbouring bins that are near
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.llm import found
@@ -22,9 +24,11 @@ MIN_VALUE, MIN_ACCESS = 8, 16
 #: fixed values: weak parts by role
 WEAK = {
     "identifier": r"""(?<![A-Za-z0-9_])(?i:user(?:name)?|login|account(?:_?id)?|client_?id|key_?id|access_?id)["']?\x20*[:=]\x20*["']?[A-Za-z0-9@._-]{3,}""",
-    "value": r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]{0,40}[0-9])(?=[0-9+/_-]{0,40}[A-Za-z])[A-Za-z0-9+/_-]{20,}+",
+    "value": r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}+",
     "endpoint": r"""(?<![A-Za-z])(?i:https?|postgres(?:ql)?|mysql|mongodb|redis|amqp|s3|ftp)://[^\s"'<>]{4,}+|(?<![A-Za-z0-9_])(?i:host|hostname|endpoint|server)["']?\x20*[:=]\x20*["']?[A-Za-z0-9._:/-]{4,}""",
 }
+#: what a whole weak match must hold besides
+HOLDS = {"value": ("[0-9]", "[A-Za-z]")}
 #: what must stand in a text that a weak pattern is tried on
 GATES = {"identifier": r"(?i)(?:user|login|account|client|key|access)[a-z_]*[\"']?\x20*[:=]", "value": r"[0-9]", "endpoint": r"(?i)://|(?:host|endpoint|server)"}
 #: code points between the starts of two linked parts, at most
@@ -35,6 +39,15 @@ KINDS = ("assign", "access", "hex", "weak_identifier", "weak_value", "weak_endpo
 ROLES = {"assign": "value", "access": "identifier", "hex": "value"}
 
 
+def _found(text: Column, pattern: str, gate: str | None = None) -> Column:
+    return found.matches(text, pattern, gate, lambda gap: F.lit(""))
+
+
+def _weak(text: Column, role: str) -> Column:
+    every = _found(text, WEAK[role], GATES[role])
+    return reduce(lambda some, sign: F.filter(some, lambda m: m["v"].rlike(sign)), HOLDS.get(role, ()), every)
+
+
 def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", scope: int = SCOPE) -> DataFrame:
     """(doc_id, txt, base, spans): for every row the strong spans and all spans, as (start, order, end, kind) by start and kind, in code
     points. ``txt``, a hash of the text, tells rows apart that share a doc_id.
@@ -46,11 +59,11 @@ def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", scope: int
     rows = docs.select(F.col(doc_id).alias("doc"), F.xxhash64(text).alias("txt"), F.col(text).alias("text"))
     strong = rows.select(
         "doc", "txt", "text",
-        F.filter(found.matches(t, ASSIGN), lambda m: F.char_length(F.regexp_extract(m["v"], ASSIGN, 2)) >= MIN_VALUE).alias("assign"),
-        F.filter(found.matches(t, ACCESS), lambda m: F.char_length(m["v"]) >= MIN_ACCESS).alias("access"),
-        found.matches(t, HEX).alias("hex"),
+        F.filter(_found(t, ASSIGN), lambda m: F.char_length(F.regexp_extract(m["v"], ASSIGN, 2)) >= MIN_VALUE).alias("assign"),
+        F.filter(_found(t, ACCESS), lambda m: F.char_length(m["v"]) >= MIN_ACCESS).alias("access"),
+        _found(t, HEX).alias("hex"),
     )
-    weak = strong.select("doc", "txt", "assign", "access", "hex", *[found.matches(t, WEAK[r], GATES[r]).alias(r) for r in WEAK])
+    weak = strong.select("doc", "txt", "assign", "access", "hex", *[_weak(t, r).alias(r) for r in WEAK])
     each = [F.col(k) for k in ("assign", "access", "hex")]
     base = found.listed(*[found.spans(k, i, F.col(k)) for i, k in enumerate(KINDS[:3])])
     parts = [found.spans(f"weak_{r}", 3 + i, found.apart(F.col(r), *each)) for i, r in enumerate(WEAK)]

@@ -286,3 +286,40 @@ def test_passages_in_small_shards(spark):
     df = passages.cut_repeats(frame(spark, ROWS), shard_words=50)
     whole = passages.cut_repeats(frame(spark, ROWS))
     assert got(df, "doc_id", "n_words", "n_removed", "kept") == got(whole, "doc_id", "n_words", "n_removed", "kept")
+
+
+@pytest.mark.parametrize("k, percent", [(4, 70), (3, 50), (5, 80), (2, 95)])
+def test_links_at_any_similarity(spark, k, percent):
+    draw, texts = random.Random(3), []
+    for g in range(8):
+        base = [f"g{g}w{draw.randrange(400)}" for _ in range(draw.choice([12, 40, 100, 300]))]
+        for _ in range(7):
+            t = list(base)
+            for _ in range(draw.randrange(0, max(2, len(base) // 9))):
+                i = draw.randrange(len(t))
+                t[i : i + draw.randrange(0, 3)] = [f"y{draw.randrange(10**6)}" for _ in range(draw.randrange(0, 5))] or ["x"]
+            texts.append(t)
+    texts += [[f"a{i}" for i in range(98)], [f"a{i}" for i in range(138)]]  # one inside the other
+    docs = [(i, " ".join(t)) for i, t in enumerate(texts)]
+    found = similar.near_duplicates(frame(spark, docs), shingle=k, percent=percent)
+    assert got(found, "doc_id", "n_shingles", "component_id") == sorted(brute.similar(docs, k, percent), key=key)
+
+
+def test_long_identifiers_and_far_contexts(spark):
+    docs = [(i, f"please reach me at user{i}@mail.example.com today") for i in range(6)]
+    docs += [(10, "may reach me at AB-" + "7" * 64 + "x instead"), (11, "may reach me at" + " " * 60 + "CD-99871 instead"), (12, "me  at " + "." * 90 + " ABCDEFGHIJKLM-4711"), (13, "x" * 70 + " at 55555")]
+    rows = {r.doc_id: [(x.kind, x.s, x.e) for x in r.spans] for r in persons.scan(frame(spark, docs)).collect()}
+    assert rows[10] == [("context", 16, 84)] and rows[11] == [("context", 75, 83)] and rows[12] == [("context", 98, 116)] and rows[13] == []
+
+
+def test_weak_values_of_any_length(spark):
+    value = "z" * 60 + "9"
+    rows = {r.doc_id: found_kinds(r.spans) for r in secrets.scan(frame(spark, [(1, f"user: alice then {value}"), (2, f"user: alice then {'z' * 60}"), (3, "user: alice then " + "8-" * 30 + "q")])).collect()}
+    assert rows == {1: ["weak_identifier", "weak_value"], 2: [], 3: ["weak_identifier", "weak_value"]}
+
+
+def test_dropped_lines_beside_clashing_names(spark):
+    rows = frame(spark, [(1, "one two three\nx"), (2, "one two three\ny")]).selectExpr("*", "1 AS gone", "'t' AS _gone", "2 AS gone_doc", "3 AS _gone_txt", "4 AS left_text")
+    done = linedups.drop_lines(rows, min_words=1)
+    assert done.columns == ["doc_id", "text", "n_words", "ids", "score", "gone", "_gone", "gone_doc", "_gone_txt", "left_text", "removed"]
+    assert got(done, "doc_id", "left_text", "gone", "_gone") == [(1, "one two three\nx", 1, "t"), (2, "y", 1, "t")]
