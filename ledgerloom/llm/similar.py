@@ -206,6 +206,14 @@ def _meetings(rows: DataFrame, k: int, seed: int, bands: Bands) -> DataFrame:
     return rows.where("shared or first < last").select("sig", "node", "lead")
 
 
+def _distinct_rooms(meetings: DataFrame) -> DataFrame:
+    """Meetings of one signature of each set of members: near copies have hundreds of signatures in common, and one says as much as all."""
+    once = settle(meetings.groupBy("sig", "node").agg(F.min("lead").alias("lead")), "similar-meetings")
+    marks = [F.sum(F.xxhash64(F.lit(x), "node").cast("decimal(38,0)")).alias(f"h{x}") for x in (1, 2)]
+    rooms = once.groupBy("sig").agg(F.count(F.lit(1)).alias("n"), *marks).groupBy("n", "h1", "h2").agg(F.min("sig").alias("sig")).select("sig")
+    return settle(once.join(rooms, "sig", "left_semi"), "similar-meetings")
+
+
 def _led(members: DataFrame) -> DataFrame:
     """(sig, lead, lead_doc, lead_root): the set of the smallest doc_id of each signature. Copies are often later than what they copy."""
     least = members.groupBy("sig").agg(F.min(F.struct("doc", "node", "root")).alias("m"))
@@ -215,7 +223,7 @@ def _led(members: DataFrame) -> DataFrame:
 def _rooted(members: DataFrame, links: DataFrame) -> DataFrame:
     """Members of signatures whose sets are in several components, with their component."""
     roots = components(links, "a", "b")
-    named = members.drop("root").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    named = settle(members.drop("root").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")), "similar-members")
     split = named.groupBy("sig").agg(F.min("root").alias("p"), F.max("root").alias("q")).where("p != q").select("sig")
     return settle(named.join(split, "sig"), "similar-members")
 
@@ -292,6 +300,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
     meetings = settle(_meetings(rows, shingle, seed, bands), "similar-meetings")
     release(spark)
+    meetings = _distinct_rooms(meetings)
     least = sets.where("n > 0").groupBy("node").agg(F.min(F.struct(F.coalesce("doc", F.lit((1 << 63) - 1)).alias("doc"), "txt")).alias("at"), F.first("n").alias("n"), F.first("bits").alias("bits"))
     holder = least.join(meetings.select("node").distinct(), "node", "left_semi")
     shapes = settle(holder.select("node", "n", "bits"), "similar-shapes")
