@@ -28,7 +28,7 @@ from ledgerloom.llm.texts import chunks, held, map_batches, schema_of
 from ledgerloom.session import settle
 
 #: bytes of text in a block; a longer text is a block of its own
-BLOCK = 1 << 20
+BLOCK = 1 << 19
 #: distinct words kept from one block to the next by a task
 MEMO = 300_000
 SPACE = "▁"
@@ -105,7 +105,7 @@ class ByteLevel(Tokens):
         self.count = np.concatenate([self.count, np.bincount(np.array(done.word_ids, np.int64), minlength=len(words))])
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        plain = [not OTHER.search(t) for t in texts]
+        plain = [t.isascii() or not OTHER.search(t) for t in texts]
         split = [WORDS.findall(t) if p else [] for t, p in zip(texts, plain, strict=True)]
         words = list(chain.from_iterable(split))
         if len(self.memo) > MEMO:
