@@ -28,9 +28,9 @@ from ledgerloom.llm.texts import chunks, held, map_batches, schema_of
 from ledgerloom.session import settle
 
 #: bytes of text in a block; a longer text is a block of its own
-BLOCK = 1 << 19
+BLOCK = 1 << 20
 #: distinct words kept from one block to the next by a task
-MEMO = 500_000
+MEMO = 300_000
 SPACE = "▁"
 # The letters, digits and white space below U+0250, and the words that a byte-level vocabulary cuts a text into.
 _LETTER, _DIGIT, _WHITE = "A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\u024f", "0-9\xb2\xb3\xb9\xbc-\xbe", "\t\n\x0b\x0c\r \x85\xa0"
@@ -105,13 +105,13 @@ class ByteLevel(Tokens):
         self.count = np.concatenate([self.count, np.bincount(np.array(done.word_ids, np.int64), minlength=len(words))])
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        plain = [t.isascii() or not OTHER.search(t) for t in texts]
+        plain = [not OTHER.search(t) for t in texts]
         split = [WORDS.findall(t) if p else [] for t, p in zip(texts, plain, strict=True)]
         words = list(chain.from_iterable(split))
         if len(self.memo) > MEMO:
             self._forget()
-        if new := set(words) - self.memo.keys():
-            self._learn(list(new))
+        if new := [w for w in dict.fromkeys(words) if w not in self.memo]:
+            self._learn(new)
         which = np.fromiter(map(self.memo.__getitem__, words), np.int64, len(words))
         size = self.count[which]
         begin = np.cumsum(self.count) - self.count
