@@ -2,13 +2,15 @@
 
 The native input tables (statements, reports, histories) are derived from the given tables and written
 once before the clock starts. Every query runs three times, results go to the no-op sink, and the best
-run counts: the first one pays for class loading and code generation of a fresh JVM.
+run counts: the first one pays for class loading and code generation of a fresh JVM. First runs, medians and the spread
+between the slowest and the best run, as a share of the best, are printed beside it.
 """
 
 from __future__ import annotations
 
 import json
 import os
+import statistics
 import sys
 import time
 
@@ -35,6 +37,9 @@ def main() -> None:
     write_views(spark, sf_dir, scratch_path(spark, "native"))
     prepared = round(time.perf_counter() - started, 3)
     took: dict[str, float] = {}
+    cold: dict[str, float] = {}
+    median: dict[str, float] = {}
+    spread: dict[str, float] = {}
     for name in names:
         runs = []
         for _ in range(3):
@@ -42,9 +47,12 @@ def main() -> None:
             REGISTRY[name].run(spark, sf_dir).write.format("noop").mode("overwrite").save()
             runs.append(time.perf_counter() - started)
         took[name] = round(min(runs), 3)
+        cold[name] = round(runs[0], 3)
+        median[name] = round(statistics.median(runs), 3)
+        spread[name] = round(max(runs) / min(runs) - 1, 2)
     print(json.dumps({
         "metric": "headline_queries_total", "value": round(sum(took.values()), 3), "unit": "sec", "queries": took,
-        "prepare_sec": prepared,
+        "prepare_sec": prepared, "median": median, "median_total": round(sum(median.values()), 3), "cold": cold, "spread": spread,
         "sf": os.path.basename(sf_dir.rstrip("/")).removeprefix("sf"),
     }))
 

@@ -7,6 +7,7 @@ from ledgerloom.operators.rowwise import last_record
 from ledgerloom.plans import escrow, statements as st
 from ledgerloom.registry.core import register
 from ledgerloom.registry.views import PERIOD as P
+from ledgerloom.registry.views import VIEWS
 from ledgerloom.registry.views import view
 from pyspark.sql import functions as F
 
@@ -99,6 +100,18 @@ def recon_period_measures(spark, sf):
     return st.period_measures(view(spark, sf, "statements"), P)
 
 
+# Asked for three days before payment: adjustments and refunds then fall into the month that is settled.
+_ASKED = "CASE WHEN l_quantity = 49 THEN NULL ELSE CAST(l_shipdate AS DATE) - (l_linenumber * 7) END AS request_date"
+_PROMPT = VIEWS["statements"].replace(_ASKED, "CASE WHEN l_quantity = 50 THEN NULL ELSE CAST(l_shipdate AS DATE) - 3 END AS request_date")
+
+
+@register("recon_prompt_measures", "A1 A2 A3 A4", f"SELECT bank, category, n_rows, {MEASURE_COLS} FROM {{o_measures}}",
+          {**CTES, "statements": _PROMPT}, {"invoice_fee": "DOUBLE"})
+def recon_prompt_measures(spark, sf):
+    prompt = view(spark, sf, "statements").withColumn("request_date", F.date_sub("disbursement_date", 3))
+    return st.period_measures(prompt, P)
+
+
 SUMMARY_GAPS = dict.fromkeys(["returned", "carry_in", "prior_fee", "tax_adjustment", "invoice_claimed", "invoice_fee"], "DOUBLE")
 
 

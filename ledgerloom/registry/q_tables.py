@@ -351,6 +351,17 @@ def truncate_table(spark, sf):
     return spark.read.parquet(path)
 
 
+@register("truncate_and_refill", "K8 K12", "SELECT c_custkey, c_name FROM {customer} WHERE c_nationkey < 13")
+def truncate_and_refill(spark, sf):
+    """An emptied table keeps its columns and takes rows again; none of the old ones is left."""
+    path = scratch_path(spark, "customers")
+    rows = table(spark, sf, "customer")
+    rows.select("c_custkey", "c_name").write.parquet(path)
+    wr.truncate_dataset(spark, path)
+    rows.where("c_nationkey < 13").select(*spark.read.parquet(path).columns).write.mode("append").parquet(path)
+    return spark.read.parquet(path)
+
+
 TARGET = T.StructType([
     T.StructField("c_custkey", T.LongType()), T.StructField("c_name", T.StringType()), T.StructField("c_nationkey", T.StringType()),
     T.StructField("balance", T.DoubleType()), T.StructField("tier", T.StringType()), T.StructField("since", T.DateType()),

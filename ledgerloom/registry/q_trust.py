@@ -2,19 +2,27 @@
 
 from __future__ import annotations
 
+import datetime as dt
+from dataclasses import replace
+from decimal import Decimal
+
 from pyspark.sql import functions as F
 
+from ledgerloom.functions.scalars import recode
 from ledgerloom.operators.joins import add_aggregates
+from ledgerloom.operators.literals import literal_table
 from ledgerloom.operators.rowwise import forward_fill, rows_before_marker
+from ledgerloom.operators.tieout import difference_summary
 from ledgerloom.plans import instalments as inst
 from ledgerloom.plans import receipts as rc
 from ledgerloom.plans import trust as tr
 from ledgerloom.plans.statements import bank_summary, period_measures
-from ledgerloom.reference_data import RECEIPT_BANKS
+from ledgerloom.reference_data import RECEIPT_BANKS, SUBTOTAL
 from ledgerloom.registry.core import register
 from ledgerloom.registry.q_statements import CTES as STATEMENT_CTES
 from ledgerloom.registry.q_statements import PAID
-from ledgerloom.registry.views import DAILY, PERIOD as P
+from ledgerloom.registry.views import DAILY, PERIOD
+from ledgerloom.registry.views import PERIOD as P
 from ledgerloom.registry.views import view
 
 KEYED = inst.PlainLayout(term="term", amount="amount", fee="fee", row_kind="kind", fill=("term",))
@@ -307,3 +315,59 @@ def _status(item: str, metric: str, source: str, post: str = "") -> str:
           + _status("FRR 請款", "total_claimed", "Net_Billing"), CTES)
 def daily_check_report(spark, sf):
     return rc.daily_check(matrix_of(spark, sf), receipt_report_of(spark, sf))["validation_summary"]
+
+
+# A year of statements against receipts of the same statements: one bank equal, one half a unit and one seven units off, and one
+# that goes by another name on each side.
+YEAR = replace(PERIOD, beg=dt.date(1995, 1, 1), end=dt.date(1995, 12, 31))
+_EXTRA = {"NCCC": "7", "CTBC": "0.5"}
+_CODES = {"taishi": "TSPG", "nccc": "NCCC", "cub": "CUB", "ctbc": "CTBC", "ub": "UBOT"}
+_YEAR_CTES = {
+    "o_year": """
+SELECT bank, SUM(request_amount) AS claimed, SUM(handling_fee) AS fee FROM {statements}
+WHERE disbursement_date BETWEEN DATE '1995-01-01' AND DATE '1995-12-31' GROUP BY 1""",
+    "o_year_ties": """
+SELECT item, bank, SUM(l) AS l, SUM(r) AS r FROM (
+  SELECT 'billing' AS item, CASE bank WHEN 'taishi' THEN '台新' WHEN 'nccc' THEN 'NCCC' WHEN 'cub' THEN '國泰' WHEN 'ctbc' THEN 'CTBC' ELSE 'UB' END AS bank, claimed AS l, NULL AS r FROM {o_year}
+  UNION ALL SELECT 'fee', CASE bank WHEN 'taishi' THEN '台新' WHEN 'nccc' THEN 'NCCC' WHEN 'cub' THEN '國泰' WHEN 'ctbc' THEN 'CTBC' ELSE 'UB' END, fee, NULL FROM {o_year}
+  UNION ALL SELECT 'billing', CASE bank WHEN 'taishi' THEN '台新' WHEN 'nccc' THEN 'NCCC' WHEN 'cub' THEN '國泰' WHEN 'ctbc' THEN 'CTBC' ELSE '聯邦' END, NULL,
+    claimed + CASE bank WHEN 'nccc' THEN 7 WHEN 'ctbc' THEN 0.5 ELSE 0 END FROM {o_year}
+  UNION ALL SELECT 'fee', CASE bank WHEN 'taishi' THEN '台新' WHEN 'nccc' THEN 'NCCC' WHEN 'cub' THEN '國泰' WHEN 'ctbc' THEN 'CTBC' ELSE '聯邦' END, NULL, fee FROM {o_year}) t GROUP BY 1, 2""",
+}
+
+
+def _year_check(spark, sf):
+    paid = view(spark, sf, "statements").where(F.col("disbursement_date").between(F.lit(YEAR.beg), F.lit(YEAR.end)))
+    left = recode(F.col("bank"), {b: "UB" if b == "ub" else RECEIPT_BANKS[c] for b, c in _CODES.items()})
+    matrix = paid.groupBy(F.lit(SUBTOTAL).alias("transaction_type"), left.alias("bank")).agg(
+        F.sum("request_amount").alias("total_claimed"), F.sum("handling_fee").alias("total_service_fee"))
+    long = paid.select(F.col("disbursement_date").alias("Date"), recode(F.col("bank"), _CODES).alias("Bank"),
+                       F.col("request_amount").cast(rc.AMOUNT).alias("Net_Billing"), F.col("handling_fee").cast(rc.AMOUNT).alias("Handling_Fee"))
+    extra = literal_table(spark, [(YEAR.end, c, Decimal(v), Decimal(0)) for c, v in _EXTRA.items()], f"Date date, Bank string, Net_Billing {rc.AMOUNT}, Handling_Fee {rc.AMOUNT}")
+    long = long.unionByName(extra)
+    pivots = {"frr_handling_fee": rc.receipt_pivot(long, "Handling_Fee", YEAR, absolute=True), "frr_net_billing": rc.receipt_pivot(long, "Net_Billing", YEAR)}
+    return rc.daily_check(matrix, pivots)
+
+
+@register("tie_out_mixed", "J6", """
+SELECT bank, CAST(l AS DOUBLE) AS left_amount, CAST(r AS DOUBLE) AS right_amount, CAST(l - r AS DOUBLE) AS diff, COALESCE(abs(l - r) <= 1, FALSE) AS ok
+FROM {o_year_ties} WHERE item = 'billing'""", _YEAR_CTES)
+def tie_out_mixed(spark, sf):
+    """Equal banks, one within the tolerance, one beyond it, and one missing on each side."""
+    return _year_check(spark, sf)["validate_frr_net_billing"]
+
+
+@register("daily_check_mixed", "Q10 Q6", """
+SELECT CASE item WHEN 'fee' THEN 'FRR 手續費' ELSE 'FRR 請款' END AS validation_item, CASE WHEN COUNT(*) FILTER (WHERE abs(l - r) > 1) > 0 THEN '有差異' ELSE '通過' END AS status,
+  COUNT(*) FILTER (WHERE abs(l - r) > 1) AS n_off, COUNT(*) FILTER (WHERE l - r IS NULL) AS n_unmatched FROM {o_year_ties} GROUP BY item""", _YEAR_CTES)
+def daily_check_mixed(spark, sf):
+    """One check passes and one does not."""
+    return _year_check(spark, sf)["validation_summary"]
+
+
+@register("tie_out_summary", "A25", """
+SELECT COUNT(*) AS n_rows, COUNT(*) FILTER (WHERE l = r) AS n_equal, COUNT(*) FILTER (WHERE l <> r OR l IS NULL OR r IS NULL) AS n_different,
+  CAST(MAX(abs(l - r)) AS DOUBLE) AS max_abs_diff, round(CAST(SUM(abs(l - r)) AS DOUBLE) / COUNT(l - r), 4) AS mean_abs_diff FROM {o_year_ties} WHERE item = 'billing'""", _YEAR_CTES)
+def tie_out_summary(spark, sf):
+    out = difference_summary(_year_check(spark, sf)["validate_frr_net_billing"], "diff")
+    return out.withColumn("mean_abs_diff", F.round(F.col("mean_abs_diff").cast("double"), 4))
