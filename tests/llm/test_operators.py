@@ -242,6 +242,19 @@ def test_leaks_in_blocks_and_odd_items(spark):
     assert sorted((d is None, str(d), sum(h[1::2]) - sum(h[::2]), len(i)) for d, _, h, i in one) == sorted((x[0] is None, str(x[0]), x[2], x[3]) for x in want)
 
 
+def test_leaks_of_one_passage_in_many_documents_and_clashing_names(spark):
+    passage = " ".join(_LONG[:30])
+    docs = [(i, f"word{i} {passage} {passage if i % 3 else ''} tail{i}") for i in range(40)] + [(100, "apart " * 6000 + passage), (101, None), (101, None), (None, passage)]
+    items = [("a", passage), ("a", passage), ("b", passage + " more"), ("c", "apart apart"), ("d", None)]
+    rows = frame(spark, docs, extra=False).selectExpr("*", "1 AS k1", "'x' AS k2", "2 AS shingle", "'y' AS context", "3 AS part", "4 AS words", "'z' AS item", "5 AS hits", "6 AS n_words", "7 AS begin")
+    found = leaks.find_leaks(rows, spark.createDataFrame(items, "item_id string, text string"))
+    assert sorted(found.columns) == sorted(rows.columns + ["items"])
+    assert {(r.k1, r.k2, r.shingle, r.context, r.part, r.words, r.item, r.begin) for r in found.collect()} == {(1, "x", 2, "y", 3, 4, "z", 7)}
+    want = brute.leaks(docs, items)
+    have = [(r.doc_id, r.n_words, r.n, len(r.items)) for r in found.withColumn("n", leaks.hit_words()).collect()]
+    assert sorted(have, key=str) == sorted(((x[0], x[1], x[2], x[3]) for x in want), key=str)
+
+
 def test_toxicity_learns_and_holds_out(spark):
     bad = ["vile", "nasty", "gross", "awful"]
     docs = [(i, " ".join(prose(40) + (rng.sample(bad, 3) if i % 5 == 0 else []))) for i in range(1200)] + [(5000, None), (5001, ""), (None, "vile nasty")]
