@@ -1,9 +1,13 @@
 """Tokens of two tokenizers side by side: groups that cover the same bytes, and links between tokens that end together.
 
-Both vocabularies are read with their public libraries, which encode the texts. Per document, each side has a dictionary from the byte
+Both vocabularies are read with their public libraries, which encode the texts. Each side has a dictionary from the byte
 at which a token ends to the token's place. The ends that are keys of both dictionaries, sorted, cut both id lists into groups; in
 each group the tokens that end together are linked.
 
+Texts are cut before blanks and line breaks that follow something else: no token of either side reaches over such a cut, so both sides end there,
+and the groups of a text are the groups of its segments, one behind another. A task encodes and aligns each segment once and keeps the result. Texts
+with a segment that its tokens do not spell are encoded whole, and so are all texts if a vocabulary has tokens over a cut.
+
 How often a pair of ids is linked in the corpus is counted in Spark. Documents go in blocks of some megabytes of text; a block keeps its
 links as places in its list of distinct pairs. Only the distinct pairs of each block are shuffled: once to be summed, once to fetch
 the sums. The encoded blocks are written once, so nothing is encoded twice.
@@ -28,15 +32,15 @@ from ledgerloom.llm.texts import chunks, held, map_batches, schema_of
 from ledgerloom.session import settle
 
 #: bytes of text in a block; a longer text is a block of its own
-BLOCK = 1 << 20
-#: distinct words kept from one block to the next by a task
-MEMO = 300_000
+BLOCK = 1 << 19
+#: distinct segments, and their characters, kept from one block to the next by a task
+MEMO, MEMO_CHARS = 200_000, 8_000_000
 SPACE = "▁"
-# The letters, digits and white space below U+0250, and the words that a byte-level vocabulary cuts a text into.
-_LETTER, _DIGIT, _WHITE = "A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\u024f", "0-9\xb2\xb3\xb9\xbc-\xbe", "\t\n\x0b\x0c\r \x85\xa0"
-WORDS = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d| ?[{_LETTER}]+| ?[{_DIGIT}]+| ?[^{_WHITE}{_LETTER}{_DIGIT}]+|[{_WHITE}]+(?![^{_WHITE}])|[{_WHITE}]+")
-#: texts with other characters are cut into words by the library
-OTHER = re.compile("[^\x00-\u024f]")
+# Characters that are white space in any version of Unicode, and those of them that never begin a segment.
+_GAP = "\t\x0b\x0c\r\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200b\u2028\u2029\u202f\u205f\u3000\ufeff"
+GAPS = frozenset(re.findall(f"[ \n{_GAP}]", "".join(map(chr, range(0x10000)))))
+#: a segment: a blank or line break, and all up to the next one that follows something else
+SEGMENTS = re.compile(f"[ \n][ \n{_GAP}]*[^ \n{_GAP}]*(?:[{_GAP}][ \n{_GAP}]*[^ \n{_GAP}]*)*")
 #: what a document gets besides the sums of its links
 OWN = "n_a bigint, n_b bigint, n_groups bigint, n_links bigint, groups string"
 
@@ -64,17 +68,8 @@ class Tokens:
         raise NotImplementedError
 
 
-def _one_run(lists: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
-    sizes = np.fromiter(map(len, lists), np.int64, len(lists))
-    return np.fromiter(chain.from_iterable(lists), np.int64, sizes.sum()), sizes
-
-
 class ByteLevel(Tokens):
-    """A byte-level vocabulary of the tokenizers library; strings of special tokens in a text are plain text.
-
-    Merges stay inside words, so the library encodes every distinct word once; a task keeps the ids of the words it has seen. Texts with
-    characters whose class may differ between Unicode versions go to the library as they are.
-    """
+    """A byte-level vocabulary of the tokenizers library; strings of special tokens in a text are plain text."""
 
     def __init__(self, path: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
@@ -89,42 +84,26 @@ class ByteLevel(Tokens):
         rest = [b for b in range(256) if b not in printable]
         byte_of = {chr(b): b for b in printable} | {chr(256 + i): b for i, b in enumerate(rest)}
         names = {i: t for t, i in self.model.get_vocab(with_added_tokens=True).items()}
-        added = {t["id"] for t in json.loads(self.model.to_str())["added_tokens"]}
+        parts = json.loads(self.model.to_str())
+        added = {t["id"] for t in parts["added_tokens"]}
         self.surface = [names[i].encode() if i in added else bytes(byte_of[c] for c in names[i]) if i in names else b"" for i in range(max(names) + 1)]
         self.lay_out()
-        self._forget()
-
-    def _forget(self) -> None:
-        self.memo: dict[str, int] = {}
-        self.ids, self.count = np.zeros(0, np.int64), np.zeros(0, np.int64)
-
-    def _learn(self, words: list[str]) -> None:
-        self.memo.update(zip(words, range(len(self.memo), len(self.memo) + len(words)), strict=True))
-        done = self.model.encode(words, is_pretokenized=True, add_special_tokens=False)
-        self.ids = np.concatenate([self.ids, np.array(done.ids, np.int64)])
-        self.count = np.concatenate([self.count, np.bincount(np.array(done.word_ids, np.int64), minlength=len(words))])
+        #: whether merges stay inside the words of the byte-level pattern, so that no token reaches over the cut between two segments
+        cutter = parts["pre_tokenizer"] or {}
+        pattern = (cutter.get("type"), cutter.get("use_regex", True), cutter.get("add_prefix_space")) == ("ByteLevel", True, False)
+        self.local = pattern and parts["normalizer"] is None and all(t["special"] for t in parts["added_tokens"])
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        plain = [not OTHER.search(t) for t in texts]
-        split = [WORDS.findall(t) if p else [] for t, p in zip(texts, plain, strict=True)]
-        words = list(chain.from_iterable(split))
-        if len(self.memo) > MEMO:
-            self._forget()
-        if new := [w for w in dict.fromkeys(words) if w not in self.memo]:
-            self._learn(new)
-        which = np.fromiter(map(self.memo.__getitem__, words), np.int64, len(words))
-        size = self.count[which]
-        begin = np.cumsum(self.count) - self.count
-        ids = self.ids[np.repeat(begin[which] - (np.cumsum(size) - size), size) + np.arange(size.sum())]
-        sizes = np.bincount(np.repeat(np.arange(len(texts)), [len(x) for x in split]), size, len(texts)).astype(np.int64)
-        odd = [i for i, p in enumerate(plain) if not p]
-        if odd:
-            runs = np.split(ids, np.cumsum(sizes)[:-1])
-            for i in odd:
-                runs[i] = np.array(self.model.encode(texts[i], add_special_tokens=False).ids, np.int64)
-                sizes[i] = len(runs[i])
-            ids = np.concatenate(runs)
-        return ids, sizes
+        done = self.model.encode(texts, is_pretokenized=True, add_special_tokens=False)  # each text by itself
+        return np.array(done.ids, np.int64), np.bincount(np.array(done.word_ids, np.int64), minlength=len(texts))
+
+    def encode_segments(self, segments: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Segments that do not end in white space, as one text."""
+        ids = np.array(self.model.encode_batch_fast(["".join(segments)], add_special_tokens=False)[0].ids, np.int64)
+        ends, bounds = np.cumsum(self.length[ids]), np.cumsum([len(s.encode()) for s in segments])
+        if not len(ids) or ends[-1] != bounds[-1]:  # bytes that the vocabulary does not have
+            return self.encode(segments)
+        return ids, np.diff(np.searchsorted(ends, bounds, "right"), prepend=0)
 
 
 class Pieces(Tokens):
@@ -138,14 +117,29 @@ class Pieces(Tokens):
         self.surface = [bytes([int(name(i)[3:5], 16)]) if self.model.is_byte(i) else name(i).replace(SPACE, " ").encode() for i in range(n)]
         self.lay_out()
 
+        pieces = [name(i) for i in range(n)]
+        over = any(SPACE in p.lstrip(SPACE) or "\n" in p and len(p) > 1 for p in pieces)
+        self.lead = self.model.encode("\n")[:1]
+        #: whether no piece reaches over the cut between two segments, all blanks are kept, and a blank alone is a piece
+        self.local = not over and self.model.decode(self.model.encode(" a  b ")) == " a  b " and [name(i) for i in self.lead] == [SPACE]
+
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        return _one_run(self.model.encode(texts, num_threads=1))
+        return self._one_run(self.model.encode(texts, num_threads=1))
 
+    def encode_segments(self, segments: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """As they stand in a text: the library puts a space before each one, which stands for the blank of a segment that begins with one, and is a
+        piece of its own before a line break."""
+        lists = self.model.encode([s[1:] if s[0] == " " else s for s in segments], num_threads=1)
+        for i, s in enumerate(segments):
+            if s[0] != " ":
+                lists[i] = lists[i][1:]
+            elif len(s) == 1:
+                lists[i] = self.lead
+        return self._one_run(lists)
 
-@lru_cache(maxsize=2)
-def load(byte_path: str, piece_path: str) -> tuple[ByteLevel, Pieces]:
-    """Both vocabularies, once per Python worker."""
-    return ByteLevel(byte_path), Pieces(piece_path)
+    def _one_run(self, lists: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+        sizes = np.fromiter(map(len, lists), np.int64, len(lists))
+        return np.fromiter(chain.from_iterable(lists), np.int64, sizes.sum()), sizes
 
 
 def common_ends(a: list[int], b: list[int]) -> tuple[list[int], list[int]]:
@@ -196,44 +190,104 @@ def _groups(a: np.ndarray, b: np.ndarray, ends_a: np.ndarray, ends_b: np.ndarray
     return text, last[bounds]
 
 
-def align(texts: list[str], a: ByteLevel, b: Pieces, digest: bool) -> tuple[np.ndarray, np.ndarray, list[str]]:
-    """For each text its counts (n_a, n_b, n_groups, n_links); all links of all texts as id pairs (a in the upper half); the groups as text
-    or as its digest. Texts whose tokens do not spell a space and the text have no tokens."""
-    spoken = [i for i, t in enumerate(texts) if t]
-    flat, sizes = zip(a.encode([" " + texts[i] for i in spoken]), b.encode([texts[i] for i in spoken]), strict=True)
-    bytes_a, bytes_b = a.joined(flat[0]), b.joined(flat[1])
-    run_a, run_b = np.cumsum(a.length[flat[0]]), np.cumsum(b.length[flat[1]])
-    first = [np.cumsum(s) - s for s in sizes]
-    counts = np.zeros((4, len(texts)), np.int64)
-    ends_a, ends_b, keep = [], [], []
-    lo_a = lo_b = 0
-    for k, i in enumerate(spoken):
-        token_a, token_b = slice(first[0][k], first[0][k] + sizes[0][k]), slice(first[1][k], first[1][k] + sizes[1][k])
-        hi_a = int(run_a[token_a.stop - 1]) if sizes[0][k] else lo_a
-        hi_b = int(run_b[token_b.stop - 1]) if sizes[1][k] else lo_b
-        want = b" " + texts[i].encode()
-        if bytes_a[lo_a:hi_a] == want and bytes_b[lo_b:hi_b] == want:
-            keep.append((i, token_a, token_b))
-            in_a, in_b = common_ends((run_a[token_a] - lo_a).tolist(), (run_b[token_b] - lo_b).tolist())
-            ends_a.append(in_a)
-            ends_b.append(in_b)
-            counts[:, i] = token_a.stop - token_a.start, token_b.stop - token_b.start, len(in_a), len(in_a)
-        lo_a, lo_b = hi_a, hi_b
-    kept_a = np.concatenate([flat[0][x] for _, x, _ in keep]) if keep else flat[0][:0]
-    kept_b = np.concatenate([flat[1][x] for _, _, x in keep]) if keep else flat[1][:0]
-    some = [i for i, _, _ in keep]
-    shift_a, shift_b = (np.cumsum(counts[s, some]) - counts[s, some] for s in (0, 1))
-    n = counts[2, some]
-    last_a = np.fromiter(chain.from_iterable(ends_a), np.int64, n.sum()) + np.repeat(shift_a, n)
-    last_b = np.fromiter(chain.from_iterable(ends_b), np.int64, n.sum()) + np.repeat(shift_b, n)
-    links = kept_a[last_a] << 32 | kept_b[last_b]
-    text, ends = _groups(kept_a, kept_b, last_a, last_b, np.concatenate([[0], np.cumsum(n)]))
-    written = [""] * len(texts)
-    raw = memoryview(text)
-    for i, lo, hi in zip(some, ends[:-1].tolist(), ends[1:].tolist(), strict=True):
-        said = raw[lo : hi - 1]
-        written[i] = sha256(said).hexdigest() if digest else bytes(said).decode()
-    return counts, links, written
+class Aligner:
+    """Both vocabularies, and the aligned segments that a task keeps."""
+
+    def __init__(self, a: ByteLevel, b: Pieces) -> None:
+        self.a, self.b, self.local = a, b, a.local and b.local
+        self._forget()
+
+    def _forget(self) -> None:
+        self.memo: dict[str, int] = {}
+        self.chars = 0
+        self.groups: list[bytes] = []
+        self.spelled = np.zeros(0, bool)
+        self.used = np.zeros(0, np.int64)
+        self.counts = np.zeros((3, 0), np.int64)  # tokens of both sides, groups
+        self.links = np.zeros(0, np.int64)
+
+    def _tidy(self) -> None:
+        """Keep what was met more than once, if that is not too much."""
+        keep = np.flatnonzero(self.used > 1)
+        names = list(self.memo)  # in the order of their places
+        names = [names[i] for i in keep.tolist()]
+        chars, n_links = sum(map(len, names)), self.counts[2]
+        if 2 * len(keep) > MEMO or 2 * chars > MEMO_CHARS:
+            return self._forget()
+        self.links = self.links[np.repeat(self.used > 1, n_links)]
+        self.memo, self.chars, self.groups = dict(zip(names, range(len(names)), strict=True)), chars, [self.groups[i] for i in keep.tolist()]
+        self.spelled, self.counts, self.used = self.spelled[keep], self.counts[:, keep], np.zeros(len(keep), np.int64)
+
+    def _learn(self, keys: list[str], said: list[str], a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> None:
+        """Align strings by the tokens of both sides and keep what comes out under their keys; those that the tokens do not spell get none."""
+        want = [s.encode() for s in said]
+        size = np.fromiter(map(len, want), np.int64, len(want))
+        spelled = np.ones(len(said), bool)
+        for side, (ids, n) in ((self.a, a), (self.b, b)):
+            spoken, ends = side.joined(ids), np.concatenate([[0], np.cumsum(side.length[ids])])[np.concatenate([[0], np.cumsum(n)])]
+            if spoken != b"".join(want) or (np.diff(ends) != size).any():
+                spelled &= [spoken[lo:hi] == w for lo, hi, w in zip(ends[:-1].tolist(), ends[1:].tolist(), want, strict=True)]
+        (ids_a, n_a), (ids_b, n_b) = ((ids[np.repeat(spelled, n)], np.where(spelled, n, 0)) for ids, n in (a, b))
+        run_a, run_b = np.cumsum(self.a.length[ids_a]), np.cumsum(self.b.length[ids_b])
+        last_a, last_b = (np.array(x, np.int64) for x in common_ends(run_a.tolist(), run_b.tolist()))
+        bounds = np.concatenate([[0], np.searchsorted(run_a[last_a], np.cumsum(np.where(spelled, size, 0)), "right")])
+        text, ends = _groups(ids_a, ids_b, last_a, last_b, bounds)
+        raw, ends = text.tobytes(), ends.tolist()
+        self.memo.update(zip(keys, range(len(self.groups), len(self.groups) + len(keys)), strict=True))
+        self.chars += sum(map(len, said))
+        self.groups += [raw[lo : hi - 1] if hi > lo else b"" for lo, hi in zip(ends[:-1], ends[1:], strict=True)]
+        self.spelled = np.concatenate([self.spelled, spelled])
+        self.used = np.concatenate([self.used, np.zeros(len(said), np.int64)])
+        self.counts = np.concatenate([self.counts, np.stack([n_a, n_b, np.diff(bounds)])], axis=1)
+        self.links = np.concatenate([self.links, ids_a[last_a] << 32 | ids_b[last_b]])
+
+    def _known(self, strings: list[str]) -> np.ndarray:
+        return np.fromiter(map(self.memo.__getitem__, strings), np.int64, len(strings))
+
+    def align(self, texts: list[str], digest: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, list[str]]:
+        """For each text its counts (n_a, n_b, n_groups, n_links); the distinct links of all texts as id pairs (a in the upper half), how many links each has,
+        and for every link the place of its pair; the groups as text or as its digest. Texts whose tokens do not spell a space and the text
+        have no tokens."""
+        if len(self.memo) > MEMO or self.chars > MEMO_CHARS:
+            self._tidy()
+        parts = [SEGMENTS.findall(" " + t) if t and self.local else [] for t in texts]
+        if new := [s for s in dict.fromkeys(chain.from_iterable(parts)) if s not in self.memo]:
+            loose = [s for s in new if s[-1] in GAPS]
+            for some, encode in (([s for s in new if s[-1] not in GAPS] if loose else new, self.a.encode_segments), (loose, self.a.encode)):
+                if some:
+                    self._learn(some, some, encode(some), self.b.encode_segments(some))
+        sizes = np.fromiter(map(len, parts), np.int64, len(parts))
+        which = self._known(list(chain.from_iterable(parts)))
+        bad = np.bincount(np.repeat(np.arange(len(texts)), sizes), ~self.spelled[which], len(texts)) > 0
+        if odd := [i for i, t in enumerate(texts) if t and (bad[i] or not self.local)]:
+            for i in odd:
+                parts[i] = ["\0 " + texts[i]]  # no segment begins like this
+            if new := [s for s in dict.fromkeys(parts[i][0] for i in odd) if s not in self.memo]:
+                self._learn(new, [s[1:] for s in new], self.a.encode([s[1:] for s in new]), self.b.encode([s[2:] for s in new]))
+            sizes = np.fromiter(map(len, parts), np.int64, len(parts))
+            which = self._known(list(chain.from_iterable(parts)))
+        edges = np.concatenate([[0], np.cumsum(sizes)])
+        sums = np.diff(np.concatenate([np.zeros((3, 1), np.int64), np.cumsum(self.counts[:, which], axis=1)], axis=1)[:, edges], axis=1)
+        # the links of the block: those of its distinct segments, then of all
+        own, at, often = np.unique(which, return_inverse=True, return_counts=True)
+        self.used[own] += often
+        n_links = self.counts[2]
+        first = np.cumsum(n_links) - n_links
+        spread = lambda begin, size: np.repeat(begin - (np.cumsum(size) - size), size) + np.arange(size.sum())
+        size = n_links[own]
+        pairs, place = np.unique(self.links[spread(first[own], size)], return_inverse=True)
+        n = np.bincount(place, np.repeat(often, size), len(pairs)).astype(np.int64)
+        places = place.astype("<u4")[spread((np.cumsum(size) - size)[at], size[at])]
+        said, edges = list(map(self.groups.__getitem__, which.tolist())), edges.tolist()
+        joined = (b";".join(said[lo:hi]) for lo, hi in zip(edges[:-1], edges[1:], strict=True))
+        written = [(sha256(x).hexdigest() if digest else x.decode()) if x else "" for x in joined]
+        return np.concatenate([sums, sums[2:]]), pairs, n, places, written
+
+
+@lru_cache(maxsize=2)
+def load(byte_path: str, piece_path: str) -> Aligner:
+    """Both vocabularies, once per Python worker."""
+    return Aligner(ByteLevel(byte_path), Pieces(piece_path))
 
 
 def _encoded(docs: DataFrame, text: str, byte_path: str, piece_path: str, digest: bool) -> DataFrame:
@@ -243,16 +297,15 @@ def _encoded(docs: DataFrame, text: str, byte_path: str, piece_path: str, digest
     own = [x.split()[0] for x in OWN.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        a, b = load(byte_path, piece_path)
+        aligner = load(byte_path, piece_path)
         for batch, _, _ in chunks(batches, text, BLOCK):
             texts = [t or "" for t in batch.column(batch.schema.get_field_index(text)).to_pylist()]
-            counts, links, groups = align(texts, a, b, digest)
-            pairs, place, n = np.unique(links, return_inverse=True, return_counts=True)
+            counts, pairs, n, places, groups = aligner.align(texts, digest)
             columns = [batch.column(batch.schema.get_field_index(c)) for c in kept]
             struct = pa.StructArray.from_arrays([*columns, *[pa.array(c) for c in counts], pa.array(groups, pa.string())], names=[*kept, *own])
             one = lambda values, kind: pa.array([values], pa.list_(kind))
             yield pa.RecordBatch.from_arrays(
-                [pa.ListArray.from_arrays(pa.array([0, len(struct)], pa.int32()), struct), one(pairs, pa.int64()), one(n, pa.int64()), pa.array([place.astype("<u4").tobytes()], pa.binary())],
+                [pa.ListArray.from_arrays(pa.array([0, len(struct)], pa.int32()), struct), one(pairs, pa.int64()), one(n, pa.int64()), pa.array([places.tobytes()], pa.binary())],
                 ["docs", "pairs", "n", "places"],
             )
 

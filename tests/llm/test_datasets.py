@@ -130,6 +130,26 @@ def test_words_of_texts_equal_the_library():
     assert [model.encode(t, add_special_tokens=False).ids for t in texts] == [x.tolist() for x in __import__("numpy").split(ids, sizes.cumsum()[:-1])][: len(texts)]
 
 
+def test_segments_are_encoded_once_and_as_within_their_text(monkeypatch):
+    import public_tokenizers
+
+    paths = [public_tokenizers.path(n) for n in ("byte_bpe_50k.json", "piece_bpe_32k.model")]
+    signs = "a b'\n\t  stre1!\xe9\xa0\r<s>\x00,.\u2003\u200b\u2581\u4f60\U0001f600"
+    texts = [t or "" for t in TEXTS] + ["".join(rng.choice(signs) for _ in range(rng.randint(0, 50))) for _ in range(1500)]
+    monkeypatch.setattr(alignment, "MEMO", 300)  # segments are given up and learned again
+    own = alignment.Aligner(alignment.ByteLevel(paths[0]), alignment.Pieces(paths[1]))
+    want = aligned(list(enumerate(texts)))
+    for lo in range(0, len(texts), 100):
+        counts, pairs, n, places, groups = own.align(texts[lo : lo + 100], True)
+        assert [(*c, g) for c, g in zip(counts.T.tolist(), groups, strict=True)] == [(*w[1:5], w[7]) for w in want[lo : lo + 100]]
+        assert len(places) == counts[3].sum() == n.sum() and n.tolist() == [places.tolist().count(i) for i in range(len(pairs))]
+    met = []
+    monkeypatch.setattr(own.a, "encode_segments", lambda s, f=own.a.encode_segments: met.extend(s) or f(s))
+    own._forget()
+    own.align(["some words come again and again and again"] * 50, True)
+    assert sorted(met) == sorted(set(met)) and " again" in met
+
+
 # the manifest
 
 
