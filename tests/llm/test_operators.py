@@ -9,6 +9,7 @@ import sys
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 import brute  # noqa: E402
@@ -331,6 +332,13 @@ def test_weak_values_of_any_length(spark):
     assert rows == {1: ["weak_identifier", "weak_value"], 2: [], 3: ["weak_identifier", "weak_value"]}
 
 
+def test_keys_of_lines_are_plain_numbers(spark):
+    keys = linedups._ordered(F.col("text"), F.expr("array_repeat(0L, 131072)"))
+    done = frame(spark, [(1, "b a  B c"), (2, "")]).select(F.size(keys).alias("n"), keys.alias("keys"))
+    assert not done.schema["keys"].dataType.containsNull  # such arrays are sorted without boxes
+    assert sorted(r.n for r in done.collect()) == [0, 3]
+
+
 def test_dropped_lines_beside_clashing_names(spark):
     rows = frame(spark, [(1, "one two three\nx"), (2, "one two three\ny")]).selectExpr("*", "1 AS gone", "'t' AS _gone", "2 AS gone_doc", "3 AS _gone_txt", "4 AS left_text")
     done = linedups.drop_lines(rows, min_words=1)
