@@ -144,6 +144,14 @@ def test_lines_go_on_given_rows(spark, sf_dir, given):
     assert rows == sorted(((d, want[n]) for n, (d, _) in enumerate(some)), key=key)
 
 
+def test_rarity_counts_the_words_of_all_texts(spark):
+    texts = [f"w{i} common\nCOMMON w{i}" for i in range(40)]
+    rows = spark.createDataFrame([(t,) for t in texts], "text string").selectExpr("xxhash64(text) AS txt", "text")
+    (steps,) = linedups._rarity(rows).first()
+    at = lambda w: spark.range(1).select(F.xxhash64(F.lit(w))).first()[0] % linedups.BUCKETS
+    assert steps[at("common")] >> 54 == 50 and [steps[at(f"w{i}")] >> 54 for i in range(40)] == [8] * 40
+
+
 def test_short_lines_go(spark, tmp_path):
     draw = random.Random(5)
     short = ["Share this page", "share  THIS page", "one", "a b c d", "a b c d e", "a b c e", " ", "", "d c b a " * 50, "read more here", "All rights reserved."]
