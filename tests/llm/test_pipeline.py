@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+import math
 import os
 import sys
 
 import pytest
+from pyspark.sql import functions as F
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 import brute  # noqa: E402
 import corpus_pipeline  # noqa: E402
-from ledgerloom.llm import lines  # noqa: E402
+from ledgerloom.llm import linedups, lines  # noqa: E402
 
 SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint, _gone string, cleaned int"
 
@@ -51,6 +53,16 @@ def test_line_dedup(spark, rows, sf_dir):
     assert len(got) == len(some) and ids(got) == ids(want)
 
 
+def test_line_dedup_orders_words_by_all_texts(spark, sf_dir, monkeypatch):
+    seen, rarity = [], linedups._rarity
+    monkeypatch.setattr(linedups, "_rarity", lambda rows: seen.append(rarity(rows)) or seen[-1])
+    texts = [f"word{i} common" for i in range(48)]
+    stage(spark, "line_dedup", [(i, t, "en", "s", len(t), "g", 7) for i, t in enumerate(texts)] + [(90, None, None, None, None, "g", 7)], sf_dir)
+    (steps,) = seen[0].first()
+    bucket = spark.range(1).select(F.xxhash64(F.lit("common"))).first()[0] % linedups.BUCKETS
+    assert steps[bucket] >> 54 == int(8 * math.log2(48))
+
+
 def test_near_duplicates(spark, rows, sf_dir):
     found = brute.similar([x[:2] for x in rows])
     got = stage(spark, "near_duplicates", rows, sf_dir)
