@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 import brute  # noqa: E402
+from ledgerloom import session  # noqa: E402
 from ledgerloom.llm import chats, fm, found, leaks, linedups, lines, passages, persons, pieces, queries, secrets, similar, toxicity  # noqa: E402
 
 rng = random.Random(5)
@@ -144,6 +145,35 @@ def test_lines_go_on_given_rows(spark, sf_dir, given):
     assert rows == sorted(((d, want[n]) for n, (d, _) in enumerate(some)), key=key)
 
 
+def test_signatures_are_packed_and_meet(spark):
+    draw, parts, width = random.Random(7), 5, 6
+    sets = [(draw.getrandbits(63) & similar._mask(width), draw.randrange(1 << 62), [draw.getrandbits(64) for _ in range(300)]) for _ in range(40)]
+    sets += [(node, doc + 1, sig) for node, doc, sig in sets[:3]]  # equal sets
+    sets += [(draw.getrandbits(40), draw.randrange(1 << 62), sets[9][2][:20] + sets[4][2][:5] + [draw.getrandbits(64) for _ in range(50)]) for _ in range(6)]
+    tasks, met = [[(similar._placed(np.array(s, np.uint64), parts), n, d) for n, d, s in sets[i::3]] for i in range(3)], []
+    rows = [r for task in tasks for b in similar._met(task, width, parts) for r in b.to_pylist()]
+    entries = sum(len(set(np.concatenate([x[0] for x in task]).tolist())) for task in tasks)
+    assert sum(len(r["packed"]) for r in rows if r["part"] >= 0) == (similar.SIGN + width) * entries and len(rows) <= 6 * parts
+    for part in {r["part"] for r in rows}:
+        table = similar._apart(similar.pa.table({"part": [part] * sum(r["part"] == part for r in rows), "packed": [r["packed"] for r in rows if r["part"] == part]}), width)
+        met += [(r["sig"], r["node"]) for r in table.to_pylist()]
+        assert all(r["lead"] is None or r["lead"] in {n for n, *_ in sets} - {r["node"]} for r in table.to_pylist())
+    holders = {}
+    for task in tasks:
+        for sig, n, _ in task:
+            for x in sig.tolist():
+                holders.setdefault(x, {})[n] = None
+    assert set(met) == {(x, n) for x, nodes in holders.items() if len(nodes) > 1 for n in nodes}
+
+
+def test_scratch_tables_go_with_their_step(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(session, "scratch_root", lambda _: str(tmp_path))
+    docs = spark.createDataFrame([(d, t) for d, t in ROWS], "doc_id bigint, text string")
+    found, gone = similar.near_duplicates(docs), linedups.repeated_lines(docs, min_words=1)
+    assert sorted(p.name.rsplit("-", 1)[0] for p in tmp_path.iterdir()) == ["line-removed", "similar-found"]
+    assert found.count() == len(ROWS) and gone.count() > 0  # read after the rest is gone
+
+
 def test_rarity_counts_the_words_of_all_texts(spark):
     texts = [f"w{i} common\nCOMMON w{i}" for i in range(40)]
     rows = spark.createDataFrame([(t,) for t in texts], "text string").selectExpr("xxhash64(text) AS txt", "text")
